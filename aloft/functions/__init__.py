@@ -1,4 +1,6 @@
 from aloft.functions.columns import (EARTH_RADIUS_KM, date_from_parts, haversine_km,
-                                     non_empty_words, text_flag)
+                                     literal_pattern, non_empty_words,
+                                     split_words, text_flag)
 
-__all__ = ["EARTH_RADIUS_KM", "date_from_parts", "haversine_km", "non_empty_words", "text_flag"]
+__all__ = ["EARTH_RADIUS_KM", "date_from_parts", "haversine_km", "literal_pattern", "non_empty_words",
+           "split_words", "text_flag"]

@@ -36,7 +36,16 @@ def date_from_parts(year, month, day) -> Column:
     return F.make_date(_c(year), _c(month), _c(day))
 
 
+def literal_pattern(sep: str) -> str:
+    """Java regex matching ``sep`` literally (every non-alphanumeric escaped)."""
+    return "".join("\\" + ch if not ch.isalnum() else ch for ch in sep)
+
+
+def split_words(col, sep: str = " ") -> Column:
+    """Array of the pieces of ``col`` split on the literal separator (empty pieces kept)."""
+    return F.split(_c(col), literal_pattern(sep))
+
+
 def non_empty_words(col, sep: str = " ") -> Column:
     """Array of the words of ``col`` split on the literal separator, empty words dropped."""
-    pattern = "".join("\\" + ch if not ch.isalnum() else ch for ch in sep)
-    return F.filter(F.split(_c(col), pattern), lambda w: w != F.lit(""))
+    return F.filter(split_words(col, sep), lambda w: w != F.lit(""))

@@ -40,57 +40,83 @@ def most_active(edges: DataFrame) -> DataFrame:
 
 def pagerank(edges: DataFrame, vertices: DataFrame | None = None, reset: float = 0.15,
              max_iter: int = 20, tol: float = 1e-6, checkpoint_every: int = 5,
-             heavy_keys: int = 1024, normalize: bool = False) -> DataFrame:
+             heavy_keys: int = 1024, normalize: bool = False,
+             broadcast_vertices: int = 1_000_000) -> DataFrame:
     """G03 (Q21): unweighted PageRank ``r(v) = reset + (1 - reset) * sum(r(u) / deg(u))``
     over in-edges u -> v, starting from 1.0, until ``max |delta| < tol`` or
     ``max_iter`` rounds (``tol=0`` runs exactly ``max_iter``).
 
-    Plan per round: the edge table is partitioned by ``src`` once and
-    checkpointed, so only the rank vector (one row per vertex) is shuffled to
-    meet it.  Sources with more than ``E / heavy_keys`` out-edges (at most
-    ``heavy_keys`` of them, since out-degrees sum to E) are split off: their
-    edges are spread evenly over all partitions and joined with a broadcast
-    of just their ranks, so a vertex owning a third of all edges does not
-    land in one task.  Contributions are summed per ``dst`` with map-side
-    partial aggregation.  Ranks are checkpointed to ``spark.checkpoint.dir``
-    every ``checkpoint_every`` rounds (lineage cut, executor-loss safe).
-
-    ``normalize`` rescales the result so ranks sum to the vertex count.
+    The vertex set is counted once; the plan per round depends on that
+    proven size:
+
+    * at most ``broadcast_vertices`` vertices: the rank vector is broadcast
+      into the edge scan (no edge shuffle, so a hub vertex costs nothing
+      extra), contributions are summed per ``dst`` with map-side partial
+      aggregation, and the sums (at most one row per vertex) are broadcast
+      back onto the vertex table;
+    * larger graphs: the edge table is partitioned by ``src`` once and
+      checkpointed, so only the rank vector is shuffled to meet it each
+      round.  Sources with more than ``E / heavy_keys`` out-edges (at most
+      ``heavy_keys`` of them, since out-degrees sum to E) are split off:
+      their edges are spread evenly over all partitions and joined with a
+      broadcast of just their ranks, so a vertex owning a third of all
+      edges does not land in one task.
+
+    Ranks are checkpointed to ``spark.checkpoint.dir`` every
+    ``checkpoint_every`` rounds (lineage cut, executor-loss safe); rounds in
+    between are persisted.  ``normalize`` rescales the result so ranks sum
+    to the vertex count.
     """
     spark = edges.sparkSession
     require_checkpoint_dir(spark)
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    e = edges.select("src", "dst")
+    # the edge list is read by the degree, weight and vertex steps: materialise it once
+    e = edges.select("src", "dst").checkpoint()
     if vertices is None:
         vertices = vertices_of(e)
     vertices = vertices.select("id").repartition(n_parts, "id").checkpoint()
+    small = vertices.limit(broadcast_vertices + 1).count() <= broadcast_vertices
 
     deg = e.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
-    n_edges = e.count()
-    heavy_cut = max(n_edges // max(heavy_keys, 1), 1)
-    weighted = (e.join(deg, "src")
-                .select("src", "dst", (F.lit(1.0) / F.col("deg")).alias("w"),
-                        (F.col("deg") > heavy_cut).alias("heavy"))
-                .persist(StorageLevel.MEMORY_AND_DISK))
-    light = (weighted.where(~F.col("heavy")).select("src", "dst", "w")
-             .repartition(n_parts, "src").checkpoint())
-    heavy = (weighted.where(F.col("heavy")).select("src", "dst", "w")
-             .repartition(n_parts).checkpoint())
-    # proven bound: at most heavy_keys rows
-    heavy_ids = deg.where(F.col("deg") > heavy_cut).select(F.col("src").alias("id")).checkpoint()
-    weighted.unpersist()
+    weighted = e.join(deg, "src").select("src", "dst", (F.lit(1.0) / F.col("deg")).alias("w"))
+    heavy = heavy_ids = None
+    if small:
+        light = weighted.checkpoint()
+    else:
+        n_edges = e.count()
+        heavy_cut = max(n_edges // max(heavy_keys, 1), 1)
+        flagged = (e.join(deg, "src")
+                   .select("src", "dst", (F.lit(1.0) / F.col("deg")).alias("w"),
+                           (F.col("deg") > heavy_cut).alias("heavy"))
+                   .persist(StorageLevel.MEMORY_AND_DISK))
+        light = (flagged.where(~F.col("heavy")).select("src", "dst", "w")
+                 .repartition(n_parts, "src").checkpoint())
+        # proven bound: at most heavy_keys rows
+        heavy_ids = deg.where(F.col("deg") > heavy_cut).select(F.col("src").alias("id")) \
+            .checkpoint()
+        if heavy_ids.count() > 0:
+            heavy = (flagged.where(F.col("heavy")).select("src", "dst", "w")
+                     .repartition(n_parts).checkpoint())
+        flagged.unpersist()
+
+    def contributions(ranks: DataFrame) -> DataFrame:
+        r = F.broadcast(ranks) if small else ranks
+        c = (light.join(r, light["src"] == r["id"])
+             .select("dst", (F.col("rank") * F.col("w")).alias("c")))
+        if heavy is not None:
+            hot = ranks.join(F.broadcast(heavy_ids), "id", "left_semi")
+            c = c.unionByName(heavy.join(F.broadcast(hot), heavy["src"] == hot["id"])
+                              .select("dst", (F.col("rank") * F.col("w")).alias("c")))
+        return c
 
     ranks = vertices.select("id", F.lit(1.0).alias("rank"))
     damp = 1.0 - reset
     cached = []
     saved = True
     for i in range(1, max_iter + 1):
-        hot = ranks.join(F.broadcast(heavy_ids), "id", "left_semi")
-        contrib = (light.join(ranks, light["src"] == ranks["id"])
-                   .select("dst", (F.col("rank") * F.col("w")).alias("c"))
-                   .unionByName(heavy.join(F.broadcast(hot), heavy["src"] == hot["id"])
-                                .select("dst", (F.col("rank") * F.col("w")).alias("c"))))
-        sums = contrib.groupBy(F.col("dst").alias("id")).agg(F.sum("c").alias("s"))
+        sums = contributions(ranks).groupBy(F.col("dst").alias("id")).agg(F.sum("c").alias("s"))
+        if small:
+            sums = F.broadcast(sums)
         new = (vertices.join(sums, "id", "left")
                .select("id", (F.lit(reset) + F.lit(damp) * F.coalesce(F.col("s"), F.lit(0.0)))
                        .alias("rank")))
@@ -100,22 +126,23 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, reset: float =
         else:
             new = new.persist(StorageLevel.MEMORY_AND_DISK)
             cached.append(new)
+        delta = None
         if tol > 0:
-            delta = (new.join(ranks.withColumnRenamed("rank", "old"), "id")
+            old = F.broadcast(ranks) if small else ranks
+            delta = (new.join(old.withColumnRenamed("rank", "old"), "id")
                      .agg(F.max(F.abs(F.col("rank") - F.col("old")))).first()[0])
-        else:
+        elif not saved:
             new.count()
         ranks = new
-        if tol > 0 and delta is not None and delta < tol:
+        if delta is not None and delta < tol:
             break
     if not saved:
         ranks = ranks.checkpoint()
     for df in cached:
         df.unpersist()
     if normalize:
-        total = ranks.agg(F.sum("rank")).scalar()
-        count = ranks.agg(F.count(F.lit(1))).scalar()
-        ranks = ranks.select("id", (F.col("rank") * count / total).alias("rank"))
+        total, count = ranks.agg(F.sum("rank"), F.count(F.lit(1))).first()
+        ranks = ranks.select("id", (F.col("rank") * F.lit(count / total)).alias("rank"))
     return ranks
 
 

@@ -2,65 +2,103 @@
 
 Spark's ``percentile`` aggregate is exact but its final merge holds every
 distinct value of the column in one task, which does not scale to a
-high-cardinality column over the whole table.  This operator gives the same
-answer (linear interpolation between the values at ranks floor and ceil of
-``p * (n - 1)``, NULLs ignored) with bounded per-task state:
+high-cardinality column over a whole table.  This operator gives the same
+answer (linear interpolation between the values at 0-based ranks
+``floor(p * (n - 1))`` and ``ceil(p * (n - 1))``, NULLs ignored) with
+bounded per-task state:
 
 1. one scan: ``n`` and a ``percentile_approx`` bracket [a, b] around p
-   (sketch state is bounded by ``accuracy``, independent of n);
-2. one scan: verify the bracket really contains the two target ranks
-   (falls back to an open bracket if not, so the answer stays exact);
-3. one scan: distinct values inside the bracket with their counts
-   (ties collapse map-side), cumulative counts over that narrow band
-   (about 6 n / accuracy rows), and the two order statistics.
-
-The scalar steps are scalar subqueries, so the result stays one lazy
-DataFrame and Catalyst plans all three scans in one query.
+   (sketch state is fixed by ``accuracy``, independent of n);
+2. one scan: how many values fall below a and up to b; a bound that misses
+   its target rank is dropped (open bracket), so the answer stays exact;
+3. while more than ``band_limit`` rows remain inside the bracket, a new
+   sketch over just those rows narrows it (each round shrinks the band by
+   about accuracy / 6; repeated values stop the loop, they collapse below);
+4. the final lazy query: distinct values inside the bracket with their
+   counts (ties combine map-side), a running count over that narrow band,
+   and the two order statistics.
+
+Only a handful of scalars travel to the driver (n, bracket bounds, counts).
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
+
+DEFAULT_ACCURACY = 10_000
+DEFAULT_BAND_LIMIT = 1_000_000
+
+
+def _bracket_counts(v: DataFrame, a, b) -> tuple[int, int]:
+    below = F.count_if(F.col("v") < F.lit(a)) if a is not None else F.lit(0)
+    upto = F.count_if(F.col("v") <= F.lit(b)) if b is not None else F.count(F.lit(1))
+    row = v.agg(below.alias("below"), upto.alias("upto")).first()
+    return int(row["below"]), int(row["upto"])
+
 
-DEFAULT_ACCURACY = 100_000
+def _in_bracket(a, b):
+    cond = F.lit(True)
+    if a is not None:
+        cond = cond & (F.col("v") >= F.lit(a))
+    if b is not None:
+        cond = cond & (F.col("v") <= F.lit(b))
+    return cond
 
 
 def exact_percentile(df: DataFrame, value_col: str, p: float, out_col: str,
-                     accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+                     accuracy: int = DEFAULT_ACCURACY,
+                     band_limit: int = DEFAULT_BAND_LIMIT) -> DataFrame:
     if not 0.0 <= p <= 1.0:
         raise ValueError("p must be in [0, 1]")
+    spark = df.sparkSession
     v = df.select(F.col(value_col).cast("double").alias("v")).where(F.col("v").isNotNull())
     eps = 3.0 / accuracy
-    q_lo, q_hi = max(p - eps, 0.0), min(p + eps, 1.0)
-
-    sketch = v.agg(F.count(F.lit(1)).alias("n"),
-                   F.percentile_approx("v", [q_lo, q_hi], accuracy).alias("b"))
-    n = sketch.select("n").scalar()
-    pos = F.lit(p) * (n - F.lit(1))
-    lo_rank = F.floor(pos)
-    hi_rank = F.ceil(pos)
-    a = sketch.select(F.col("b")[0]).scalar()
-    b = sketch.select(F.col("b")[1]).scalar()
-
-    # bracket check: #(v < a) <= lo_rank and #(v <= b) > hi_rank
-    check = v.agg(F.count_if(F.col("v") < a).alias("below_a"),
-                  F.count_if(F.col("v") <= b).alias("upto_b"))
-    a_ok = F.when(check.select("below_a").scalar() <= lo_rank, a)
-    b_ok = F.when(check.select("upto_b").scalar() > hi_rank, b)
-    below = v.where(F.col("v") < a_ok).agg(F.count(F.lit(1))).scalar()  # 0 if open
-
-    band = (v.where((a_ok.isNull() | (F.col("v") >= a_ok)) & (b_ok.isNull() | (F.col("v") <= b_ok)))
-            .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
-    # cumulative counts over the band: rows with value v occupy global ranks
-    # [cum - c, cum) (0-based).  The band is narrow by construction.
+    first = v.agg(F.count(F.lit(1)).alias("n"),
+                  F.percentile_approx("v", [max(p - eps, 0.0), min(p + eps, 1.0)],
+                                      accuracy).alias("b")).first()
+    n = int(first["n"])
+    if n == 0:
+        schema = StructType([StructField(out_col, DoubleType(), True)])
+        return spark.createDataFrame([(None,)], schema)
+    pos = p * (n - 1)
+    lo_rank, hi_rank = math.floor(pos), math.ceil(pos)
+    a, b = first["b"]
+
+    below, upto = _bracket_counts(v, a, b)
+    if below > lo_rank:
+        a, below = None, 0
+    if upto <= hi_rank:
+        b, upto = None, n
+
+    while upto - below > band_limit:
+        band = v.where(_in_bracket(a, b))
+        size = upto - below
+        q_lo = max((lo_rank - below) / size - eps, 0.0)
+        q_hi = min((hi_rank - below) / size + eps, 1.0)
+        a2, b2 = band.agg(F.percentile_approx("v", [q_lo, q_hi], accuracy)).first()[0]
+        below2, upto2 = _bracket_counts(v, a2, b2)
+        a_new, below_new = (a2, below2) if below2 <= lo_rank else (a, below)
+        b_new, upto_new = (b2, upto2) if upto2 > hi_rank else (b, upto)
+        if upto_new - below_new >= size:        # no progress: the band is one value repeated
+            break
+        a, b, below, upto = a_new, b_new, below_new, upto_new
+
+    band = v.where(_in_bracket(a, b)).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    # rows holding value v occupy global ranks [cum - c, cum)
     w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = band.select("v", "c", (below + F.sum("c").over(w)).alias("cum"))
-    in_rank = lambda r: (F.col("cum") - F.col("c") <= r) & (r < F.col("cum"))
-    picks = ranked.agg(F.min(F.when(in_rank(lo_rank), F.col("v"))).alias("lo_v"),
-                       F.min(F.when(in_rank(hi_rank), F.col("v"))).alias("hi_v"))
-    return picks.select(
-        (F.col("lo_v") + (pos - lo_rank) * (F.col("hi_v") - F.col("lo_v"))).alias(out_col))
+    ranked = band.select("v", "c", (F.lit(below) + F.sum("c").over(w)).alias("cum"))
+
+    def at(r):
+        return F.min(F.when((F.col("cum") - F.col("c") <= r) & (F.lit(r) < F.col("cum")),
+                            F.col("v")))
+
+    picks = ranked.agg(at(lo_rank).alias("lo_v"), at(hi_rank).alias("hi_v"))
+    return picks.select((F.col("lo_v") + F.lit(pos - lo_rank) * (F.col("hi_v") - F.col("lo_v")))
+                        .alias(out_col))
 
 
 def builtin_percentile(df: DataFrame, value_col: str, p: float, out_col: str) -> DataFrame:

@@ -74,8 +74,10 @@ def test_pagerank_matches_power_iteration_with_hub(spark):
     pairs = sorted(pairs)
     edges = spark.createDataFrame([(a, b, 1) for a, b in pairs],
                                   "src long, dst long, weight long")
-    for heavy_keys in (1024, 4):                            # 4: vertex 0 goes the heavy path
-        ranks = pagerank(edges, max_iter=12, tol=0.0, heavy_keys=heavy_keys, checkpoint_every=5)
+    # broadcast plan, shuffled plan, shuffled plan with vertex 0 on the heavy path
+    for heavy_keys, bcast in ((1024, 1_000_000), (1024, 10), (4, 10)):
+        ranks = pagerank(edges, max_iter=12, tol=0.0, heavy_keys=heavy_keys, checkpoint_every=5,
+                         broadcast_vertices=bcast)
         got = {r["id"]: r["rank"] for r in ranks.collect()}
         ids = sorted({a for a, _ in pairs} | {b for _, b in pairs})
         exp = _numpy_pagerank(n, pairs, 12)

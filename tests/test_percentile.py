@@ -7,14 +7,16 @@ from aloft.operators import builtin_percentile, exact_percentile
 
 
 @pytest.mark.parametrize("p", [0.0, 0.05, 0.5, 0.95, 1.0])
-@pytest.mark.parametrize("accuracy", [10, 100_000])
-def test_exact_matches_builtin(spark, p, accuracy):
+@pytest.mark.parametrize("accuracy,band_limit", [(10, 1_000_000), (100_000, 1_000_000),
+                                                 (50, 20), (200, 1)])
+def test_exact_matches_builtin(spark, p, accuracy, band_limit):
     rng = np.random.default_rng(3)
     vals = list(rng.normal(size=3000).round(3))
     vals += [7.0] * 1500                                   # one value holds a third of rows
     vals += [None] * 50
     df = spark.createDataFrame([(None if v is None else float(v),) for v in vals], "x double")
-    got = exact_percentile(df, "x", p, "q", accuracy=accuracy).first()[0]
+    got = exact_percentile(df, "x", p, "q", accuracy=accuracy,
+                           band_limit=band_limit).first()[0]
     exp = builtin_percentile(df, "x", p, "q").first()[0]
     assert got == pytest.approx(exp, rel=1e-12, abs=1e-12)
 
