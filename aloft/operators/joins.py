@@ -52,9 +52,14 @@ def semi_filter(df: DataFrame, key: str, allowed: DataFrame, allowed_key: str,
 
 
 def triplets(vertices: DataFrame, edges: DataFrame, id_col: str = "id",
-             attr_col: str = "attr") -> DataFrame:
-    """Each edge with the attributes of both end points."""
-    v = vertices.select(F.col(id_col), F.col(attr_col))
+             attr_col: str = "attr", max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Each edge with the attributes of both end points.
+
+    The vertex table is broadcast when its size is proven small (a hub
+    vertex then costs nothing extra); otherwise both joins shuffle and AQE's
+    skew-join split handles a vertex owning a large share of the edges.
+    """
+    v = bounded_broadcast(vertices.select(F.col(id_col), F.col(attr_col)), max_rows)
     s = v.select(F.col(id_col).alias("src"), F.col(attr_col).alias("src_attr"))
     d = v.select(F.col(id_col).alias("dst"), F.col(attr_col).alias("dst_attr"))
     return edges.join(s, "src").join(d, "dst").select("src", "src_attr", "dst", "dst_attr",

@@ -63,8 +63,9 @@ def q_filtered_max(spark, sf):                                     # Q04
 
 def q_anti_lookup(spark, sf):                                      # Q05
     orders = _t(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
-    return anti_lookup(_t(spark, sf, "customer"), orders, "c_custkey", "o_custkey",
-                       select=["c_custkey", "c_name"], distinct=True)
+    # the dimension's columns define the EXCEPT rows: project before the anti join
+    return anti_lookup(_t(spark, sf, "customer").select("c_custkey", "c_name"), orders,
+                       "c_custkey", "o_custkey", distinct=True)
 
 
 def q_route_counts(spark, sf):                                     # Q06

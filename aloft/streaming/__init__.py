@@ -1,0 +1,12 @@
+"""Structured Streaming entry points.
+
+The original programs are batch only; nothing here adds an operator.  These
+helpers run the same counting operators incrementally over files arriving
+in a folder (state kept by Spark's state store, checkpointed to the query's
+checkpoint location), for callers that ingest flight or text files as they
+land.
+"""
+
+from aloft.streaming.counts import read_flight_stream, stream_counts, stream_word_counts
+
+__all__ = ["read_flight_stream", "stream_counts", "stream_word_counts"]

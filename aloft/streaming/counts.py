@@ -1,0 +1,32 @@
+"""Incremental versions of Q02 (rows per key) and Q16 (word count)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from aloft import schemas
+from aloft.functions.columns import split_words
+
+
+def read_flight_stream(spark: SparkSession, folder: str,
+                       max_files_per_trigger: int | None = None) -> DataFrame:
+    """Q01 as a file stream: headered flight CSVs with ``NA`` as NULL."""
+    r = (spark.readStream.schema(schemas.FLIGHT)
+         .option("header", True).option("nullValue", "NA"))
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.csv(folder)
+
+
+def stream_counts(df: DataFrame, key: str, count_col: str = "count") -> DataFrame:
+    """Q02 on a stream: running rows per key (complete or update output mode)."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias(count_col))
+
+
+def stream_word_counts(df: DataFrame, text_col: str, sep: str = " ",
+                       word_col: str = "word", count_col: str = "count") -> DataFrame:
+    """Q16 on a stream: running case-sensitive word counts of whole texts."""
+    words = (df.select(F.explode(split_words(F.col(text_col), sep)).alias(word_col))
+             .where(F.col(word_col) != ""))
+    return words.groupBy(word_col).agg(F.count(F.lit(1)).alias(count_col))
