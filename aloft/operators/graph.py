@@ -22,9 +22,10 @@ def edges_from_pairs(pairs: DataFrame, src: str = "src", dst: str = "dst") -> Da
 
 
 def vertices_of(edges: DataFrame) -> DataFrame:
-    """Every id that is an end point of an edge."""
-    return (edges.select(F.col("src").alias("id"))
-            .union(edges.select(F.col("dst").alias("id")))
+    """Every id that is an end point of an edge (one pass over the
+    edges: both end points are exploded from each row, then de-duplicated
+    with map-side partial aggregation)."""
+    return (edges.select(F.explode(F.array(F.col("src"), F.col("dst"))).alias("id"))
             .distinct())
 
 
@@ -51,9 +52,8 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, reset: float =
 
     * at most ``broadcast_vertices`` vertices: the rank vector is broadcast
       into the edge scan (no edge shuffle, so a hub vertex costs nothing
-      extra), contributions are summed per ``dst`` with map-side partial
-      aggregation, and the sums (at most one row per vertex) are broadcast
-      back onto the vertex table;
+      extra) and contributions are summed per ``dst`` with map-side partial
+      aggregation;
     * larger graphs: the edge table is partitioned by ``src`` once and
       checkpointed, so only the rank vector is shuffled to meet it each
       round.  Sources with more than ``E / heavy_keys`` out-edges (at most
@@ -62,7 +62,9 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, reset: float =
       broadcast of just their ranks, so a vertex owning a third of all
       edges does not land in one task.
 
-    Ranks are checkpointed to ``spark.checkpoint.dir`` every
+    Each round is one aggregation: the vertex set enters it as zero
+    contributions, so vertices without in-edges keep ``reset`` without a join
+    back onto the vertex table.  Ranks are checkpointed to ``spark.checkpoint.dir`` every
     ``checkpoint_every`` rounds (lineage cut, executor-loss safe); rounds in
     between are persisted.  ``normalize`` rescales the result so ranks sum
     to the vertex count.
@@ -110,16 +112,16 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, reset: float =
         return c
 
     ranks = vertices.select("id", F.lit(1.0).alias("rank"))
+    # every vertex contributes 0.0 to itself, so vertices without in-edges
+    # appear in the single aggregation (no join back onto the vertex table)
+    zeros = vertices.select(F.col("id").alias("dst"), F.lit(0.0).alias("c"))
     damp = 1.0 - reset
     cached = []
     saved = True
     for i in range(1, max_iter + 1):
-        sums = contributions(ranks).groupBy(F.col("dst").alias("id")).agg(F.sum("c").alias("s"))
-        if small:
-            sums = F.broadcast(sums)
-        new = (vertices.join(sums, "id", "left")
-               .select("id", (F.lit(reset) + F.lit(damp) * F.coalesce(F.col("s"), F.lit(0.0)))
-                       .alias("rank")))
+        new = (contributions(ranks).unionByName(zeros)
+               .groupBy(F.col("dst").alias("id"))
+               .agg((F.lit(reset) + F.lit(damp) * F.sum("c")).alias("rank")))
         saved = i % checkpoint_every == 0 or i == max_iter
         if saved:
             new = new.checkpoint()

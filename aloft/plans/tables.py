@@ -185,7 +185,9 @@ def q_edges_from_pairs(spark, sf):                                 # Q19
 
 
 def q_triplets(spark, sf):                                         # J08
-    e = social_edges(spark, sf)
+    # the edge table feeds the vertex set and both joins: materialise it once
+    # in the checkpoint folder instead of re-parsing the events three times
+    e = social_edges(spark, sf).checkpoint()
     v = vertices_of(e).select("id", F.col("id").cast("int").alias("attr"))
     return triplets(v, e)
 
