@@ -37,13 +37,18 @@ def scale(df: DataFrame, output_col: str, input_col: str = "features") -> DataFr
                            withMean=False).fit(df).transform(df))
 
 
+def in_train(id_col: str, train_fraction: float = 0.9, seed: int = 10):
+    """Boolean column: the row's key hashes into the training share."""
+    bucket = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(10_000))
+    return bucket < F.lit(int(round(train_fraction * 10_000)))
+
+
 def hash_split(df: DataFrame, id_col: str, train_fraction: float = 0.9,
                seed: int = 10) -> tuple[DataFrame, DataFrame]:
     """M06 (Q28): reproducible split by hashing a row key; unlike
     ``randomSplit`` it does not depend on partitioning or row order."""
-    bucket = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(10_000))
-    cut = int(round(train_fraction * 10_000))
-    return df.where(bucket < cut), df.where(bucket >= cut)
+    flag = in_train(id_col, train_fraction, seed)
+    return df.where(flag), df.where(~flag)
 
 
 def random_split(df: DataFrame, weights=(0.9, 0.1), seed: int = 10) -> list[DataFrame]:

@@ -117,17 +117,15 @@ def top1_with_lookup(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str
     """O05+J06 (Q17): the most frequent key, translated through ``lookup``;
     '' when the key has no entry.  Ties go to the smallest key.
 
-    ``orderBy().limit(1)`` plans as TakeOrderedAndProject (no global sort); the
-    one-row winner is broadcast into a semi join, so the lookup table is
-    filtered where it is read and never shuffled whole.
+    The fact is scanned once: a partial count per key, then
+    ``orderBy().limit(1)`` (TakeOrderedAndProject, no global sort).  The
+    one-row winner is left-joined to the lookup reduced to one name per code
+    (a dimension-sized aggregate, broadcast by AQE when small).
     """
     top = (df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
            .orderBy(F.desc("__n"), F.asc_nulls_last(key)).limit(1)
            .select(F.col(key).alias("__top")))
-    # map-side filter of the lookup by the broadcast one-row winner, then a
-    # join of two tiny frames
-    hits = (lookup.join(F.broadcast(top), F.col(lookup_key) == F.col("__top"), "left_semi")
-            .groupBy(F.col(lookup_key).alias("__lk"))
-            .agg(F.min(lookup_value).alias("__name")))
-    return (top.join(hits, F.col("__top") == F.col("__lk"), "left")
+    names = (lookup.groupBy(F.col(lookup_key).alias("__lk"))
+             .agg(F.min(lookup_value).alias("__name")))
+    return (top.join(names, F.col("__top") == F.col("__lk"), "left")
             .select(F.coalesce(F.col("__name"), F.lit("")).alias(out_col)))

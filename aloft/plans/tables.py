@@ -284,9 +284,9 @@ def q_scale(spark, sf):                                            # Q25
 
 
 def q_hash_split(spark, sf):                                       # Q28
-    train, test = ml.hash_split(players(spark, sf), "doc_id", 0.9, seed=10)
-    return (train.select("doc_id", F.lit("train").alias("split"))
-            .unionByName(test.select("doc_id", F.lit("test").alias("split"))))
+    flag = ml.in_train("doc_id", 0.9, seed=10)
+    return players(spark, sf).select(
+        "doc_id", F.when(flag, F.lit("train")).otherwise(F.lit("test")).alias("split"))
 
 
 _NUMERIC = [c for c in PLAYER_FEATURES if c != "country_index"]
