@@ -19,7 +19,12 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``max_rows=None``: the side grows with the data, so no static check is
+    run and no hint is given; AQE still broadcasts it if its runtime size is
+    under ``spark.sql.adaptive.autoBroadcastJoinThreshold``."""
+    if max_rows is None:
+        return df
     return F.broadcast(df) if has_at_most(df, max_rows) else df
 
 

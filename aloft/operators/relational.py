@@ -31,7 +31,7 @@ def filtered_max(df: DataFrame, value_col: str, predicate: Column, out_col: str)
 def route_counts(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, label: str,
                  predicate: Column | None = None, out_col: str = "Num",
                  label_out: str | None = None, weight_col: str | None = None,
-                 dim_max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 dim_max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """J03+A01 (Q06): qualifying fact rows per dimension label, most first.
 
     The fact side is counted per join key before the join (map-side partial
@@ -85,7 +85,7 @@ def domestic_only(df: DataFrame, airports: DataFrame, origin: str = "Origin",
 def conditional_share(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                       flag: Column, group_cols: list[str], out_col: str = "percentage",
                       positive_only: bool = True,
-                      dim_max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                      dim_max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """A07+J04 (Q10): share of fact rows with ``flag`` per dimension group.
 
     One pass: the fact is pre-aggregated per join key (flagged and total
