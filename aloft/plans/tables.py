@@ -119,6 +119,12 @@ def q_moving_average(spark, sf):                                   # Q12
     return out.select("date", _r("moving_average", 9).alias("moving_average"))
 
 
+def q_moving_average_by_flag(spark, sf):                           # Q12, one series per flag
+    out = moving_average(_t(spark, sf, "lineitem"), F.to_date("l_shipdate"), "l_quantity",
+                         days=5, partition_cols=["l_returnflag"])
+    return out.select("l_returnflag", "date", _r("moving_average", 9).alias("moving_average"))
+
+
 # ---------------------------------------------------------------- places-style
 
 def q_project_fields(spark, sf):                                   # Q13
@@ -322,6 +328,7 @@ QUERIES: dict[str, Query] = {
     "conditional_share": q_conditional_share,
     "least_squares": q_least_squares,
     "moving_average": q_moving_average,
+    "moving_average_by_flag": q_moving_average_by_flag,
     "project_fields": q_project_fields,
     "filter_measure": q_filter_measure,
     "mean_measure": q_mean_measure,
@@ -474,6 +481,15 @@ SELECT strftime(d, '%Y-%m-%d') AS "date",
 FROM d
 WINDOW w AS (ORDER BY d RANGE BETWEEN INTERVAL 5 DAYS PRECEDING
                               AND INTERVAL 5 DAYS FOLLOWING)""",
+    "moving_average_by_flag": """
+WITH d AS (SELECT l_returnflag, CAST(l_shipdate AS DATE) AS d, sum(l_quantity) AS s,
+                  count(l_quantity) AS c
+           FROM lineitem GROUP BY 1, 2)
+SELECT l_returnflag, strftime(d, '%Y-%m-%d') AS "date",
+       round(sum(s) OVER w / sum(c) OVER w, 9) AS moving_average
+FROM d
+WINDOW w AS (PARTITION BY l_returnflag ORDER BY d
+             RANGE BETWEEN INTERVAL 5 DAYS PRECEDING AND INTERVAL 5 DAYS FOLLOWING)""",
     "project_fields": "SELECT p_name, p_brand, p_size FROM part",
     "filter_measure": f"SELECT CAST(p_size AS INTEGER) AS p_size FROM part WHERE p_brand = '{BRAND}'",
     "mean_measure": f"SELECT round(avg(p_size), 9) AS mean_size FROM part WHERE p_brand = '{BRAND}'",

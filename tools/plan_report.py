@@ -30,6 +30,8 @@ NOTES = {
                          "re-aggregation; replaces two scans and a join of aggregates",
     "least_squares": "partial avg per x, one-row regr_* aggregate; no driver round trips",
     "moving_average": "daily (sum, count) pre-aggregate; RANGE window over one row per day",
+    "moving_average_by_flag": "daily pre-aggregate per series; the window is partitioned by "
+                              "series, so it spreads over tasks",
     "project_fields": "map-only, 3 columns read",
     "filter_measure": "map-only, pushed equality",
     "mean_measure": "map-only partial avg",
