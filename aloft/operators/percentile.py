@@ -16,7 +16,9 @@ bounded per-task state:
    about accuracy / 6; repeated values stop the loop, they collapse below);
 4. the final lazy query: distinct values inside the bracket with their
    counts (ties combine map-side), a running count over that narrow band,
-   and the two order statistics.
+   and the two order statistics.  Should the band still exceed
+   ``band_limit`` rows, the running count is computed per value range in
+   parallel instead of in one task.
 
 Only a handful of scalars travel to the driver (n, bracket bounds, counts).
 """
@@ -89,8 +91,12 @@ def exact_percentile(df: DataFrame, value_col: str, p: float, out_col: str,
 
     band = v.where(_in_bracket(a, b)).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
     # rows holding value v occupy global ranks [cum - c, cum)
-    w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = band.select("v", "c", (F.lit(below) + F.sum("c").over(w)).alias("cum"))
+    if upto - below <= band_limit:
+        w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = band.select("v", "c", (F.lit(below) + F.sum("c").over(w)).alias("cum"))
+    else:
+        ranked = _running_count_distributed(band, below, int(spark.conf.get(
+            "spark.sql.shuffle.partitions")))
 
     def at(r):
         return F.min(F.when((F.col("cum") - F.col("c") <= r) & (F.lit(r) < F.col("cum")),
@@ -101,6 +107,25 @@ def exact_percentile(df: DataFrame, value_col: str, p: float, out_col: str,
                         .alias(out_col))
 
 
+def _running_count_distributed(band: DataFrame, below: int, parts: int) -> DataFrame:
+    """Running count over a band too large for one task: range-partition the
+    distinct values, total each range (one row per partition), turn the
+    totals into offsets (a window over ``parts`` rows), and run the per-range
+    running count inside each range's own task.  The range-partitioned band is
+    checkpointed so the partition ids stay stable if a task is recomputed."""
+    b = (band.repartitionByRange(parts, "v")
+         .withColumn("pid", F.spark_partition_id())
+         .checkpoint())
+    totals = b.groupBy("pid").agg(F.sum("c").alias("t"))
+    before = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("pid", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("off"))
+    within = (Window.partitionBy("pid").orderBy("v")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (b.join(F.broadcast(offsets), "pid")
+            .select("v", "c", (F.lit(below) + F.col("off") + F.sum("c").over(within))
+                    .alias("cum")))
+
+
 def builtin_percentile(df: DataFrame, value_col: str, p: float, out_col: str) -> DataFrame:
     """Spark's exact ``percentile``: fine for low-cardinality columns (integer
     minutes or miles), where the distinct-value map stays small."""

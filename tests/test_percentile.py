@@ -28,5 +28,11 @@ def test_edge_cases(spark):
     assert exact_percentile(one, "x", 0.95, "q").first()[0] == 4.0
     nulls = spark.createDataFrame([(None,), (None,)], "x int")
     assert exact_percentile(nulls, "x", 0.5, "q").first()[0] is None
+    # band never narrowed below the limit: distributed running count
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(float(x),) for x in rng.integers(0, 500, 2000)], "x double")
+    for p in (0.0, 0.37, 0.5, 1.0):
+        got = exact_percentile(df, "x", p, "q", accuracy=2, band_limit=0).first()[0]
+        assert got == builtin_percentile(df, "x", p, "q").first()[0]
     with pytest.raises(ValueError):
         exact_percentile(one, "x", 1.5, "q")
