@@ -12,6 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
+                               StructType)
 
 from aloft.operators import (anti_lookup, conditional_share, count_by_key, count_within,
                              edges_from_pairs, exact_percentile, field_mean, filter_project,
@@ -21,8 +23,7 @@ from aloft.operators import (anti_lookup, conditional_share, count_by_key, count
 from aloft.operators import ml
 from aloft.schemas import PLAYER_FEATURES
 from aloft.sources import parse_player_lines, parse_social_lines, read_csv_lines, read_table
-from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
-                               StructType)
+from aloft.sources.readers import SOCIAL_LINE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -356,7 +357,7 @@ QUERIES: dict[str, Query] = {
 
 # ---------------------------------------------------------------- SQL oracles
 
-_SOCIAL = r"^\s*(\d+)\s*\|\s*(\d+)\s*$"
+_SOCIAL = SOCIAL_LINE
 _EDGES = f"""
 SELECT CAST(regexp_extract(value, '{_SOCIAL}', 1) AS BIGINT) AS src,
        CAST(regexp_extract(value, '{_SOCIAL}', 2) AS BIGINT) AS dst,
