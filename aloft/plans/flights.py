@@ -95,3 +95,41 @@ class FlightAnalytics:
     def running_average(self, df: DataFrame, days: int = 5) -> DataFrame:
         return moving_average(df, date_from_parts("Year", "Month", "DayofMonth"), "DepDelay",
                               days=days)
+
+    # ------------------------------------------------------------------
+    # Original method names.  They return what the original methods
+    # returned: DataFrames, except ``leastSquares`` which gives the
+    # (intercept, slope) tuple (one small aggregate collected).
+    def loadDataAndRegister(self, path: str) -> DataFrame:  # noqa: N802
+        return self.load_data_and_register(path)
+
+    def flightCount(self, df: DataFrame) -> DataFrame:  # noqa: N802
+        return self.flight_count(df)
+
+    def cancelledDueToSecurity(self, df: DataFrame) -> DataFrame:  # noqa: N802
+        return self.cancelled_due_to_security(df)
+
+    def longestWeatherDelay(self, df: DataFrame) -> DataFrame:  # noqa: N802
+        return self.longest_weather_delay(df)
+
+    def didNotFly(self, df: DataFrame) -> DataFrame:  # noqa: N802
+        return self.did_not_fly(df)
+
+    def flightsFromVegasToJFK(self, df: DataFrame) -> DataFrame:  # noqa: N802
+        return self.flights_from_vegas_to_jfk(df)
+
+    def timeSpentTaxiing(self, df: DataFrame) -> DataFrame:  # noqa: N802
+        return self.time_spent_taxiing(df)
+
+    def distanceMedian(self, df: DataFrame) -> DataFrame:  # noqa: N802
+        return self.distance_median(df)
+
+    def cancelledFlights(self, df: DataFrame) -> DataFrame:  # noqa: N802
+        return self.cancelled_flights(df)
+
+    def leastSquares(self, df: DataFrame) -> tuple[float, float]:  # noqa: N802
+        row = self.least_squares(df).first()
+        return float(row["intercept"]), float(row["slope"])
+
+    def runningAverage(self, df: DataFrame) -> DataFrame:  # noqa: N802
+        return self.running_average(df)

@@ -48,3 +48,11 @@ class PlayerModel:
             train, test = ml.random_split(scaled, (0.9, 0.1), seed)
         model = self.create_model(train, "scaledFeatures", "paid_customer", "prediction")
         return ml.evaluate(self.predict(model, test), "paid_customer")
+
+    # Original method names.
+    def featureAssembler(self, df: DataFrame) -> DataFrame:  # noqa: N802
+        return self.feature_assembler(df)
+
+    def createModel(self, training: DataFrame, featuresCol: str, labelCol: str,  # noqa: N802,N803
+                    predCol: str):  # noqa: N803
+        return self.create_model(training, featuresCol, labelCol, predCol)
