@@ -80,26 +80,29 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, reset: float =
     small = vertices.limit(broadcast_vertices + 1).count() <= broadcast_vertices
 
     deg = e.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
-    weighted = e.join(deg, "src").select("src", "dst", (F.lit(1.0) / F.col("deg")).alias("w"))
     heavy = heavy_ids = None
     if small:
-        light = weighted.checkpoint()
+        # deg has at most one row per vertex: proven small, broadcast it
+        light = (e.join(F.broadcast(deg), "src")
+                 .select("src", "dst", (F.lit(1.0) / F.col("deg")).alias("w"))
+                 .checkpoint())
     else:
-        n_edges = e.count()
+        deg = deg.checkpoint()
+        n_edges = deg.agg(F.sum("deg")).first()[0] or 0
         heavy_cut = max(n_edges // max(heavy_keys, 1), 1)
-        flagged = (e.join(deg, "src")
-                   .select("src", "dst", (F.lit(1.0) / F.col("deg")).alias("w"),
-                           (F.col("deg") > heavy_cut).alias("heavy"))
-                   .persist(StorageLevel.MEMORY_AND_DISK))
-        light = (flagged.where(~F.col("heavy")).select("src", "dst", "w")
+        # proven bound: at most heavy_keys rows, since out-degrees sum to E
+        heavy_deg = deg.where(F.col("deg") > heavy_cut).checkpoint()
+        heavy_ids = heavy_deg.select(F.col("src").alias("id"))
+        # hub sources are split off before any shuffle on src: their edges
+        # meet their degrees map-side (broadcast) and are spread evenly
+        light_e = e.join(F.broadcast(heavy_deg.select("src")), "src", "left_anti")
+        light = (light_e.join(deg.where(F.col("deg") <= heavy_cut), "src")
+                 .select("src", "dst", (F.lit(1.0) / F.col("deg")).alias("w"))
                  .repartition(n_parts, "src").checkpoint())
-        # proven bound: at most heavy_keys rows
-        heavy_ids = deg.where(F.col("deg") > heavy_cut).select(F.col("src").alias("id")) \
-            .checkpoint()
-        if heavy_ids.count() > 0:
-            heavy = (flagged.where(F.col("heavy")).select("src", "dst", "w")
+        if heavy_deg.limit(1).count() > 0:
+            heavy = (e.join(F.broadcast(heavy_deg), "src")
+                     .select("src", "dst", (F.lit(1.0) / F.col("deg")).alias("w"))
                      .repartition(n_parts).checkpoint())
-        flagged.unpersist()
 
     def contributions(ranks: DataFrame) -> DataFrame:
         r = F.broadcast(ranks) if small else ranks
