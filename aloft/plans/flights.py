@@ -26,6 +26,7 @@ class FlightAnalytics:
             read_airports(spark, airports_path) if airports_path else None)
         self.carriers = carriers if carriers is not None else (
             read_carriers(spark, carriers_path) if carriers_path else None)
+        # The temp-view names callers' SQL refers to.
         if self.airports is not None:
             self.airports.createOrReplaceTempView("airports")
         if self.carriers is not None:

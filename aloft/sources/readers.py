@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from aloft import schemas
 
+# Fixed value: the temp-view name of the flight table (callers' SQL refers to it).
 FLIGHT_VIEW = "airtraffic"
 
 # Fixed value: a social-graph line is "<digits> | <digits>", whitespace allowed

@@ -37,7 +37,7 @@ def flight_line(i, tail, org, dst, dist, dep, tin, tout, cd, wd, month=5, day=10
 def ten(spark, tmp_path_factory):
     d = tmp_path_factory.mktemp("flights")
     body = "\n".join(flight_line(i, *r) for i, r in enumerate(TEN))
-    path = write_text(d, "sample.csv", COLS + "\n" + body + "\n")
+    path = write_text(d, "flights.csv", COLS + "\n" + body + "\n")
     fa = FlightAnalytics(spark)
     return fa, fa.load_data_and_register(path)
 

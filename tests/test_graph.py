@@ -26,7 +26,7 @@ DUMP = """ first_user_id | second_user_id
 
 @pytest.fixture(scope="module")
 def graph(spark, tmp_path_factory):
-    path = write_text(tmp_path_factory.mktemp("g"), "graph_sample.txt", DUMP)
+    path = write_text(tmp_path_factory.mktemp("g"), "social_dump.txt", DUMP)
     return SocialGraph.load_social(spark, path)
 
 

@@ -72,9 +72,9 @@ CODES = ('Name,Code\nAfghanistan,AF\n"Bonaire, Sint Eustatius and Saba",BQ\nNami
 @pytest.fixture(scope="module")
 def places(spark, tmp_path_factory):
     d = tmp_path_factory.mktemp("places")
-    path = write_text(d, "sample.txt", "\n".join(place_line(i, *p) for i, p in
+    path = write_text(d, "places.tsv", "\n".join(place_line(i, *p) for i, p in
                                                  enumerate(PLACES)) + "\n")
-    codes = write_text(d, "countrycodes.csv", CODES)
+    codes = write_text(d, "codes.csv", CODES)
     pa = PlaceAnalytics(spark, path)
     return pa, pa.filter_data(), codes
 

@@ -29,7 +29,7 @@ def player_line(i, g, age, country, friends, life, g1, g2, g3, g4, paid):
 
 @pytest.fixture(scope="module")
 def converted(spark, tmp_path_factory):
-    path = write_text(tmp_path_factory.mktemp("players"), "sample.data",
+    path = write_text(tmp_path_factory.mktemp("players"), "players.csv",
                       "\n".join(player_line(i, *r) for i, r in enumerate(ROWS)) + "\n")
     pm = PlayerModel(spark)
     return pm, pm.convert(path)
