@@ -66,7 +66,8 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, reset: float =
     contributions, so vertices without in-edges keep ``reset`` without a join
     back onto the vertex table.  Ranks are checkpointed to ``spark.checkpoint.dir`` every
     ``checkpoint_every`` rounds (lineage cut, executor-loss safe); rounds in
-    between are persisted.  ``normalize`` rescales the result so ranks sum
+    between are persisted, or left as one lazy plan when nothing needs them
+    materialised (fixed round count, ranks read once per round).  ``normalize`` rescales the result so ranks sum
     to the vertex count.
     """
     spark = edges.sparkSession
@@ -119,6 +120,10 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, reset: float =
     # appear in the single aggregation (no join back onto the vertex table)
     zeros = vertices.select(F.col("id").alias("dst"), F.lit(0.0).alias("c"))
     damp = 1.0 - reset
+    # with a fixed round count and the previous ranks read once per round,
+    # the rounds between two checkpoints stay one lazy plan (one job per
+    # checkpoint); otherwise every round is persisted and materialised
+    lazy = tol <= 0 and heavy is None
     cached = []
     saved = True
     for i in range(1, max_iter + 1):
@@ -128,7 +133,7 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, reset: float =
         saved = i % checkpoint_every == 0 or i == max_iter
         if saved:
             new = new.checkpoint()
-        else:
+        elif not lazy:
             new = new.persist(StorageLevel.MEMORY_AND_DISK)
             cached.append(new)
         delta = None
@@ -136,7 +141,7 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, reset: float =
             old = F.broadcast(ranks) if small else ranks
             delta = (new.join(old.withColumnRenamed("rank", "old"), "id")
                      .agg(F.max(F.abs(F.col("rank") - F.col("old")))).first()[0])
-        elif not saved:
+        elif not saved and not lazy:
             new.count()
         ranks = new
         if delta is not None and delta < tol:
