@@ -16,6 +16,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aloft.session import require_checkpoint_dir
+
 
 def index_categories(df: DataFrame, input_col: str, output_col: str,
                      handle_invalid: str = "error") -> DataFrame:
@@ -107,6 +109,7 @@ def fit_and_score(df: DataFrame, id_col: str, category_col: str, numeric_cols: l
     upstream joins and parsing, and a lost executor recomputes nothing
     before the checkpoint.
     """
+    require_checkpoint_dir(df.sparkSession)
     df = df.checkpoint()
     train, test = hash_split(df, id_col, train_fraction, seed)
     model = classifier_stages(category_col, numeric_cols, label_col, max_iter).fit(train)

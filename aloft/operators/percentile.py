@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from aloft.session import require_checkpoint_dir
+
 DEFAULT_ACCURACY = 10_000
 DEFAULT_BAND_LIMIT = 1_000_000
 
@@ -113,6 +115,7 @@ def _running_count_distributed(band: DataFrame, below: int, parts: int) -> DataF
     totals into offsets (a window over ``parts`` rows), and run the per-range
     running count inside each range's own task.  The range-partitioned band is
     checkpointed so the partition ids stay stable if a task is recomputed."""
+    require_checkpoint_dir(band.sparkSession)
     b = (band.repartitionByRange(parts, "v")
          .withColumn("pid", F.spark_partition_id())
          .checkpoint())
