@@ -6,8 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: mean Earth radius used by the great-circle distance, in km.
-EARTH_RADIUS_KM = 6371.0
+from aloft.constants import EARTH_RADIUS_KM
 
 
 def _c(x) -> Column:

@@ -11,6 +11,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aloft.constants import PAGERANK_RESET, PAGERANK_TOL
 from aloft.session import require_checkpoint_dir
 
 
@@ -39,8 +40,9 @@ def most_active(edges: DataFrame) -> DataFrame:
     return out_degree(edges).orderBy(F.desc("out_degree"), F.asc("id")).limit(1)
 
 
-def pagerank(edges: DataFrame, vertices: DataFrame | None = None, reset: float = 0.15,
-             max_iter: int = 20, tol: float = 1e-6, checkpoint_every: int = 5,
+def pagerank(edges: DataFrame, vertices: DataFrame | None = None,
+             reset: float = PAGERANK_RESET, max_iter: int = 20, tol: float = PAGERANK_TOL,
+             checkpoint_every: int = 5,
              heavy_keys: int = 1024, normalize: bool = False,
              broadcast_vertices: int = 1_000_000) -> DataFrame:
     """G03 (Q21): unweighted PageRank ``r(v) = reset + (1 - reset) * sum(r(u) / deg(u))``

@@ -16,6 +16,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aloft.constants import LOGISTIC_MAX_ITER, SPLIT_SEED, SPLIT_WEIGHTS
 from aloft.session import require_checkpoint_dir
 
 
@@ -39,27 +40,28 @@ def scale(df: DataFrame, output_col: str, input_col: str = "features") -> DataFr
                            withMean=False).fit(df).transform(df))
 
 
-def in_train(id_col: str, train_fraction: float = 0.9, seed: int = 10):
+def in_train(id_col: str, train_fraction: float = SPLIT_WEIGHTS[0], seed: int = SPLIT_SEED):
     """Boolean column: the row's key hashes into the training share."""
     bucket = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(10_000))
     return bucket < F.lit(int(round(train_fraction * 10_000)))
 
 
-def hash_split(df: DataFrame, id_col: str, train_fraction: float = 0.9,
-               seed: int = 10) -> tuple[DataFrame, DataFrame]:
+def hash_split(df: DataFrame, id_col: str, train_fraction: float = SPLIT_WEIGHTS[0],
+               seed: int = SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
     """M06 (Q28): reproducible split by hashing a row key; unlike
     ``randomSplit`` it does not depend on partitioning or row order."""
     flag = in_train(id_col, train_fraction, seed)
     return df.where(flag), df.where(~flag)
 
 
-def random_split(df: DataFrame, weights=(0.9, 0.1), seed: int = 10) -> list[DataFrame]:
+def random_split(df: DataFrame, weights=SPLIT_WEIGHTS, seed: int = SPLIT_SEED) -> list[DataFrame]:
     """M06 as written originally (depends on the input partitioning)."""
     return df.randomSplit(list(weights), seed)
 
 
 def fit_logistic(training: DataFrame, features_col: str, label_col: str,
-                 prediction_col: str = "prediction", max_iter: int = 5) -> LogisticRegressionModel:
+                 prediction_col: str = "prediction",
+                 max_iter: int = LOGISTIC_MAX_ITER) -> LogisticRegressionModel:
     """M04 (Q26): binomial logistic regression."""
     return LogisticRegression(maxIter=max_iter, featuresCol=features_col, labelCol=label_col,
                               predictionCol=prediction_col, family="binomial").fit(training)
@@ -86,7 +88,7 @@ def evaluate(predictions: DataFrame, label_col: str, prediction_col: str = "pred
 
 
 def classifier_stages(category_col: str, numeric_cols: list[str], label_col: str,
-                      max_iter: int = 5, index_col: str | None = None) -> Pipeline:
+                      max_iter: int = LOGISTIC_MAX_ITER, index_col: str | None = None) -> Pipeline:
     """Q30: index -> assemble -> scale -> logistic regression, as one estimator."""
     index_col = index_col or f"{category_col}_index"
     return Pipeline(stages=[
@@ -100,8 +102,9 @@ def classifier_stages(category_col: str, numeric_cols: list[str], label_col: str
 
 
 def fit_and_score(df: DataFrame, id_col: str, category_col: str, numeric_cols: list[str],
-                  label_col: str, train_fraction: float = 0.9, seed: int = 10,
-                  max_iter: int = 5) -> tuple[PipelineModel, DataFrame]:
+                  label_col: str, train_fraction: float = SPLIT_WEIGHTS[0],
+                  seed: int = SPLIT_SEED,
+                  max_iter: int = LOGISTIC_MAX_ITER) -> tuple[PipelineModel, DataFrame]:
     """Q30: split by key hash, fit the stages on the training part, score the rest.
 
     The input is checkpointed once: the indexer, scaler and every solver

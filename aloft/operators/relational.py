@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aloft.constants import DOMESTIC_COUNTRY
 from aloft.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, semi_filter
 
 
@@ -76,7 +77,7 @@ def two_sided_mean(df: DataFrame, key_a: str, value_a: str, key_b: str, value_b:
 
 def domestic_only(df: DataFrame, airports: DataFrame, origin: str = "Origin",
                   dest: str = "Dest", country_col: str = "country",
-                  country: str = "USA") -> DataFrame:
+                  country: str = DOMESTIC_COUNTRY) -> DataFrame:
     """Flights whose origin and destination are both airports of ``country``."""
     local = airports.where(F.col(country_col) == country)
     return semi_filter(semi_filter(df, origin, local, "iata"), dest, local, "iata")

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aloft.constants import MOVING_AVERAGE_DAYS
 
-def moving_average(df: DataFrame, date: Column, value: str, days: int = 5,
+
+def moving_average(df: DataFrame, date: Column, value: str, days: int = MOVING_AVERAGE_DAYS,
                    partition_cols: list[str] | None = None, date_col: str = "date",
                    out_col: str = "moving_average") -> DataFrame:
     """Mean of ``value`` over the calendar days ``[d - days, d + days]`` for

@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aloft.constants import (AIRPORT_VIEW, CARRIER_VIEW, DOMESTIC_COUNTRY, MEDIAN_P,
+                             MOVING_AVERAGE_DAYS, SCORE_P, SECURITY_CANCELLATION_CODE,
+                             VEGAS_TO_JFK, WEATHER_MONTHS)
 from aloft.functions.columns import date_from_parts
 from aloft.operators import (anti_lookup, builtin_percentile, conditional_share, count_by_key,
                              domestic_only, exact_percentile, filter_project, filtered_max,
@@ -26,11 +29,10 @@ class FlightAnalytics:
             read_airports(spark, airports_path) if airports_path else None)
         self.carriers = carriers if carriers is not None else (
             read_carriers(spark, carriers_path) if carriers_path else None)
-        # The temp-view names callers' SQL refers to.
         if self.airports is not None:
-            self.airports.createOrReplaceTempView("airports")
+            self.airports.createOrReplaceTempView(AIRPORT_VIEW)
         if self.carriers is not None:
-            self.carriers.createOrReplaceTempView("carriers")
+            self.carriers.createOrReplaceTempView(CARRIER_VIEW)
 
     # Q01
     def load_data_and_register(self, path: str) -> DataFrame:
@@ -42,12 +44,13 @@ class FlightAnalytics:
 
     # Q03
     def cancelled_due_to_security(self, df: DataFrame) -> DataFrame:
-        return filter_project(df, (F.col("Cancelled") == 1) & (F.col("CancellationCode") == "D"),
+        return filter_project(df, (F.col("Cancelled") == 1)
+                              & (F.col("CancellationCode") == SECURITY_CANCELLATION_CODE),
                               ["FlightNum", "Dest"])
 
     # Q04
     def longest_weather_delay(self, df: DataFrame) -> DataFrame:
-        return filtered_max(df, "WeatherDelay", F.col("Month").between(1, 3),
+        return filtered_max(df, "WeatherDelay", F.col("Month").between(*WEATHER_MONTHS),
                             "max_weather_delay")
 
     # Q05
@@ -56,8 +59,8 @@ class FlightAnalytics:
                            select=["Description"], distinct=True)
 
     # Q06
-    def flights_from_vegas_to_jfk(self, df: DataFrame, origin: str = "LAS",
-                                  dest: str = "JFK") -> DataFrame:
+    def flights_from_vegas_to_jfk(self, df: DataFrame, origin: str = VEGAS_TO_JFK[0],
+                                  dest: str = VEGAS_TO_JFK[1]) -> DataFrame:
         return route_counts(df, self.carriers, "UniqueCarrier", "Code", "Description",
                             predicate=(F.col("Origin") == origin) & (F.col("Dest") == dest),
                             out_col="Num")
@@ -66,19 +69,19 @@ class FlightAnalytics:
     def time_spent_taxiing(self, df: DataFrame, require_both: bool = True,
                            domestic: bool = False) -> DataFrame:
         if domestic and self.airports is not None:
-            df = domestic_only(df, self.airports)
+            df = domestic_only(df, self.airports, country=DOMESTIC_COUNTRY)
         return two_sided_mean(df, "Origin", "TaxiIn", "Dest", "TaxiOut",
                               out_key="airport", out_value="taxi", require_both=require_both)
 
     # Q08
     def distance_median(self, df: DataFrame, exact_bracket: bool = True) -> DataFrame:
         op = exact_percentile if exact_bracket else builtin_percentile
-        return op(df, "Distance", 0.5, "median_distance")
+        return op(df, "Distance", MEDIAN_P, "median_distance")
 
     # Q09
     def score95(self, df: DataFrame, exact_bracket: bool = True) -> DataFrame:
         op = exact_percentile if exact_bracket else builtin_percentile
-        return op(df, "CarrierDelay", 0.95, "p95_carrier_delay")
+        return op(df, "CarrierDelay", SCORE_P, "p95_carrier_delay")
 
     # Q10
     def cancelled_flights(self, df: DataFrame) -> DataFrame:
@@ -93,7 +96,7 @@ class FlightAnalytics:
         return least_squares(df, "DepDelay", "WeatherDelay", x_min=0)
 
     # Q12
-    def running_average(self, df: DataFrame, days: int = 5) -> DataFrame:
+    def running_average(self, df: DataFrame, days: int = MOVING_AVERAGE_DAYS) -> DataFrame:
         return moving_average(df, date_from_parts("Year", "Month", "DayofMonth"), "DepDelay",
                               days=days)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aloft.constants import HOTEL_RADIUS_KM, HOTEL_TERM, PAGERANK_TOL
 from aloft.operators import (count_within, edges_from_pairs, field_mean, most_active,
                              out_degree, pagerank, top1_with_lookup, top_ranked, triplets,
                              vertices_of, word_count)
@@ -44,8 +45,8 @@ class PlaceAnalytics:
         return top1_with_lookup(data, "country_code", codes, "Code", "Name", "country")
 
     # Q18
-    def hotels_in_area(self, lat: float, lon: float, radius_km: float = 10.0,
-                       term: str = "hotel") -> DataFrame:
+    def hotels_in_area(self, lat: float, lon: float, radius_km: float = HOTEL_RADIUS_KM,
+                       term: str = HOTEL_TERM) -> DataFrame:
         return count_within(self.file, "latitude", "longitude", lat, lon, radius_km,
                             name_col="name", term=term, out_col="hotels")
 
@@ -100,10 +101,11 @@ class SocialGraph:
         return most_active(self.edges)
 
     # Q21
-    def page_rank(self, tol: float = 1e-6, max_iter: int = 100, **kw) -> DataFrame:
+    def page_rank(self, tol: float = PAGERANK_TOL, max_iter: int = 100, **kw) -> DataFrame:
         return pagerank(self.edges, self.vertices, tol=tol, max_iter=max_iter, **kw)
 
-    def page_rank_highest(self, tol: float = 1e-6, max_iter: int = 100, **kw) -> DataFrame:
+    def page_rank_highest(self, tol: float = PAGERANK_TOL, max_iter: int = 100,
+                          **kw) -> DataFrame:
         return top_ranked(self.page_rank(tol, max_iter, **kw))
 
     # Original method names (vertex ids returned as ints).

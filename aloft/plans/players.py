@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from aloft.constants import LOGISTIC_MAX_ITER, SPLIT_SEED, SPLIT_WEIGHTS
 from aloft.operators import ml
 from aloft.schemas import PLAYER_FEATURES
 from aloft.sources import read_players
@@ -32,20 +33,21 @@ class PlayerModel:
     # Q26
     def create_model(self, training: DataFrame, features_col: str, label_col: str,
                      pred_col: str):
-        return ml.fit_logistic(training, features_col, label_col, pred_col, max_iter=5)
+        return ml.fit_logistic(training, features_col, label_col, pred_col,
+                               max_iter=LOGISTIC_MAX_ITER)
 
     # Q27
     def predict(self, model, data: DataFrame) -> DataFrame:
         return ml.predict(model, data)
 
     # Q28-Q30: convert -> index -> assemble -> scale -> split -> fit -> predict -> evaluate
-    def run(self, path: str, seed: int = 10, split_key: str | None = None) -> dict:
+    def run(self, path: str, seed: int = SPLIT_SEED, split_key: str | None = None) -> dict:
         scaled = self.scaler(self.feature_assembler(self.indexer(self.convert(path))),
                              "scaledFeatures")
         if split_key:
-            train, test = ml.hash_split(scaled, split_key, 0.9, seed)
+            train, test = ml.hash_split(scaled, split_key, SPLIT_WEIGHTS[0], seed)
         else:
-            train, test = ml.random_split(scaled, (0.9, 0.1), seed)
+            train, test = ml.random_split(scaled, SPLIT_WEIGHTS, seed)
         model = self.create_model(train, "scaledFeatures", "paid_customer", "prediction")
         return ml.evaluate(self.predict(model, test), "paid_customer")
 

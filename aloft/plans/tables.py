@@ -23,7 +23,7 @@ from aloft.operators import (anti_lookup, conditional_share, count_by_key, count
 from aloft.operators import ml
 from aloft.schemas import PLAYER_FEATURES
 from aloft.sources import parse_player_lines, parse_social_lines, read_csv_lines, read_table
-from aloft.sources.readers import SOCIAL_LINE
+from aloft.constants import EARTH_RADIUS_KM, PAGERANK_RESET, SOCIAL_LINE
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -378,7 +378,8 @@ r(i, id, v) AS (
   UNION ALL
   SELECT x.i, x.id, x.v FROM (
     SELECT (SELECT max(i) FROM r) + 1 AS i, v.id,
-           CAST(0.15 AS DOUBLE) + CAST(0.85 AS DOUBLE) * coalesce(sum(r.v / deg.c), 0) AS v
+           CAST({PAGERANK_RESET} AS DOUBLE) + CAST({1 - PAGERANK_RESET} AS DOUBLE)
+             * coalesce(sum(r.v / deg.c), 0) AS v
     FROM v LEFT JOIN e ON e.dst = v.id LEFT JOIN deg ON deg.src = e.src
            LEFT JOIN r ON r.id = e.src
     GROUP BY v.id) x
@@ -418,7 +419,7 @@ FROM {table} t LEFT JOIN r ON t.{col} = r.{col} CROSS JOIN k"""
 
 
 def _hav_sql(lat0: float, lon0: float) -> str:
-    return (f"2 * {6371.0} * asin(sqrt(least(pow(sin((radians(lat) - radians({lat0})) / 2), 2)"
+    return (f"2 * {EARTH_RADIUS_KM} * asin(sqrt(least(pow(sin((radians(lat) - radians({lat0})) / 2), 2)"
             f" + pow(sin((radians(lon) - radians({lon0})) / 2), 2)"
             f" * cos(radians({lat0})) * cos(radians(lat)), 1.0)))")
 

@@ -11,13 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from aloft import schemas
-
-# Fixed value: the temp-view name of the flight table (callers' SQL refers to it).
-FLIGHT_VIEW = "airtraffic"
-
-# Fixed value: a social-graph line is "<digits> | <digits>", whitespace allowed
-# around both numbers; every other line (headers, rules, footers) is skipped.
-SOCIAL_LINE = r"^\s*(\d+)\s*\|\s*(\d+)\s*$"
+from aloft.constants import FLIGHT_NULL_TOKEN, FLIGHT_VIEW, MALE_TOKEN, PAID_TOKEN, SOCIAL_LINE
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,7 +26,7 @@ def load_flights(spark: SparkSession, path: str, view: str | None = FLIGHT_VIEW)
     """
     df = (spark.read.schema(schemas.FLIGHT)
           .option("header", True)
-          .option("nullValue", "NA")
+          .option("nullValue", FLIGHT_NULL_TOKEN)
           .csv(path))
     if view:
         df.createOrReplaceTempView(view)
@@ -95,7 +89,7 @@ def _player_row(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
     return raw.select(
         *(keep or []),
-        F.when(F.lower(F.trim("gender")) == "male", 1.0).otherwise(0.0).alias("gender"),
+        F.when(F.lower(F.trim("gender")) == MALE_TOKEN, 1.0).otherwise(0.0).alias("gender"),
         num("age").alias("age"),
         F.col("country").alias("country"),
         num("friend_count").alias("friend_count"),
@@ -104,7 +98,7 @@ def _player_row(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
         num("pictionarygame").alias("game2"),
         num("scramblegame").alias("game3"),
         num("snipergame").alias("game4"),
-        F.when(F.lower(F.trim("paid")) == "yes", 1.0).otherwise(0.0).alias("paid_customer"),
+        F.when(F.lower(F.trim("paid")) == PAID_TOKEN, 1.0).otherwise(0.0).alias("paid_customer"),
     )
 
 
