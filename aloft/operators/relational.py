@@ -58,15 +58,22 @@ def two_sided_mean(df: DataFrame, key_a: str, value_a: str, key_b: str, value_b:
     """U01+A04 (Q07): mean of ``value_a`` keyed by ``key_a`` pooled with
     ``value_b`` keyed by ``key_b`` (one mean over all rows, not a mean of means).
 
-    With ``require_both`` a key must occur on both sides.  One union, one
-    shuffle, partial aggregation map-side: a key holding a third of the rows
-    is reduced to one partial row per input partition before the exchange.
+    With ``require_both`` a key must occur on both sides.  One scan (each row
+    yields its two (key, value, side) rows), one shuffle, partial aggregation
+    map-side: a key holding a third of the rows is reduced to one partial row
+    per input partition before the exchange.
     """
-    a = df.select(F.col(key_a).alias(out_key), F.col(value_a).cast("double").alias("__v"),
-                  F.lit(1).alias("__a"), F.lit(0).alias("__b"))
-    b = df.select(F.col(key_b).alias(out_key), F.col(value_b).cast("double").alias("__v"),
-                  F.lit(0).alias("__a"), F.lit(1).alias("__b"))
-    g = (a.unionByName(b).where(F.col(out_key).isNotNull())
+    key_type = df.schema[key_a].dataType
+    sides = F.array(
+        F.struct(F.col(key_a).alias("k"), F.col(value_a).cast("double").alias("v"),
+                 F.lit(1).alias("a"), F.lit(0).alias("b")),
+        F.struct(F.col(key_b).cast(key_type).alias("k"), F.col(value_b).cast("double").alias("v"),
+                 F.lit(0).alias("a"), F.lit(1).alias("b")))
+    # one pass over the input (one CSV parse for file inputs), two rows out per row
+    rows = df.select(F.explode(sides).alias("__s")).select(
+        F.col("__s.k").alias(out_key), F.col("__s.v").alias("__v"),
+        F.col("__s.a").alias("__a"), F.col("__s.b").alias("__b"))
+    g = (rows.where(F.col(out_key).isNotNull())
          .groupBy(out_key)
          .agg(F.avg("__v").alias(out_value), F.max("__a").alias("__ha"),
               F.max("__b").alias("__hb")))
