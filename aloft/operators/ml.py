@@ -28,6 +28,24 @@ def index_categories(df: DataFrame, input_col: str, output_col: str,
             .fit(df).transform(df))
 
 
+def index_categories_distributed(df: DataFrame, input_col: str, output_col: str,
+                                 max_broadcast_labels: int = 200_000) -> DataFrame:
+    """M01 without collecting the labels to the driver, for open-ended
+    columns: the same indices as ``StringIndexer`` (descending frequency,
+    ties alphabetical, 0-based; NULL stays NULL).  Label counts come from a
+    grouped aggregate, ranks from a distributed running total, and the
+    label -> index table is broadcast back only under a proven row bound."""
+    from aloft.operators.joins import bounded_broadcast
+    from aloft.operators.ranking import running_total
+
+    counts = (df.where(F.col(input_col).isNotNull())
+              .groupBy(F.col(input_col).alias("__label")).agg(F.count(F.lit(1)).alias("__n")))
+    ranked = running_total(counts, [F.desc("__n"), F.asc("__label")], F.lit(1), "__rank")
+    labels = ranked.select("__label", (F.col("__rank") - 1).cast("double").alias(output_col))
+    labels = bounded_broadcast(labels, max_broadcast_labels)
+    return df.join(labels, F.col(input_col) == F.col("__label"), "left").drop("__label")
+
+
 def assemble(df: DataFrame, input_cols: list[str], output_col: str = "features") -> DataFrame:
     """M02 (Q24): numeric columns -> one vector column."""
     return VectorAssembler(inputCols=input_cols, outputCol=output_col).transform(df)

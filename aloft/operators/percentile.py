@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from aloft.session import require_checkpoint_dir
+from aloft.operators.ranking import running_total
 
 DEFAULT_ACCURACY = 10_000
 DEFAULT_BAND_LIMIT = 1_000_000
@@ -110,23 +110,10 @@ def exact_percentile(df: DataFrame, value_col: str, p: float, out_col: str,
 
 
 def _running_count_distributed(band: DataFrame, below: int, parts: int) -> DataFrame:
-    """Running count over a band too large for one task: range-partition the
-    distinct values, total each range (one row per partition), turn the
-    totals into offsets (a window over ``parts`` rows), and run the per-range
-    running count inside each range's own task.  The range-partitioned band is
-    checkpointed so the partition ids stay stable if a task is recomputed."""
-    require_checkpoint_dir(band.sparkSession)
-    b = (band.repartitionByRange(parts, "v")
-         .withColumn("pid", F.spark_partition_id())
-         .checkpoint())
-    totals = b.groupBy("pid").agg(F.sum("c").alias("t"))
-    before = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("pid", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("off"))
-    within = (Window.partitionBy("pid").orderBy("v")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (b.join(F.broadcast(offsets), "pid")
-            .select("v", "c", (F.lit(below) + F.col("off") + F.sum("c").over(within))
-                    .alias("cum")))
+    """Running count over a band too large for one task (per value range, in
+    parallel; see :mod:`aloft.operators.ranking`)."""
+    ranked = running_total(band, [F.col("v")], F.col("c"), "__cum", parts)
+    return ranked.select("v", "c", (F.lit(below) + F.col("__cum")).alias("cum"))
 
 
 def builtin_percentile(df: DataFrame, value_col: str, p: float, out_col: str) -> DataFrame:

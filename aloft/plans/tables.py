@@ -282,6 +282,12 @@ def q_category_index_brand(spark, sf):                             # Q23 on part
     return ml.index_categories(parts, "p_brand", "brand_index", handle_invalid="keep")
 
 
+def q_category_index_distributed(spark, sf):                       # Q23, labels never collected
+    docs = _t(spark, sf, "documents").select("doc_id", "lang")
+    return ml.index_categories_distributed(docs, "lang", "lang_index").select(
+        "doc_id", "lang", "lang_index")
+
+
 def q_assemble(spark, sf):                                         # Q24
     a = ml.assemble(indexed_players(spark, sf), PLAYER_FEATURES, "features")
     return ml.vector_columns(a, "features", PLAYER_FEATURES, ["doc_id"])
@@ -347,6 +353,7 @@ QUERIES: dict[str, Query] = {
     "player_convert": q_player_convert,
     "category_index": q_category_index,
     "category_index_brand": q_category_index_brand,
+    "category_index_distributed": q_category_index_distributed,
     "assemble": q_assemble,
     "scale": q_scale,
     "hash_split": q_hash_split,
@@ -534,6 +541,10 @@ SELECT gender, age, country, friend_count, lifetime, game1, game2, game3, game4,
 FROM ({_PLAYERS}) p""",
     "category_index": _index_sql("documents", "doc_id", "lang", "lang_index"),
     "category_index_brand": _index_sql("part", "p_partkey", "p_brand", "brand_index"),
+    "category_index_distributed": """
+WITH f AS (SELECT lang, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY lang),
+r AS (SELECT lang, CAST(row_number() OVER (ORDER BY n DESC, lang) - 1 AS DOUBLE) AS ix FROM f)
+SELECT d.doc_id, d.lang, r.ix AS lang_index FROM documents d LEFT JOIN r ON d.lang = r.lang""",
     "assemble": _INDEXED_PLAYERS + f"\nSELECT doc_id, {_FEATS} FROM a",
     "scale": _INDEXED_PLAYERS + f", s AS (SELECT {_STDS} FROM a)\n"
                                 f"SELECT doc_id, {_SCALED} FROM a CROSS JOIN s",

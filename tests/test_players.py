@@ -96,3 +96,19 @@ def test_q26_create_model_direct(converted):
     assert out.count() == len(ROWS)
     assert set(out.columns) >= {"prediction", "probability", "rawPrediction"}
     assert len(model.coefficients) == 9
+
+
+def test_distributed_indexer_equals_string_indexer(spark):
+    import random
+    rnd = random.Random(2)
+    rows = [(i, rnd.choice(["a", "b", "c", "d", "e", "f", "g"] * 3 + ["h", None]))
+            for i in range(400)]
+    rows += [(1000 + i, "tie1") for i in range(5)] + [(2000 + i, "tie0") for i in range(5)]
+    df = spark.createDataFrame(rows, "id int, cat string")
+    exp = {r["id"]: r["ix"] for r in ml.index_categories(
+        df.where(F.col("cat").isNotNull()), "cat", "ix").collect()}
+    for bound in (200_000, 1):                       # broadcast and shuffled label table
+        got = {r["id"]: r["ix"] for r in
+               ml.index_categories_distributed(df, "cat", "ix", bound).collect()}
+        assert {k: v for k, v in got.items() if v is not None} == exp
+        assert all(got[i] is None for i, c in rows if c is None)

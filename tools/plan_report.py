@@ -53,6 +53,9 @@ NOTES = {
     "category_index": "StringIndexer: one grouped count (labels to the driver are bounded by "
                        "category cardinality), then a map-only lookup",
     "category_index_brand": "as category_index",
+    "category_index_distributed": "label counts grouped, ranks from a range-partitioned running "
+                                  "total (no label list on the driver), label table broadcast "
+                                  "under a row bound",
     "assemble": "map-only after the indexer fit",
     "scale": "StandardScaler: one tree-aggregate of fixed-size summaries, then map-only",
     "hash_split": "map-only hash of the row key, one pass; independent of partitioning",
