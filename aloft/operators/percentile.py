@@ -87,8 +87,8 @@ def exact_percentile(df: DataFrame, value_col: str, p: float, out_col: str,
         below2, upto2 = _bracket_counts(v, a2, b2)
         a_new, below_new = (a2, below2) if below2 <= lo_rank else (a, below)
         b_new, upto_new = (b2, upto2) if upto2 > hi_rank else (b, upto)
-        if upto_new - below_new >= size:        # no progress: the band is one value repeated
-            break
+        if upto_new - below_new >= size:   # no progress (e.g. one repeated value fills the band;
+            break                          # the grouping below collapses it)
         a, b, below, upto = a_new, b_new, below_new, upto_new
 
     band = v.where(_in_bracket(a, b)).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
