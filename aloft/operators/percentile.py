@@ -7,8 +7,11 @@ answer (linear interpolation between the values at 0-based ranks
 ``floor(p * (n - 1))`` and ``ceil(p * (n - 1))``, NULLs ignored) with
 bounded per-task state:
 
-1. one scan: ``n`` and a ``percentile_approx`` bracket [a, b] around p
-   (sketch state is fixed by ``accuracy``, independent of n);
+1. one scan: ``n``, an approximate distinct count and a
+   ``percentile_approx`` bracket [a, b] around p (sketch state is fixed by
+   ``accuracy``, independent of n).  With few distinct values (under
+   ``band_limit / 2``) steps 2-3 are skipped and all distinct values are
+   grouped directly;
 2. one scan: how many values fall below a and up to b; a bound that misses
    its target rank is dropped (open bracket), so the answer stays exact;
 3. while more than ``band_limit`` rows remain inside the bracket, a new
@@ -63,7 +66,8 @@ def exact_percentile(df: DataFrame, value_col: str, p: float, out_col: str,
     eps = 3.0 / accuracy
     first = v.agg(F.count(F.lit(1)).alias("n"),
                   F.percentile_approx("v", [max(p - eps, 0.0), min(p + eps, 1.0)],
-                                      accuracy).alias("b")).first()
+                                      accuracy).alias("b"),
+                  F.approx_count_distinct("v").alias("d")).first()
     n = int(first["n"])
     if n == 0:
         schema = StructType([StructField(out_col, DoubleType(), True)])
@@ -72,13 +76,21 @@ def exact_percentile(df: DataFrame, value_col: str, p: float, out_col: str,
     lo_rank, hi_rank = math.floor(pos), math.ceil(pos)
     a, b = first["b"]
 
-    below, upto = _bracket_counts(v, a, b)
-    if below > lo_rank:
-        a, below = None, 0
-    if upto <= hi_rank:
-        b, upto = None, n
+    grouped_all = first["d"] <= band_limit // 2
+    if grouped_all:
+        # few distinct values (integer minutes, miles, quantities): group them
+        # all, no bracket pass needed; the estimate only picks the plan, the
+        # grouping below is exact either way
+        a = b = None
+        below, upto = 0, n
+    else:
+        below, upto = _bracket_counts(v, a, b)
+        if below > lo_rank:
+            a, below = None, 0
+        if upto <= hi_rank:
+            b, upto = None, n
 
-    while upto - below > band_limit:
+    while not grouped_all and upto - below > band_limit:
         band = v.where(_in_bracket(a, b))
         size = upto - below
         q_lo = max((lo_rank - below) / size - eps, 0.0)
@@ -93,7 +105,7 @@ def exact_percentile(df: DataFrame, value_col: str, p: float, out_col: str,
 
     band = v.where(_in_bracket(a, b)).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
     # rows holding value v occupy global ranks [cum - c, cum)
-    if upto - below <= band_limit:
+    if grouped_all or upto - below <= band_limit:
         w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         ranked = band.select("v", "c", (F.lit(below) + F.sum("c").over(w)).alias("cum"))
     else:
