@@ -3,6 +3,7 @@ social dump noise."""
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from aloft.sources import (load_flights, read_country_codes, read_csv_lines, read_places,
                            read_players, read_social)
@@ -50,3 +51,13 @@ def test_csv_lines_with_na(spark):
     got = [tuple(r) for r in read_csv_lines(lines, schema, options={"nullValue": "NA"})
            .collect()]
     assert got == [(1.5, "x"), (None, None), (None, "y")]
+
+
+def test_flights_bz2_compressed(spark, tmp_path):
+    import bz2
+    body = COLS + "\n" + "\n".join(flight_line(i, f"N{i}", "AAA", "BBB", 100 + i, 1, 1, 1, 1, 1)
+                                   for i in range(50)) + "\n"
+    path = tmp_path / "2008.csv.bz2"
+    path.write_bytes(bz2.compress(body.encode()))
+    df = load_flights(spark, str(path), view=None)
+    assert df.count() == 50 and df.agg(F.sum("Distance")).first()[0] == sum(range(100, 150))
