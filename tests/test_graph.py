@@ -94,6 +94,15 @@ def test_pagerank_converges_and_normalizes(spark):
     assert vertices_of(edges).count() == 4
 
 
+def test_pagerank_check_every_converges_to_same_point(spark):
+    edges = spark.createDataFrame([(1, 2, 1), (2, 3, 1), (3, 1, 1), (3, 4, 1), (4, 1, 1)],
+                                  "src long, dst long, weight long")
+    a = {r["id"]: r["rank"] for r in pagerank(edges, max_iter=300, tol=1e-7).collect()}
+    b = {r["id"]: r["rank"] for r in pagerank(edges, max_iter=300, tol=1e-7,
+                                              check_every=7).collect()}
+    assert a == pytest.approx(b, abs=1e-5)
+
+
 def test_pagerank_sink_and_isolated_source(spark):
     edges = spark.createDataFrame([(5, 6, 1)], "src long, dst long, weight long")
     got = {r["id"]: r["rank"] for r in pagerank(edges, max_iter=3, tol=0.0).collect()}
