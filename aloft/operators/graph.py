@@ -52,30 +52,31 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None,
     The vertex set is counted once; the plan per round depends on that
     proven size:
 
-    * at most ``broadcast_vertices`` vertices: the rank vector is broadcast
-      into the edge scan (no edge shuffle, so a hub vertex costs nothing
-      extra) and contributions are summed per ``dst`` with map-side partial
-      aggregation;
-    * larger graphs: the edge table is partitioned by ``src`` once and
-      checkpointed, so only the rank vector is shuffled to meet it each
-      round.  Sources with more than ``E / heavy_keys`` out-edges (at most
-      ``heavy_keys`` of them, since out-degrees sum to E) are split off:
-      their edges are spread evenly over all partitions and joined with a
-      broadcast of just their ranks, so a vertex owning a third of all
-      edges does not land in one task.
+    * at most ``broadcast_vertices`` vertices: the degree table and then the
+      rank vector are broadcast into the edge scan (no edge is ever
+      shuffled, so a hub vertex costs nothing extra) and contributions are
+      summed per ``dst`` with map-side partial aggregation;
+    * larger graphs: sources with more than ``E / heavy_keys`` out-edges (at
+      most ``heavy_keys`` of them, since out-degrees sum to E) are split off
+      before any shuffle on ``src``: their edges meet a broadcast of their
+      degrees and, each round, of their ranks, spread evenly over all
+      partitions.  The remaining edges are partitioned by ``src`` once and
+      checkpointed, so only the rank vector is shuffled to meet them.
+
+    Each round is one aggregation: the vertex set enters it as zero
+    contributions, so vertices without in-edges keep ``reset`` without a join
+    back onto the vertex table.
 
     Convergence is tested every ``check_every`` rounds (1: stop at the first
     round whose change is below ``tol``; larger values save one job per
     skipped test and may run up to ``check_every - 1`` extra rounds, which
     only moves the ranks closer to the fixed point).
 
-    Each round is one aggregation: the vertex set enters it as zero
-    contributions, so vertices without in-edges keep ``reset`` without a join
-    back onto the vertex table.  Ranks are checkpointed to ``spark.checkpoint.dir`` every
-    ``checkpoint_every`` rounds (lineage cut, executor-loss safe); rounds in
-    between are persisted, or left as one lazy plan when nothing needs them
-    materialised (fixed round count, ranks read once per round).  ``normalize`` rescales the result so ranks sum
-    to the vertex count.
+    Ranks are checkpointed to ``spark.checkpoint.dir`` every
+    ``checkpoint_every`` rounds (lineage cut, executor-loss safe).  Rounds in
+    between are left as one lazy plan when nothing reads them, else
+    persisted.  ``normalize`` rescales the result so ranks sum to the vertex
+    count.
     """
     spark = edges.sparkSession
     require_checkpoint_dir(spark)
