@@ -33,6 +33,7 @@ def running_total(df: DataFrame, order: list[Column], weight: Column, out_col: s
                             .alias("__off"))
     within = (Window.partitionBy("__pid").orderBy(*order)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # offsets has one row per partition: bounded by construction
     return (b.join(F.broadcast(offsets), "__pid")
             .withColumn(out_col, F.col("__off") + F.sum("__w").over(within))
             .drop("__pid", "__w", "__off"))

@@ -21,6 +21,7 @@ from aloft.operators import (anti_lookup, conditional_share, count_by_key, count
                              out_degree, pagerank, route_counts, top1_with_lookup, top_ranked,
                              triplets, two_sided_mean, vertices_of, word_count)
 from aloft.operators import ml
+from aloft.operators.joins import bounded_broadcast
 from aloft.schemas import PLAYER_FEATURES
 from aloft.sources import parse_player_lines, parse_social_lines, read_csv_lines, read_table
 from aloft.constants import EARTH_RADIUS_KM, PAGERANK_RESET, SOCIAL_LINE
@@ -98,8 +99,10 @@ def q_p95(spark, sf):                                              # Q09
 
 def q_conditional_share(spark, sf):                                # Q10
     dim = (_t(spark, sf, "customer").select("c_custkey", "c_nationkey")
-           .join(F.broadcast(_t(spark, sf, "nation")), F.col("c_nationkey") == F.col("n_nationkey"))
-           .join(F.broadcast(_t(spark, sf, "region")), F.col("n_regionkey") == F.col("r_regionkey"))
+           .join(bounded_broadcast(_t(spark, sf, "nation")),
+                 F.col("c_nationkey") == F.col("n_nationkey"))
+           .join(bounded_broadcast(_t(spark, sf, "region")),
+                 F.col("n_regionkey") == F.col("r_regionkey"))
            .select("c_custkey", "n_name", "r_name"))
     # the dimension is per customer (grows with the data): no static size
     # check, AQE broadcasts it only if its runtime size is small
