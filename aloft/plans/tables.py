@@ -21,7 +21,6 @@ from aloft.operators import (anti_lookup, conditional_share, count_by_key, count
                              out_degree, pagerank, route_counts, top1_with_lookup, top_ranked,
                              triplets, two_sided_mean, vertices_of, word_count)
 from aloft.operators import ml
-from aloft.operators.joins import bounded_broadcast
 from aloft.schemas import PLAYER_FEATURES
 from aloft.sources import parse_player_lines, parse_social_lines, read_csv_lines, read_table
 from aloft.constants import EARTH_RADIUS_KM, PAGERANK_RESET, SOCIAL_LINE
@@ -77,8 +76,10 @@ def q_route_counts(spark, sf):                                     # Q06
                 .groupBy("o_custkey").agg(F.count(F.lit(1)).alias("w")))
     fact = per_cust.join(_t(spark, sf, "customer").select("c_custkey", "c_nationkey"),
                          per_cust["o_custkey"] == F.col("c_custkey"))
+    # nation is a parquet table: Spark sizes it from file statistics and
+    # broadcasts it without a hint (no extra counting job)
     return route_counts(fact, _t(spark, sf, "nation"), "c_nationkey", "n_nationkey", "n_name",
-                        out_col="Num", weight_col="w")
+                        out_col="Num", weight_col="w", dim_max_rows=None)
 
 
 def q_two_sided_mean(spark, sf):                                   # Q07
@@ -98,11 +99,11 @@ def q_p95(spark, sf):                                              # Q09
 
 
 def q_conditional_share(spark, sf):                                # Q10
+    # nation / region are parquet tables: Spark sizes them from file
+    # statistics (and AQE from runtime sizes) and broadcasts them unhinted
     dim = (_t(spark, sf, "customer").select("c_custkey", "c_nationkey")
-           .join(bounded_broadcast(_t(spark, sf, "nation")),
-                 F.col("c_nationkey") == F.col("n_nationkey"))
-           .join(bounded_broadcast(_t(spark, sf, "region")),
-                 F.col("n_regionkey") == F.col("r_regionkey"))
+           .join(_t(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+           .join(_t(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
            .select("c_custkey", "n_name", "r_name"))
     # the dimension is per customer (grows with the data): no static size
     # check, AQE broadcasts it only if its runtime size is small

@@ -21,7 +21,7 @@ NOTES = {
     "anti_lookup": "fact reduced to distinct keys map-side; anti join reuses that partitioning "
                    "(AQE broadcasts it when small); distinct only on the survivors",
     "route_counts": "orders counted per customer before the customer join, then per nation; "
-                    "nation broadcast after a row-bound check",
+                    "small dimensions broadcast by Spark's own size statistics",
     "two_sided_mean": "one scan (each row explodes into its two sides), one shuffle, partial avg + side flags",
     "median": "sketch + bracket-count scans, then a window over the narrow bracket only "
               "(bounded by band_limit, not by the table)",
