@@ -40,6 +40,25 @@ def most_active(edges: DataFrame) -> DataFrame:
     return out_degree(edges).orderBy(F.desc("out_degree"), F.asc("id")).limit(1)
 
 
+def checkpoint_partitioned(df: DataFrame) -> DataFrame:
+    """Checkpoint that keeps the frame's hash partitioning.
+
+    Under adaptive execution ``Dataset.checkpoint`` records no output
+    partitioning for the materialised data, so every later join on the same
+    key would shuffle it again.  Materialising it with AQE switched off for
+    this one action records the partitioning, and later AQE-planned joins on
+    that key use the data where it lies.  The previous setting is restored.
+    """
+    spark = df.sparkSession
+    key = "spark.sql.adaptive.enabled"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return df.checkpoint()
+    finally:
+        spark.conf.set(key, previous)
+
+
 def pagerank(edges: DataFrame, vertices: DataFrame | None = None,
              reset: float = PAGERANK_RESET, max_iter: int = 20, tol: float = PAGERANK_TOL,
              checkpoint_every: int = 5,
@@ -61,7 +80,10 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None,
       before any shuffle on ``src``: their edges meet a broadcast of their
       degrees and, each round, of their ranks, spread evenly over all
       partitions.  The remaining edges are partitioned by ``src`` once and
-      checkpointed, so only the rank vector is shuffled to meet them.
+      checkpointed with that partitioning kept; each round's rank vector is
+      the output of an aggregation hash-partitioned by vertex id into the
+      same number of partitions, so the edge-rank join needs no exchange and
+      a round costs one shuffle (contributions by ``dst``).
 
     Each round is one aggregation: the vertex set enters it as zero
     contributions, so vertices without in-edges keep ``reset`` without a join
@@ -85,7 +107,7 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None,
     e = edges.select("src", "dst").checkpoint()
     if vertices is None:
         vertices = vertices_of(e)
-    vertices = vertices.select("id").repartition(n_parts, "id").checkpoint()
+    vertices = checkpoint_partitioned(vertices.select("id").repartition(n_parts, "id"))
     small = vertices.limit(broadcast_vertices + 1).count() <= broadcast_vertices
 
     deg = e.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
@@ -105,9 +127,12 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None,
         # hub sources are split off before any shuffle on src: their edges
         # meet their degrees map-side (broadcast) and are spread evenly
         light_e = e.join(F.broadcast(heavy_deg.select("src")), "src", "left_anti")
-        light = (light_e.join(deg.where(F.col("deg") <= heavy_cut), "src")
-                 .select("src", "dst", (F.lit(1.0) / F.col("deg")).alias("w"))
-                 .repartition(n_parts, "src").checkpoint())
+        # partitioned by src once; the partitioning survives the checkpoint,
+        # so the rounds join ranks (partitioned by id) to it without a shuffle
+        light = checkpoint_partitioned(
+            light_e.join(deg.where(F.col("deg") <= heavy_cut), "src")
+            .select("src", "dst", (F.lit(1.0) / F.col("deg")).alias("w"))
+            .repartition(n_parts, "src"))
         if heavy_deg.limit(1).count() > 0:
             heavy = (e.join(F.broadcast(heavy_deg), "src")
                      .select("src", "dst", (F.lit(1.0) / F.col("deg")).alias("w"))
@@ -145,7 +170,7 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None,
         keep = tol > 0 and ((i + 1) % check_every == 0 or check)
         saved = i % every == 0 or i == max_iter
         if saved:
-            new = new.checkpoint()
+            new = new.checkpoint() if small else checkpoint_partitioned(new)
         elif keep or not lazy:
             new = new.persist(StorageLevel.MEMORY_AND_DISK)
             cached.append(new)
