@@ -129,3 +129,16 @@ def test_checkpoint_partitioned_keeps_partitioning(spark):
     # the only exchange is the rank aggregation's; the edge side is read in place
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Exchange hashpartitioning(src" not in plan
+
+
+def test_pagerank_modes_agree_under_tolerance(spark):
+    rng = np.random.default_rng(3)
+    pairs = {(0, int(d)) for d in range(1, 40)}
+    pairs |= {(int(a), int(b)) for a, b in rng.integers(1, 40, size=(80, 2)) if a != b}
+    edges = spark.createDataFrame([(a, b, 1) for a, b in sorted(pairs)],
+                                  "src long, dst long, weight long")
+    kw = dict(max_iter=60, tol=1e-3, check_every=3)
+    small = {r["id"]: r["rank"] for r in pagerank(edges, **kw).collect()}
+    large = {r["id"]: r["rank"] for r in pagerank(edges, broadcast_vertices=1, heavy_keys=4,
+                                                  **kw).collect()}
+    assert small == pytest.approx(large, abs=1e-2)
