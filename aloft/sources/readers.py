@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from aloft import schemas
 from aloft.constants import FLIGHT_NULL_TOKEN, FLIGHT_VIEW, MALE_TOKEN, PAID_TOKEN, SOCIAL_LINE
+from aloft.functions.columns import text_flag
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,7 +90,7 @@ def _player_row(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
     return raw.select(
         *(keep or []),
-        F.when(F.lower(F.trim("gender")) == MALE_TOKEN, 1.0).otherwise(0.0).alias("gender"),
+        text_flag("gender", MALE_TOKEN).alias("gender"),
         num("age").alias("age"),
         F.col("country").alias("country"),
         num("friend_count").alias("friend_count"),
@@ -98,7 +99,7 @@ def _player_row(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
         num("pictionarygame").alias("game2"),
         num("scramblegame").alias("game3"),
         num("snipergame").alias("game4"),
-        F.when(F.lower(F.trim("paid")) == PAID_TOKEN, 1.0).otherwise(0.0).alias("paid_customer"),
+        text_flag("paid", PAID_TOKEN).alias("paid_customer"),
     )
 
 
