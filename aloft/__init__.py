@@ -13,4 +13,14 @@ Layout:
 
 from aloft.session import build_session, checkpoint_dir, ensure_checkpoint_dir
 
-__all__ = ["build_session", "checkpoint_dir", "ensure_checkpoint_dir"]
+
+def __getattr__(name):
+    # the drop-in classes, imported on first use (they pull in pyspark.ml)
+    if name in ("FlightAnalytics", "PlaceAnalytics", "PlayerModel", "SocialGraph"):
+        from aloft import plans
+        return getattr(plans, name)
+    raise AttributeError(name)
+
+
+__all__ = ["FlightAnalytics", "PlaceAnalytics", "PlayerModel", "SocialGraph", "build_session",
+           "checkpoint_dir", "ensure_checkpoint_dir"]
