@@ -59,9 +59,19 @@ def scale(df: DataFrame, output_col: str, input_col: str = "features") -> DataFr
 
 
 def in_train(id_col: str, train_fraction: float = SPLIT_WEIGHTS[0], seed: int = SPLIT_SEED):
-    """Boolean column: the row's key hashes into the training share."""
-    bucket = F.pmod(F.xxhash64(F.col(id_col), F.lit(seed)), F.lit(10_000))
-    return bucket < F.lit(int(round(train_fraction * 10_000)))
+    """Boolean column: the row's key hashes into the training share.
+
+    The hash is md5 of ``"<key>:<seed>"``; its first 8 hex digits are a
+    uniform 32-bit number, compared as text with the threshold
+    ``train_fraction * 2^32`` written the same way.  Any engine with md5 can
+    reproduce the split exactly (the SQL oracle does)."""
+    if train_fraction >= 1.0:
+        return F.lit(True)
+    if train_fraction <= 0.0:
+        return F.lit(False)
+    cut = f"{int(round(train_fraction * 2 ** 32)):08x}"
+    digest = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
+    return F.substring(digest, 1, 8) < F.lit(cut)
 
 
 def hash_split(df: DataFrame, id_col: str, train_fraction: float = SPLIT_WEIGHTS[0],

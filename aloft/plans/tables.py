@@ -23,7 +23,8 @@ from aloft.operators import (anti_lookup, conditional_share, count_by_key, count
 from aloft.operators import ml
 from aloft.schemas import PLAYER_FEATURES
 from aloft.sources import parse_player_lines, parse_social_lines, read_csv_lines, read_table
-from aloft.constants import EARTH_RADIUS_KM, PAGERANK_RESET, SOCIAL_LINE
+from aloft.constants import (EARTH_RADIUS_KM, PAGERANK_RESET, SOCIAL_LINE, SPLIT_SEED,
+                             SPLIT_WEIGHTS)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -304,7 +305,7 @@ def q_scale(spark, sf):                                            # Q25
 
 
 def q_hash_split(spark, sf):                                       # Q28
-    flag = ml.in_train("doc_id", 0.9, seed=10)
+    flag = ml.in_train("doc_id", SPLIT_WEIGHTS[0], seed=SPLIT_SEED)
     return players(spark, sf).select(
         "doc_id", F.when(flag, F.lit("train")).otherwise(F.lit("test")).alias("split"))
 
@@ -543,6 +544,12 @@ FROM lineitem""",
     "player_convert": f"""
 SELECT gender, age, country, friend_count, lifetime, game1, game2, game3, game4, paid_customer
 FROM ({_PLAYERS}) p""",
+    "hash_split": f"""
+SELECT d.doc_id,
+       CASE WHEN substr(md5(CAST(d.doc_id AS VARCHAR) || ':{SPLIT_SEED}'), 1, 8)
+                 < '{int(round(SPLIT_WEIGHTS[0] * 2 ** 32)):08x}'
+            THEN 'train' ELSE 'test' END AS split
+FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",
     "category_index": _index_sql("documents", "doc_id", "lang", "lang_index"),
     "category_index_brand": _index_sql("part", "p_partkey", "p_brand", "brand_index"),
     "category_index_distributed": """

@@ -58,7 +58,8 @@ NOTES = {
                                   "under a row bound",
     "assemble": "map-only after the indexer fit",
     "scale": "StandardScaler: one tree-aggregate of fixed-size summaries, then map-only",
-    "hash_split": "map-only hash of the row key, one pass; independent of partitioning",
+    "hash_split": "map-only md5 of the row key, one pass; independent of partitioning and "
+                  "reproducible in SQL",
     "fit_predict": "input checkpointed once; logistic regression = tree aggregates per "
                    "iteration; scoring is map-only",
     "evaluate": "binned ROC (fixed bin count) + one accuracy aggregate",
