@@ -50,7 +50,7 @@ def anti_lookup(dim: DataFrame, fact: DataFrame, dim_key: str, fact_key: str,
 
 
 def semi_filter(df: DataFrame, key: str, allowed: DataFrame, allowed_key: str,
-                max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Keep rows whose ``key`` occurs in ``allowed`` (left semi join)."""
     keys = allowed.select(F.col(allowed_key).alias("__ok")).distinct()
     return df.join(bounded_broadcast(keys, max_rows), F.col(key) == F.col("__ok"), "left_semi")

@@ -21,6 +21,7 @@ from aloft.operators import (anti_lookup, conditional_share, count_by_key, count
                              out_degree, pagerank, route_counts, top1_with_lookup, top_ranked,
                              triplets, two_sided_mean, vertices_of, word_count)
 from aloft.operators import ml
+from aloft.operators.joins import semi_filter
 from aloft.schemas import PLAYER_FEATURES
 from aloft.sources import parse_player_lines, parse_social_lines, read_csv_lines, read_table
 from aloft.constants import (EARTH_RADIUS_KM, PAGERANK_RESET, SOCIAL_LINE, SPLIT_SEED,
@@ -31,6 +32,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Fixed values shared by the Spark queries and their SQL.
 URGENT_FILTER = ("F", "1-URGENT")         # (o_orderstatus, o_orderpriority)
 BRAND = "Brand#13"
+REGION = "AMERICA"
+PART_SIZE_OVER = 25
 GEO_CENTER = (-83.0, -167.0)              # (lat, lon) of customer 1 on the derived grid
 GEO_RADIUS_KM = 500.0
 GEO_TERM = "customer"
@@ -99,6 +102,21 @@ def q_p95(spark, sf):                                              # Q09
         .select(_r("p", 6).alias("p95_extendedprice"))
 
 
+def q_semi_filter(spark, sf):                                      # J07
+    """Rows whose two end keys both belong to allowed sets: left semi joins on
+    distinct keys.  The allowed sets come from parquet tables, so Spark's
+    statistics and AQE choose broadcast or shuffle (no counting jobs)."""
+    region = _t(spark, sf, "region").where(F.col("r_name") == REGION)
+    suppliers = (_t(spark, sf, "supplier")
+                 .join(_t(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+                 .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
+    big_parts = _t(spark, sf, "part").where(F.col("p_size") > PART_SIZE_OVER)
+    li = semi_filter(_t(spark, sf, "lineitem"), "l_suppkey", suppliers, "s_suppkey",
+                     max_rows=None)
+    li = semi_filter(li, "l_partkey", big_parts, "p_partkey", max_rows=None)
+    return count_by_key(li, "l_returnflag", "count")
+
+
 def q_conditional_share(spark, sf):                                # Q10
     # nation / region are parquet tables: Spark sizes them from file
     # statistics (and AQE from runtime sizes) and broadcasts them unhinted
@@ -337,6 +355,7 @@ QUERIES: dict[str, Query] = {
     "two_sided_mean": q_two_sided_mean,
     "median": q_median,
     "p95": q_p95,
+    "semi_filter": q_semi_filter,
     "conditional_share": q_conditional_share,
     "least_squares": q_least_squares,
     "moving_average": q_moving_average,
@@ -471,6 +490,13 @@ GROUP BY k HAVING max(a) = 1 AND max(b) = 1""",
 SELECT round(quantile_cont(l_quantity, 0.5), 6) AS median_quantity FROM lineitem""",
     "p95": """
 SELECT round(quantile_cont(l_extendedprice, 0.95), 6) AS p95_extendedprice FROM lineitem""",
+    "semi_filter": f"""
+SELECT l_returnflag, count(*) AS "count" FROM lineitem l
+WHERE EXISTS (SELECT 1 FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
+              JOIN region r ON n.n_regionkey = r.r_regionkey
+              WHERE r.r_name = '{REGION}' AND s.s_suppkey = l.l_suppkey)
+  AND EXISTS (SELECT 1 FROM part p WHERE p.p_size > {PART_SIZE_OVER} AND p.p_partkey = l.l_partkey)
+GROUP BY l_returnflag""",
     "conditional_share": """
 SELECT n.n_name, r.r_name,
        round(sum(CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END) / count(*), 9) AS percentage

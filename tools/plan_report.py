@@ -26,6 +26,8 @@ NOTES = {
     "median": "sketch + bracket-count scans, then a window over the narrow bracket only "
               "(bounded by band_limit, not by the table)",
     "p95": "as median",
+    "semi_filter": "two left semi joins on distinct allowed keys (Spark's statistics / AQE "
+                   "pick broadcast), then a partial count",
     "conditional_share": "orders pre-aggregated per customer (flagged, total), one join, one "
                          "re-aggregation; replaces two scans and a join of aggregates",
     "least_squares": "partial avg per x, one-row regr_* aggregate; no driver round trips",
