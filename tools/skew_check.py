@@ -17,8 +17,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from aloft.operators import (count_by_key, pagerank, route_counts, two_sided_mean,  # noqa: E402
-                             word_count)
+from aloft.operators import (anti_lookup, conditional_share, count_by_key,  # noqa: E402
+                             pagerank, route_counts, two_sided_mean, word_count)
 from aloft.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
 
@@ -57,6 +57,13 @@ def main() -> None:
     run("route_counts(lineitem -> supplier nation)",
         lambda: route_counts(hot.join(supplier, F.col("l_suppkey") == F.col("s_suppkey")),
                              nation, "s_nationkey", "n_nationkey", "n_name"))
+    run("anti_lookup(supplier without returned lines)",
+        lambda: anti_lookup(supplier.select("s_suppkey", "s_name"),
+                            hot.where(F.col("l_returnflag") == "R"), "s_suppkey", "l_suppkey"))
+    run("conditional_share(returned share per supplier nation)",
+        lambda: conditional_share(hot, supplier.select("s_suppkey", "s_nationkey"), "l_suppkey",
+                                  "s_suppkey", F.col("l_returnflag") == "R", ["s_nationkey"],
+                                  dim_max_rows=None))
     edges = (hot.select(F.col("l_suppkey").alias("src"), F.col("l_partkey").alias("dst"))
              .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight")))
     run("pagerank, shuffled plan with hub split (vertex 0 owns a third of the edges)",
