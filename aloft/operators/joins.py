@@ -1,7 +1,8 @@
 """Join helpers.
 
-``bounded_broadcast`` is the only place that hints a broadcast: it proves the
-side has at most ``max_rows`` rows (a ``limit(max_rows + 1).count()`` job that
+``bounded_broadcast`` hints a broadcast on frames whose size is not known by
+construction (the other hints, in the graph and ranking operators, are on
+frames bounded by construction): it proves the side has at most ``max_rows`` rows (a ``limit(max_rows + 1).count()`` job that
 stops reading after max_rows + 1 rows per partition) and otherwise returns the
 frame unchanged, so the planner falls back to a shuffled join (which AQE can
 still turn into a broadcast at run time when the real size turns out small).

@@ -65,11 +65,12 @@ def in_train(id_col: str, train_fraction: float = SPLIT_WEIGHTS[0], seed: int =
     uniform 32-bit number, compared as text with the threshold
     ``train_fraction * 2^32`` written the same way.  Any engine with md5 can
     reproduce the split exactly (the SQL oracle does)."""
-    if train_fraction >= 1.0:
+    threshold = int(round(train_fraction * 2 ** 32))
+    if threshold >= 2 ** 32:
         return F.lit(True)
-    if train_fraction <= 0.0:
+    if threshold <= 0:
         return F.lit(False)
-    cut = f"{int(round(train_fraction * 2 ** 32)):08x}"
+    cut = f"{threshold:08x}"
     digest = F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
     return F.substring(digest, 1, 8) < F.lit(cut)
 
