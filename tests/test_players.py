@@ -112,3 +112,11 @@ def test_distributed_indexer_equals_string_indexer(spark):
                ml.index_categories_distributed(df, "cat", "ix", bound).collect()}
         assert {k: v for k, v in got.items() if v is not None} == exp
         assert all(got[i] is None for i, c in rows if c is None)
+
+
+def test_split_extremes_and_share(spark):
+    df = spark.range(4000).withColumnRenamed("id", "k")
+    for frac, lo, hi in ((0.0, 0, 0), (1.0, 4000, 4000), (0.9999999999999, 4000, 4000),
+                         (0.9, 3500, 3700), (0.5, 1850, 2150)):
+        n = df.where(ml.in_train("k", frac, 10)).count()
+        assert lo <= n <= hi, (frac, n)
