@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from aloft.llm import bpe, simhash
+from aloft.llm import bpe, decontaminate, secrets, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -19,6 +23,12 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(_table(spark, sf_dir, "documents"), ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op8_simhash_near_dedup, op9_byte_bpe)}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"),
+                                       _table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {f.__name__: f for f in (op6_secret_scans, op8_simhash_near_dedup, op9_byte_bpe,
+                                  op10_decontamination)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op10_decontamination": decontaminate.ORACLE}
