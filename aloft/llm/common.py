@@ -56,6 +56,11 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fold(id_col: str, parts: int):
+    """crc32 of the id as text (null: the empty text) modulo ``parts``."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % parts
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -79,7 +84,7 @@ def text_batches(batches: Iterator[pa.RecordBatch], column: str,
 
 def per_text(docs: DataFrame, work: Callable[[list[str]], dict], schema: str, *,
              id_col: str = "doc_id", text_col: str = "text", out_id: str = "doc_id",
-             extra: list | None = None) -> DataFrame:
+             extra: list | None = None, most: int = BATCH_CHARS) -> DataFrame:
     """One output row per input row: ``work(texts)`` gives a dict of column -> values.
 
     ``schema`` lists the computed columns; the id goes first under ``out_id``.
@@ -94,7 +99,7 @@ def per_text(docs: DataFrame, work: Callable[[list[str]], dict], schema: str, *,
     names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_batches(batches, "__text"):
+        for batch in text_batches(batches, "__text", most):
             texts = [t or "" for t in batch.column(len(names)).to_pylist()]
             made = work(texts)
             cols = [batch.column(i) for i in range(len(names))]

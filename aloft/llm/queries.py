@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from aloft.llm import bpe, decontaminate, secrets, simhash
+from aloft.llm import bpe, decontaminate, secrets, simhash, toxicity
+from aloft.llm.common import fold
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +17,13 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
+    made = toxicity.score(docs, toxicity.train(docs, labels), spans=False)
+    return made.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=3)
 
@@ -28,7 +37,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op6_secret_scans, op8_simhash_near_dedup, op9_byte_bpe,
+QUERIES = {f.__name__: f for f in (op6_secret_scans, op7_toxicity, op8_simhash_near_dedup, op9_byte_bpe,
                                   op10_decontamination)}
 
 ORACLE_SQL: dict[str, str] = {"op10_decontamination": decontaminate.ORACLE}
