@@ -159,9 +159,10 @@ def find_secrets(docs: DataFrame, ledger: BlobLedger | None = None, *, id_col: s
 
 
 def redact(docs: DataFrame, ledger: BlobLedger | None = None, *, text_col: str = "text",
-           mask: str = "[SECRET]") -> DataFrame:
+           length_col: str | None = None, mask: str = "[SECRET]") -> DataFrame:
     """``docs`` with each finding in ``text_col`` replaced by ``mask`` (overlapping findings by
-    one); other rows and all other columns are unchanged."""
+    one) and ``length_col``, if given, set to the new length; other rows and columns
+    are unchanged."""
     ledger = ledger or new_ledger(docs.sparkSession)
     ledger.update(docs, text_col)
 
@@ -184,4 +185,7 @@ def redact(docs: DataFrame, ledger: BlobLedger | None = None, *, text_col: str =
     found = ledger.findings(docs, text_col)
     hit, clean = found.where("__spans IS NOT NULL"), found.where("__spans IS NULL")
     done = hit.withColumn(text_col, masked(F.col(text_col), F.col("__spans"))).drop("__spans")
+    if length_col:
+        kind = docs.schema[length_col].dataType
+        done = done.withColumn(length_col, F.length(text_col).cast(kind))
     return done.select(docs.columns).union(clean.drop("__spans").select(docs.columns))

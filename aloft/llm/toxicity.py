@@ -281,3 +281,22 @@ def score(docs: DataFrame, tagger: Tagger, *, id_col: str = "doc_id", text_col:
     if spans:
         schema += ", spans array<struct<start:int,stop:int,p:double>>"
     return per_text(docs, work, schema, id_col=id_col, text_col=text_col, out_id=id_col, most=BATCH)
+
+
+def keep_clean(docs: DataFrame, tagger: Tagger, *, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score is below 0.5, with all their columns."""
+    from aloft.llm.common import ship, text_batches
+    ship(docs.sparkSession)
+    shared = docs.sparkSession.sparkContext.broadcast(tagger)
+    index = docs.columns.index(text_col)
+
+    def run(batches):
+        model = shared.value
+        names = None
+        for batch in batches:
+            names = batch.schema.names
+            for part in text_batches([batch], names[index], BATCH):
+                s = model.score(*model.marginals([t or "" for t in part.column(index).to_pylist()]))
+                yield part.filter(pa.array(s < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)
