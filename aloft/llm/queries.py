@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aloft.llm import bpe, decontaminate, langid, secrets, simhash, toxicity
+from aloft.llm import bpe, decontaminate, htmltext, langid, secrets, simhash, toxicity
 from aloft.llm.common import fold
 
 
@@ -13,6 +13,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.extract(_table(spark, sf_dir, "pages"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     learned = langid.samples(docs.where(fold("doc_id", 4) != 2))
@@ -44,7 +48,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op4_language_id, op6_secret_scans, op7_toxicity, op8_simhash_near_dedup, op9_byte_bpe,
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op4_language_id, op6_secret_scans, op7_toxicity, op8_simhash_near_dedup, op9_byte_bpe,
                                   op10_decontamination)}
 
 ORACLE_SQL: dict[str, str] = {"op10_decontamination": decontaminate.ORACLE}
