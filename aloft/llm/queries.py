@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aloft.llm import bpe, decontaminate, htmltext, langid, secrets, simhash, toxicity
+from aloft.llm import ann, bpe, decontaminate, htmltext, langid, secrets, simhash, toxicity
 from aloft.llm.common import fold
 
 
@@ -24,6 +24,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(_table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(_table(spark, sf_dir, "documents"))
 
@@ -48,7 +52,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op4_language_id, op6_secret_scans, op7_toxicity, op8_simhash_near_dedup, op9_byte_bpe,
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op4_language_id, op5_nearest_neighbours,
+                                  op6_secret_scans, op7_toxicity, op8_simhash_near_dedup, op9_byte_bpe,
                                   op10_decontamination)}
 
 ORACLE_SQL: dict[str, str] = {"op10_decontamination": decontaminate.ORACLE}
