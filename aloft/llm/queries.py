@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aloft.llm import ann, bpe, decontaminate, htmltext, langid, lm, secrets, simhash, toxicity
+from aloft.llm import ann, bpe, decontaminate, htmltext, langid, lm, secrets, simhash, suffix_dedup, toxicity
 from aloft.llm.common import fold
 
 
@@ -17,6 +17,10 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return htmltext.extract(_table(spark, sf_dir, "pages"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(_table(spark, sf_dir, "documents"))
+
+
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(_table(spark, sf_dir, "documents"))
 
@@ -56,8 +60,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        _table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op1_html_extraction, op3_lm_scoring, op4_language_id, op5_nearest_neighbours,
+QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_suffix_array_dedup, op3_lm_scoring, op4_language_id, op5_nearest_neighbours,
                                   op6_secret_scans, op7_toxicity, op8_simhash_near_dedup, op9_byte_bpe,
                                   op10_decontamination)}
 
-ORACLE_SQL: dict[str, str] = {"op10_decontamination": decontaminate.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op2_suffix_array_dedup": suffix_dedup.ORACLE,
+                              "op10_decontamination": decontaminate.ORACLE}
