@@ -1,9 +1,9 @@
 """Parameterised DataFrame operators (column names are arguments)."""
 
 from aloft.operators.geo import count_within, within_radius
-from aloft.operators.graph import (checkpoint_partitioned, edges_from_pairs, most_active,
-                                   out_degree, pagerank, top_ranked, vertices_of)
-from aloft.operators.joins import anti_lookup, bounded_broadcast, semi_filter, triplets
+from aloft.operators.graph import (NotConverged, edges_from_pairs, most_active, out_degree,
+                                   pagerank, top_ranked, vertices_of)
+from aloft.operators.joins import anti_lookup, semi_filter, triplets
 from aloft.operators.percentile import builtin_percentile, exact_percentile
 from aloft.operators.ranking import running_total
 from aloft.operators.relational import (conditional_share, count_by_key, domestic_only,
@@ -14,8 +14,7 @@ from aloft.operators.text import word_count
 from aloft.operators.timeseries import moving_average
 
 __all__ = [
-    "anti_lookup", "bounded_broadcast", "builtin_percentile", "checkpoint_partitioned",
-    "conditional_share",
+    "NotConverged", "anti_lookup", "builtin_percentile", "conditional_share",
     "count_by_key", "count_within", "domestic_only", "edges_from_pairs", "exact_percentile",
     "field_mean", "filter_project", "filtered_max", "least_squares", "most_active",
     "moving_average", "out_degree", "pagerank", "route_counts", "running_total", "semi_filter",

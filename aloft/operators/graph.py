@@ -7,12 +7,14 @@ multiplicity as weight.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aloft.constants import PAGERANK_RESET, PAGERANK_TOL
-from aloft.session import require_checkpoint_dir
+from aloft.session import saved
+
+#: targets in one adjacency row, about
+CHUNK = 1024
 
 
 def edges_from_pairs(pairs: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -40,154 +42,91 @@ def most_active(edges: DataFrame) -> DataFrame:
     return out_degree(edges).orderBy(F.desc("out_degree"), F.asc("id")).limit(1)
 
 
-def checkpoint_partitioned(df: DataFrame) -> DataFrame:
-    """Checkpoint that keeps the frame's hash partitioning.
-
-    Under adaptive execution ``Dataset.checkpoint`` records no output
-    partitioning for the materialised data, so every later join on the same
-    key would shuffle it again.  Materialising it with AQE switched off for
-    this one action records the partitioning, and later AQE-planned joins on
-    that key use the data where it lies.  The previous setting is restored.
-    """
-    spark = df.sparkSession
-    key = "spark.sql.adaptive.enabled"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        return df.checkpoint()
-    finally:
-        spark.conf.set(key, previous)
+class NotConverged(RuntimeError):
+    """PageRank reached ``max_iter`` rounds before its tolerance."""
+
+
+def _adjacency(edges: DataFrame, vertices: DataFrame) -> DataFrame:
+    """(id, first, out array<id>, w): the targets of each vertex in chunks of about ``CHUNK``,
+    with the weight 1 / out-degree; ``first`` marks one chunk per vertex (empty for a sink).
+    Chunks bound the row of a hub, and their many rows let a skewed join split."""
+    deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
+    chunks = (edges.join(deg, "src")
+              .withColumn("k", F.pmod(F.xxhash64("dst"), F.ceil(F.col("deg") / CHUNK)))
+              .groupBy("src", "deg", "k").agg(F.collect_list("dst").alias("out")))
+    empty = vertices.select(F.col("id"), F.lit(True).alias("first"),
+                            F.array().cast(chunks.schema["out"].dataType).alias("out"),
+                            F.lit(0.0).alias("w"))
+    return chunks.select(F.col("src").alias("id"), F.lit(False).alias("first"), "out",
+                         (F.lit(1.0) / F.col("deg")).alias("w")).unionByName(empty)
+
+
+def _round(ranks: DataFrame, adjacency: DataFrame, reset: float) -> DataFrame:
+    """One synchronous round; ``changes`` gets the vertex's change appended.  Every vertex sends its
+    rank to itself beside its contributions, so ranks are read once and one aggregation does."""
+    sent = (ranks.join(adjacency, "id")
+            .select(F.explode(F.expr(
+                "concat(transform(out, d -> named_struct('id', d, 'c', rank * w, "
+                "'old', cast(null as double), 'changes', cast(null as array<double>))), "
+                "if(first, array(named_struct('id', id, 'c', 0.0D, 'old', rank, "
+                "'changes', changes)), array()))")).alias("s")).select("s.*"))
+    rank = F.lit(reset) + F.lit(1.0 - reset) * F.sum("c")
+    return (sent.groupBy("id")
+            .agg(rank.alias("rank"), F.max("old").alias("old"), F.max("changes").alias("changes"))
+            .select("id", "rank", F.concat("changes", F.array(F.abs(F.col("rank") - F.col("old"))))
+                    .alias("changes")))
 
 
 def pagerank(edges: DataFrame, vertices: DataFrame | None = None,
-             reset: float = PAGERANK_RESET, max_iter: int = 20, tol: float = PAGERANK_TOL,
-             checkpoint_every: int = 5,
-             heavy_keys: int = 1024, normalize: bool = False,
-             broadcast_vertices: int = 1_000_000, check_every: int = 1) -> DataFrame:
+             reset: float = PAGERANK_RESET, max_iter: int | None = None,
+             tol: float = PAGERANK_TOL, rounds_per_job: int = 6,
+             normalize: bool = False) -> DataFrame:
     """G03 (Q21): unweighted PageRank ``r(v) = reset + (1 - reset) * sum(r(u) / deg(u))``
-    over in-edges u -> v, starting from 1.0, until ``max |delta| < tol`` or
-    ``max_iter`` rounds (``tol=0`` runs exactly ``max_iter``).
-
-    The vertex set is counted once; the plan per round depends on that
-    proven size:
-
-    * at most ``broadcast_vertices`` vertices: the degree table and then the
-      rank vector are broadcast into the edge scan (no edge is ever
-      shuffled, so a hub vertex costs nothing extra) and contributions are
-      summed per ``dst`` with map-side partial aggregation;
-    * larger graphs: sources with more than ``E / heavy_keys`` out-edges (at
-      most ``heavy_keys`` of them, since out-degrees sum to E) are split off
-      before any shuffle on ``src``: their edges meet a broadcast of their
-      degrees and, each round, of their ranks, spread evenly over all
-      partitions.  The remaining edges are partitioned by ``src`` once and
-      checkpointed with that partitioning kept; each round's rank vector is
-      the output of an aggregation hash-partitioned by vertex id into the
-      same number of partitions, so the edge-rank join needs no exchange and
-      a round costs one shuffle (contributions by ``dst``).
-
-    Each round is one aggregation: the vertex set enters it as zero
-    contributions, so vertices without in-edges keep ``reset`` without a join
-    back onto the vertex table.
-
-    Convergence is tested every ``check_every`` rounds (1: stop at the first
-    round whose change is below ``tol``; larger values save one job per
-    skipped test and may run up to ``check_every - 1`` extra rounds, which
-    only moves the ranks closer to the fixed point).
-
-    Ranks are checkpointed to ``spark.checkpoint.dir`` every
-    ``checkpoint_every`` rounds (lineage cut, executor-loss safe).  Rounds in
-    between are left as one lazy plan when nothing reads them, else
-    persisted.  ``normalize`` rescales the result so ranks sum to the vertex
-    count.
+    over in-edges u -> v, starting from 1.0, up to the first round in which no rank changes
+    by ``tol`` or more.
+
+    There is no round limit unless ``max_iter`` is given; reaching it first raises
+    :class:`NotConverged` (with ``tol=0``, ``max_iter`` rounds are what is asked for).
+
+    ``rounds_per_job`` rounds run as one Spark job.  Each vertex keeps its changes of these rounds,
+    and where an inner round turns out to have converged, the job is repeated up to that
+    round, so the setting moves no result.  Ranks are written to ``spark.checkpoint.dir`` after
+    each job (lineage cut, safe against lost executors).
+
+    A round joins the ranks with the adjacency chunks, explodes the contributions and sums them
+    with map-side combine.  Spark broadcasts ranks that are small; else both sides shuffle
+    by vertex and AQE splits the partition of a hub.  ``normalize`` rescales the result so
+    ranks sum to the vertex count.
     """
-    spark = edges.sparkSession
-    require_checkpoint_dir(spark)
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # the edge list is read by the degree, weight and vertex steps: materialise it once
-    e = edges.select("src", "dst").checkpoint()
-    if vertices is None:
-        vertices = vertices_of(e)
-    vertices = checkpoint_partitioned(vertices.select("id").repartition(n_parts, "id"))
-    small = vertices.limit(broadcast_vertices + 1).count() <= broadcast_vertices
-
-    deg = e.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
-    heavy = heavy_ids = None
-    if small:
-        # deg has at most one row per vertex: proven small, broadcast it
-        light = (e.join(F.broadcast(deg), "src")
-                 .select("src", "dst", (F.lit(1.0) / F.col("deg")).alias("w"))
-                 .checkpoint())
-    else:
-        deg = deg.checkpoint()
-        n_edges = deg.agg(F.sum("deg")).first()[0] or 0
-        heavy_cut = max(n_edges // max(heavy_keys, 1), 1)
-        # proven bound: at most heavy_keys rows, since out-degrees sum to E
-        heavy_deg = deg.where(F.col("deg") > heavy_cut).checkpoint()
-        heavy_ids = heavy_deg.select(F.col("src").alias("id"))
-        # hub sources are split off before any shuffle on src: their edges
-        # meet their degrees map-side (broadcast) and are spread evenly
-        light_e = e.join(F.broadcast(heavy_deg.select("src")), "src", "left_anti")
-        # partitioned by src once; the partitioning survives the checkpoint,
-        # so the rounds join ranks (partitioned by id) to it without a shuffle
-        light = checkpoint_partitioned(
-            light_e.join(deg.where(F.col("deg") <= heavy_cut), "src")
-            .select("src", "dst", (F.lit(1.0) / F.col("deg")).alias("w"))
-            .repartition(n_parts, "src"))
-        if heavy_deg.limit(1).count() > 0:
-            heavy = (e.join(F.broadcast(heavy_deg), "src")
-                     .select("src", "dst", (F.lit(1.0) / F.col("deg")).alias("w"))
-                     .repartition(n_parts).checkpoint())
-
-    def contributions(ranks: DataFrame) -> DataFrame:
-        r = F.broadcast(ranks) if small else ranks
-        c = (light.join(r, light["src"] == r["id"])
-             .select("dst", (F.col("rank") * F.col("w")).alias("c")))
-        if heavy is not None:
-            hot = ranks.join(F.broadcast(heavy_ids), "id", "left_semi")
-            c = c.unionByName(heavy.join(F.broadcast(hot), heavy["src"] == hot["id"])
-                              .select("dst", (F.col("rank") * F.col("w")).alias("c")))
-        return c
-
-    ranks = vertices.select("id", F.lit(1.0).alias("rank"))
-    # every vertex contributes 0.0 to itself, so vertices without in-edges
-    # appear in the single aggregation (no join back onto the vertex table)
-    zeros = vertices.select(F.col("id").alias("dst"), F.lit(0.0).alias("c"))
-    damp = 1.0 - reset
-    # rounds whose result nothing else needs stay one lazy plan up to the next
-    # checkpoint / convergence check.  On the hub-split path the ranks are read
-    # twice per round, so the plan doubles with every round that is not
-    # checkpointed (planning time with it: measured 25-32 s for 10 small
-    # rounds at an interval of 5, 8 s at 2); there every round is persisted
-    # and checkpoints come at least every second round
-    lazy = heavy is None
-    every = checkpoint_every if lazy else min(checkpoint_every, 2)
-    check_every = max(1, check_every)
-    cached = []
-    saved = True
-    for i in range(1, max_iter + 1):
-        new = (contributions(ranks).unionByName(zeros)
-               .groupBy(F.col("dst").alias("id"))
-               .agg((F.lit(reset) + F.lit(damp) * F.sum("c")).alias("rank")))
-        check = tol > 0 and (i % check_every == 0 or i == max_iter)
-        keep = tol > 0 and ((i + 1) % check_every == 0 or check)
-        saved = i % every == 0 or i == max_iter
-        if saved:
-            new = new.checkpoint() if small else checkpoint_partitioned(new)
-        elif keep or not lazy:
-            new = new.persist(StorageLevel.MEMORY_AND_DISK)
-            cached.append(new)
-        delta = None
-        if check:
-            old = F.broadcast(ranks) if small else ranks
-            delta = (new.join(old.withColumnRenamed("rank", "old"), "id")
-                     .agg(F.max(F.abs(F.col("rank") - F.col("old")))).first()[0])
-        ranks = new
-        if delta is not None and delta < tol:
+    if max_iter is None and tol <= 0:
+        raise ValueError("tol=0 needs max_iter")
+    e = saved(edges.select("src", "dst"), "edges")
+    v = vertices_of(e) if vertices is None else vertices.select("id").union(vertices_of(e)).distinct()
+    v = saved(v, "vertices")
+    adjacency = saved(_adjacency(e, v), "adjacency")
+    none = F.array().cast("array<double>")
+
+    def run(ranks: DataFrame, n: int) -> DataFrame:
+        new = ranks.select("id", "rank", none.alias("changes"))
+        for _ in range(n):
+            new = _round(new, adjacency, reset)
+        return saved(new, "ranks")
+
+    ranks = v.select("id", F.lit(1.0).alias("rank"))
+    done = 0
+    while max_iter is None or done < max_iter:
+        n = rounds_per_job if max_iter is None else min(rounds_per_job, max_iter - done)
+        new = run(ranks, n)
+        changes = new.agg(*[F.max(F.col("changes")[k]).alias(f"c{k}") for k in range(n)]).first()
+        stop = next((k for k, c in enumerate(changes, 1) if c is None or c < tol), None)
+        if stop is not None:
+            ranks = new if stop == n else run(ranks, stop)
             break
-    if not saved:
-        ranks = ranks.checkpoint()
-    for df in cached:
-        df.unpersist()
+        ranks, done = new, done + n
+    else:
+        if tol > 0:
+            raise NotConverged(f"change still {changes[-1]:g} after {max_iter} rounds, tol is {tol:g}")
+    ranks = ranks.select("id", "rank")
     if normalize:
         total, count = ranks.agg(F.sum("rank"), F.count(F.lit(1))).first()
         ranks = ranks.select("id", (F.col("rank") * F.lit(count / total)).alias("rank"))

@@ -1,33 +1,11 @@
-"""Join helpers.
-
-``bounded_broadcast`` hints a broadcast on frames whose size is not known by
-construction (the other hints, in the graph and ranking operators, are on
-frames bounded by construction): it proves the side has at most ``max_rows`` rows (a ``limit(max_rows + 1).count()`` job that
-stops reading after max_rows + 1 rows per partition) and otherwise returns the
-frame unchanged, so the planner falls back to a shuffled join (which AQE can
-still turn into a broadcast at run time when the real size turns out small).
-"""
+"""Join helpers.  No size hints: Spark picks broadcast or shuffle from file statistics and,
+at run time, from exchange sizes (AQE, which also splits skewed shuffle partitions)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``max_rows=None``: the side grows with the data, so no static check is
-    run and no hint is given; AQE still broadcasts it if its runtime size is
-    under ``spark.sql.adaptive.autoBroadcastJoinThreshold``."""
-    if max_rows is None:
-        return df
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
 
 def anti_lookup(dim: DataFrame, fact: DataFrame, dim_key: str, fact_key: str,
                 select: list[str] | None = None, distinct: bool = True) -> DataFrame:
@@ -50,23 +28,33 @@ def anti_lookup(dim: DataFrame, fact: DataFrame, dim_key: str, fact_key: str,
     return out.select(*select) if select else out
 
 
-def semi_filter(df: DataFrame, key: str, allowed: DataFrame, allowed_key: str,
-                max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Keep rows whose ``key`` occurs in ``allowed`` (left semi join)."""
-    keys = allowed.select(F.col(allowed_key).alias("__ok")).distinct()
-    return df.join(bounded_broadcast(keys, max_rows), F.col(key) == F.col("__ok"), "left_semi")
+def semi_filter(df: DataFrame, key: str, allowed: DataFrame, allowed_key: str) -> DataFrame:
+    """Keep rows whose ``key`` occurs in ``allowed`` (left semi join).
+
+    Pass ``allowed`` as a filter or semi join of one table: its size estimate is then that
+    table's, so a small one is broadcast and the fact stays where it was read (an
+    inner join's estimate is the product of its sides and forces a shuffle)."""
+    keys = allowed.select(F.col(allowed_key).alias("__ok"))
+    return df.join(keys, F.col(key) == F.col("__ok"), "left_semi")
 
 
 def triplets(vertices: DataFrame, edges: DataFrame, id_col: str = "id",
-             attr_col: str = "attr", max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+             attr_col: str = "attr", default_attr=None) -> DataFrame:
     """Each edge with the attributes of both end points.
 
-    The vertex table is broadcast when its size is proven small (a hub
-    vertex then costs nothing extra); otherwise both joins shuffle and AQE's
-    skew-join split handles a vertex owning a large share of the edges.
+    A vertex that only edges name has the attribute ``default_attr``; no edge is dropped.  If
+    the vertex table is too large to broadcast, both joins shuffle and AQE's skew-join split
+    handles a vertex owning a large share of the edges.
     """
-    v = bounded_broadcast(vertices.select(F.col(id_col), F.col(attr_col)), max_rows)
-    s = v.select(F.col(id_col).alias("src"), F.col(attr_col).alias("src_attr"))
-    d = v.select(F.col(id_col).alias("dst"), F.col(attr_col).alias("dst_attr"))
-    return edges.join(s, "src").join(d, "dst").select("src", "src_attr", "dst", "dst_attr",
-                                                       "weight")
+    kind = vertices.schema[attr_col].dataType
+    default = F.lit(default_attr).cast(kind)
+    # a flag, because a listed vertex may have a NULL attribute of its own
+    v = vertices.select(F.col(id_col).alias("__id"), F.col(attr_col).alias("__attr"),
+                        F.lit(True).alias("__listed"))
+    out = edges
+    for end in ("src", "dst"):
+        out = (out.join(v, F.col(end) == F.col("__id"), "left")
+               .withColumn(f"{end}_attr", F.when(F.col("__listed"), F.col("__attr"))
+                           .otherwise(default))
+               .drop("__id", "__attr", "__listed"))
+    return out.select("src", "src_attr", "dst", "dst_attr", "weight")

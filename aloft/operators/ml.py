@@ -1,9 +1,9 @@
 """Binary classification steps on pyspark.ml.
 
 Fitting is distributed by pyspark.ml itself: StringIndexer counts labels
-with a grouped aggregate (only the distinct labels reach the driver, bounded
-by category cardinality), StandardScaler and LogisticRegression use tree
-aggregation of fixed-size summaries, the evaluator bins scores.
+with a grouped aggregate (the distinct labels reach the driver: for columns of closed
+cardinality only, like country; else :func:`index_categories_distributed`), StandardScaler and
+LogisticRegression use tree aggregation of fixed-size summaries.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aloft.constants import LOGISTIC_MAX_ITER, SPLIT_SEED, SPLIT_WEIGHTS
-from aloft.session import require_checkpoint_dir
+from aloft.session import saved
 
 
 def index_categories(df: DataFrame, input_col: str, output_col: str,
@@ -28,22 +28,22 @@ def index_categories(df: DataFrame, input_col: str, output_col: str,
             .fit(df).transform(df))
 
 
-def index_categories_distributed(df: DataFrame, input_col: str, output_col: str,
-                                 max_broadcast_labels: int = 200_000) -> DataFrame:
+def index_categories_distributed(df: DataFrame, input_col: str, output_col: str) -> DataFrame:
     """M01 without collecting the labels to the driver, for open-ended
     columns: the same indices as ``StringIndexer`` (descending frequency,
     ties alphabetical, 0-based; NULL stays NULL).  Label counts come from a
-    grouped aggregate, ranks from a distributed running total, and the
-    label -> index table is broadcast back only under a proven row bound."""
-    from aloft.operators.joins import bounded_broadcast
+    grouped aggregate and ranks from a distributed running total.  Spark broadcasts the
+    label table if it is small; else rows with a NULL label stay out of the shuffled join."""
     from aloft.operators.ranking import running_total
 
     counts = (df.where(F.col(input_col).isNotNull())
               .groupBy(F.col(input_col).alias("__label")).agg(F.count(F.lit(1)).alias("__n")))
     ranked = running_total(counts, [F.desc("__n"), F.asc("__label")], F.lit(1), "__rank")
     labels = ranked.select("__label", (F.col("__rank") - 1).cast("double").alias(output_col))
-    labels = bounded_broadcast(labels, max_broadcast_labels)
-    return df.join(labels, F.col(input_col) == F.col("__label"), "left").drop("__label")
+    some = df.where(F.col(input_col).isNotNull())
+    none = df.where(F.col(input_col).isNull()).withColumn(output_col, F.lit(None).cast("double"))
+    return (some.join(labels, F.col(input_col) == F.col("__label")).drop("__label")
+            .unionByName(none))
 
 
 def assemble(df: DataFrame, input_cols: list[str], output_col: str = "features") -> DataFrame:
@@ -90,10 +90,11 @@ def random_split(df: DataFrame, weights=SPLIT_WEIGHTS, seed: int = SPLIT_SEED) -
 
 def fit_logistic(training: DataFrame, features_col: str, label_col: str,
                  prediction_col: str = "prediction",
-                 max_iter: int = LOGISTIC_MAX_ITER) -> LogisticRegressionModel:
+                 max_iter: int = LOGISTIC_MAX_ITER, tol: float = 1e-6) -> LogisticRegressionModel:
     """M04 (Q26): binomial logistic regression."""
-    return LogisticRegression(maxIter=max_iter, featuresCol=features_col, labelCol=label_col,
-                              predictionCol=prediction_col, family="binomial").fit(training)
+    return LogisticRegression(maxIter=max_iter, tol=tol, featuresCol=features_col,
+                              labelCol=label_col, predictionCol=prediction_col,
+                              family="binomial").fit(training)
 
 
 def predict(model, data: DataFrame) -> DataFrame:
@@ -105,7 +106,9 @@ def evaluate(predictions: DataFrame, label_col: str, prediction_col: str = "pred
              raw_col: str = "rawPrediction") -> dict:
     """M07 (Q29): area under ROC on the raw scores (``auc``), on the hard 0/1
     predictions as originally coded (``auc_hard``), and plain ``accuracy``."""
-    ev = BinaryClassificationEvaluator(labelCol=label_col, metricName="areaUnderROC")
+    # numBins=0: every distinct score is a point of the curve
+    ev = BinaryClassificationEvaluator(labelCol=label_col, metricName="areaUnderROC", numBins=0)
+    predictions = saved(predictions.select(*dict.fromkeys((label_col, prediction_col, raw_col))), "scored")
     auc = ev.setRawPredictionCol(raw_col).evaluate(predictions)
     auc_hard = ev.setRawPredictionCol(prediction_col).evaluate(
         predictions.withColumn(prediction_col, F.col(prediction_col).cast("double")))
@@ -136,13 +139,11 @@ def fit_and_score(df: DataFrame, id_col: str, category_col: str, numeric_cols: l
                   max_iter: int = LOGISTIC_MAX_ITER) -> tuple[PipelineModel, DataFrame]:
     """Q30: split by key hash, fit the stages on the training part, score the rest.
 
-    The input is checkpointed once: the indexer, scaler and every solver
+    The input is written to the shared folder once: the indexer, scaler and every solver
     iteration then re-read the materialised rows instead of re-running the
-    upstream joins and parsing, and a lost executor recomputes nothing
-    before the checkpoint.
+    upstream joins and parsing, and a lost executor recomputes nothing before it.
     """
-    require_checkpoint_dir(df.sparkSession)
-    df = df.checkpoint()
+    df = saved(df, "model-input")
     train, test = hash_split(df, id_col, train_fraction, seed)
     model = classifier_stages(category_col, numeric_cols, label_col, max_iter).fit(train)
     return model, model.transform(test)

@@ -4,26 +4,12 @@ Spark's ``percentile`` aggregate is exact but its final merge holds every
 distinct value of the column in one task, which does not scale to a
 high-cardinality column over a whole table.  This operator gives the same
 answer (linear interpolation between the values at 0-based ranks
-``floor(p * (n - 1))`` and ``ceil(p * (n - 1))``, NULLs ignored) with
-bounded per-task state:
+``floor(p * (n - 1))`` and ``ceil(p * (n - 1))``, NULLs ignored):
 
-1. one scan: ``n``, an approximate distinct count and a
-   ``percentile_approx`` bracket [a, b] around p (sketch state is fixed by
-   ``accuracy``, independent of n).  With few distinct values (under
-   ``band_limit / 2``) steps 2-3 are skipped and all distinct values are
-   grouped directly;
-2. one scan: how many values fall below a and up to b; a bound that misses
-   its target rank is dropped (open bracket), so the answer stays exact;
-3. while more than ``band_limit`` rows remain inside the bracket, a new
-   sketch over just those rows narrows it (each round shrinks the band by
-   about accuracy / 6; repeated values stop the loop, they collapse below);
-4. the final lazy query: distinct values inside the bracket with their
-   counts (ties combine map-side), a running count over that narrow band,
-   and the two order statistics.  Should the band still exceed
-   ``band_limit`` rows, the running count is computed per value range in
-   parallel instead of in one task.
-
-Only a handful of scalars travel to the driver (n, bracket bounds, counts).
+1. one scan counts rows per distinct value (ties combine map-side) and deals the values to
+   ranges, written to the shared folder;
+2. the row total of each range (one number per range) says which range holds a rank;
+3. the lazy result reads those one or two ranges and counts up inside them.
 """
 
 from __future__ import annotations
@@ -34,83 +20,34 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from aloft.operators.ranking import running_total
-
-DEFAULT_ACCURACY = 10_000
-DEFAULT_BAND_LIMIT = 1_000_000
-
-
-def _bracket_counts(v: DataFrame, a, b) -> tuple[int, int]:
-    below = F.count_if(F.col("v") < F.lit(a)) if a is not None else F.lit(0)
-    upto = F.count_if(F.col("v") <= F.lit(b)) if b is not None else F.count(F.lit(1))
-    row = v.agg(below.alias("below"), upto.alias("upto")).first()
-    return int(row["below"]), int(row["upto"])
-
-
-def _in_bracket(a, b):
-    cond = F.lit(True)
-    if a is not None:
-        cond = cond & (F.col("v") >= F.lit(a))
-    if b is not None:
-        cond = cond & (F.col("v") <= F.lit(b))
-    return cond
+from aloft.operators.ranking import ranged
 
 
-def exact_percentile(df: DataFrame, value_col: str, p: float, out_col: str,
-                     accuracy: int = DEFAULT_ACCURACY,
-                     band_limit: int = DEFAULT_BAND_LIMIT) -> DataFrame:
+def exact_percentile(df: DataFrame, value_col: str, p: float, out_col: str) -> DataFrame:
     if not 0.0 <= p <= 1.0:
         raise ValueError("p must be in [0, 1]")
-    spark = df.sparkSession
-    v = df.select(F.col(value_col).cast("double").alias("v")).where(F.col("v").isNotNull())
-    eps = 3.0 / accuracy
-    first = v.agg(F.count(F.lit(1)).alias("n"),
-                  F.percentile_approx("v", [max(p - eps, 0.0), min(p + eps, 1.0)],
-                                      accuracy).alias("b"),
-                  F.approx_count_distinct("v").alias("d")).first()
-    n = int(first["n"])
+    counts = (df.select(F.col(value_col).cast("double").alias("v")).where(F.col("v").isNotNull())
+              .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
+    b = ranged(counts, [F.col("v")])
+    # one row per range: as many as shuffle partitions
+    totals = {r["__pid"]: r["t"] for r in b.groupBy("__pid").agg(F.sum("c").alias("t")).collect()}
+    n = sum(totals.values())
     if n == 0:
         schema = StructType([StructField(out_col, DoubleType(), True)])
-        return spark.createDataFrame([(None,)], schema)
+        return df.sparkSession.createDataFrame([(None,)], schema)
     pos = p * (n - 1)
     lo_rank, hi_rank = math.floor(pos), math.ceil(pos)
-    a, b = first["b"]
-
-    grouped_all = first["d"] <= band_limit // 2
-    if grouped_all:
-        # few distinct values (integer minutes, miles, quantities): group them
-        # all, no bracket pass needed; the estimate only picks the plan, the
-        # grouping below is exact either way
-        a = b = None
-        below, upto = 0, n
-    else:
-        below, upto = _bracket_counts(v, a, b)
-        if below > lo_rank:
-            a, below = None, 0
-        if upto <= hi_rank:
-            b, upto = None, n
-
-    while not grouped_all and upto - below > band_limit:
-        band = v.where(_in_bracket(a, b))
-        size = upto - below
-        q_lo = max((lo_rank - below) / size - eps, 0.0)
-        q_hi = min((hi_rank - below) / size + eps, 1.0)
-        a2, b2 = band.agg(F.percentile_approx("v", [q_lo, q_hi], accuracy)).first()[0]
-        below2, upto2 = _bracket_counts(v, a2, b2)
-        a_new, below_new = (a2, below2) if below2 <= lo_rank else (a, below)
-        b_new, upto_new = (b2, upto2) if upto2 > hi_rank else (b, upto)
-        if upto_new - below_new >= size:   # no progress (e.g. one repeated value fills the band;
-            break                          # the grouping below collapses it)
-        a, b, below, upto = a_new, b_new, below_new, upto_new
-
-    band = v.where(_in_bracket(a, b)).groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    before, wanted = 0, {}
+    for pid in sorted(totals):
+        if before <= hi_rank and before + totals[pid] > lo_rank:
+            wanted[pid] = before
+        before += totals[pid]
+    offset = F.create_map(*[F.lit(x) for kv in wanted.items() for x in kv])[F.col("__pid")]
     # rows holding value v occupy global ranks [cum - c, cum)
-    if grouped_all or upto - below <= band_limit:
-        w = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        ranked = band.select("v", "c", (F.lit(below) + F.sum("c").over(w)).alias("cum"))
-    else:
-        ranked = _running_count_distributed(band, below, int(spark.conf.get(
-            "spark.sql.shuffle.partitions")))
+    within = (Window.partitionBy("__pid").orderBy("v")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = (b.where(F.col("__pid").isin(*wanted))
+              .select("v", "c", (offset + F.sum("c").over(within)).alias("cum")))
 
     def at(r):
         return F.min(F.when((F.col("cum") - F.col("c") <= r) & (F.lit(r) < F.col("cum")),
@@ -121,13 +58,6 @@ def exact_percentile(df: DataFrame, value_col: str, p: float, out_col: str,
                         .alias(out_col))
 
 
-def _running_count_distributed(band: DataFrame, below: int, parts: int) -> DataFrame:
-    """Running count over a band too large for one task (per value range, in
-    parallel; see :mod:`aloft.operators.ranking`)."""
-    ranked = running_total(band, [F.col("v")], F.col("c"), "__cum", parts)
-    return ranked.select("v", "c", (F.lit(below) + F.col("__cum")).alias("cum"))
-
-
 def builtin_percentile(df: DataFrame, value_col: str, p: float, out_col: str) -> DataFrame:
     """Spark's exact ``percentile``: fine for low-cardinality columns (integer
     minutes or miles), where the distinct-value map stays small."""

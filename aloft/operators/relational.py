@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aloft.constants import DOMESTIC_COUNTRY
-from aloft.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast, semi_filter
+from aloft.operators.joins import semi_filter
 
 
 def count_by_key(df: DataFrame, key: str, count_col: str = "count") -> DataFrame:
@@ -31,20 +31,17 @@ def filtered_max(df: DataFrame, value_col: str, predicate: Column, out_col: str)
 
 def route_counts(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, label: str,
                  predicate: Column | None = None, out_col: str = "Num",
-                 label_out: str | None = None, weight_col: str | None = None,
-                 dim_max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 label_out: str | None = None, weight_col: str | None = None) -> DataFrame:
     """J03+A01 (Q06): qualifying fact rows per dimension label, most first.
 
     The fact side is counted per join key before the join (map-side partial
-    aggregation, so the join sees one row per key instead of every fact row);
-    the dimension is broadcast only when its row count is proven small.
+    aggregation, so the join sees one row per key instead of every fact row).
     ``weight_col`` counts each fact row that many times (for pre-counted facts).
     """
     f = fact.where(predicate) if predicate is not None else fact
     n = F.sum(weight_col) if weight_col else F.count(F.lit(1))
     per_key = f.groupBy(F.col(fact_key).alias("__k")).agg(n.alias("__n"))
-    d = bounded_broadcast(dim.select(F.col(dim_key).alias("__dk"), F.col(label).alias("__lbl")),
-                          dim_max_rows)
+    d = dim.select(F.col(dim_key).alias("__dk"), F.col(label).alias("__lbl"))
     label_out = label_out or label
     return (per_key.join(d, per_key["__k"] == d["__dk"])
             .groupBy(F.col("__lbl").alias(label_out))
@@ -92,8 +89,7 @@ def domestic_only(df: DataFrame, airports: DataFrame, origin: str = "Origin",
 
 def conditional_share(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
                       flag: Column, group_cols: list[str], out_col: str = "percentage",
-                      positive_only: bool = True,
-                      dim_max_rows: int | None = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                      positive_only: bool = True) -> DataFrame:
     """A07+J04 (Q10): share of fact rows with ``flag`` per dimension group.
 
     One pass: the fact is pre-aggregated per join key (flagged and total
@@ -105,8 +101,7 @@ def conditional_share(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: s
     per_key = (fact.groupBy(F.col(fact_key).alias("__k"))
                .agg(F.count(F.lit(1)).alias("__n"),
                     F.sum(F.when(flag, 1).otherwise(0)).alias("__f")))
-    d = bounded_broadcast(dim, dim_max_rows)
-    g = (per_key.join(d, per_key["__k"] == d[dim_key])
+    g = (per_key.join(dim, per_key["__k"] == dim[dim_key])
          .groupBy(*group_cols)
          .agg(F.sum("__f").alias("__f"), F.sum("__n").alias("__n")))
     if positive_only:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from aloft.constants import LOGISTIC_MAX_ITER, SPLIT_SEED, SPLIT_WEIGHTS
 from aloft.operators import ml
 from aloft.schemas import PLAYER_FEATURES
+from aloft.session import saved
 from aloft.sources import read_players
 
 
@@ -42,8 +43,9 @@ class PlayerModel:
 
     # Q28-Q30: convert -> index -> assemble -> scale -> split -> fit -> predict -> evaluate
     def run(self, path: str, seed: int = SPLIT_SEED, split_key: str | None = None) -> dict:
-        scaled = self.scaler(self.feature_assembler(self.indexer(self.convert(path))),
-                             "scaledFeatures")
+        # the fits and the solver's iterations read the parsed rows, not the raw lines
+        rows = saved(self.convert(path), "players")
+        scaled = self.scaler(self.feature_assembler(self.indexer(rows)), "scaledFeatures")
         if split_key:
             train, test = ml.hash_split(scaled, split_key, SPLIT_WEIGHTS[0], seed)
         else:

@@ -2,16 +2,17 @@
 
 Library code never invents a storage location: iterative operators read
 ``spark.checkpoint.dir`` (or the SparkContext checkpoint dir) from the running
-session.  Only tests, the bench and the smoke entry call
-:func:`ensure_checkpoint_dir`, which sets a folder when none is configured.
+session.  :func:`ensure_checkpoint_dir` sets a scratch folder when none is configured,
+but only for a local master (tests, bench, tools, the smoke entry).
 """
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale; every one is a public Spark SQL option.
 DEFAULT_CONF = {
@@ -60,10 +61,26 @@ def require_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Tests / bench only: use the configured folder, else create a scratch one."""
+    """The configured folder; with a local master and none configured, a scratch folder.
+
+    On a cluster executors and driver share no local folder, so there this raises."""
     d = checkpoint_dir(spark)
     if d:
         return d
+    if not spark.sparkContext.master.startswith("local") or \
+            spark.sparkContext.master.startswith("local-cluster"):
+        return require_checkpoint_dir(spark)
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="aloft-ckpt-",
                                                          dir=os.environ.get("TMPDIR", "/tmp")))
     return spark.sparkContext.getCheckpointDir()
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back.
+
+    Cuts the lineage at a place that outlives executors, in one pass over the plan
+    (``checkpoint()`` runs the last stage twice), and leaves Spark exact sizes to plan with."""
+    spark = df.sparkSession
+    path = f"{require_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

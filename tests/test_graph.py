@@ -3,10 +3,12 @@
 import numpy as np
 import pytest
 
-from aloft.operators import edges_from_pairs, pagerank, vertices_of
+from aloft.operators import NotConverged, edges_from_pairs, pagerank, triplets, vertices_of
+from aloft.operators import graph as graph_ops
 from aloft.plans import SocialGraph
 from tests.conftest import write_text
 
+# The layout of the dump and the golden edges.
 DUMP = """ first_user_id | second_user_id
 ---------------+----------------
              1 |             10
@@ -66,7 +68,7 @@ def _numpy_pagerank(n, edges, rounds, reset=0.15):
     return r
 
 
-def test_pagerank_matches_power_iteration_with_hub(spark):
+def test_pagerank_matches_power_iteration_with_hub(spark, monkeypatch):
     rng = np.random.default_rng(7)
     n = 60
     pairs = {(0, int(d)) for d in range(1, n)}              # vertex 0: hub, a third of edges
@@ -74,34 +76,49 @@ def test_pagerank_matches_power_iteration_with_hub(spark):
     pairs = sorted(pairs)
     edges = spark.createDataFrame([(a, b, 1) for a, b in pairs],
                                   "src long, dst long, weight long")
-    # broadcast plan, shuffled plan, shuffled plan with vertex 0 on the heavy path
-    for heavy_keys, bcast in ((1024, 1_000_000), (1024, 10), (4, 10)):
-        ranks = pagerank(edges, max_iter=8, tol=0.0, heavy_keys=heavy_keys, checkpoint_every=5,
-                         broadcast_vertices=bcast)
+    ids = sorted({a for a, _ in pairs} | {b for _, b in pairs})
+    exp = _numpy_pagerank(n, pairs, 8)
+    for chunk in (1024, 4):                                 # the hub as one chunk and as many
+        monkeypatch.setattr(graph_ops, "CHUNK", chunk)
+        ranks = pagerank(edges, max_iter=8, tol=0.0, rounds_per_job=3)
         got = {r["id"]: r["rank"] for r in ranks.collect()}
-        ids = sorted({a for a, _ in pairs} | {b for _, b in pairs})
-        exp = _numpy_pagerank(n, pairs, 8)
         assert [got[i] for i in ids] == pytest.approx([exp[i] for i in ids], rel=1e-9)
 
 
 def test_pagerank_converges_and_normalizes(spark):
     edges = spark.createDataFrame([(1, 2, 1), (2, 3, 1), (3, 1, 1), (3, 4, 1)],
                                   "src long, dst long, weight long")
-    ranks = pagerank(edges, max_iter=200, tol=1e-5, normalize=True, checkpoint_every=10,
-                     check_every=5)
+    ranks = pagerank(edges, tol=1e-5, normalize=True)
     got = {r["id"]: r["rank"] for r in ranks.collect()}
     assert sum(got.values()) == pytest.approx(4.0)
     assert max(got, key=got.get) in (1, 3)
     assert vertices_of(edges).count() == 4
 
 
-def test_pagerank_check_every_converges_to_same_point(spark):
+def test_pagerank_rounds_per_job_moves_no_result(spark):
     edges = spark.createDataFrame([(1, 2, 1), (2, 3, 1), (3, 1, 1), (3, 4, 1), (4, 1, 1)],
                                   "src long, dst long, weight long")
-    a = {r["id"]: r["rank"] for r in pagerank(edges, max_iter=300, tol=1e-5).collect()}
-    b = {r["id"]: r["rank"] for r in pagerank(edges, max_iter=300, tol=1e-5,
-                                              check_every=7).collect()}
-    assert a == pytest.approx(b, abs=1e-3)
+    a, b = ({r["id"]: r["rank"] for r in pagerank(edges, tol=1e-4, rounds_per_job=n).collect()}
+            for n in (1, 7))
+    assert a == pytest.approx(b, rel=1e-12)
+
+
+def test_pagerank_bound_raises(spark):
+    edges = spark.createDataFrame([(1, 2, 1), (2, 1, 1), (3, 1, 1)], "src long, dst long, weight long")
+    with pytest.raises(NotConverged):
+        pagerank(edges, max_iter=5)
+    with pytest.raises(ValueError):
+        pagerank(edges, tol=0.0)
+
+
+def test_pagerank_slow_hub_converges(spark):
+    # a cycle of two fed by 398 leaves: far more rounds than a usual cap
+    pairs = [(0, 1), (1, 0)] + [(k, 0) for k in range(2, 400)]
+    edges = spark.createDataFrame([(a, b, 1) for a, b in pairs], "src long, dst long, weight long")
+    got = {r["id"]: r["rank"] for r in pagerank(edges, rounds_per_job=12).collect()}
+    exp = _numpy_pagerank(400, pairs, 400)
+    assert max(abs(got[i] - exp[i]) for i in range(400)) < 1e-5
+    assert got[0] == pytest.approx(183.9, abs=0.05)
 
 
 def test_pagerank_sink_and_isolated_source(spark):
@@ -110,35 +127,8 @@ def test_pagerank_sink_and_isolated_source(spark):
     assert got == pytest.approx({5: 0.15, 6: 0.15 + 0.85 * 0.15})
 
 
-def test_checkpoint_partitioned_keeps_partitioning(spark):
-    from pyspark.sql import functions as F
-
-    from aloft.operators.graph import checkpoint_partitioned
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    edges = spark.range(2000).select(F.col("id").alias("src"), (F.col("id") % 97).alias("dst"))
-    light = checkpoint_partitioned(edges.repartition(n, "src"))
-    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
-    ranks = (light.select(F.col("dst").alias("id"), F.lit(1.0).alias("c"))
-             .groupBy("id").agg(F.sum("c").alias("rank")))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = light.join(ranks, light["src"] == ranks["id"])._jdf.queryExecution() \
-            .executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    # the only exchange is the rank aggregation's; the edge side is read in place
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert "Exchange hashpartitioning(src" not in plan
-
-
-def test_pagerank_modes_agree_under_tolerance(spark):
-    rng = np.random.default_rng(3)
-    pairs = {(0, int(d)) for d in range(1, 40)}
-    pairs |= {(int(a), int(b)) for a, b in rng.integers(1, 40, size=(80, 2)) if a != b}
-    edges = spark.createDataFrame([(a, b, 1) for a, b in sorted(pairs)],
-                                  "src long, dst long, weight long")
-    kw = dict(max_iter=60, tol=1e-3, check_every=3)
-    small = {r["id"]: r["rank"] for r in pagerank(edges, **kw).collect()}
-    large = {r["id"]: r["rank"] for r in pagerank(edges, broadcast_vertices=1, heavy_keys=4,
-                                                  **kw).collect()}
-    assert small == pytest.approx(large, abs=1e-2)
+def test_triplets_complete_the_vertex_set(spark):
+    edges = spark.createDataFrame([(1, 2, 1), (2, 3, 4)], "src long, dst long, weight long")
+    vertices = spark.createDataFrame([(1, "a"), (2, None)], "id long, attr string")
+    got = sorted(tuple(r) for r in triplets(vertices, edges, default_attr="z").collect())
+    assert got == [(1, "a", 2, None, 1), (2, None, 3, "z", 4)]

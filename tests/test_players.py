@@ -107,9 +107,13 @@ def test_distributed_indexer_equals_string_indexer(spark):
     df = spark.createDataFrame(rows, "id int, cat string")
     exp = {r["id"]: r["ix"] for r in ml.index_categories(
         df.where(F.col("cat").isNotNull()), "cat", "ix").collect()}
-    for bound in (200_000, 1):                       # broadcast and shuffled label table
-        got = {r["id"]: r["ix"] for r in
-               ml.index_categories_distributed(df, "cat", "ix", bound).collect()}
+    for limit in ("10m", "-1"):                      # broadcast and shuffled label table
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            got = {r["id"]: r["ix"] for r in
+                   ml.index_categories_distributed(df, "cat", "ix").collect()}
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         assert {k: v for k, v in got.items() if v is not None} == exp
         assert all(got[i] is None for i, c in rows if c is None)
 
