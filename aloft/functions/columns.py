@@ -43,8 +43,3 @@ def literal_pattern(sep: str) -> str:
 def split_words(col, sep: str = " ") -> Column:
     """Array of the pieces of ``col`` split on the literal separator (empty pieces kept)."""
     return F.split(_c(col), literal_pattern(sep))
-
-
-def non_empty_words(col, sep: str = " ") -> Column:
-    """Array of the words of ``col`` split on the literal separator, empty words dropped."""
-    return F.filter(split_words(col, sep), lambda w: w != F.lit(""))

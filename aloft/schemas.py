@@ -1,4 +1,7 @@
-"""Explicit schemas of the raw inputs (no inference passes over large files)."""
+"""Explicit schemas of the raw inputs (no inference passes over large files).
+
+Fixed values: column names, order and types are those of the input files.
+"""
 
 from pyspark.sql.types import (DateType, DoubleType, IntegerType, LongType, StringType,
                                StructField, StructType)
@@ -55,9 +58,6 @@ PLAYER_RAW = _struct([
     ("revenue", StringType()), ("paid", StringType()),
 ])
 
-PLAYER_NUMERIC = ["gender", "age", "friend_count", "lifetime",
-                  "game1", "game2", "game3", "game4", "paid_customer"]
-
 PLAYER = StructType(
     [StructField("gender", DoubleType(), False), StructField("age", DoubleType(), False),
      StructField("country", StringType(), True)]

@@ -2,13 +2,18 @@
 
 Every reader passes an explicit schema, so no inference job scans the input
 and column pruning / predicate pushdown reach the file scan.
+
+Malformed input fails the job (``FAILFAST``): a value that does not parse never turns into
+NULL.  ``permissive=True`` asks for NULLs instead.  Spark parses only the columns a query
+reads, so a bad value in an unread column goes unnoticed.  Headered files bind columns
+by name: any order, further columns ignored, a missing one is an error.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from aloft import schemas
 from aloft.constants import FLIGHT_NULL_TOKEN, FLIGHT_VIEW, MALE_TOKEN, PAID_TOKEN, SOCIAL_LINE
@@ -20,45 +25,80 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def load_flights(spark: SparkSession, path: str, view: str | None = FLIGHT_VIEW) -> DataFrame:
+def _mode(permissive: bool) -> str:
+    return "PERMISSIVE" if permissive else "FAILFAST"
+
+
+def schema_in_order(schema: StructType, names: list[str], what: str) -> StructType:
+    """``schema``'s fields in the order of a header's ``names``; other columns are strings."""
+    types = {f.name: f.dataType for f in schema.fields}
+    missing = [n for n in types if n not in names]
+    if missing:
+        raise ValueError(f"{what} lacks the column(s) {', '.join(missing)}")
+    return StructType([StructField(n, types.get(n, StringType())) for n in names])
+
+
+def read_headered(spark: SparkSession, path: str, schema: StructType, permissive: bool = False,
+                  **options) -> DataFrame:
+    """Headered CSV bound by column name.  The order is taken from the first file's header;
+    ``enforceSchema=false`` makes Spark compare every file's header with it."""
+    names = spark.read.option("header", True).csv(path).columns
+    return (spark.read.schema(schema_in_order(schema, names, path))
+            .options(header=True, mode=_mode(permissive), enforceSchema=permissive, **options)
+            .csv(path).select(*schema.names))
+
+
+def load_flights(spark: SparkSession, path: str, view: str | None = FLIGHT_VIEW,
+                 permissive: bool = False) -> DataFrame:
     """Headered flight CSV, ``NA`` -> NULL, registered as a temp view.
 
     Empty unquoted fields also read as NULL; quoted empty strings stay ''.
     """
-    df = (spark.read.schema(schemas.FLIGHT)
-          .option("header", True)
-          .option("nullValue", FLIGHT_NULL_TOKEN)
-          .csv(path))
+    df = read_headered(spark, path, schemas.FLIGHT, permissive, nullValue=FLIGHT_NULL_TOKEN)
     if view:
         df.createOrReplaceTempView(view)
     return df
 
 
+def parse_flight_lines(lines: DataFrame, header: list[str], col: str = "value",
+                       permissive: bool = False) -> DataFrame:
+    """Q01 on a column of flight CSV lines whose columns are in the order of ``header``."""
+    schema = schema_in_order(schemas.FLIGHT, header, "the flight header")
+    return read_csv_lines(lines, schema, col, {"nullValue": FLIGHT_NULL_TOKEN},
+                          permissive=permissive).select(*schemas.FLIGHT.names)
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     """Catalog lookup."""
     return spark.catalog.tableExists(name)
 
 
-def read_carriers(spark: SparkSession, path: str) -> DataFrame:
+def read_carriers(spark: SparkSession, path: str, permissive: bool = False) -> DataFrame:
     """Carrier dimension (Code, Description)."""
-    return spark.read.schema(schemas.CARRIER).option("header", True).csv(path)
+    return read_headered(spark, path, schemas.CARRIER, permissive)
 
 
-def read_airports(spark: SparkSession, path: str) -> DataFrame:
+def read_airports(spark: SparkSession, path: str, permissive: bool = False) -> DataFrame:
     """Airport dimension (iata, airport, city, state, country, lat, long)."""
-    return spark.read.schema(schemas.AIRPORT).option("header", True).csv(path)
+    return read_headered(spark, path, schemas.AIRPORT, permissive)
 
 
-def read_places(spark: SparkSession, path: str) -> DataFrame:
+def read_places(spark: SparkSession, path: str, permissive: bool = False) -> DataFrame:
     """19-field tab-separated place dump; quoting off because names hold quotes."""
     return (spark.read.schema(schemas.PLACE)
-            .option("sep", "\t").option("quote", "").option("header", False)
+            .options(sep="\t", quote="", header=False, mode=_mode(permissive))
             .csv(path))
 
 
-def read_country_codes(spark: SparkSession, path: str) -> DataFrame:
+def parse_place_lines(lines: DataFrame, col: str = "value", permissive: bool = False) -> DataFrame:
+    """Q13 on a column of raw place lines."""
+    return read_csv_lines(lines, schemas.PLACE, col, {"sep": "\t", "quote": ""},
+                          permissive=permissive)
+
+
+def read_country_codes(spark: SparkSession, path: str, permissive: bool = False) -> DataFrame:
     """(Name, Code) with quoted names.  'NA' is Namibia, so no nullValue."""
-    return spark.read.schema(schemas.COUNTRY_CODE).option("header", True).csv(path)
+    return read_headered(spark, path, schemas.COUNTRY_CODE, permissive)
 
 
 def parse_social_lines(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -75,18 +115,33 @@ def read_social(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv_lines(lines: DataFrame, schema: StructType, col: str = "value",
-                   options: dict | None = None, keep: list[str] | None = None) -> DataFrame:
+                   options: dict | None = None, keep: list[str] | None = None,
+                   permissive: bool = False) -> DataFrame:
     """Parse a column of CSV lines with the CSV reader's own parser (``from_csv``);
     ``keep`` carries other columns of ``lines`` through."""
     keep = list(keep or [])
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parsed = F.from_csv(F.col(col), ddl, options or {})
+    parsed = F.from_csv(F.col(col), ddl, {**(options or {}), "mode": _mode(permissive)})
     return lines.select(*keep, parsed.alias("__r")).select(*keep, "__r.*")
 
 
-def _player_row(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def _player_row(lines: DataFrame, col: str, keep: list[str] | None,
+                permissive: bool) -> DataFrame:
+    fields = schemas.PLAYER_RAW.names
+    parts = F.split(F.col(col), ",", -1)
+    if not permissive:
+        parts = F.when(F.size(parts) == len(fields), parts).otherwise(F.raise_error(F.concat(
+            F.lit(f"a player line needs {len(fields)} fields: "), F.col(col))))
+    raw = lines.select(*(keep or []), parts.alias("__p"))
+    raw = raw.select(*(keep or []), *[F.get("__p", i).alias(n) for i, n in enumerate(fields)])
+
     def num(c: str) -> Column:
-        return F.col(c).cast("double")
+        # TRY_CAST gives NULL for anything but a number, the empty field included
+        value = F.col(c).try_cast("double")
+        if permissive:
+            return value
+        return F.coalesce(value, F.raise_error(F.concat(
+            F.lit(f"player field {c} is no number: "), F.coalesce(F.col(c), F.lit("(none)")))))
 
     return raw.select(
         *(keep or []),
@@ -103,17 +158,17 @@ def _player_row(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
     )
 
 
-def parse_player_lines(lines: DataFrame, col: str = "value",
-                       keep: list[str] | None = None) -> DataFrame:
+def parse_player_lines(lines: DataFrame, col: str = "value", keep: list[str] | None = None,
+                       permissive: bool = False) -> DataFrame:
     """Q22 on a column of raw 16-field comma lines (``keep``: extra columns first)."""
-    return _player_row(read_csv_lines(lines, schemas.PLAYER_RAW, col, keep=keep), keep)
+    return _player_row(lines, col, keep, permissive)
 
 
-def read_players(spark: SparkSession, path: str) -> DataFrame:
+def read_players(spark: SparkSession, path: str, permissive: bool = False) -> DataFrame:
     """16-field comma lines -> 10-column player table.
 
-    Numeric fields are cast under ANSI rules, so a malformed number fails the
-    job instead of silently becoming NULL.
+    A line with another number of fields, or whose numeric fields hold no number (empty ones
+    included), fails the job.  ``permissive`` gives NULLs instead.
     """
-    raw = spark.read.schema(schemas.PLAYER_RAW).option("header", False).csv(path)
-    return _player_row(raw)
+    lines = spark.read.text(path).where(F.col("value") != "")
+    return _player_row(lines, "value", None, permissive)
