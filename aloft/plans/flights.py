@@ -1,8 +1,9 @@
 """Flight questions (Q01-Q12) over the 29-column flight table.
 
 Method names follow the original API in snake_case, so a caller can switch
-one for one.  Every method returns a lazy DataFrame (Q11 too: one row with
-``intercept`` and ``slope``).
+one for one.  Every method returns a DataFrame (Q11 too: one row with ``intercept`` and
+``slope``).  They are lazy, except that loading reads the header line and the two percentiles
+count values when called.
 """
 
 from __future__ import annotations
@@ -67,8 +68,13 @@ class FlightAnalytics:
 
     # Q07
     def time_spent_taxiing(self, df: DataFrame, require_both: bool = True,
-                           domestic: bool = False) -> DataFrame:
-        if domestic and self.airports is not None:
+                           domestic: bool | None = None) -> DataFrame:
+        """Flights within one country only; by default if the airports are known."""
+        if domestic is None:
+            domestic = self.airports is not None
+        if domestic:
+            if self.airports is None:
+                raise ValueError("domestic flights need the airport table")
             df = domestic_only(df, self.airports, country=DOMESTIC_COUNTRY)
         return two_sided_mean(df, "Origin", "TaxiIn", "Dest", "TaxiOut",
                               out_key="airport", out_value="taxi", require_both=require_both)

@@ -16,16 +16,19 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, St
                                StructType)
 
 from aloft.operators import (anti_lookup, conditional_share, count_by_key, count_within,
-                             edges_from_pairs, exact_percentile, field_mean, filter_project,
+                             domestic_only, edges_from_pairs, exact_percentile, field_mean, filter_project,
                              filtered_max, least_squares, most_active, moving_average,
                              out_degree, pagerank, route_counts, top1_with_lookup, top_ranked,
                              triplets, two_sided_mean, vertices_of, word_count)
 from aloft.operators import ml
 from aloft.operators.joins import semi_filter
-from aloft.schemas import PLAYER_FEATURES
-from aloft.sources import parse_player_lines, parse_social_lines, read_csv_lines, read_table
-from aloft.constants import (EARTH_RADIUS_KM, PAGERANK_RESET, SOCIAL_LINE, SPLIT_SEED,
-                             SPLIT_WEIGHTS)
+from aloft.constants import (EARTH_RADIUS_KM, PAGERANK_RESET, PAGERANK_TOL, SOCIAL_LINE,
+                             SPLIT_SEED, SPLIT_WEIGHTS)
+from aloft.plans.places import PlaceAnalytics
+from aloft.schemas import FLIGHT, PLACE, PLAYER_FEATURES
+from aloft.session import saved
+from aloft.sources import (parse_flight_lines, parse_place_lines, parse_player_lines,
+                           parse_social_lines, read_csv_lines, read_table)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,8 +39,10 @@ REGION = "AMERICA"
 PART_SIZE_OVER = 25
 GEO_CENTER = (-83.0, -167.0)              # (lat, lon) of customer 1 on the derived grid
 GEO_RADIUS_KM = 500.0
-GEO_TERM = "customer"
-PAGERANK_ROUNDS = 10
+GEO_TERM = "7"                            # some customer names hold it, some do not
+SHARE_KEY_MODULUS = 97                    # flags few customers' orders, so some groups have none
+DOMESTIC_REGION = 1                       # nations of this region count as one country
+PAGERANK_DIGITS = 6
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -80,10 +85,8 @@ def q_route_counts(spark, sf):                                     # Q06
                 .groupBy("o_custkey").agg(F.count(F.lit(1)).alias("w")))
     fact = per_cust.join(_t(spark, sf, "customer").select("c_custkey", "c_nationkey"),
                          per_cust["o_custkey"] == F.col("c_custkey"))
-    # nation is a parquet table: Spark sizes it from file statistics and
-    # broadcasts it without a hint (no extra counting job)
     return route_counts(fact, _t(spark, sf, "nation"), "c_nationkey", "n_nationkey", "n_name",
-                        out_col="Num", weight_col="w", dim_max_rows=None)
+                        out_col="Num", weight_col="w")
 
 
 def q_two_sided_mean(spark, sf):                                   # Q07
@@ -102,33 +105,39 @@ def q_p95(spark, sf):                                              # Q09
         .select(_r("p", 6).alias("p95_extendedprice"))
 
 
+def q_domestic_mean(spark, sf):                                    # Q07, domestic only
+    suppliers = _t(spark, sf, "supplier")
+    nations = _t(spark, sf, "nation").select(
+        "n_nationkey", F.col("n_regionkey").cast("string").alias("country"))
+    airports = (suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey"))
+                .select(F.col("s_suppkey").alias("iata"), "country"))
+    legs = _t(spark, sf, "lineitem").withColumn("dest", F.col("l_orderkey") % 100)
+    legs = domestic_only(legs, airports, "l_suppkey", "dest", country=str(DOMESTIC_REGION))
+    out = two_sided_mean(legs, "l_suppkey", "l_quantity", "dest", "l_tax", out_key="key",
+                         out_value="mean_value")
+    return out.select("key", _r("mean_value", 6).alias("mean_value"))
+
+
 def q_semi_filter(spark, sf):                                      # J07
-    """Rows whose two end keys both belong to allowed sets: left semi joins on
-    distinct keys.  The allowed sets come from parquet tables, so Spark's
-    statistics and AQE choose broadcast or shuffle (no counting jobs)."""
+    """Rows whose two end keys both belong to allowed sets.  The sets are semi joins
+    themselves, so Spark knows their size and lineitem is not shuffled for small ones."""
     region = _t(spark, sf, "region").where(F.col("r_name") == REGION)
-    suppliers = (_t(spark, sf, "supplier")
-                 .join(_t(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-                 .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
+    nations = semi_filter(_t(spark, sf, "nation"), "n_regionkey", region, "r_regionkey")
+    suppliers = semi_filter(_t(spark, sf, "supplier"), "s_nationkey", nations, "n_nationkey")
     big_parts = _t(spark, sf, "part").where(F.col("p_size") > PART_SIZE_OVER)
-    li = semi_filter(_t(spark, sf, "lineitem"), "l_suppkey", suppliers, "s_suppkey",
-                     max_rows=None)
-    li = semi_filter(li, "l_partkey", big_parts, "p_partkey", max_rows=None)
+    li = semi_filter(_t(spark, sf, "lineitem"), "l_suppkey", suppliers, "s_suppkey")
+    li = semi_filter(li, "l_partkey", big_parts, "p_partkey")
     return count_by_key(li, "l_returnflag", "count")
 
 
 def q_conditional_share(spark, sf):                                # Q10
-    # nation / region are parquet tables: Spark sizes them from file
-    # statistics (and AQE from runtime sizes) and broadcasts them unhinted
     dim = (_t(spark, sf, "customer").select("c_custkey", "c_nationkey")
            .join(_t(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
            .join(_t(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
            .select("c_custkey", "n_name", "r_name"))
-    # the dimension is per customer (grows with the data): no static size
-    # check, AQE broadcasts it only if its runtime size is small
-    out = conditional_share(_t(spark, sf, "orders"), dim, "o_custkey", "c_custkey",
-                            F.col("o_orderstatus") == "F", ["n_name", "r_name"],
-                            dim_max_rows=None)
+    flag = (F.col("o_orderstatus") == "F") & (F.col("o_custkey") % SHARE_KEY_MODULUS == 0)
+    out = conditional_share(_t(spark, sf, "orders"), dim, "o_custkey", "c_custkey", flag,
+                            ["n_name", "r_name"])
     return out.select("n_name", "r_name", _r("percentage", 9).alias("percentage"))
 
 
@@ -151,19 +160,43 @@ def q_moving_average_by_flag(spark, sf):                           # Q12, one se
 
 # ---------------------------------------------------------------- places-style
 
+def _part_places(spark, sf) -> PlaceAnalytics:
+    """Parts as places: the brand is the country, the size the elevation."""
+    return PlaceAnalytics(spark, places=_t(spark, sf, "part").select(
+        F.col("p_name").alias("name"), F.col("p_brand").alias("country_code"),
+        F.col("p_size").alias("dem")))
+
+
 def q_project_fields(spark, sf):                                   # Q13
-    return _t(spark, sf, "part").select("p_name", "p_brand", "p_size")
+    return _part_places(spark, sf).filter_data()
 
 
 def _brand_sizes(spark, sf):
-    return (_t(spark, sf, "part").where(F.col("p_brand") == BRAND)
-            .select(F.col("p_size").cast("int").alias("p_size")))
+    places = _part_places(spark, sf)
+    return places.filter_elevation(BRAND, places.filter_data()).select(
+        F.col("dem").alias("p_size"))
 
 
 def q_filter_measure(spark, sf):                                   # Q14
     return _brand_sizes(spark, sf)
 
 
+def place_lines(spark, sf) -> DataFrame:
+    """Suppliers rendered as raw 19-field place lines."""
+    own = {"geonameid": F.col("s_suppkey"), "name": F.concat(F.lit('"'), F.col("s_name")),
+           "country_code": F.col("s_nationkey"), "dem": F.floor("s_acctbal").cast("int"),
+           "latitude": F.col("s_suppkey") % 90, "population": F.col("s_suppkey") * 10}
+    fields = [F.coalesce(own[n].cast("string"), F.lit("")) if n in own else F.lit("")
+              for n in PLACE.names]
+    return _t(spark, sf, "supplier").select(F.concat_ws("\t", *fields).alias("value"))
+
+
+def q_place_rows(spark, sf):                                       # Q13 S04 F-free parse
+    rows = parse_place_lines(place_lines(spark, sf))
+    return rows.select("geonameid", "name", "country_code", "dem", "latitude", "population",
+                       "timezone")
+
+
 def q_mean_measure(spark, sf):                                     # Q15
     return field_mean(_brand_sizes(spark, sf), "p_size", "m").select(
         _r("m", 9).alias("mean_size"))
@@ -218,11 +251,10 @@ def q_edges_from_pairs(spark, sf):                                 # Q19
 
 
 def q_triplets(spark, sf):                                         # J08
-    # the edge table feeds the vertex set and both joins: materialise it once
-    # in the checkpoint folder instead of re-parsing the events three times
-    e = social_edges(spark, sf).checkpoint()
-    v = vertices_of(e).select("id", F.col("id").cast("int").alias("attr"))
-    return triplets(v, e)
+    """The attribute is not the id, and vertices with odd ids are not listed."""
+    e = saved(social_edges(spark, sf), "edges")
+    v = vertices_of(e).where(F.col("id") % 2 == 0).select("id", (F.col("id") * 3 + 1).alias("attr"))
+    return triplets(v, e, default_attr=0)
 
 
 def q_out_degree(spark, sf):                                       # G02
@@ -234,11 +266,11 @@ def q_most_active(spark, sf):                                      # Q20
 
 
 def _ranks(spark, sf):
-    return pagerank(social_edges(spark, sf), max_iter=PAGERANK_ROUNDS, tol=0.0)
+    return pagerank(social_edges(spark, sf))  # to its tolerance
 
 
 def q_pagerank(spark, sf):                                         # Q21 (all ranks)
-    return _ranks(spark, sf).select("id", _r("rank", 6).alias("rank"))
+    return _ranks(spark, sf).select("id", _r("rank", PAGERANK_DIGITS).alias("rank"))
 
 
 def q_pagerank_top(spark, sf):                                     # Q21 (highest)
@@ -263,9 +295,27 @@ def q_csv_na_roundtrip(spark, sf):                                 # Q01 parse r
                           options={"nullValue": "NA"})
 
 
+def flight_lines(spark, sf, header: list[str]) -> DataFrame:
+    """lineitem rendered as flight CSV lines with the columns in the order of ``header``."""
+    own = {"FlightNum": F.col("l_orderkey"), "TailNum": F.concat(F.lit("N"), F.col("l_suppkey")),
+           "Origin": F.col("l_suppkey"), "Dest": F.col("l_partkey"),
+           "Distance": F.col("l_quantity").cast("int"),
+           "DepDelay": F.when(F.col("l_discount") > 0, F.col("l_linenumber"))}
+    fields = [F.coalesce(own[n].cast("string"), F.lit("NA")) if n in own else F.lit("NA")
+              for n in header]
+    return _t(spark, sf, "lineitem").select(F.concat_ws(",", *fields).alias("value"))
+
+
+def q_flight_rows(spark, sf):                                      # Q01, columns by header name
+    header = sorted(FLIGHT.names, reverse=True)
+    return parse_flight_lines(flight_lines(spark, sf, header), header).select(
+        "FlightNum", "TailNum", "Origin", "Dest", "Distance", "DepDelay", "ArrDelay")
+
+
 def player_lines(spark, sf) -> DataFrame:
-    """documents x labels rendered as raw 16-field player lines (doc_id kept aside)."""
-    d = _t(spark, sf, "documents").join(_t(spark, sf, "labels"), "doc_id")
+    """All documents with their labels, if any, as raw 16-field player lines (doc_id kept aside);
+    a document without labels is a customer who did not pay."""
+    d = _t(spark, sf, "documents").join(_t(spark, sf, "labels"), "doc_id", "left")
     s = lambda c: F.coalesce(c.cast("string"), F.lit(""))
     fields = [
         F.col("doc_id"), F.concat(F.lit("doc"), F.col("doc_id")),
@@ -291,7 +341,8 @@ def q_player_convert(spark, sf):                                   # Q22
 # ---------------------------------------------------------------- ml
 
 def indexed_players(spark, sf) -> DataFrame:
-    return ml.index_categories(players(spark, sf), "country", "country_index",
+    # the indexer, the scaler and the output read the converted rows from one written table
+    return ml.index_categories(saved(players(spark, sf), "players"), "country", "country_index",
                                handle_invalid="keep")
 
 
@@ -346,6 +397,42 @@ def q_evaluate(spark, sf):                                         # Q29
     return spark.createDataFrame([m], "auc double, auc_hard double, accuracy double, n bigint")
 
 
+def q_evaluate_scores(spark, sf):                                  # Q29 on given scores
+    rows = (_t(spark, sf, "documents").join(_t(spark, sf, "labels"), "doc_id")
+            .where(F.col("quality").isNotNull())
+            .select(F.col("quality").cast("double").alias("label"),
+                    (F.col("n_chars") % 1009).cast("double").alias("score"))
+            .withColumn("prediction", (F.col("score") > 500).cast("double")))
+    m = ml.evaluate(rows, "label", "prediction", "score")
+    return spark.createDataFrame([m], "auc double, auc_hard double, accuracy double, n bigint") \
+        .select(*[_r(c, 9).alias(c) for c in ("auc", "auc_hard", "accuracy")], "n")
+
+
+def _one_feature(spark, sf) -> DataFrame:
+    """Orders: is the status F, and is the priority one of the first two; unrelated but uneven."""
+    return saved(_t(spark, sf, "orders").select(
+        "o_orderkey", (F.col("o_orderstatus") == "F").cast("double").alias("label"),
+        (F.col("o_totalprice") > 100000).cast("double").alias("big")), "one-feature")
+
+
+def _one_feature_model(rows):
+    return ml.fit_logistic(ml.assemble(rows, ["big"]), "features", "label", max_iter=200, tol=1e-9)
+
+
+def q_logistic_fit(spark, sf):                                     # Q26 against the closed form
+    model = _one_feature_model(_one_feature(spark, sf))
+    return spark.createDataFrame(
+        [(round(float(model.intercept), 4), round(float(model.coefficients[0]), 4))],
+        "intercept double, coefficient double")
+
+
+def q_logistic_predict(spark, sf):                                 # Q27 against the closed form
+    rows = _one_feature(spark, sf)
+    out = ml.predict(_one_feature_model(rows), ml.assemble(rows, ["big"]))
+    return out.select("o_orderkey", "prediction",
+                      _r(ml.vector_to_array("probability")[1], 4).alias("p_positive"))
+
+
 QUERIES: dict[str, Query] = {
     "count_by_key": q_count_by_key,
     "filter_project": q_filter_project,
@@ -353,6 +440,7 @@ QUERIES: dict[str, Query] = {
     "anti_lookup": q_anti_lookup,
     "route_counts": q_route_counts,
     "two_sided_mean": q_two_sided_mean,
+    "domestic_mean": q_domestic_mean,
     "median": q_median,
     "p95": q_p95,
     "semi_filter": q_semi_filter,
@@ -362,6 +450,7 @@ QUERIES: dict[str, Query] = {
     "moving_average_by_flag": q_moving_average_by_flag,
     "project_fields": q_project_fields,
     "filter_measure": q_filter_measure,
+    "place_rows": q_place_rows,
     "mean_measure": q_mean_measure,
     "word_count": q_word_count,
     "word_count_documents": q_word_count_documents,
@@ -374,6 +463,7 @@ QUERIES: dict[str, Query] = {
     "pagerank": q_pagerank,
     "pagerank_top": q_pagerank_top,
     "csv_na_roundtrip": q_csv_na_roundtrip,
+    "flight_rows": q_flight_rows,
     "player_convert": q_player_convert,
     "category_index": q_category_index,
     "category_index_brand": q_category_index_brand,
@@ -383,6 +473,9 @@ QUERIES: dict[str, Query] = {
     "hash_split": q_hash_split,
     "fit_predict": q_fit_predict,
     "evaluate": q_evaluate,
+    "evaluate_scores": q_evaluate_scores,
+    "logistic_fit": q_logistic_fit,
+    "logistic_predict": q_logistic_predict,
 }
 
 
@@ -400,21 +493,22 @@ FROM (SELECT CASE WHEN event_type = 'purchase'
 WHERE regexp_full_match(value, '{_SOCIAL}')
 GROUP BY 1, 2"""
 
+# rounds go on while the last one changed some rank by the tolerance or more
 _RANKS = f"""
 WITH RECURSIVE e AS MATERIALIZED ({_EDGES}),
 deg AS MATERIALIZED (SELECT src, count(*) AS c FROM e GROUP BY src),
 v AS MATERIALIZED (SELECT src AS id FROM e UNION SELECT dst FROM e),
-r(i, id, v) AS (
-  SELECT 0, id, CAST(1.0 AS DOUBLE) FROM v
+r(i, id, v, delta) AS (
+  SELECT 0, id, CAST(1.0 AS DOUBLE), CAST(1.0 AS DOUBLE) FROM v
   UNION ALL
-  SELECT x.i, x.id, x.v FROM (
-    SELECT (SELECT max(i) FROM r) + 1 AS i, v.id,
+  SELECT x.i, x.id, x.v, max(abs(x.v - x.old)) OVER () FROM (
+    SELECT (SELECT max(i) FROM r) + 1 AS i, v.id, any_value(o.v) AS old,
            CAST({PAGERANK_RESET} AS DOUBLE) + CAST({1 - PAGERANK_RESET} AS DOUBLE)
              * coalesce(sum(r.v / deg.c), 0) AS v
-    FROM v LEFT JOIN e ON e.dst = v.id LEFT JOIN deg ON deg.src = e.src
+    FROM v JOIN r o ON o.id = v.id LEFT JOIN e ON e.dst = v.id LEFT JOIN deg ON deg.src = e.src
            LEFT JOIN r ON r.id = e.src
-    GROUP BY v.id) x
-  WHERE x.i <= {PAGERANK_ROUNDS})"""
+    WHERE o.delta >= {PAGERANK_TOL}
+    GROUP BY v.id) x)"""
 
 _PLAYERS = """
 SELECT d.doc_id,
@@ -428,7 +522,7 @@ SELECT d.doc_id,
        CAST(d.doc_id % 7 AS DOUBLE) AS game3,
        CAST(d.n_chars % 11 AS DOUBLE) AS game4,
        CAST(CASE WHEN l.quality = 1 THEN 1 ELSE 0 END AS DOUBLE) AS paid_customer
-FROM documents d JOIN labels l ON d.doc_id = l.doc_id"""
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
 _INDEXED_PLAYERS = f"""
 WITH p AS ({_PLAYERS}),
@@ -455,6 +549,14 @@ def _hav_sql(lat0: float, lon0: float) -> str:
             f" * cos(radians({lat0})) * cos(radians(lat)), 1.0)))")
 
 
+# without a penalty, the fit on one 0/1 feature gives each side its own log odds
+_LOGIT = """
+WITH c AS (SELECT CAST(sum(CASE WHEN o_totalprice <= 100000 AND o_orderstatus = 'F' THEN 1 END) AS DOUBLE) AS a1,
+                  CAST(sum(CASE WHEN o_totalprice <= 100000 AND o_orderstatus <> 'F' THEN 1 END) AS DOUBLE) AS a0,
+                  CAST(sum(CASE WHEN o_totalprice > 100000 AND o_orderstatus = 'F' THEN 1 END) AS DOUBLE) AS b1,
+                  CAST(sum(CASE WHEN o_totalprice > 100000 AND o_orderstatus <> 'F' THEN 1 END) AS DOUBLE) AS b0
+           FROM orders)"""
+
 _FEATS = ", ".join(f"round({c}, 6) AS {c}" for c in PLAYER_FEATURES)
 _STDS = ", ".join(f"stddev_samp({c}) AS s_{c}" for c in PLAYER_FEATURES)
 _SCALED = ", ".join(
@@ -485,6 +587,15 @@ WITH u AS (SELECT l_suppkey AS k, l_quantity AS v, 1 AS a, 0 AS b FROM lineitem
            UNION ALL
            SELECT l_partkey, l_tax, 0, 1 FROM lineitem)
 SELECT k AS "key", round(avg(v), 6) AS mean_value FROM u WHERE k IS NOT NULL
+GROUP BY k HAVING max(a) = 1 AND max(b) = 1""",
+    "domestic_mean": f"""
+WITH a AS (SELECT s_suppkey AS k FROM supplier JOIN nation ON s_nationkey = n_nationkey
+           WHERE n_regionkey = {DOMESTIC_REGION}),
+f AS (SELECT l_suppkey, l_orderkey % 100 AS dest, l_quantity, l_tax FROM lineitem
+      WHERE l_suppkey IN (SELECT k FROM a) AND l_orderkey % 100 IN (SELECT k FROM a)),
+u AS (SELECT l_suppkey AS k, l_quantity AS v, 1 AS a, 0 AS b FROM f
+      UNION ALL SELECT dest, l_tax, 0, 1 FROM f)
+SELECT k AS "key", round(avg(v), 6) AS mean_value FROM u
 GROUP BY k HAVING max(a) = 1 AND max(b) = 1""",
     "median": """
 SELECT round(quantile_cont(l_quantity, 0.5), 6) AS median_quantity FROM lineitem""",
@@ -497,14 +608,16 @@ WHERE EXISTS (SELECT 1 FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nati
               WHERE r.r_name = '{REGION}' AND s.s_suppkey = l.l_suppkey)
   AND EXISTS (SELECT 1 FROM part p WHERE p.p_size > {PART_SIZE_OVER} AND p.p_partkey = l.l_partkey)
 GROUP BY l_returnflag""",
-    "conditional_share": """
+    "conditional_share": f"""
 SELECT n.n_name, r.r_name,
-       round(sum(CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END) / count(*), 9) AS percentage
+       round(sum(CASE WHEN o.o_orderstatus = 'F' AND o.o_custkey % {SHARE_KEY_MODULUS} = 0
+                 THEN 1 ELSE 0 END) / count(*), 9) AS percentage
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
      JOIN nation n ON c.c_nationkey = n.n_nationkey
      JOIN region r ON n.n_regionkey = r.r_regionkey
 GROUP BY n.n_name, r.r_name
-HAVING sum(CASE WHEN o.o_orderstatus = 'F' THEN 1 ELSE 0 END) > 0""",
+HAVING sum(CASE WHEN o.o_orderstatus = 'F' AND o.o_custkey % {SHARE_KEY_MODULUS} = 0
+           THEN 1 ELSE 0 END) > 0""",
     "least_squares": """
 WITH p AS (SELECT CAST(l_quantity AS DOUBLE) AS x, avg(l_extendedprice) AS y
            FROM lineitem WHERE l_quantity >= 0 GROUP BY l_quantity)
@@ -530,7 +643,13 @@ SELECT l_returnflag, strftime(d, '%Y-%m-%d') AS "date",
 FROM d
 WINDOW w AS (PARTITION BY l_returnflag ORDER BY d
              RANGE BETWEEN INTERVAL 5 DAYS PRECEDING AND INTERVAL 5 DAYS FOLLOWING)""",
-    "project_fields": "SELECT p_name, p_brand, p_size FROM part",
+    "project_fields": "SELECT p_name AS name, p_brand AS country_code, p_size AS dem FROM part",
+    "place_rows": """
+SELECT CAST(s_suppkey AS INTEGER) AS geonameid, '"' || s_name AS name,
+       CAST(s_nationkey AS VARCHAR) AS country_code, CAST(floor(s_acctbal) AS INTEGER) AS dem,
+       CAST(s_suppkey % 90 AS DOUBLE) AS latitude, CAST(s_suppkey * 10 AS BIGINT) AS population,
+       CAST(NULL AS VARCHAR) AS timezone
+FROM supplier""",
     "filter_measure": f"SELECT CAST(p_size AS INTEGER) AS p_size FROM part WHERE p_brand = '{BRAND}'",
     "mean_measure": f"SELECT round(avg(p_size), 9) AS mean_size FROM part WHERE p_brand = '{BRAND}'",
     "word_count": """
@@ -554,15 +673,24 @@ WHERE contains(lower(c_name), '{GEO_TERM}')
   AND {_hav_sql(*GEO_CENTER)} <= {GEO_RADIUS_KM}""",
     "edges_from_pairs": _EDGES,
     "triplets": f"""
-SELECT src, CAST(src AS INTEGER) AS src_attr, dst, CAST(dst AS INTEGER) AS dst_attr, weight
+SELECT src, CASE WHEN src % 2 = 0 THEN src * 3 + 1 ELSE 0 END AS src_attr,
+       dst, CASE WHEN dst % 2 = 0 THEN dst * 3 + 1 ELSE 0 END AS dst_attr, weight
 FROM ({_EDGES}) e""",
     "out_degree": f"SELECT src AS id, count(*) AS out_degree FROM ({_EDGES}) e GROUP BY src",
     "most_active": f"""
 SELECT src AS id, count(*) AS out_degree FROM ({_EDGES}) e GROUP BY src
 ORDER BY out_degree DESC, id LIMIT 1""",
-    "pagerank": _RANKS + f"\nSELECT id, round(v, 6) AS rank FROM r WHERE i = {PAGERANK_ROUNDS}",
-    "pagerank_top": _RANKS + f"\nSELECT id FROM r WHERE i = {PAGERANK_ROUNDS} "
-                             "ORDER BY v DESC, id LIMIT 1",
+    "pagerank": _RANKS + f"""
+SELECT id, round(v, {PAGERANK_DIGITS}) AS rank FROM r WHERE i = (SELECT max(i) FROM r)""",
+    "pagerank_top": _RANKS + """
+SELECT id FROM r WHERE i = (SELECT max(i) FROM r) ORDER BY v DESC, id LIMIT 1""",
+    "flight_rows": """
+SELECT CAST(l_orderkey AS INTEGER) AS FlightNum, 'N' || l_suppkey AS TailNum,
+       CAST(l_suppkey AS VARCHAR) AS Origin, CAST(l_partkey AS VARCHAR) AS Dest,
+       CAST(trunc(l_quantity) AS INTEGER) AS Distance,
+       CASE WHEN l_discount > 0 THEN l_linenumber END AS DepDelay,
+       CAST(NULL AS INTEGER) AS ArrDelay
+FROM lineitem""",
     "csv_na_roundtrip": """
 SELECT l_orderkey, l_linenumber, l_quantity,
        CASE WHEN l_discount = 0 THEN NULL ELSE l_discount END AS l_discount, l_returnflag
@@ -575,7 +703,7 @@ SELECT d.doc_id,
        CASE WHEN substr(md5(CAST(d.doc_id AS VARCHAR) || ':{SPLIT_SEED}'), 1, 8)
                  < '{int(round(SPLIT_WEIGHTS[0] * 2 ** 32)):08x}'
             THEN 'train' ELSE 'test' END AS split
-FROM documents d JOIN labels l ON d.doc_id = l.doc_id""",
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "category_index": _index_sql("documents", "doc_id", "lang", "lang_index"),
     "category_index_brand": _index_sql("part", "p_partkey", "p_brand", "brand_index"),
     "category_index_distributed": """
@@ -585,4 +713,26 @@ SELECT d.doc_id, d.lang, r.ix AS lang_index FROM documents d LEFT JOIN r ON d.la
     "assemble": _INDEXED_PLAYERS + f"\nSELECT doc_id, {_FEATS} FROM a",
     "scale": _INDEXED_PLAYERS + f", s AS (SELECT {_STDS} FROM a)\n"
                                 f"SELECT doc_id, {_SCALED} FROM a CROSS JOIN s",
+    # area under the curve as the rank sum, tied scores sharing their mean rank
+    "evaluate_scores": """
+WITH t AS (SELECT CAST(l.quality AS DOUBLE) AS y, CAST(d.n_chars % 1009 AS DOUBLE) AS s
+           FROM documents d JOIN labels l USING (doc_id) WHERE l.quality IS NOT NULL),
+k AS (SELECT y, s, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS r,
+             rank() OVER (ORDER BY s > 500) + (count(*) OVER (PARTITION BY s > 500) - 1) / 2.0 AS h
+      FROM t),
+c AS (SELECT sum(y) AS p, count(*) - sum(y) AS q, sum(y * r) AS sr, sum(y * h) AS sh,
+             avg(CASE WHEN (s > 500) = (y = 1) THEN 1.0 ELSE 0.0 END) AS accuracy, count(*) AS n
+      FROM k)
+SELECT round((sr - p * (p + 1) / 2) / (p * q), 9) AS auc,
+       round((sh - p * (p + 1) / 2) / (p * q), 9) AS auc_hard, round(accuracy, 9) AS accuracy, n
+FROM c""",
+    "logistic_fit": _LOGIT + """
+SELECT round(ln(a1 / a0), 4) AS intercept,
+       round(ln(b1 / b0) - ln(a1 / a0), 4) AS coefficient FROM c""",
+    "logistic_predict": _LOGIT + """
+SELECT o_orderkey, CAST(CASE WHEN o_totalprice > 100000 THEN b1 > b0 ELSE a1 > a0 END AS DOUBLE)
+         AS prediction,
+       round(CASE WHEN o_totalprice > 100000 THEN b1 / (b0 + b1) ELSE a1 / (a0 + a1) END, 4)
+         AS p_positive
+FROM orders CROSS JOIN c""",
 }

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from aloft.plans.tables import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -33,7 +34,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF)
     cols = sorted(df.columns)
@@ -46,7 +47,7 @@ def test_query_matches_oracle(spark, con, name):
     assert _key(srows) == _key(drows)
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL)))
 def test_rows_only_queries_run(spark, name):
     df = entry.queries()[name](spark, SF)
     assert df.count() >= 1
@@ -55,3 +56,25 @@ def test_rows_only_queries_run(spark, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["n_name", "Num"] and df.count() >= 0
+
+
+# The operators return sorted rows, checked with DuckDB's ORDER BY
+ORDERED = {
+    "count_by_key": '"count" DESC, l_suppkey',
+    "route_counts": "Num DESC, n_name",
+    "two_sided_mean": 'mean_value, "key"',
+    "conditional_share": "percentage DESC, n_name DESC, r_name DESC",
+    "word_count": '"count" DESC, word',
+    "word_count_documents": '"count" DESC, word',
+    "moving_average": '"date"',
+}
+
+
+@pytest.mark.parametrize("name", sorted(ORDERED))
+def test_row_order(spark, con, name):
+    df = entry.queries()[name](spark, SF)
+    cols = ", ".join(f'"{c}"' for c in df.columns)
+    got = [tuple(_norm(x) for x in r) for r in df.collect()]
+    want = con.execute(f"SELECT {cols} FROM ({ORACLE_SQL[name]}) ORDER BY {ORDERED[name]}").fetchall()
+    want = [tuple(_norm(x) for x in r) for r in want]
+    assert got == want and len(got) > 1

@@ -11,7 +11,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from aloft.plans.tables import QUERIES  # noqa: E402
 from aloft.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
 NOTES = {
@@ -23,11 +23,15 @@ NOTES = {
     "route_counts": "orders counted per customer before the customer join, then per nation; "
                     "small dimensions broadcast by Spark's own size statistics",
     "two_sided_mean": "one scan (each row explodes into its two sides), one shuffle, partial avg + side flags",
-    "median": "sketch + bracket-count scans, then a window over the narrow bracket only "
-              "(bounded by band_limit, not by the table)",
+    "domestic_mean": "both ends semi-joined to the airports of one country, then as two_sided_mean",
+    "place_rows": "map-only: TSV lines rendered and parsed in FAILFAST mode",
+    "flight_rows": "map-only: CSV lines whose columns are bound by header name, FAILFAST",
+    "evaluate_scores": "as evaluate, on given scores",
+    "logistic_fit": "one 0/1 feature, unpenalised: the closed form is the oracle",
+    "logistic_predict": "as logistic_fit; scoring is map-only",
+    "median": "one scan into counts per value, dealt to value ranges; the one or two ranges that hold the ranks are read again",
     "p95": "as median",
-    "semi_filter": "two left semi joins on distinct allowed keys (Spark's statistics / AQE "
-                   "pick broadcast), then a partial count",
+    "semi_filter": "left semi joins whose allowed sets are semi joins themselves: broadcast, no lineitem shuffle; then a partial count",
     "conditional_share": "orders pre-aggregated per customer (flagged, total), one join, one "
                          "re-aggregation; replaces two scans and a join of aggregates",
     "least_squares": "partial avg per x, one-row regr_* aggregate; no driver round trips",
@@ -43,28 +47,23 @@ NOTES = {
                         "global sort); the one-row winner joins the per-code lookup names",
     "count_within": "latitude band first, haversine only on survivors; map-only + one-row count",
     "edges_from_pairs": "regex filter/capture map-side, partial count per (src, dst)",
-    "triplets": "edges checkpointed once; vertex set broadcast after a row-bound check",
+    "triplets": "edges written once; two left joins to the vertex table with a default attribute",
     "out_degree": "partial count per src",
     "most_active": "partial count per src + TakeOrderedAndProject",
-    "pagerank": "iterative (plan shown is the final read of the checkpointed ranks): rank "
-                "vector broadcast when the vertex count is proven small, else edges "
-                "pre-partitioned by src with hub sources split onto a broadcast path",
+    "pagerank": "runs to its tolerance (plan shown is the final read of the written ranks): several rounds a job, ranks joined with adjacency chunks, one aggregation a round",
     "pagerank_top": "as pagerank + TakeOrderedAndProject",
     "csv_na_roundtrip": "map-only: lines rendered and parsed by from_csv in the same stage",
-    "player_convert": "labels broadcast (AQE) into the documents scan; text column not read",
+    "player_convert": "labels joined left to all documents; text column not read; bad lines fail",
     "category_index": "StringIndexer: one grouped count (labels to the driver are bounded by "
                        "category cardinality), then a map-only lookup",
     "category_index_brand": "as category_index",
-    "category_index_distributed": "label counts grouped, ranks from a range-partitioned running "
-                                  "total (no label list on the driver), label table broadcast "
-                                  "under a row bound",
+    "category_index_distributed": "label counts grouped, ranks from a range-partitioned running total (no label list on the driver); NULL labels stay out of the join",
     "assemble": "map-only after the indexer fit",
     "scale": "StandardScaler: one tree-aggregate of fixed-size summaries, then map-only",
     "hash_split": "map-only md5 of the row key, one pass; independent of partitioning and "
                   "reproducible in SQL",
-    "fit_predict": "input checkpointed once; logistic regression = tree aggregates per "
-                   "iteration; scoring is map-only",
-    "evaluate": "binned ROC (fixed bin count) + one accuracy aggregate",
+    "fit_predict": "input written once; logistic regression = tree aggregates per iteration; scoring is map-only",
+    "evaluate": "scored rows written once; exact ROC over all distinct scores + one accuracy aggregate",
 }
 
 
@@ -104,7 +103,7 @@ def main() -> None:
            "| query | shuffles | broadcasts | reused | joins | windows | python | scans "
            "(columns read / pushed filters) | at scale |",
            "| --- | --- | --- | --- | --- | --- | --- | --- | --- |"]
-    for name, fn in entry.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()

@@ -18,7 +18,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from aloft.operators import (anti_lookup, conditional_share, count_by_key,  # noqa: E402
-                             pagerank, route_counts, two_sided_mean, word_count)
+                             pagerank, route_counts, semi_filter, triplets,
+                             two_sided_mean, word_count)
 from aloft.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
 
@@ -62,12 +63,17 @@ def main() -> None:
                             hot.where(F.col("l_returnflag") == "R"), "s_suppkey", "l_suppkey"))
     run("conditional_share(returned share per supplier nation)",
         lambda: conditional_share(hot, supplier.select("s_suppkey", "s_nationkey"), "l_suppkey",
-                                  "s_suppkey", F.col("l_returnflag") == "R", ["s_nationkey"],
-                                  dim_max_rows=None))
+                                  "s_suppkey", F.col("l_returnflag") == "R", ["s_nationkey"]))
     edges = (hot.select(F.col("l_suppkey").alias("src"), F.col("l_partkey").alias("dst"))
              .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("weight")))
-    run("pagerank, shuffled plan with hub split (vertex 0 owns a third of the edges)",
-        lambda: pagerank(edges, max_iter=3, tol=0.0, broadcast_vertices=0, heavy_keys=64))
+    run("pagerank (vertex 0 owns a third of the edges)",
+        lambda: pagerank(edges, max_iter=3, tol=0.0))
+    run("semi_filter(lines of suppliers of one nation)",
+        lambda: semi_filter(hot, "l_suppkey", supplier.where(F.col("s_nationkey") == 3),
+                            "s_suppkey").groupBy("l_returnflag").count())
+    run("triplets(vertex 0 owns a third of the edges)",
+        lambda: triplets(supplier.select(F.col("s_suppkey").alias("id"),
+                                         F.col("s_name").alias("attr")), edges))
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     run("word_count(documents.text)", lambda: word_count(docs, "text"))
     spark.stop()
