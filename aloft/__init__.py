@@ -8,7 +8,6 @@ Layout:
               time series, text, geo, graph, ml)
   plans/      the user-facing question APIs (flights, places, players) and the
               registered queries over the shared parquet tables
-  streaming/  Structured Streaming variants of the counting operators
 """
 
 from aloft.session import build_session, checkpoint_dir, ensure_checkpoint_dir
