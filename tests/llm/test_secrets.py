@@ -1,0 +1,73 @@
+import hashlib
+import re
+
+from aloft.llm import secrets
+from aloft.llm.queries import QUERIES
+
+KEY = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w)
+               for w in ("password", "passwd", "secret", "token", "api_?key"))
+BASE = [("assign", rf"""({KEY})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
+         lambda m: len(m[2]) >= 6), ("access", "AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20),
+        ("hex", "[0-9a-f]+", lambda m: len(m[0]) >= 24)]
+
+
+def brute(text):
+    found = [(m.start(), k, name, m.end()) for k, (name, p, ok) in enumerate(BASE)
+             for m in re.finditer(p, text or "") if ok(m)]
+    return [(n, s, e) for s, _, n, e in sorted(found)]
+
+
+def check(rows, docs):
+    want = []
+    for r in docs:
+        f = brute(r.text)
+        joined = ",".join(f"{n}:{s}:{e}" for n, s, e in f)
+        want.append((str(r.doc_id), *(sum(x[0] == k for x in f) for k in ("assign", "access", "hex")),
+                     hashlib.sha256(joined.encode()).hexdigest()))
+    assert sorted((str(r.doc_id), r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in rows) == sorted(want)
+
+
+CASES = ["api_key = 'abc12' token:abcdef", "PASSWORD=\"x.y/z+1\" secret: 12345", "AKIA" + "Z" * 15,
+         "xAKIA" + "9" * 16 + "q", "0" * 23 + " " + "f" * 24, "apikey:token=secretsecret", "ſecret=abcdefgh",
+         "passwd  =  " + "a" * 50, "é token=abcdefg", "toKen\t=abcdefg", "token:\x20\x20\"abcdef\"",
+         "-----BEGIN RSA PRIVATE KEY-----\nabc\n-----END RSA PRIVATE KEY-----",
+         "https://user:pw@host/ and eyJabcdefghijk.abcdefghijkl.sig", None, ""]
+
+
+def test_base_rules_and_added_spans(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(CASES)], "doc_id long, text string")
+    rows = secrets.find_secrets(docs).collect()
+    check(rows, docs.collect())
+    spans = {r.doc_id: r.spans for r in rows}
+    assert spans[11].startswith("pem:0:") and "url_login:0:16" in spans[12] and "jwt:" in spans[12]
+
+
+def test_odd_rows_and_query(spark, sf, documents, odd_docs, no_docs):
+    check(secrets.find_secrets(odd_docs).collect(), odd_docs.select("doc_id", "text").collect())
+    check(QUERIES["op6_secret_scans"](spark, sf).collect(), documents.collect())
+    assert secrets.find_secrets(no_docs).count() == 0
+
+
+def test_ledger_scans_a_blob_once_per_rule_version(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"token=abcdef{i % 3}") for i in range(30)], "doc_id long, text string")
+    ledger = secrets.BlobLedger(spark, str(tmp_path / "ledger"))
+    ledger.update(docs)
+    assert spark.read.parquet(ledger.path).count() == 3
+    more = docs.union(spark.createDataFrame([(99, "password: hunter22")], docs.schema))
+    ledger.update(more)
+    assert spark.read.parquet(ledger.path).count() == 4
+    check(secrets.find_secrets(more, ledger).collect(), more.collect())
+    assert spark.read.parquet(ledger.path).count() == 4
+    newer = secrets.BlobLedger(spark, ledger.path, rules="2")
+    newer.update(docs)
+    assert newer.rows().count() == 3 and spark.read.parquet(ledger.path).count() == 7
+
+
+def test_redact(spark):
+    docs = spark.createDataFrame(
+        [(1, "a token=abcdef0123456789abcdef012345 b", 5, "k"), (2, "clean", 5, "k"), (3, None, None, "k")],
+        "doc_id long, text string, n_chars int, spans string")
+    got = {r.doc_id: r for r in secrets.redact(docs, length_col="n_chars").collect()}
+    assert got[1].text == "a [SECRET] b" and got[1].n_chars == 12 and got[1].spans == "k"
+    assert got[2].text == "clean" and got[3].text is None and len(got) == 3
+    assert secrets.redact(docs).schema.simpleString() == docs.schema.simpleString()
