@@ -7,9 +7,10 @@ each vector, how its neighbours spread over the parts.  Every vector of the tabl
 in its most probable part; a query visits its most probable parts, as many as held-out sample
 queries need for a recall of ``TARGET``, and all vectors found there are ranked exactly.
 
+Parts are searched ``TOGETHER`` at a time, so that a query yields one ranked list for several parts.
 Equal vectors collapse to one indexed vector with its smallest ids (no more than k + 1 can ever
-be returned), so a vector that holds a third of all rows costs one.  Parts larger than
-``BLOCK`` vectors are dealt in blocks, and the queries go to every block of a part.
+be returned), so a vector that holds a third of all rows costs one.  Groups of parts larger than
+``BLOCK`` vectors are dealt in blocks, and the queries go to every block of a group.
 
 Vectors that are null, zero or hold null or non-finite components take no part, neither do
 those whose length is not the commonest.  Rows that share an id count as one row, that with
@@ -35,6 +36,7 @@ PER_PART, MOST_PARTS = 800, 64
 NEIGHBOURS = 12
 TARGET = 0.93
 BLOCK = 20_000
+TOGETHER = 8
 
 
 def nearest_graph(x: np.ndarray, k: int) -> np.ndarray:
@@ -220,19 +222,28 @@ def search(table: DataFrame, *, k: int = 20, every: int = 20, id_col: str = "vec
             x = np.array(batch.column(1).to_pylist())
             if len(x):
                 top = router.top(x, probes)
-                at = pa.array(np.repeat(np.arange(len(x)), top.shape[1]))
+                # one row per group of parts, with a bit for each of its parts to be searched
+                group = top // TOGETHER
+                bits = np.zeros((len(x), -(-router.parts // TOGETHER)), np.int64)
+                np.bitwise_or.at(bits, (np.arange(len(x))[:, None], group), 1 << (top % TOGETHER))
+                row, col = np.nonzero(bits)
+                at = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(top.ravel().astype(np.int32)), batch.column(0).take(at),
-                     batch.column(1).take(at)], names=["part", "query_id", "q"])
+                    [pa.array(col.astype(np.int32)), pa.array(bits[row, col].astype(np.int32)),
+                     batch.column(0).take(at), batch.column(1).take(at)],
+                    names=["group", "bits", "query_id", "q"])
 
     indexed = saved(distinct.select("v", "ids")
                     .mapInArrow(assign, "part int, v array<double>, ids array<long>"), "index")
-    sizes = {r["part"]: r["count"] for r in indexed.groupBy("part").count().collect()}  # <= MOST_PARTS
-    blocks = F.create_map(*[F.lit(x).cast("int") for p, c in sizes.items()
-                            for x in (p, -(-c // BLOCK))])[F.col("part")]
-    candidates = indexed.withColumn("block", F.pmod(F.xxhash64("v"), blocks).cast("int"))
+    group = F.floor(F.col("part") / TOGETHER).cast("int")
+    sizes = {r["group"]: r["count"] for r in indexed.groupBy(group.alias("group")).count().collect()}
+    # at most MOST_PARTS / TOGETHER entries
+    blocks = F.create_map(*[F.lit(x).cast("int") for g, c in sizes.items()
+                            for x in (g, -(-c // BLOCK))])[F.col("group")]
+    candidates = (indexed.withColumn("group", group)
+                  .withColumn("block", F.pmod(F.xxhash64("v"), blocks).cast("int")))
     queries = (rows.where(F.col("id") % every == 0).select("id", "v")
-               .mapInArrow(visit, "part int, query_id long, q array<double>")
+               .mapInArrow(visit, "group int, bits int, query_id long, q array<double>")
                .where(blocks.isNotNull())
                .withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))))
 
@@ -240,16 +251,19 @@ def search(table: DataFrame, *, k: int = 20, every: int = 20, id_col: str = "vec
         out: list[tuple] = []
         if len(q) and len(c):
             cv = np.array(c["v"].tolist())
+            part = c["part"].to_numpy() % TOGETHER
             first = np.array([i[0] for i in c["ids"]])
             ids = c["ids"].tolist()
-            qid = q["query_id"].to_numpy()
+            qid, bits = q["query_id"].to_numpy(), q["bits"].to_numpy()
             for s in range(0, len(q), 500):
                 qv = np.array(q["q"].iloc[s:s + 500].tolist())
                 sim = qv @ cv.T
+                sim[(bits[s:s + 500, None] >> np.arange(TOGETHER) & 1 == 0)[:, part]] = -np.inf
                 most = min(k + 1, len(cv))
                 cut = np.partition(sim, len(cv) - most, axis=1)[:, len(cv) - most]
                 for a in range(len(qv)):
-                    near = np.flatnonzero(sim[a] >= cut[a] - 1e-9 * max(1.0, abs(cut[a])))
+                    slack = 1e-9 * max(1.0, abs(cut[a])) if np.isfinite(cut[a]) else 0.0
+                    near = np.flatnonzero((sim[a] >= cut[a] - slack) & (sim[a] > -np.inf))
                     score = (cv[near] * qv[a]).sum(axis=1)  # same order of sums for every row
                     best = np.lexsort((first[near], -score))[:most]
                     for b in best:
@@ -257,7 +271,7 @@ def search(table: DataFrame, *, k: int = 20, every: int = 20, id_col: str = "vec
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype(
             {"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
-    found = (queries.groupBy("part", "block").cogroup(candidates.groupBy("part", "block"))
+    found = (queries.groupBy("group", "block").cogroup(candidates.groupBy("group", "block"))
              .applyInPandas(rank, "query_id long, vec_id long, score double"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
