@@ -29,12 +29,12 @@ from pyspark.sql import functions as F
 from aloft.llm.common import per_text
 
 #: per language: rows sampled, characters taken of a row, and characters in all
-ROWS, OF_ROW, SAMPLE = 200, 2_000, 40_000
+ROWS, OF_ROW, SAMPLE = 200, 2_000, 28_000
 #: characters of all languages' samples together; with many languages each gets less
-TOTAL = 800_000
+TOTAL = 560_000
 PIECE = 2_048
 #: classes of letters told apart in the tables; rarer ones never match
-CLASSES = 120
+CLASSES = 64
 _MODEL: dict = {}
 
 
