@@ -13,10 +13,10 @@ smaller id.  Matches never cross documents and are judged on the input.
    builds its Burrows-Wheeler transform and sends that, not the pieces.
 4. Merge.  The shards of a range are merged by iterative interleave refinement (Holt and
    McMillan 2014; blocks of equal prefixes as in Egidi and Manzini's LCP merge): the rows
-   of all shards start as one interval; in every iteration each row gives its symbol, rows are
-   dealt stably by symbol and move on by the LF mapping of their own shard.  After k
-   iterations they are interleaved by their first k symbols, and the boundaries say whose
-   common prefix is shorter.  Only rows that lead to a window after ``LENGTH`` iterations take
+   of all shards start as one interval; in every step each row gives its symbol (two symbols at
+   a time, for speed), rows are dealt stably by symbol and move on by the LF mapping of their
+   own shard.  After k symbols they are interleaved by their first k symbols, and the boundaries say whose
+   common prefix is shorter.  Only rows that lead to a window after ``LENGTH`` symbols take
    part, and those alone in their interval leave, since nothing can repeat them.  No suffix is
    compared or sorted again.
 5. The intervals left are the repeated strings.  Each shard gets one bit per window: whether a
@@ -40,11 +40,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aloft.llm.common import saved, ship
+from aloft.llm.common import saved, ship, shuffle_partitions
 from aloft.llm.lm import pack, unpack
 
 LENGTH, SEED = 50, 20
-BLOCK_BYTES, BUCKET_BYTES = 8_000_000, 16_000_000
+BLOCK_BYTES, BUCKET_BYTES = 8_000_000, 4_000_000
+#: windows hashed at a time
+CHUNK = 1 << 15
 #: different pieces of one minimiser from which it is split by window content
 HOT = 5_000
 LAST = 2 ** 63 - 1  # the id of rows without one
@@ -76,6 +78,21 @@ def _string_hashes(eights: np.ndarray, start: np.ndarray, length: np.ndarray) ->
     return h
 
 
+def _least_hashes(eights: np.ndarray, n: int) -> np.ndarray:
+    """Least hash of the ``SEED``-byte strings in each of ``n`` windows."""
+    m = n + LENGTH - SEED
+    least = _mix(eights[:m] + _C1)
+    for o in (*range(8, SEED - 7, 8), SEED - 8):
+        least = _mix(least ^ eights[o:o + m])
+    width, step = LENGTH - SEED + 1, 1
+    while step * 2 <= width:
+        least = np.minimum(least[:-step], least[step:])
+        step *= 2
+    if step < width:
+        least = np.minimum(least[:-(width - step)], least[width - step:])
+    return least
+
+
 def minimisers(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of windows with one minimiser: (hash, first window, number of windows).
 
@@ -86,18 +103,12 @@ def minimisers(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
     none = np.empty(0, np.int64)
     if n <= 0:
         return np.empty(0, np.uint64), none, none
-    eights = _eights(raw.tobytes() + bytes(8))
-    m = len(raw) - SEED + 1
-    h = _mix(eights[:m] + _C1)
-    for o in (*range(8, SEED - 7, 8), SEED - 8):
-        h = _mix(h ^ eights[o:o + m])
-    width, least = LENGTH - SEED + 1, h
-    step = 1
-    while step * 2 <= width:
-        least = np.minimum(least[:len(least) - step], least[step:])
-        step *= 2
-    if step < width:
-        least = np.minimum(least[:len(least) - (width - step)], least[width - step:])
+    least = np.empty(n, np.uint64)
+    padded = raw.tobytes() + bytes(8)
+    for at in range(0, n, CHUNK):  # parts whose arrays stay in the cache
+        end = min(at + CHUNK, n)
+        least[at:end] = _least_hashes(_eights(padded[at:end + LENGTH + 7]), end - at)
+    width = LENGTH - SEED + 1
     starts = np.concatenate([[0], ends[:-1]])
     valid = np.zeros(n + 1, np.int32)
     room = ends - starts >= LENGTH
@@ -142,7 +153,9 @@ class Block:
         self.fp, self.first, self.run = minimisers(self.raw, self.ends)
         self.text_of = np.searchsorted(self.ends, self.first, side="right")
         self.eights = _eights(self.raw.tobytes() + bytes(8))
-        self.hash = _string_hashes(self.eights, self.first, self.run + LENGTH - 1)
+
+    def hashes(self, first: np.ndarray, run: np.ndarray) -> np.ndarray:
+        return _string_hashes(self.eights, first, run + LENGTH - 1)
 
     def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sorted distinct minimisers, in how many texts each is, and in how many pieces."""
@@ -152,8 +165,9 @@ class Block:
         at = np.flatnonzero(new)
         other = new | np.append(True, text[1:] != text[:-1])[:len(fp)]
         texts = np.add.reduceat(other, at) if len(at) else at
-        order = np.lexsort((self.hash, self.fp))
-        fp, h = self.fp[order], self.hash[order]
+        whole = self.hashes(self.first, self.run)
+        order = np.lexsort((whole, self.fp))
+        fp, h = self.fp[order], whole[order]
         other = np.append(True, (fp[1:] != fp[:-1]) | (h[1:] != h[:-1]))[:len(fp)]
         pieces = np.add.reduceat(other, at) if len(at) else at
         return fp[at], texts.astype(np.uint32), pieces.astype(np.uint32)
@@ -165,7 +179,8 @@ class Block:
         Returns per occurrence (first, run, text, piece number) and per distinct piece
         (first, run, smallest id, bucket); pieces are numbered bucket by bucket.
         """
-        keys = np.unique(self.fp)
+        keys = np.sort(self.fp)
+        keys = keys[np.append(True, keys[1:] != keys[:-1])[:len(keys)]]
         of = state[np.searchsorted(keys, self.fp)] if len(keys) else np.empty(0, np.uint8)
         one, hot = np.flatnonzero(of == 1), np.flatnonzero(of == 2)
         wide = self.run[hot]
@@ -173,8 +188,7 @@ class Block:
                                 + np.arange(wide.sum()) - np.repeat(np.cumsum(wide) - wide, wide)])
         run = np.concatenate([self.run[one], np.ones(wide.sum(), np.int64)])
         text = np.concatenate([self.text_of[one], np.repeat(self.text_of[hot], wide)])
-        h = np.concatenate([self.hash[one], _string_hashes(
-            self.eights, first[len(one):], run[len(one):] + LENGTH - 1)])
+        h = self.hashes(first, run)
         # a hot minimiser's windows are dealt by their content
         key = np.concatenate([self.fp[one], h[len(one):]])
         order = np.lexsort((first, h, key))
@@ -197,36 +211,44 @@ def transform(raw: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndar
     ends = np.cumsum(size)
     starts = ends - size
     total = int(ends[-1])
-    owner = np.repeat(np.arange(len(size)), size)
-    inside = np.arange(total) - starts[owner]
+    stop = np.repeat(ends - 1, size)  # place of the end symbol of each position's string
+    here = np.arange(total)
     text = np.zeros(total + 8, np.uint8)
-    stop = ends[owner] - 1
-    body = np.flatnonzero(np.arange(total) < stop)
-    text[body] = raw[first[owner[body]] + inside[body]] + 1
-    # ranks of the suffixes by their first 8 bytes, then doubled; nothing is seen past an end
-    key = _eights(text.tobytes(), ">")[:total].astype(np.uint64)
-    left = stop - np.arange(total)
-    short = left < 8
-    key[short] &= ~(np.uint64(0xFFFFFFFFFFFFFFFF) >> (8 * left[short]).astype(np.uint64))
-    rank, span = _ranks(key), 8
-    longest = int(length.max())
-    while span < longest:
-        to = np.minimum(np.arange(total) + span, stop)
-        rank = _ranks((rank << np.uint64(32)) | rank[to])
+    body = here < stop
+    text[:total][body] = raw[(here + np.repeat(first - starts, size))[body]] + 1
+    # ranks of the suffixes by their first bytes, then doubled; nothing is seen past an end
+    span = 5 if total <= PACKED else 8
+    key = _eights(text.tobytes(), ">")[:total] >> np.uint64(8 * (8 - span))
+    short = np.flatnonzero(stop - here < span)
+    past = (8 * (span - (stop - here)[short])).astype(np.uint64)
+    key[short] = np.where(past < 64, key[short] >> (past % np.uint64(64)) << (past % np.uint64(64)), 0)
+    order, rank = _ranked(key)
+    while span < int(length.max()) and int(rank[order[-1]]) < total - 1:
+        then = rank[np.minimum(here + span, stop)]
+        order, rank = _ranked((rank << np.uint64(21 if total <= PACKED else 32)) | then)
         span *= 2
-    order = np.sort((rank << np.uint64(32)) | np.arange(total, dtype=np.uint64))
-    order = (order & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    before = text[order - 1]
-    before[inside[order] == 0] = 0
-    return before
-
-
-def _ranks(key: np.ndarray) -> np.ndarray:
-    order = np.argsort(key)
-    ordered = key[order]
-    rank = np.empty(len(key), np.uint64)
+    text[1:total] = text[:total - 1]  # now each position's symbol on the left
+    text[starts] = 0
+    return text[order]
+
+
+#: suffixes whose number fits beside two ranks in 64 bits; such keys can be sorted by value
+PACKED = 1 << 21
+
+
+def _ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the keys, equal ones by position, and the dense rank of each."""
+    n = len(key)
+    if n <= PACKED:
+        # 42 bits of key and 21 of position
+        both = np.sort((key << np.uint64(21)) | np.arange(n, dtype=np.uint64))
+        order, ordered = (both & np.uint64(PACKED - 1)).astype(np.int64), both >> np.uint64(21)
+    else:
+        order = np.argsort(key, kind="stable")
+        ordered = key[order]
+    rank = np.empty(n, np.uint64)
     rank[order] = np.cumsum(np.append(False, ordered[1:] != ordered[:-1])).astype(np.uint64)
-    return rank
+    return order, rank
 
 
 def merge(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> list[np.ndarray]:
@@ -252,19 +274,21 @@ def merge(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> list[np.nd
         row[start[live] + run[live] - 1 - t] = at[live]
         live = live[run[live] > t + 1]
         at[live] = lf[at[live]]
+    # two symbols an iteration, the one further left first
+    pair = symbols[lf].astype(np.uint16) << 8 | symbols
+    lf = lf[lf]
     who = np.arange(windows, dtype=np.int32)
     interval = np.zeros(windows, np.int32)
-    for k in range(LENGTH):
-        symbol = symbols[row]
+    for k in range(0, LENGTH, 2):
+        symbol = pair[row]
         order = np.argsort(symbol, kind="stable")
         row, who, interval, symbol = lf[row[order]], who[order], interval[order], symbol[order]
         edge = np.empty(len(row), bool)
         edge[:1] = True
         np.not_equal(symbol[1:], symbol[:-1], out=edge[1:])
         edge[1:] |= interval[1:] != interval[:-1]
-        if k % 6 == 5 or k == LENGTH - 1:
-            alone = edge & np.append(edge[1:], True)
-            stay = ~alone
+        if k % 6 == 4 or k == LENGTH - 2:
+            stay = ~(edge & np.append(edge[1:], True))
             row, who, edge = row[stay], who[stay], edge[stay]
         interval = np.cumsum(edge, dtype=np.int32)
     smaller = np.zeros(windows, bool)
@@ -299,7 +323,7 @@ def _packed(docs: DataFrame, id_col: str, text_col: str, blocks: int) -> DataFra
                      pa.array([[lowest[t] for t in own] for _, own in rows], pa.list_(pa.int64())),
                      pa.array([np.array([len(t) for t in own], "<i4").tobytes() for _, own in rows],
                               pa.binary()),
-                     pa.array([zstandard.ZstdCompressor(level=3).compress(b"".join(own))
+                     pa.array([zstandard.ZstdCompressor(level=1).compress(b"".join(own))
                                for _, own in rows], pa.binary())],
                     names=["block", "ids", "sizes", "blob"])
 
@@ -322,6 +346,8 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     blocks, buckets = int(max(1, size // BLOCK_BYTES)), int(max(4, size // BUCKET_BYTES))
     packed = _packed(docs, id_col, text_col, blocks)
+    # buckets are many bytes in few rows: keep their tasks apart, whatever the bytes shuffled
+    parts = min(buckets, shuffle_partitions(spark))
 
     def send_keys(key, table):
         keys, texts, pieces = Block(table).keys()
@@ -345,7 +371,7 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     states = saved(packed.groupBy("block").applyInArrow(
         send_keys, "bucket int, block long, keys binary, texts binary, pieces binary")
-        .groupBy("bucket").applyInArrow(judge, "block long, bucket int, state binary"), "states")
+        .repartition(parts, "bucket").groupBy("bucket").applyInArrow(judge, "block long, bucket int, state binary"), "states")
 
     def state_of(table) -> np.ndarray:
         return np.concatenate([unpack(b, np.uint8) for b in _in_order(table, "state")])
@@ -377,7 +403,7 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     bits = (states.groupBy("block").cogroup(packed.groupBy("block"))
             .applyInArrow(send_shards, "bucket int, block long, bwt binary, runs binary, low binary")
-            .groupBy("bucket").applyInArrow(merge_bucket, "block long, bucket int, bits binary"))
+            .repartition(parts, "bucket").groupBy("bucket").applyInArrow(merge_bucket, "block long, bucket int, bits binary"))
     # one table of both answers: a block meets its minimisers' states, its bits and its texts
     answers = (states.withColumn("bits", F.lit(None).cast("binary"))
                .unionByName(bits.withColumn("state", F.lit(None).cast("binary"))))
