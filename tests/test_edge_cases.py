@@ -117,3 +117,16 @@ def test_count_within_against_brute_force(spark):
     assert got == exp > 0
     d = df.select(haversine_km(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(180.0))).first()[0]
     assert d == pytest.approx(math.pi * 6371.0)
+
+
+def test_scratch_checkpoint_folder_is_for_local_masters_only():
+    from types import SimpleNamespace
+
+    from aloft import session
+
+    def fake(master):
+        return SimpleNamespace(sparkContext=SimpleNamespace(
+            master=master, getCheckpointDir=lambda: None), conf=SimpleNamespace(get=lambda k, d=None: d))
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.ensure_checkpoint_dir(fake(master))

@@ -7,6 +7,7 @@ from aloft.plans import FlightAnalytics
 from aloft.sources import table_exists
 from tests.conftest import write_text
 
+# The documented input rows and their layout.
 COLS = ("Year,Month,DayofMonth,DayOfWeek,DepTime,CRSDepTime,ArrTime,CRSArrTime,UniqueCarrier,"
         "FlightNum,TailNum,ActualElapsedTime,CRSElapsedTime,AirTime,ArrDelay,DepDelay,Origin,Dest,"
         "Distance,TaxiIn,TaxiOut,Cancelled,CancellationCode,Diverted,CarrierDelay,WeatherDelay,"

@@ -5,6 +5,7 @@ import pytest
 from aloft.plans import PlaceAnalytics
 from tests.conftest import write_text
 
+# The documented input rows and their layout.
 PLACES = [
     ("Courtyard Long Beach Downtown", 33.76801, -118.18572, 19),
     ("Comfort Inn & Suites Near Universal Studios", 34.18204, -118.38508, 208),

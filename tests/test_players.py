@@ -10,6 +10,7 @@ from aloft.schemas import PLAYER, PLAYER_FEATURES
 from tests.conftest import write_text
 
 # id,name,email,gender,age,address,country,registered_ms,friends,lifetime,g1,g2,g3,g4,revenue,paid
+# The documented input rows and their layout.
 ROWS = [
     ("male", 19, "USA", 0, 2, 0, 0, 1, 1, "no"),
     ("male", 27, "USA", 386, 3, 0, 0, 0, 3, "no"),

@@ -1,50 +1,29 @@
 """Every registered query against its SQL oracle (DuckDB) at sf0.001, plus
 the rows-only queries and the smoke entry."""
 
-import math
-
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
 from aloft.plans.tables import ORACLE_SQL, QUERIES
+from tools.compare import norm, rows_key, spark_rows, sql_rows, views
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("region nation customer supplier part orders lineitem events documents "
-          "embeddings pages benchmark labels conversations").split()
-
-
-def _norm(v):
-    if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 9)
-    if isinstance(v, int) and not isinstance(v, bool):
-        return float(v)
-    return v
-
-
-def _key(rows):
-    return sorted((tuple(_norm(x) for x in r) for r in rows), key=repr)
 
 
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in TABLES:
-        c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    views(c, SF)
     return c
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_matches_oracle(spark, con, name):
-    df = entry.queries()[name](spark, SF)
-    cols = sorted(df.columns)
-    srows = [tuple(r[c] for c in cols) for r in df.collect()]
-    rel = con.execute(entry.oracle_sql()[name])
-    dcols = [d[0] for d in rel.description]
-    order = sorted(range(len(dcols)), key=lambda i: dcols[i])
-    drows = [tuple(r[i] for i in order) for r in rel.fetchall()]
-    assert cols == sorted(dcols)
-    assert _key(srows) == _key(drows)
+    cols, got = spark_rows(entry.queries()[name](spark, SF))
+    want_cols, want = sql_rows(con, entry.oracle_sql()[name])
+    assert cols == want_cols
+    assert rows_key(got) == rows_key(want)
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE_SQL)))
@@ -74,7 +53,7 @@ ORDERED = {
 def test_row_order(spark, con, name):
     df = entry.queries()[name](spark, SF)
     cols = ", ".join(f'"{c}"' for c in df.columns)
-    got = [tuple(_norm(x) for x in r) for r in df.collect()]
+    got = [tuple(norm(x) for x in r) for r in df.collect()]
     want = con.execute(f"SELECT {cols} FROM ({ORACLE_SQL[name]}) ORDER BY {ORDERED[name]}").fetchall()
-    want = [tuple(_norm(x) for x in r) for r in want]
+    want = [tuple(norm(x) for x in r) for r in want]
     assert got == want and len(got) > 1
