@@ -130,7 +130,8 @@ def minimisers(raw: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
         k = np.arange(len(at)) - np.repeat(np.cumsum(parts) - parts, parts)
         run = np.minimum(np.repeat(run, parts) - k * width, width)
         first = at + k * width
-    return least[first], first, run
+    # least hashes are small numbers: mix them again, so that they spread over all ranges
+    return _mix(least[first] + _C2), first, run
 
 
 class Block:
