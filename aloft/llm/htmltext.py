@@ -96,9 +96,12 @@ def _evidence(name: str, attrs: str, in_content: bool) -> int:
     if found:
         words = set()
         for key in ("class", "id"):
-            for w in _NAMES.findall(re.sub(r"[_\s]+", " ", found.get(key, ""))):
+            for w in _NAMES.findall(found.get(key, "").replace("_", "-")):
                 words.add(w)
-                words.update(w.split("-"))
+                parts = w.split("-")
+                # "has-sidebar" says what is beside the element, not what it is
+                if parts[0] not in ("has", "no", "with", "without", "hide", "js"):
+                    words.update(parts)
         if words & BOILER_WORDS and not ({"header", "side"} >= words & BOILER_WORDS and in_content):
             return -1
         if name in CONTENT_TAGS or words & CONTENT_WORDS:

@@ -20,6 +20,13 @@ def test_article_without_boilerplate():
     assert htmltext.main_text(PAGE) == f"Head & tail {PROSE} Short. First point Second point abc d éé x"
 
 
+def test_class_words():
+    page = (f'<body class="has-sidebar"><div class="page_content has-sidebar no-ads"><p>{PROSE}</p>'
+            f'<div class="post-header"><h2>Part</h2></div><div class="ad_box">{PROSE}</div>'
+            f'<div id="fb-comments">{PROSE}</div></div>')
+    assert htmltext.main_text(page) == f"{PROSE} Part"
+
+
 def test_without_any_marks():
     page = f"<div><a href=1>x</a> <a href=2>y</a></div><div><p>{PROSE}<p>{PROSE}</div><div><a>c</a></div>"
     assert htmltext.main_text(page) == f"{PROSE} {PROSE}"
