@@ -23,8 +23,8 @@ smaller id.  Matches never cross documents and are judged on the input.
    smaller id than that of its own piece occurs in the interval.  Blocks turn bits into
    removed bytes.
 
-No group meets in one task: copies collapse per task and per block, identical pieces per block, and
-a minimiser with more than ``HOT`` different pieces is split by window content.
+No group meets in one task: copies collapse per task and per block, identical pieces per block and
+per range, and a minimiser with more than ``HOT`` different pieces is split by window content.
 
 Null texts are empty, null ids come after all others; rows with one id never remove bytes of each
 other unless a smaller id does; repeated rows get equal results.  Ids are integers.
@@ -178,7 +178,8 @@ class Block:
         2: hot) in the order of :meth:`keys`.
 
         Returns per occurrence (first, run, text, piece number) and per distinct piece
-        (first, run, smallest id, bucket); pieces are numbered bucket by bucket.
+        (first, run, smallest id, bucket, name); pieces are numbered bucket by bucket, and equal
+        pieces of different blocks have equal names (a hash of minimiser and content).
         """
         keys = np.sort(self.fp)
         keys = keys[np.append(True, keys[1:] != keys[:-1])[:len(keys)]]
@@ -202,7 +203,8 @@ class Block:
         low = np.minimum.reduceat(ids, np.flatnonzero(new)) if len(ids) else ids
         edges = (np.arange(1, buckets, dtype=object) * 2 ** 64 // buckets).astype(np.uint64)
         bucket = np.searchsorted(edges, key[new], side="right")
-        return (first, run, text, number), (first[lead], run[lead], low, bucket)
+        name = _mix(key[new] + h[new] * _C1)
+        return (first, run, text, number), (first[lead], run[lead], low, bucket, name)
 
 
 def transform(raw: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -252,26 +254,35 @@ def _ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, rank
 
 
-def merge(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> list[np.ndarray]:
-    """Merge shard transforms (symbols, windows per piece, smallest id per piece) by interleave
-    refinement.  Per shard: for every window whether a smaller id has the same string."""
+def merge(shards: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+    """Merge shard transforms (symbols, windows per piece, smallest id per piece, piece names) by
+    interleave refinement.  Per shard: for every window whether a smaller id has the same string.
+
+    A piece that several shards have takes part once, with the smallest of its ids.
+    """
     sizes = [len(s[0]) for s in shards]
     symbols = np.concatenate([s[0] for s in shards])
     lf = np.empty(len(symbols), np.int32)
     base = 0
     ends = []
-    for (own, run, _), size in zip(shards, sizes):
+    for (own, run, _, _), size in zip(shards, sizes):
         lf[base + np.argsort(own, kind="stable")] = np.arange(base, base + size, dtype=np.int32)
         ends.append(np.arange(base, base + len(run), dtype=np.int32))  # rows of the empty suffixes
         base += size
-    run = np.concatenate([s[1] for s in shards]).astype(np.int64)
-    low = np.concatenate([s[2] for s in shards])
+    every_run = np.concatenate([s[1] for s in shards]).astype(np.int64)
+    every_low = np.concatenate([s[2] for s in shards])
+    name = np.concatenate([s[3] for s in shards])
+    order = np.argsort(name, kind="stable")
+    new = np.append(True, name[order][1:] != name[order][:-1])
+    piece = np.empty(len(name), np.int64)  # which of the different pieces each one is
+    piece[order] = np.cumsum(new) - 1
+    run, low = every_run[order[new]], np.minimum.reduceat(every_low[order], np.flatnonzero(new))
     start = np.cumsum(run) - run
     windows = int(run.sum())
     # the row LENGTH symbols to the right of each window's start
     row = np.empty(windows, np.int32)
-    at, live = np.concatenate(ends), np.arange(len(run))
-    for t in range(int(run.max()) if len(run) else 0):
+    at, live = np.concatenate(ends)[order[new]], np.arange(len(run))
+    for t in range(int(run.max())):
         row[start[live] + run[live] - 1 - t] = at[live]
         live = live[run[live] > t + 1]
         at[live] = lf[at[live]]
@@ -292,14 +303,15 @@ def merge(shards: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> list[np.nd
             stay = ~(edge & np.append(edge[1:], True))
             row, who, edge = row[stay], who[stay], edge[stay]
         interval = np.cumsum(edge, dtype=np.int32)
-    smaller = np.zeros(windows, bool)
+    least = np.repeat(low, run)  # the smallest id of each window's string
     if len(row):
-        own = low[np.searchsorted(start, who, side="right") - 1]
         heads = np.flatnonzero(np.append(True, interval[1:] != interval[:-1]))
-        least = np.minimum.reduceat(own, heads)
-        smaller[who] = least[np.cumsum(np.append(True, interval[1:] != interval[:-1])) - 1] < own
-    cuts = np.cumsum([int(s[1].sum()) for s in shards])[:-1]
-    return np.split(smaller, cuts)
+        sizes = np.diff(np.append(heads, len(row)))
+        least[who] = np.repeat(np.minimum.reduceat(least[who], heads), sizes)
+    total = int(every_run.sum())
+    at = np.arange(total) + np.repeat(start[piece] - (np.cumsum(every_run) - every_run), every_run)
+    smaller = least[at] < np.repeat(every_low, every_run)
+    return np.split(smaller, np.cumsum([int(s[1].sum()) for s in shards])[:-1])
 
 
 def _packed(docs: DataFrame, id_col: str, text_col: str, blocks: int) -> DataFrame:
@@ -379,8 +391,8 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     def send_shards(left, right):
         block = Block(right)
-        _, (first, run, low, bucket) = block.shards(state_of(left), buckets)
-        rows = {"bucket": [], "block": [], "bwt": [], "runs": [], "low": []}
+        _, (first, run, low, bucket, name) = block.shards(state_of(left), buckets)
+        rows = {"bucket": [], "block": [], "bwt": [], "runs": [], "low": [], "names": []}
         cut = np.searchsorted(bucket, np.arange(buckets + 1))
         for b, (s, e) in enumerate(zip(cut, cut[1:])):
             if e > s:
@@ -390,20 +402,24 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                     transform(block.raw, first[s:e], run[s:e] + LENGTH - 1).tobytes()))
                 rows["runs"].append(pack(run[s:e].astype(np.uint8)))
                 rows["low"].append(pack(low[s:e].astype(np.uint64)))
+                rows["names"].append(name[s:e].tobytes())
         return pa.table(rows, schema=pa.schema([
             ("bucket", pa.int32()), ("block", pa.int64()), ("bwt", pa.binary()),
-            ("runs", pa.binary()), ("low", pa.binary())]))
+            ("runs", pa.binary()), ("low", pa.binary()), ("names", pa.binary())]))
 
     def merge_bucket(key, table):
         shards = [(np.frombuffer(zstandard.ZstdDecompressor().decompress(b), np.uint8),
-                   unpack(r, np.uint8), unpack(low, np.uint64).astype(np.int64))
-                  for b, r, low in zip(*(table[c].to_pylist() for c in ("bwt", "runs", "low")))]
+                   unpack(r, np.uint8), unpack(low, np.uint64).astype(np.int64),
+                   np.frombuffer(names, np.uint64))
+                  for b, r, low, names in zip(*(table[c].to_pylist()
+                                                for c in ("bwt", "runs", "low", "names")))]
         bits = [np.packbits(s).tobytes() for s in merge(shards)]
         return pa.table({"block": table["block"], "bucket": table["bucket"],
                          "bits": pa.array(bits, pa.binary())})
 
     bits = (states.groupBy("block").cogroup(packed.groupBy("block"))
-            .applyInArrow(send_shards, "bucket int, block long, bwt binary, runs binary, low binary")
+            .applyInArrow(send_shards, "bucket int, block long, bwt binary, runs binary, low binary, "
+                           "names binary")
             .repartition(parts, "bucket").groupBy("bucket").applyInArrow(merge_bucket, "block long, bucket int, bits binary"))
     # one table of both answers: a block meets its minimisers' states, its bits and its texts
     answers = (states.withColumn("bits", F.lit(None).cast("binary"))
@@ -413,7 +429,7 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         block = Block(right)
         have = left.filter(pa.compute.is_valid(left["state"]))
         marks = left.filter(pa.compute.is_valid(left["bits"]))
-        (first, run, text, number), (_, piece_run, low, bucket) = block.shards(state_of(have), buckets)
+        (first, run, text, number), (_, piece_run, low, bucket, _) = block.shards(state_of(have), buckets)
         smaller = np.zeros(int(piece_run.sum()), bool)
         at = np.cumsum(piece_run) - piece_run
         for b, mark in zip(marks["bucket"].to_pylist(), marks["bits"].to_pylist()):
