@@ -166,11 +166,17 @@ class Block:
         at = np.flatnonzero(new)
         other = new | np.append(True, text[1:] != text[:-1])[:len(fp)]
         texts = np.add.reduceat(other, at) if len(at) else at
-        whole = self.hashes(self.first, self.run)
-        order = np.lexsort((whole, self.fp))
-        fp, h = self.fp[order], whole[order]
-        other = np.append(True, (fp[1:] != fp[:-1]) | (h[1:] != h[:-1]))[:len(fp)]
-        pieces = np.add.reduceat(other, at) if len(at) else at
+        # only a minimiser of several runs can have several pieces
+        size = np.diff(np.append(at, len(fp)))
+        several = np.repeat(size > 1, size)
+        pieces = np.ones(len(at), np.int64)
+        if several.any():
+            whole = self.hashes(self.first[order[several]], self.run[order[several]])
+            group = np.repeat(np.arange(len(at)), size)[several]
+            again = np.lexsort((whole, group))
+            group, whole = group[again], whole[again]
+            other = np.append(True, (group[1:] != group[:-1]) | (whole[1:] != whole[:-1]))
+            pieces = np.maximum(np.bincount(group, other, len(at)).astype(np.int64), 1)
         return fp[at], texts.astype(np.uint32), pieces.astype(np.uint32)
 
     def shards(self, state: np.ndarray, buckets: int):
