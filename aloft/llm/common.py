@@ -65,6 +65,12 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def share(total: int, least: int, most: int) -> int:
+    """Into how many parts ``total`` bytes go: parts of ``least`` bytes, and of up to ``most`` once
+    there would be more than 2,000."""
+    return int(max(1, total // min(most, max(least, total // 2_000))))
+
+
 def text_batches(batches: Iterator[pa.RecordBatch], column: str,
                  most: int = BATCH_CHARS) -> Iterator[pa.RecordBatch]:
     """Cut incoming batches so that each holds about ``most`` bytes of ``column``."""

@@ -32,10 +32,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aloft.llm.common import fold, saved, ship
+from aloft.llm.common import fold, saved, share, ship, text_batches
 
-#: bytes of text aimed at in a block, and bytes of text whose keys meet in one bucket
-BLOCK_BYTES, BUCKET_BYTES = 8_000_000, 16_000_000
+#: bytes of text aimed at in a block, and bytes of text whose keys meet in one bucket: for small
+#: inputs and at most
+BLOCK_BYTES, BUCKET_BYTES = (8_000_000, 16_000_000), (16_000_000, 64_000_000)
 FOLDS, HELD_OUT, EM_FOLD = 7, 2, 3
 CONTEXTS, STEPS, RANGE = 32, 4, 40  # histogram: bins per power of two, powers of two
 END = np.uint64(0x9E3779B97F4A7C15)
@@ -153,7 +154,6 @@ def _packed(docs: DataFrame, id_col: str, text_col: str, train, em, blocks: int)
     kind = src.schema["id"].dataType.simpleString()
 
     def run(batches):
-        from aloft.llm.common import text_batches
         for whole in batches:
             for batch in text_batches([whole], "text", 32_000_000):
                 block = batch.column(0).to_numpy(zero_copy_only=False)
@@ -262,7 +262,7 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     spark = docs.sparkSession
     ship(spark)
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    blocks, buckets = max(1, size // BLOCK_BYTES), int(max(4, size // BUCKET_BYTES))
+    blocks, buckets = share(size, *BLOCK_BYTES), max(4, share(size, *BUCKET_BYTES))
     train, em = fold(id_col, FOLDS) != HELD_OUT, fold(id_col, FOLDS) == EM_FOLD
     packed = _packed(docs, id_col, text_col, train, em, blocks)
     totals = saved(_totals(packed, buckets), "totals")

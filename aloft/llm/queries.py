@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from aloft.llm import ann, bpe, decontaminate, htmltext, langid, lm, secrets, simhash, suffix_dedup, toxicity
 from aloft.llm.common import fold

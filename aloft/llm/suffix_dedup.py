@@ -40,11 +40,13 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aloft.llm.common import saved, ship, shuffle_partitions
+from aloft.llm.common import saved, share, ship, shuffle_partitions, text_batches
 from aloft.llm.lm import pack, unpack
 
 LENGTH, SEED = 50, 20
-BLOCK_BYTES, BUCKET_BYTES = 8_000_000, 4_000_000
+#: bytes of text aimed at in a block, and bytes of text behind one range of minimisers: for small
+#: inputs and at most
+BLOCK_BYTES, BUCKET_BYTES = (8_000_000, 16_000_000), (4_000_000, 32_000_000)
 #: windows hashed at a time
 CHUNK = 1 << 15
 #: different pieces of one minimiser from which it is split by window content
@@ -326,7 +328,6 @@ def _packed(docs: DataFrame, id_col: str, text_col: str, blocks: int) -> DataFra
                       F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("text"))
 
     def run(batches):
-        from aloft.llm.common import text_batches
         for whole in batches:
             for batch in text_batches([whole], "text", 32_000_000):
                 lowest: dict[bytes, int] = {}
@@ -363,7 +364,7 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     ship(spark)
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    blocks, buckets = int(max(1, size // BLOCK_BYTES)), int(max(4, size // BUCKET_BYTES))
+    blocks, buckets = share(size, *BLOCK_BYTES), max(4, share(size, *BUCKET_BYTES))
     packed = _packed(docs, id_col, text_col, blocks)
     # buckets are many bytes in few rows: keep their tasks apart, whatever the bytes shuffled
     parts = min(buckets, shuffle_partitions(spark))

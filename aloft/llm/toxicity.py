@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from aloft.llm.common import per_text
 
-MOST_TOXIC, MOST_CLEAN, LONGEST = 1_200, 2_400, 20_000
+MOST_TOXIC, MOST_CLEAN, LONGEST = 1_200, 2_400, 6_000
 BUCKETS = 1 << 20
 ROUNDS = 40
 BATCH = 16_000_000

@@ -47,8 +47,8 @@ def test_odd_rows(odd_docs, no_docs):
 
 
 def test_blocks_and_buckets_do_not_change_the_counts(spark, sf, documents, monkeypatch):
-    monkeypatch.setattr(lm, "BLOCK_BYTES", 40_000)
-    monkeypatch.setattr(lm, "BUCKET_BYTES", 50_000)
+    monkeypatch.setattr(lm, "BLOCK_BYTES", (40_000, 40_000))
+    monkeypatch.setattr(lm, "BUCKET_BYTES", (50_000, 50_000))
     check(lm.score(documents).collect(), documents.collect())
 
 

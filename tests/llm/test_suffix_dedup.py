@@ -43,8 +43,8 @@ def tangled(seed, n=60):
 
 
 def test_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(sd, "BLOCK_BYTES", 3_000)
-    monkeypatch.setattr(sd, "BUCKET_BYTES", 2_000)
+    monkeypatch.setattr(sd, "BLOCK_BYTES", (3_000, 3_000))
+    monkeypatch.setattr(sd, "BUCKET_BYTES", (2_000, 2_000))
     for seed, hot in ((1, 5_000), (2, 2)):  # every frequent minimiser is hot in the second run
         monkeypatch.setattr(sd, "HOT", hot)
         docs = tangled(seed)
