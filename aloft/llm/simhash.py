@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aloft.llm.common import per_text, saved, ship, shuffle_partitions
+from aloft.llm.common import per_text, saved, ship
 from aloft.llm.components import components, forest
 
 SEED = 42

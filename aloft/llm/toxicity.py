@@ -20,6 +20,7 @@ if a class has no labelled row, all scores are the share of label 1 (0 without l
 
 from __future__ import annotations
 
+import re
 import zlib
 from dataclasses import dataclass, field
 
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aloft.llm.common import per_text
+from aloft.llm.common import per_text, ship, text_batches
 
 MOST_TOXIC, MOST_CLEAN, LONGEST = 1_200, 2_400, 6_000
 BUCKETS = 1 << 20
@@ -256,7 +257,6 @@ def score(docs: DataFrame, tagger: Tagger, *, id_col: str = "doc_id", text_col:
           spans: bool = True) -> DataFrame:
     """One row per row: id, score, predicted, and spans array<struct<start,stop,p>> of the
     offending words (code points, end exclusive)."""
-    import re
     shared = docs.sparkSession.sparkContext.broadcast(tagger)  # about 4 MB whatever the input
     word = re.compile(r"\S+")
     kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()), ("p", pa.float64())]))
@@ -285,17 +285,14 @@ def score(docs: DataFrame, tagger: Tagger, *, id_col: str = "doc_id", text_col:
 
 def keep_clean(docs: DataFrame, tagger: Tagger, *, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose score is below 0.5, with all their columns."""
-    from aloft.llm.common import ship, text_batches
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(tagger)
     index = docs.columns.index(text_col)
 
     def run(batches):
         model = shared.value
-        names = None
         for batch in batches:
-            names = batch.schema.names
-            for part in text_batches([batch], names[index], BATCH):
+            for part in text_batches([batch], batch.schema.names[index], BATCH):
                 s = model.score(*model.marginals([t or "" for t in part.column(index).to_pylist()]))
                 yield part.filter(pa.array(s < 0.5))
 
