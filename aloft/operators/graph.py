@@ -125,7 +125,7 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None,
         ranks, done = new, done + n
     else:
         if tol > 0:
-            raise NotConverged(f"change still {changes[-1]:g} after {max_iter} rounds, tol is {tol:g}")
+            raise NotConverged(f"a rank still changes by {tol:g} or more after {max_iter} rounds")
     ranks = ranks.select("id", "rank")
     if normalize:
         total, count = ranks.agg(F.sum("rank"), F.count(F.lit(1))).first()
