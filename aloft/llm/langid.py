@@ -33,7 +33,7 @@ ROWS, OF_ROW, SAMPLE = 200, 2_000, 28_000
 #: characters of all languages' samples together; with many languages each gets less
 TOTAL = 560_000
 PIECE = 2_048
-#: classes of letters told apart in the tables; rarer ones never match
+#: commonest letters whose transitions lie in a dense table; those of all others are searched
 CLASSES = 64
 _MODEL: dict = {}
 
@@ -68,45 +68,75 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
     return move
 
 
+def lower(ch: str) -> str:
+    """One character, whatever stands around it (unlike a final sigma) or follows (as in U+0130)."""
+    return ch.lower()[0]
+
+
 class CrossParser:
-    """Automata of all languages in one table."""
+    """Automata of all languages side by side, over every letter of their samples.
+
+    Transitions by the ``CLASSES`` commonest letters are a dense table, those by other letters a
+    sorted array of state * alphabet + class."""
 
     def __init__(self, samples: dict[str, str]):
         self.langs = sorted(samples)
-        letters = Counter(c for s in samples.values() for c in s.lower() if c.isalpha())
-        kept = [c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))[:CLASSES]]
-        # code point -> class; 0: a letter that no automaton knows, 1: no letter
-        self.classes = np.ones(0x110000, np.uint8)
+        letters: Counter = Counter()
+        for ch, n in Counter("".join(samples.values())).items():
+            if ch.isalpha():
+                letters[lower(ch)] += n
+        by_count = [c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))]
+        # code point -> class; 0: a letter that no sample has, 1: no letter
+        self.classes = np.ones(0x110000, np.int32)
         for cp in range(0x110000):
             ch = chr(cp)
             if ch.isalpha():
                 self.classes[cp] = 0
         self.letter = self.classes == 0
-        of = {c: i + 2 for i, c in enumerate(kept)}
+        of = {c: i + 2 for i, c in enumerate(by_count)}
         for cp in np.flatnonzero(self.letter).tolist():
-            low = chr(cp).lower()
-            if low in of:
-                self.classes[cp] = of[low]
-        width = len(kept) + 2
-        tables, self.root, base = [], [], 0
+            self.classes[cp] = of.get(lower(chr(cp)), 0)
+        self.alphabet = len(by_count) + 2
+        self.width = width = min(len(by_count), CLASSES) + 2
+        tables, root, base = [], [], 0
+        self.first = np.full((len(self.langs), self.alphabet), -1, np.int32)
+        keys, targets = [], []
         self.cost = []
-        for lang in self.langs:
+        for k, lang in enumerate(self.langs):
             codes = self.codes(samples[lang])
             move = suffix_automaton(codes.tolist())
             table = np.full((len(move), width), -1, np.int32)
             for s, out in enumerate(move):
                 for c, t in out.items():
-                    if c:
+                    if c < width:
                         table[s, c] = t + base
+                    else:
+                        keys.append((s + base) * self.alphabet + c)
+                        targets.append(t + base)
+            for c, t in move[0].items():
+                self.first[k, c] = t + base
             tables.append(table)
-            self.root.append(base)
+            root.append(base)
             base += len(move)
             self.cost.append(np.log2(len(codes) + 2))
-        self.width = width
         self.table = np.concatenate(tables).ravel() if tables else np.empty(0, np.int32)
-        self.root = np.array(self.root, np.int32)[:, None]
+        order = np.argsort(np.array(keys, np.int64))
+        self.keys = np.array(keys, np.int64)[order]
+        self.targets = np.array(targets, np.int32)[order]
+        self.root = np.array(root, np.int32)[:, None]
         self.cost = np.array(self.cost)
 
+    def step(self, states: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """Where classes ``c`` (n) lead from ``states`` (languages, n); -1: nowhere."""
+        far = np.flatnonzero(c >= self.width)
+        if not len(far):
+            return self.table[states * self.width + c]
+        to = self.table[states * self.width + np.where(c < self.width, c, 0)]
+        key = states[:, far].astype(np.int64) * self.alphabet + c[far]
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        to[:, far] = np.where(self.keys[at] == key, self.targets[at], -1)
+        return to
+
     def codes(self, text: str) -> np.ndarray:
         """Classes of the text's characters, runs of non-letters as one."""
         cps = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
@@ -117,21 +147,20 @@ class CrossParser:
         """(languages, pieces): number of phrases of each piece."""
         lengths = np.array([len(p) for p in pieces])
         order = np.argsort(-lengths, kind="stable")
-        flat = np.concatenate([pieces[i] for i in order]) if len(order) else np.empty(0, np.uint8)
+        flat = np.concatenate([pieces[i] for i in order]) if len(order) else np.empty(0, np.int32)
         sorted_ = lengths[order]
         start = np.cumsum(sorted_) - sorted_
         n_phrases = np.zeros((len(self.langs), len(order)), np.int64)
         state = np.repeat(self.root, len(order), axis=1)
         top = int(sorted_[0]) if len(order) else 0
         active = np.searchsorted(-sorted_, -np.arange(top), side="left")
-        fresh = self.root[:, 0] * self.width
         for t, n in enumerate(active):
-            c = flat[start[:n] + t].astype(np.int32)
+            c = flat[start[:n] + t]
             now = state[:, :n]
-            to = self.table[now * self.width + c]
+            to = self.step(now, c)
             ended = to < 0
             # the phrase ends before c; c starts the next one, or is one if it is unknown
-            again = self.table[fresh[:, None] + c]
+            again = self.first[:, c]
             n_phrases[:, :n] += ended & (now != self.root)
             to = np.where(ended, again, to)
             lost = to < 0

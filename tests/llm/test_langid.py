@@ -1,3 +1,7 @@
+import random
+
+import numpy as np
+
 from aloft.llm import langid
 from aloft.llm.queries import QUERIES
 
@@ -51,3 +55,37 @@ def test_wrong_labels_are_left_out():
             (("aa", ("alo", "beri", "cado")), ("bb", ("xor", "ypsi", "zut")))}
     rows["aa"].append(prose(99, 60, ("xor", "ypsi", "zut")))
     assert len(langid.agreed(rows, 10_000)["aa"]) == 20
+
+
+def test_every_letter_of_several_scripts():
+    # one alphabet of syllables each; together far above CLASSES letters
+    starts = {"el": 0x3B1, "ru": 0x430, "ar": 0x627, "ja": 0x3042, "zh": 0x4E00, "zz": 0x4E00 + 300}
+    of = {k: "".join(chr(c) for c in range(at, at + 300) if chr(c).isalpha() and chr(c).islower() == (k in ("el", "ru")))
+          for k, at in starts.items()}
+    of["el"], of["ru"] = of["el"][:24], of["ru"][:32]
+
+    def written(lang, seed, n):
+        r = random.Random(seed)
+        words = ["".join(random.Random(f"{lang}{i}").choices(of[lang], k=3)) for i in range(200)]
+        return " ".join(r.choice(words) for _ in range(n))
+
+    rows = {k: written(k, 1, 1500) for k in of}
+    rows["aa"] = prose(1, 1500)  # the commonest letters are Latin
+    parser = langid.CrossParser(rows)
+    assert parser.predict([written(k, 2, 20) for k in of])[0] == list(of)
+    assert not (parser.codes("".join(rows.values())) == 0).any()
+    for k in of:
+        text, sample = parser.codes(written(k, 3, 15)).tolist(), parser.codes(rows[k]).tolist()
+        at, n = 0, 0
+        while at < len(text):
+            spots = [i for i in range(len(sample)) if sample[i] == text[at]]
+            end = at + 1
+            while end < len(text) and (spots := [i for i in spots if sample[i + end - at:i + end - at + 1] == [text[end]]]):
+                end += 1
+            at, n = end, n + 1
+        assert parser.phrases([np.array(text, np.int32)])[parser.langs.index(k), 0] == n
+
+
+def test_letters_whose_case_depends_on_the_place():
+    parser = langid.CrossParser({"el": "ΟΔΟΣ", "tr": "İI"})
+    assert (parser.codes("ΟΔΟΣ İ οδοσ") > 0).all()
