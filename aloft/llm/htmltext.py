@@ -1,8 +1,9 @@
 """Operator 1: main text of HTML pages by minimum-cut labelling.
 
 A page is cut into text blocks at block-level tags.  A classifier gives each block a net
-cost from its containers (element, class, id, role), link density, length and punctuation;
-positive costs become capacities from the source (content), negative ones capacities to the
+cost from its containers (element, class, id, role), link density, length and punctuation.  What
+the containers say is bounded, so that long prose and its neighbours outweigh a class word, and
+lists of links lose inside an article; only elements marked as hidden count twice.  Positive costs become capacities from the source (content), negative ones capacities to the
 sink (boilerplate).  Smoothness edges join neighbours in page order, and successive blocks of one
 container (DOM proximity), weaker the further apart they are in the tree.  The minimum cut
 (maximum flow) separates content from boilerplate.
@@ -53,6 +54,8 @@ BOILER_WORDS = frozenset(
 CONTENT_WORDS = frozenset(
     "article articlebody article-body content contents post postbody entry story storybody body text "
     "main maincontent page prose hentry entry-content post-content".split())
+#: the most that containers count: less than long prose or a list of links has for itself
+CONTAINER = 3.7
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TAG = re.compile(
@@ -71,7 +74,7 @@ _ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}),
 
 
 def _evidence(name: str, attrs: str, in_content: bool) -> int:
-    """1: a content container, -1: a boilerplate container, 0: neither."""
+    """1: a content container, -1: a boilerplate container, -2: a hidden one, 0: none of these."""
     found = {}
     if attrs:
         for m in _ATTR.finditer(attrs):
@@ -79,7 +82,7 @@ def _evidence(name: str, attrs: str, in_content: bool) -> int:
         style = found.get("style", "").replace(" ", "")
         if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style \
                 or "visibility:hidden" in style:
-            return -1
+            return -2
         role = found.get("role", "")
         if role in BOILER_ROLES:
             return -1
@@ -231,11 +234,17 @@ def net_cost(b: Block) -> float:
         shape += 0.6
     elif b.tag in ("li", "td", "th", "dt", "dd"):
         shape -= 0.4
-    if not b.evidence:
-        return shape - (0.2 if b.tag == "p" else 0.8)
-    near = b.evidence[-1]
-    # boilerplate inside content and the reverse: the inner container decides
-    return 6.0 * near + (0.3 * shape if near > 0 else 0.2 * min(shape, 2.0))
+    return shape - (0.2 if b.tag == "p" else 0.8) + CONTAINER * containers(b.evidence)
+
+
+def containers(evidence: list[int]) -> float:
+    """-1 to 1 (-2 if one is hidden): the innermost container, and each outer one a quarter as much
+    as the one within."""
+    total, weight = 0.0, 1.0
+    for e in reversed(evidence):
+        total += weight * e
+        weight /= 4
+    return max(min([-1, *evidence]), min(1.0, total))
 
 
 def edges(found: list[Block]) -> list[tuple[int, int, float]]:
@@ -285,37 +294,36 @@ def min_cut(cost: list[float], links: list[tuple[int, int, float]]) -> list[bool
     rest = [i for i in range(n) if side[i] is None]
     if not rest:
         return [bool(s) for s in side]
-    # augmenting paths over the open nodes; -1 is the source, -2 the sink
-    cap: dict[int, dict[int, float]] = {i: {j: w for j, w in near[i].items() if side[j] is None}
-                                        for i in rest}
-    cap[-1], cap[-2] = {}, {}
-    for i in rest:
-        if cost[i] > 0:
-            cap[-1][i] = cost[i]
-            cap[i][-1] = 0.0
-        elif cost[i] < 0:
-            cap[i][-2] = -cost[i]
-            cap[-2][i] = 0.0
-    while True:
-        came = {-1: -1}
-        todo = deque([-1])
-        while todo and -2 not in came:
-            i = todo.popleft()
-            for j, w in cap[i].items():
-                if w > 1e-9 and j not in came:
-                    came[j] = i
-                    todo.append(j)
-        if -2 not in came:
-            break
-        path, j = [], -2
-        while j != -1:
-            path.append((came[j], j))
-            j = came[j]
-        flow = min(cap[i][j] for i, j in path)
-        for i, j in path:
-            cap[i][j] -= flow
-            cap[j][i] = cap[j].get(i, 0.0) + flow
-    return [bool(s) if s is not None else i in came for i, s in enumerate(side)]
+    # augmenting paths over the open nodes, from one content node after the other; what a node with
+    # capacity left reaches without meeting the sink is closed: no later path can cross it
+    cap = {i: {j: w for j, w in near[i].items() if side[j] is None} for i in rest}
+    closed: set[int] = set()
+    for s in rest:
+        while cost[s] > 1e-9 and s not in closed:
+            came, todo, end = {s: s}, deque([s]), None
+            while todo and end is None:
+                i = todo.popleft()
+                for j, w in cap[i].items():
+                    if w > 1e-9 and j not in came and j not in closed:
+                        came[j] = i
+                        todo.append(j)
+                        if cost[j] < -1e-9:
+                            end = j
+                            break
+            if end is None:
+                closed.update(came)
+                break
+            path, j = [], end
+            while j != s:
+                path.append((came[j], j))
+                j = came[j]
+            flow = min(cost[s], -cost[end], *(cap[i][j] for i, j in path))
+            cost[s] -= flow
+            cost[end] += flow
+            for i, j in path:
+                cap[i][j] -= flow
+                cap[j][i] += flow
+    return [bool(x) if x is not None else i in closed for i, x in enumerate(side)]
 
 
 def main_text(html: str) -> str:

@@ -74,3 +74,37 @@ def test_query_and_odd_rows(spark, sf):
     got = htmltext.extract(odd).collect()
     assert [r.n_chars > 0 for r in got] == [True, True, False, False]
     assert htmltext.extract(odd.limit(0)).count() == 0
+
+
+LONG = " ".join([PROSE] * 4)
+
+
+@pytest.mark.parametrize("mark", ["section id='discussion'", "section id='related-work'", "div id='legal-status'",
+                                  "div class='content-with-sidebar'", "article class='post tag-login'", "form"])
+@pytest.mark.parametrize("outer", ["article", "div"])
+def test_long_prose_outweighs_a_container_word(mark, outer):
+    inner = f"<{mark}><p>{LONG}</p><p>{PROSE}</p><p>{LONG}</p></{mark.split()[0]}>"
+    page = f"<body><nav><a href=1>Home</a></nav><{outer}><p>{LONG}</p>{inner}</{outer}></body>"
+    assert htmltext.main_text(page) == f"{LONG} {LONG} {PROSE} {LONG}"
+
+
+def test_link_lists_lose_inside_an_article():
+    links = "".join(f"<li><a href={i}>More news {i}</a></li>" for i in range(6))
+    page = f"<article><h1>Head</h1><p>{LONG}</p><p>{PROSE}</p><ul>{links}</ul><p>{LONG}</p></article>"
+    assert htmltext.main_text(page) == f"Head {LONG} {PROSE} {LONG}"
+    one = f"<article><h2><a href=1>Linked head</a></h2><p>{LONG}</p><p><a href=2>{PROSE}</a></p><p>{LONG}</p></article>"
+    assert htmltext.main_text(one) == f"Linked head {LONG} {PROSE} {LONG}"
+
+
+def test_short_and_hidden_text_of_boilerplate_still_goes():
+    page = (f"<main><p>{LONG}</p><div class='related'><p>{PROSE}</p></div><div style='display: none'><p>{LONG}</p>"
+            f"<p>{LONG}</p></div></main><footer><p>{PROSE}</p></footer>")
+    assert htmltext.main_text(page) == LONG
+
+
+def test_undecided_blocks_in_reasonable_time():
+    import time
+    start = time.time()
+    page = "<div class='sidebar'>" + f"<p>{PROSE}</p><p>{LONG}</p><p><a href=1>x</a></p>" * 4000 + "</div>"
+    htmltext.main_text(page)
+    assert time.time() - start < 30
