@@ -6,8 +6,9 @@ contexts (previous and next word) of toxic than of clean documents.  Contexts ar
 instead of occurrences, because near copies of one toxic document repeat its harmless
 words in the same context.  The field has two states; the emission of a word is a
 linear function of hashed word, prefix and suffix features, and transitions are learned.
-It is fitted on a bounded sample of labelled rows (``MOST_TOXIC``, ``MOST_CLEAN`` rows of at most
-``LONGEST`` characters, taken by hash of the id, whatever the table's size).
+It is fitted on a bounded sample of labelled rows, taken by hash of the id whatever their length and
+the table's size: of each class ``MOST`` rows, or fewer, still whole, if those taken already
+hold ``CHARS`` characters.
 
 Every whole text is then scored: forward-backward marginals p of all tokens aggregate to
 -sum log(1 - p) and the largest logit, and a logistic function fitted on the sample maps
@@ -31,7 +32,11 @@ from pyspark.sql import functions as F
 
 from aloft.llm.common import per_text, ship, text_batches
 
-MOST_TOXIC, MOST_CLEAN, LONGEST = 1_200, 2_400, 6_000
+#: by label: most sample rows, and characters after which no further row is taken
+MOST = {1: 1_200, 0: 2_400}
+CHARS = {1: 6_000_000, 0: 12_000_000}
+#: tokens that a chain is stepped through at once, and tokens fitted on at once
+BLOCK, TOKENS = 1_024, 500_000
 BUCKETS = 1 << 20
 ROUNDS = 40
 BATCH = 16_000_000
@@ -51,17 +56,70 @@ def _buckets(word: str) -> list[int]:
 
 
 class Chains:
-    """Token sequences laid end to end, stepped through side by side."""
+    """Token sequences laid end to end, stepped through side by side.
+
+    Longer ones are stepped through as blocks of ``BLOCK`` tokens, also side by side, once the
+    product of each block's transfer matrices has told what enters the block at either end.
+    """
 
     def __init__(self, lengths):
         self.lengths = np.asarray(lengths, np.int64)
-        start = np.cumsum(self.lengths) - self.lengths
-        order = np.argsort(-self.lengths, kind="stable")
-        self.start = start[order]
-        self.sorted = self.lengths[order]
-        top = int(self.sorted[0]) if len(self.sorted) else 0
-        # how many chains are longer than t
-        self.active = np.searchsorted(-self.sorted, -np.arange(top), side="left")
+        n = -(-self.lengths // BLOCK)
+        chain = np.repeat(np.arange(len(n)), n)
+        # place of each block in its chain
+        place = np.arange(len(chain)) - (np.cumsum(n) - n)[chain]
+        size = np.minimum(BLOCK, self.lengths[chain] - place * BLOCK)
+        start = (np.cumsum(self.lengths) - self.lengths)[chain] + place * BLOCK
+        order = np.argsort(-size, kind="stable")
+        self.start, self.size, self.head = start[order], size[order], place[order] == 0
+        where = np.empty_like(order)
+        where[order] = np.arange(len(order))
+        # (blocks, their predecessors) for each place in a chain from the second on
+        later = np.argsort(place, kind="stable")
+        later = later[np.count_nonzero(place == 0):]
+        cuts = np.flatnonzero(np.diff(place[later])) + 1
+        self.links = [(where[b], where[b - 1]) for b in np.split(later, cuts) if len(b)]
+        self.in_long = np.flatnonzero((n > 1)[chain[order]])
+        top = int(self.size[0]) if len(order) else 0
+        # how many blocks are longer than t
+        self.active = np.searchsorted(-self.size, -np.arange(top), side="left")
+
+    def left(self) -> np.ndarray:
+        """Tokens that another one of their chain follows."""
+        more = np.ones(int(self.lengths.sum()), bool)
+        more[(np.cumsum(self.lengths) - 1)[self.lengths > 0]] = False
+        return np.flatnonzero(more)
+
+    def _entries(self, e: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Forward ratio of the token before each block, backward ratio of its last one."""
+        into, after = np.ones(len(self.start)), np.ones(len(self.start))
+        if not self.links:
+            return into, after
+        own, start, size = self.in_long, self.start[self.in_long], self.size[self.in_long]
+        # entries of the product (last token ... first token) of each block
+        w, x, y, z = np.ones(len(own)), np.zeros(len(own)), np.zeros(len(own)), np.ones(len(own))
+        for t in range(int(size[0])):
+            n = np.searchsorted(-size, -t, side="left")
+            g = e[start[:n] + t]
+            p, q, r, s = w[:n], x[:n], y[:n], z[:n]
+            p, q, r, s = (g * (a[1, 1] * p + a[0, 1] * r), g * (a[1, 1] * q + a[0, 1] * s),
+                          a[1, 0] * p + a[0, 0] * r, a[1, 0] * q + a[0, 0] * s)
+            if t == 0:  # nothing comes before the first token of a chain
+                first = self.head[own[:n]]
+                p, q = np.where(first, g, p), np.where(first, 0.0, q)
+                r, s = np.where(first, 0.0, r), np.where(first, 1.0, s)
+            most = np.maximum(np.maximum(p, q), np.maximum(r, s))
+            w[:n], x[:n], y[:n], z[:n] = p / most, q / most, r / most, s / most
+        whole = np.zeros((4, len(self.start)))
+        whole[:, own] = w, x, y, z
+        w, x, y, z = whole
+        for here, before in self.links:
+            v = into[before]
+            into[here] = (w[before] * v + x[before]) / (y[before] * v + z[before])
+        for here, before in reversed(self.links):
+            v = after[here]
+            after[before] = (w[here] * v + y[here]) / (x[here] * v + z[here])
+        return into, after
 
     def run(self, e: np.ndarray, a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ratios (state 1 over state 0) of forward and backward messages.
@@ -70,13 +128,15 @@ class Chains:
         """
         r, b = np.empty(len(e)), np.ones(len(e))
         start = self.start
+        into, after = self._entries(e, a)
+        b[start + self.size - 1] = after
         for t, n in enumerate(self.active):
             at = start[:n] + t
+            before = r[at - 1] if t else into
+            r[at] = e[at] * (a[0, 1] + a[1, 1] * before) / (a[0, 0] + a[1, 0] * before)
             if t == 0:
-                r[at] = e[at]
-            else:
-                before = r[at - 1]
-                r[at] = e[at] * (a[0, 1] + a[1, 1] * before) / (a[0, 0] + a[1, 0] * before)
+                first = at[self.head]
+                r[first] = e[first]
         for t in range(len(self.active) - 2, -1, -1):
             at = start[: self.active[t + 1]] + t
             x = e[at + 1] * b[at + 1]
@@ -184,15 +244,20 @@ def fit(texts: list[str], toxic: list[int], prior: float) -> Tagger:
         own = tokens(t)
         ids += [vocabulary.setdefault(w, len(vocabulary)) for w in own]
         lengths.append(len(own))
-    words, ids, lengths = list(vocabulary), np.array(ids, np.int64), np.array(lengths, np.int64)
+    words, ids, lengths = list(vocabulary), np.array(ids, np.int32), np.array(lengths, np.int64)
     labels = _token_labels(ids, lengths, y, words)
     buckets = np.array([_buckets(w) for w in words])
-    chains = Chains(lengths)
-    step = np.ones(len(ids), bool)  # a transition leads from here to the next token
-    step[(np.cumsum(lengths) - 1)[lengths > 0]] = False
-    left = np.flatnonzero(step)
-    seen_trans = np.array([[np.sum((labels[left] == s) & (labels[left + 1] == t)) for t in (0, 1)]
-                           for s in (0, 1)], float)
+    # whole texts, about TOKENS tokens at once: (texts, tokens, chains, tokens with a next one)
+    end = np.cumsum(lengths)
+    cuts = [0, *(np.flatnonzero(np.diff((end - lengths) // TOKENS)) + 1).tolist(), len(lengths)]
+    parts = []
+    for i, j in zip(cuts, cuts[1:]):
+        chains = Chains(lengths[i:j])
+        parts.append((slice(i, j), slice(end[i] - lengths[i], end[j - 1]), chains, chains.left()))
+    seen_trans = np.zeros((2, 2))
+    for _, own, _, left in parts:
+        y01 = labels[own].astype(np.int64)
+        seen_trans += np.bincount(2 * y01[left] + y01[left + 1], minlength=4).reshape(2, 2)
     rate = np.clip(labels.mean(), 1e-5, 0.5)
     per_word = np.bincount(ids, labels, len(words))
     weights, bias, trans = np.zeros(BUCKETS), float(np.log(rate / (1 - rate))), np.zeros((2, 2))
@@ -200,17 +265,19 @@ def fit(texts: list[str], toxic: list[int], prior: float) -> Tagger:
     v = [np.zeros(BUCKETS), np.zeros(5)]
     for k in range(1, ROUNDS + 1):
         e_word = bias + weights[buckets].sum(axis=1)
-        e = np.exp(np.clip(e_word, -30, 30))[ids]
+        e_word = np.exp(np.clip(e_word, -30, 30))
         a = np.exp(trans)
-        r, b = chains.run(e, a)
-        odds = r * b
-        p = odds / (1 + odds)
-        # expected transitions
-        f0, f1 = 1 / (1 + r[left]), r[left] / (1 + r[left])
-        x = e[left + 1] * b[left + 1]
-        pair = np.stack([f0 * a[0, 0], f0 * a[0, 1] * x, f1 * a[1, 0], f1 * a[1, 1] * x])
-        want = (pair / pair.sum(axis=0)).sum(axis=1).reshape(2, 2)
-        diff = per_word - np.bincount(ids, p, len(words))
+        diff, want = per_word.copy(), np.zeros((2, 2))
+        for _, own, chains, left in parts:
+            e = e_word[ids[own]]
+            r, b = chains.run(e, a)
+            odds = r * b
+            diff -= np.bincount(ids[own], odds / (1 + odds), len(words))
+            # expected transitions
+            f0, f1 = 1 / (1 + r[left]), r[left] / (1 + r[left])
+            x = e[left + 1] * b[left + 1]
+            pair = np.stack([f0 * a[0, 0], f0 * a[0, 1] * x, f1 * a[1, 0], f1 * a[1, 1] * x])
+            want += (pair / pair.sum(axis=0)).sum(axis=1).reshape(2, 2)
         grad = np.bincount(buckets.ravel(), np.repeat(diff, buckets.shape[1]), BUCKETS) - 0.05 * weights
         rest = np.concatenate([[diff.sum()], (seen_trans - want).ravel() - 0.05 * trans.ravel()])
         for i, g in enumerate((grad, rest)):
@@ -221,7 +288,7 @@ def fit(texts: list[str], toxic: list[int], prior: float) -> Tagger:
         bias += 0.3 * move[1][0]
         trans += 0.3 * move[1][1:].reshape(2, 2)
     tagger = Tagger(weights.astype(np.float32), bias, trans, np.zeros(3))
-    z = tagger.summary(*tagger.marginals(texts))
+    z = np.concatenate([tagger.summary(*tagger.marginals(texts[own])) for own, *_ in parts])
     c = np.zeros(3)
     ridge = np.diag([1e-3, 0.05, 0.05])
     # rows stand for their class's share of all learnable rows
@@ -236,21 +303,33 @@ def fit(texts: list[str], toxic: list[int], prior: float) -> Tagger:
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic") -> Tagger:
-    """Fit on the bounded sample; only the sample's rows reach the driver."""
+    """Fit on the bounded sample; only its keys and its texts reach the driver."""
     known = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y")) \
                   .where("__id IS NOT NULL AND __y IN (0, 1)").groupBy("__id").agg(F.max("__y").alias("__y"))
     count = {r["__y"]: r["n"] for r in known.groupBy("__y").agg(F.count("*").alias("n")).collect()}
     prior = count.get(1, 0) / max(1, sum(count.values()))
-    texts = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text")) \
-                .where(F.col("__text").isNotNull() & (F.length("__text") <= LONGEST))
-    rows = []
-    for label, most in ((1, MOST_TOXIC), (0, MOST_CLEAN)):
-        # twice as many ids as are wanted, for those whose text is missing or too long
-        chosen = (known.where(F.col("__y") == label).orderBy(F.xxhash64("__id"), "__id")
-                  .limit(2 * most))
-        rows += (texts.join(chosen, "__id").orderBy(F.xxhash64("__id"), "__id", "__text")
-                 .limit(most).select("__text", "__y").collect())
-    return fit([r["__text"] for r in rows], [r["__y"] for r in rows], prior)
+    texts = (docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"))
+             .where("__text IS NOT NULL").withColumn("__hash", F.xxhash64("__text")))
+    # labelled rows that have a text, equal ones once
+    keys = (texts.select("__id", "__hash", F.length("__text").alias("__n")).distinct()
+            .join(known, "__id"))
+    chosen: list = []
+    for label, most in MOST.items():
+        held = 0
+        for r in (keys.where(F.col("__y") == label).orderBy(F.xxhash64("__id"), "__id", "__hash", "__n")
+                  .limit(most).collect()):
+            if held < CHARS[label]:
+                chosen.append((r["__id"], r["__hash"], r["__n"], label))
+                held += r["__n"]
+    if not chosen:
+        return fit([], [], prior)
+    schema = keys.select("__id", "__hash", "__n", "__y").schema
+    wanted = docs.sparkSession.createDataFrame(chosen, schema).select("__id", "__hash")
+    rows = {(r["__id"], r["__hash"], len(r["__text"])): r["__text"]
+            for r in texts.join(F.broadcast(wanted), ["__id", "__hash"], "left_semi")
+            .dropDuplicates(["__id", "__hash"]).collect()}
+    sample = [(rows[row[:3]], row[3]) for row in chosen if row[:3] in rows]
+    return fit([t for t, _ in sample], [y for _, y in sample], prior)
 
 
 def score(docs: DataFrame, tagger: Tagger, *, id_col: str = "doc_id", text_col: str = "text",

@@ -67,3 +67,53 @@ def test_odd_rows(spark, odd_docs, no_docs):
 def test_fold_of_null_ids(spark):
     df = spark.createDataFrame([(None,), (7,)], "doc_id long")
     assert [r[0] for r in df.select(fold("doc_id", 5)).collect()][0] == 0
+
+
+def test_long_chains_equal_unbroken_ones(monkeypatch):
+    rng = np.random.default_rng(4)
+    a, lengths = np.exp(rng.normal(size=(2, 2))), [0, 1, 40, 7, 0, 8, 9, 21]
+    e = np.exp(rng.normal(size=sum(lengths)))
+    want = toxicity.Chains(lengths).run(e, a)
+    monkeypatch.setattr(toxicity, "BLOCK", 7)
+    chains = toxicity.Chains(lengths)
+    assert len(chains.links) == 5
+    assert np.allclose(chains.run(e, a), want, rtol=1e-12)
+
+
+def _labelled(spark, n, toxic_words, clean_words):
+    """``n`` rows of each class; toxic ones hold two words of their own in 100."""
+    rng = np.random.default_rng(5)
+    stems = ["lum", "per", "dor", "nis", "tak", "wel", "osa", "bri"]
+    plain = ["".join(rng.choice(stems, 2)) + str(i) for i in range(300)]
+    rows = []
+    for i in range(2 * n):
+        words = list(rng.choice(plain, toxic_words if i % 2 else clean_words))
+        if i % 2:
+            for k in rng.integers(len(words), size=max(2, len(words) // 50)):
+                words[k] = rng.choice(["gruk", "zzarg", "vloth", "xemm"])
+        rows.append((i, " ".join(words), i % 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    return docs.select("doc_id", "text"), docs.select("doc_id", "toxic")
+
+
+def test_long_toxic_documents_only(spark):
+    docs, labels = _labelled(spark, 40, 1_500, 150)
+    assert docs.where("doc_id % 2 = 1 AND length(text) <= 8000").count() == 0
+    tagger = toxicity.train(docs, labels.where("doc_id < 60"))
+    rows = toxicity.score(docs, tagger).where("doc_id >= 60").collect()
+    assert [r.predicted for r in rows] == [r.doc_id % 2 for r in rows]
+    assert toxicity.keep_clean(docs, tagger).count() == 40
+
+
+def test_sample_is_filled_from_rows_with_texts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, toxic, prior: seen.append((texts, toxic)))
+    monkeypatch.setattr(toxicity, "MOST", {1: 5, 0: 5})
+    docs, labels = _labelled(spark, 40, 30, 30)
+    missing = spark.createDataFrame([(i, 1) for i in range(1000, 1200)], "doc_id long, toxic int")
+    toxicity.train(docs.union(docs), labels.union(missing))
+    assert sorted(seen[0][1]) == [0] * 5 + [1] * 5 and len(set(seen[0][0])) == 10
+    monkeypatch.setattr(toxicity, "CHARS", {1: 1, 0: 500})
+    toxicity.train(docs, labels)
+    assert seen[1][1].count(1) == 1 and 1 < seen[1][1].count(0) < 5
+    assert sum(len(t) for t, y in zip(*seen[1]) if not y) >= 500
