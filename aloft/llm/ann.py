@@ -10,7 +10,8 @@ queries need for a recall of ``TARGET``, and all vectors found there are ranked
 Parts are searched ``TOGETHER`` at a time, so that a query yields one ranked list for several parts.
 Equal vectors collapse to one indexed vector with its smallest ids (no more than k + 1 can ever
 be returned), so a vector that holds a third of all rows costs one.  Groups of parts larger than
-``BLOCK`` vectors are dealt in blocks, and the queries go to every block of a group.
+``BLOCK`` vectors are dealt in blocks, and so are more than ``QUERIES`` queries; each block of
+queries meets each block of a group's vectors in a task of its own, which passes on the k best.
 
 Vectors that are null, zero or hold null or non-finite components take no part, neither do
 those whose length is not the commonest.  Rows that share an id count as one row, that with
@@ -35,7 +36,7 @@ SAMPLE = 12_000
 PER_PART, MOST_PARTS = 800, 64
 NEIGHBOURS = 12
 TARGET = 0.93
-BLOCK = 20_000
+BLOCK = QUERIES = 20_000
 TOGETHER = 8
 
 
@@ -187,6 +188,57 @@ def valid_vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.groupBy("id").agg(F.min("v").alias("v"))
 
 
+def dealt(queries: DataFrame, candidates: DataFrame, sizes: dict[int, int],
+          asked: int) -> tuple[DataFrame, DataFrame]:
+    """Both with columns block and query_block, such that each query meets every candidate of its
+    group once.  ``sizes``: candidates of each group; ``asked``: queries in all."""
+    # at most MOST_PARTS / TOGETHER entries
+    blocks = F.create_map(*[F.lit(x).cast("int") for g, c in sizes.items()
+                            for x in (g, -(-c // BLOCK))])[F.col("group")]
+    query_blocks = max(1, -(-asked // QUERIES))
+    queries = (queries.where(blocks.isNotNull())
+               .withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+               .withColumn("query_block", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int")))
+    candidates = (candidates.withColumn("block", F.pmod(F.xxhash64("v"), blocks).cast("int"))
+                  .withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)))))
+    return queries, candidates
+
+
+def ranked(q: pd.DataFrame, c: pd.DataFrame, k: int) -> pd.DataFrame:
+    """query_id, vec_id, score: the ``k`` best of ``c`` for each query, its own id left out."""
+    qids, found, scores = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
+    if len(q) and len(c):
+        cv = np.array(c["v"].tolist())
+        part = c["part"].to_numpy() % TOGETHER
+        first = np.array([i[0] for i in c["ids"]])
+        ids = c["ids"].tolist()
+        qid, bits = q["query_id"].to_numpy(), q["bits"].to_numpy()
+        most = min(k + 1, len(cv))
+        for s in range(0, len(q), 500):
+            qv = np.array(q["q"].iloc[s:s + 500].tolist())
+            sim = qv @ cv.T
+            sim[(bits[s:s + 500, None] >> np.arange(TOGETHER) & 1 == 0)[:, part]] = -np.inf
+            cut = np.partition(sim, len(cv) - most, axis=1)[:, len(cv) - most]
+            for a in range(len(qv)):
+                slack = 1e-9 * max(1.0, abs(cut[a])) if np.isfinite(cut[a]) else 0.0
+                near = np.flatnonzero((sim[a] >= cut[a] - slack) & (sim[a] > -np.inf))
+                if not len(near):
+                    continue
+                score = (cv[near] * qv[a]).sum(axis=1)  # same order of sums for every row
+                best = np.lexsort((first[near], -score))[:most]
+                own = [ids[b] for b in near[best]]
+                named = np.concatenate(own).astype(np.int64)
+                score = np.repeat(score[best], [len(i) for i in own])
+                other = named != qid[s + a]
+                named, score = named[other], score[other]
+                best = np.lexsort((named, -score))[:k]
+                found.append(named[best])
+                scores.append(score[best])
+                qids.append(np.full(len(best), qid[s + a], np.int64))
+    return pd.DataFrame({"query_id": np.concatenate(qids), "vec_id": np.concatenate(found),
+                         "score": np.concatenate(scores)})
+
+
 def search(table: DataFrame, *, k: int = 20, every: int = 20, id_col: str = "vec_id",
            vector_col: str = "embedding", parts: int | None = None) -> DataFrame:
     """Queries are the rows whose id is divisible by ``every``.  Returns query_id, rank,
@@ -237,41 +289,16 @@ def search(table: DataFrame, *, k: int = 20, every: int = 20, id_col: str = "vec
                     .mapInArrow(assign, "part int, v array<double>, ids array<long>"), "index")
     group = F.floor(F.col("part") / TOGETHER).cast("int")
     sizes = {r["group"]: r["count"] for r in indexed.groupBy(group.alias("group")).count().collect()}
-    # at most MOST_PARTS / TOGETHER entries
-    blocks = F.create_map(*[F.lit(x).cast("int") for g, c in sizes.items()
-                            for x in (g, -(-c // BLOCK))])[F.col("group")]
-    candidates = (indexed.withColumn("group", group)
-                  .withColumn("block", F.pmod(F.xxhash64("v"), blocks).cast("int")))
-    queries = (rows.where(F.col("id") % every == 0).select("id", "v")
-               .mapInArrow(visit, "group int, bits int, query_id long, q array<double>")
-               .where(blocks.isNotNull())
-               .withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))))
+    asked = rows.where(F.col("id") % every == 0).select("id", "v")
+    queries, candidates = dealt(
+        asked.mapInArrow(visit, "group int, bits int, query_id long, q array<double>"),
+        indexed.withColumn("group", group), sizes, asked.count())
 
     def rank(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
-        out: list[tuple] = []
-        if len(q) and len(c):
-            cv = np.array(c["v"].tolist())
-            part = c["part"].to_numpy() % TOGETHER
-            first = np.array([i[0] for i in c["ids"]])
-            ids = c["ids"].tolist()
-            qid, bits = q["query_id"].to_numpy(), q["bits"].to_numpy()
-            for s in range(0, len(q), 500):
-                qv = np.array(q["q"].iloc[s:s + 500].tolist())
-                sim = qv @ cv.T
-                sim[(bits[s:s + 500, None] >> np.arange(TOGETHER) & 1 == 0)[:, part]] = -np.inf
-                most = min(k + 1, len(cv))
-                cut = np.partition(sim, len(cv) - most, axis=1)[:, len(cv) - most]
-                for a in range(len(qv)):
-                    slack = 1e-9 * max(1.0, abs(cut[a])) if np.isfinite(cut[a]) else 0.0
-                    near = np.flatnonzero((sim[a] >= cut[a] - slack) & (sim[a] > -np.inf))
-                    score = (cv[near] * qv[a]).sum(axis=1)  # same order of sums for every row
-                    best = np.lexsort((first[near], -score))[:most]
-                    for b in best:
-                        out += [(qid[s + a], i, score[b]) for i in ids[near[b]] if i != qid[s + a]]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype(
-            {"query_id": "int64", "vec_id": "int64", "score": "float64"})
-
-    found = (queries.groupBy("group", "block").cogroup(candidates.groupBy("group", "block"))
+        return ranked(q, c, k)
+
+    keys = ["group", "block", "query_block"]
+    found = (queries.groupBy(*keys).cogroup(candidates.groupBy(*keys))
              .applyInPandas(rank, "query_id long, vec_id long, score double"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 
 from aloft.llm import ann
@@ -81,3 +82,29 @@ def test_parts_are_balanced():
     x = np.concatenate([rng.normal(size=(n, 6)) + 6 * rng.normal(size=6) for n in (500, 60, 40, 200)])
     part = ann.balanced_parts(ann.nearest_graph(x, 8), 10)
     assert np.bincount(part, minlength=10).max() <= 82 and np.bincount(part).min() >= 78
+
+
+def test_blocks_of_many_queries(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 100)
+    monkeypatch.setattr(ann, "QUERIES", 50)
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(900, 8))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    assert recall(found(ann.search(df, parts=1, every=2)), exact(np.arange(900), x, 20, every=2)) == 1.0
+    queries = spark.range(450).selectExpr("0 AS `group`", "id AS query_id")
+    candidates = df.selectExpr("0 AS `group`", "vec_id", "embedding AS v")
+    queries, candidates = ann.dealt(queries, candidates, {0: 900}, 450)
+    keys = ["group", "block", "query_block"]
+    for side in (queries, candidates):
+        assert max(r["count"] for r in side.groupBy(*keys).count().collect()) <= 200
+    met = queries.join(candidates, keys)
+    assert met.count() == met.select("query_id", "vec_id").distinct().count() == 450 * 900
+
+
+def test_a_block_passes_on_the_k_best():
+    v = [1.0, 0.0]
+    c = pd.DataFrame({"v": [v, [0.5, 0.5], [0.1, 0.2]], "part": [0, 1, 2], "ids": [[1, 2, 3, 4], [5, 6], [7]]})
+    q = pd.DataFrame({"query_id": [2, 9], "bits": [7, 2], "q": [v, v]})
+    got = ann.ranked(q, c, 4)
+    assert got.values.tolist() == [[2, 1, 1.0], [2, 3, 1.0], [2, 4, 1.0], [2, 5, 0.5], [9, 5, 0.5], [9, 6, 0.5]]
+    assert len(ann.ranked(q.iloc[:0], c, 4)) == 0
