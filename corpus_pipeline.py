@@ -3,11 +3,13 @@ secret scans, byte-level BPE.
 
 Each stage takes (spark, docs, sf_dir), reads the whole Parquet table that its predecessor
 wrote, and returns the rows it keeps with all columns they came with; the last one returns
-the encoded documents.  Stages judge rows by ``doc_id`` and ``text`` alone:
+the encoded documents.  Stages judge rows by ``doc_id`` and ``text`` alone, and each row for itself:
+those that drop rows by a join write the table with a key of their own first, so that null and
+repeated ids do no harm:
 
 * toxicity drops documents of score 0.5 or more;
-* near-dedup keeps, of each component, the row with the smallest doc_id (rows that share this
-  doc_id stay together; null ids survive only where the whole component has none);
+* near-dedup keeps, of each component, one row: that with the smallest doc_id (null ids survive only
+  where the whole component has none; of rows that share this doc_id the first one written);
 * decontamination drops documents that contain a benchmark item to 0.8 or more;
 * secret scans mask every finding in the text and set ``n_chars`` anew on those rows;
 * encoding gives doc_id, n_tokens, ids, ids_sha256, decoded_sha256.
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aloft.llm import bpe, decontaminate, secrets, simhash, toxicity
-from aloft.llm.common import fold
+from aloft.llm.common import fold, saved
 from aloft.session import require_checkpoint_dir
 
 
@@ -34,19 +36,28 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, tagger)
 
 
+def keyed(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a written key ``__key`` for each row."""
+    return saved(docs.withColumn("__key", F.monotonically_increasing_id()), name)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = simhash.near_duplicates(docs, shingle=3, max_bits=3)
-    # every id is one row here, so that repeated ids do not multiply in the join
-    kept = (groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-            .select(F.col("doc_id").alias("__kept")).distinct())
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    rows = keyed(docs, "near-dedup-rows")
+    # ordered like doc_id with nulls last, and different for every row
+    name = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"),
+                    F.col("__key").alias("key"))
+    groups = simhash.near_duplicates(rows.select(name.alias("row"), "text"), id_col="row",
+                                     shingle=3, max_bits=3)
+    kept = (groups.where(F.col("row.key") == F.col("component_id.key"))
+            .select(F.col("row.key").alias("__key")))
+    return rows.join(kept, "__key", "left_semi").select(docs.columns)
 
 
 def decontaminate_docs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    leaked = (decontaminate.contamination(docs, items)
-              .select(F.col("doc_id").alias("__leaked")).distinct())
-    return docs.join(leaked, F.col("doc_id").eqNullSafe(F.col("__leaked")), "left_anti")
+    rows = keyed(docs, "decontamination-rows")
+    leaked = decontaminate.contamination(rows, items, id_col="__key").select("__key").distinct()
+    return rows.join(leaked, "__key", "left_anti").select(docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -63,3 +63,15 @@ def test_odd_rows(spark, odd_docs, no_docs, monkeypatch):
                 docs = spark.createDataFrame(out.collect(), out.schema)
     clean = spark.createDataFrame([(i, prose(i, 50), None) for i in range(10)], "doc_id long, text string, lang string")
     assert np.unique([stage(spark, clean, SF).count() for _, stage in corpus_pipeline.STAGES]).tolist() == [10]
+
+
+def test_null_and_repeated_ids_are_judged_row_by_row(spark):
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    docs = spark.createDataFrame(
+        [(None, a), (None, a), (None, b), (5, b), (7, c), (7, c), (9, c)], "doc_id long, text string").repartition(3)
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, SF).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(0, a), (5, b), (7, c)])
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    docs = spark.createDataFrame([(None, item), (None, a), (4, f"{b} {item}"), (4, b)], "doc_id long, text string")
+    got = corpus_pipeline.decontaminate_docs(spark, docs, SF).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(0, a), (4, b)])
