@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from aloft.llm.common import ship, shuffle_partitions, text_batches
 from aloft.session import require_checkpoint_dir
 
-RULES_VERSION = "1"
+RULES_VERSION = "1.1"
 #: in this order where two findings start at the same place
 KINDS = ["assign", "access", "hex", "pem", "jwt", "url_login"]
 BASE_KINDS = KINDS[:3]
@@ -32,7 +32,13 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
                      r"([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # the maximal runs of 24 or more
-_PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]|-(?!----))*(?:-----END [A-Z ]*PRIVATE KEY-----)?")
+# up to the END line; without one, header lines and long base64 words, with a last short line
+_PEM = re.compile(
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:"
+    r"(?:[^-]|-(?!----))*+-----END [A-Z ]*PRIVATE KEY-----"
+    r"|(?:(?:\s|\\[nrt])*+(?:[A-Za-z][A-Za-z0-9-]*+:[^\r\n]*+[\r\n]\s*+)*+"
+    r"(?:[A-Za-z0-9+/]{24,}+={0,2}(?:\s|\\[nrt])*+)++"
+    r"(?:(?<=[\r\n])[A-Za-z0-9+/]{1,23}+={0,2}(?=[^\S\r\n]*(?:[\r\n]|\Z)))?)?)")
 _JWT = re.compile(r"\beyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+")
 _URL = re.compile(r"[a-z][a-z0-9+.-]*://[^\s/:@]+:[^\s/@]+@", re.A)
 
