@@ -39,7 +39,7 @@ CHARS = {1: 6_000_000, 0: 12_000_000}
 BLOCK, TOKENS = 1_024, 500_000
 BUCKETS = 1 << 20
 ROUNDS = 40
-BATCH = 16_000_000
+BATCH = 6_000_000
 _STRIP = ".,;:!?%$#&*|\"'()[]{}<>"
 
 
