@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from aloft.llm import ann, bpe, decontaminate, htmltext, langid, lm, secrets, simhash, suffix_dedup, toxicity
+from aloft.llm import ann, bpe, decontaminate, htmltext, langid, lm, secrets, shards, simhash, suffix_dedup, toxicity
 from aloft.llm.common import fold
 
 
@@ -59,9 +60,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        _table(spark, sf_dir, "benchmark"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = shards.interleave(_table(spark, sf_dir, "documents"), shards=40)
+    return made.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                       F.lit(None).cast("int").alias("grown_shard"), "source")
+
+
 QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_suffix_array_dedup, op3_lm_scoring, op4_language_id, op5_nearest_neighbours,
                                   op6_secret_scans, op7_toxicity, op8_simhash_near_dedup, op9_byte_bpe,
-                                  op10_decontamination)}
+                                  op10_decontamination, op11_sharding)}
 
 ORACLE_SQL: dict[str, str] = {"op2_suffix_array_dedup": suffix_dedup.ORACLE,
-                              "op10_decontamination": decontaminate.ORACLE}
+                              "op10_decontamination": decontaminate.ORACLE,
+                              "op11_sharding": shards.ORACLE}
