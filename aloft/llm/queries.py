@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aloft.llm import ann, bpe, decontaminate, divergence, htmltext, langid, lm, secrets, shards, simhash, suffix_dedup, toxicity
+from aloft.llm import ann, bpe, decontaminate, divergence, htmltext, langid, lm, secrets, shards, simhash, suffix_dedup, toxicity, turns
 from aloft.llm.common import fold
 
 
@@ -66,15 +66,21 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit(None).cast("int").alias("grown_shard"), "source")
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.audit(_table(spark, sf_dir, "conversations"))
+
+
 def op13_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_html_extraction, op2_suffix_array_dedup, op3_lm_scoring, op4_language_id, op5_nearest_neighbours,
                                   op6_secret_scans, op7_toxicity, op8_simhash_near_dedup, op9_byte_bpe,
-                                  op10_decontamination, op11_sharding, op13_divergence_audit)}
+                                  op10_decontamination, op11_sharding, op12_conversation_repair,
+                                  op13_divergence_audit)}
 
 ORACLE_SQL: dict[str, str] = {"op2_suffix_array_dedup": suffix_dedup.ORACLE,
                               "op10_decontamination": decontaminate.ORACLE,
                               "op11_sharding": shards.ORACLE,
+                              "op12_conversation_repair": turns.ORACLE,
                               "op13_divergence_audit": divergence.ORACLE}
