@@ -47,8 +47,10 @@ LENGTH, SEED = 50, 20
 #: bytes of text aimed at in a block, and bytes of text behind one range of minimisers: for small
 #: inputs and at most
 BLOCK_BYTES, BUCKET_BYTES = (8_000_000, 16_000_000), (4_000_000, 32_000_000)
-#: windows hashed at a time
-CHUNK = 1 << 15
+#: windows hashed at a time, and bytes of text cut into pieces at a time
+CHUNK, TEXTS_AT_ONCE = 1 << 15, 1 << 20
+#: bytes of text packed at a time
+PACKED_BYTES = 16_000_000
 #: different pieces of one minimiser from which it is split by window content
 HOT = 5_000
 LAST = 2 ** 63 - 1  # the id of rows without one
@@ -151,14 +153,30 @@ class Block:
         self.digests = [d for d, _ in order]
         self.ids = np.array([lowest[t] for _, t in order], np.int64)
         self.sizes = np.array([len(t) for _, t in order], np.int64)
-        self.raw = np.frombuffer(b"".join(t for _, t in order), np.uint8)
+        padded = b"".join([*(t for _, t in order), bytes(8)])
+        del lowest, order  # the texts are held once from here on
+        self.eights = _eights(padded)
+        self.raw = np.frombuffer(padded, np.uint8)[:-8]
         self.ends = np.cumsum(self.sizes)
-        self.fp, self.first, self.run = minimisers(self.raw, self.ends)
-        self.text_of = np.searchsorted(self.ends, self.first, side="right")
-        self.eights = _eights(self.raw.tobytes() + bytes(8))
+        self.fp, self.first, self.run = self._pieces()
+        self.text_of = np.searchsorted(self.ends, self.first, side="right").astype(np.int32)
+
+    def _pieces(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """:func:`minimisers` of the block, some texts at a time, since its arrays are many times as large as
+        the texts."""
+        found, at, low = [], 0, 0
+        while at < len(self.ends):
+            end = max(at + 1, int(np.searchsorted(self.ends, low + TEXTS_AT_ONCE, side="right")))
+            high = int(self.ends[end - 1])
+            fp, first, run = minimisers(self.raw[low:high], self.ends[at:end] - low)
+            found.append((fp, (first + low).astype(np.int32), run.astype(np.uint8)))
+            at, low = end, high
+        if not found:
+            return np.empty(0, np.uint64), np.empty(0, np.int32), np.empty(0, np.uint8)
+        return tuple(np.concatenate(x) for x in zip(*found))
 
     def hashes(self, first: np.ndarray, run: np.ndarray) -> np.ndarray:
-        return _string_hashes(self.eights, first, run + LENGTH - 1)
+        return _string_hashes(self.eights, first, run.astype(np.int32) + LENGTH - 1)
 
     def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Sorted distinct minimisers, in how many texts each is, and in how many pieces."""
@@ -193,10 +211,10 @@ class Block:
         keys = keys[np.append(True, keys[1:] != keys[:-1])[:len(keys)]]
         of = state[np.searchsorted(keys, self.fp)] if len(keys) else np.empty(0, np.uint8)
         one, hot = np.flatnonzero(of == 1), np.flatnonzero(of == 2)
-        wide = self.run[hot]
+        wide = self.run[hot].astype(np.int64)
         first = np.concatenate([self.first[one], np.repeat(self.first[hot], wide)
                                 + np.arange(wide.sum()) - np.repeat(np.cumsum(wide) - wide, wide)])
-        run = np.concatenate([self.run[one], np.ones(wide.sum(), np.int64)])
+        run = np.concatenate([self.run[one], np.ones(wide.sum(), np.uint8)]).astype(np.int64)
         text = np.concatenate([self.text_of[one], np.repeat(self.text_of[hot], wide)])
         h = self.hashes(first, run)
         # a hot minimiser's windows are dealt by their content
@@ -329,7 +347,7 @@ def _packed(docs: DataFrame, id_col: str, text_col: str, blocks: int) -> DataFra
 
     def run(batches):
         for whole in batches:
-            for batch in text_batches([whole], "text", 32_000_000):
+            for batch in text_batches([whole], "text", PACKED_BYTES):
                 lowest: dict[bytes, int] = {}
                 for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                     lowest[t] = min(i, lowest.get(t, LAST))
@@ -365,7 +383,7 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     ship(spark)
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     blocks, buckets = share(size, *BLOCK_BYTES), max(4, share(size, *BUCKET_BYTES))
-    packed = _packed(docs, id_col, text_col, blocks)
+    packed = saved(_packed(docs, id_col, text_col, blocks), "packed-texts")  # read three times
     # buckets are many bytes in few rows: keep their tasks apart, whatever the bytes shuffled
     parts = min(buckets, shuffle_partitions(spark))
 
@@ -451,7 +469,7 @@ def deduplicate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         place = place[gone]
         cover[place] += 1  # every window is in one run only
         np.subtract.at(cover, place + LENGTH, 1)
-        covered = np.cumsum(cover[:-1]) > 0
+        covered = np.cumsum(cover[:-1], dtype=np.int32, out=cover[:-1]) > 0
         rows = {"digest": block.digests, "low": block.ids, "n_removed": [], "n_spans": [], "kept": []}
         at = 0
         for size in block.sizes.tolist():
