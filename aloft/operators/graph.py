@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aloft.constants import PAGERANK_RESET, PAGERANK_TOL
-from aloft.session import saved
+from aloft.session import bucketed, saved
 
 #: targets in one adjacency row, about
 CHUNK = 1024
@@ -46,87 +46,97 @@ class NotConverged(RuntimeError):
     """PageRank reached ``max_iter`` rounds before its tolerance."""
 
 
-def _adjacency(edges: DataFrame, vertices: DataFrame) -> DataFrame:
-    """(id, first, out array<id>, w): the targets of each vertex in chunks of about ``CHUNK``,
-    with the weight 1 / out-degree; ``first`` marks one chunk per vertex (empty for a sink).
-    Chunks bound the row of a hub, and their many rows let a skewed join split."""
+def store_adjacency(edges: DataFrame, vertices: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The graph as two written tables that rounds of messages need not shuffle.
+
+    The targets of a vertex lie in ``chunks`` rows of about :data:`CHUNK`, by target hash, so that a hub is
+    many rows: (id, chunk, out array<id>, w) with the weight 1 / out-degree, bucketed and sorted by (id, chunk).
+    The other table is (id, chunks, deg), both 0 for a sink."""
     deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
-    chunks = (edges.join(deg, "src")
-              .withColumn("k", F.pmod(F.xxhash64("dst"), F.ceil(F.col("deg") / CHUNK)))
-              .groupBy("src", "deg", "k").agg(F.collect_list("dst").alias("out")))
-    empty = vertices.select(F.col("id"), F.lit(True).alias("first"),
-                            F.array().cast(chunks.schema["out"].dataType).alias("out"),
-                            F.lit(0.0).alias("w"))
-    return chunks.select(F.col("src").alias("id"), F.lit(False).alias("first"), "out",
-                         (F.lit(1.0) / F.col("deg")).alias("w")).unionByName(empty)
-
-
-def _round(ranks: DataFrame, adjacency: DataFrame, reset: float) -> DataFrame:
-    """One synchronous round; ``changes`` gets the vertex's change appended.  Every vertex sends its
-    rank to itself beside its contributions, so ranks are read once and one aggregation does."""
-    sent = (ranks.join(adjacency, "id")
-            .select(F.explode(F.expr(
-                "concat(transform(out, d -> named_struct('id', d, 'c', rank * w, "
-                "'old', cast(null as double), 'changes', cast(null as array<double>))), "
-                "if(first, array(named_struct('id', id, 'c', 0.0D, 'old', rank, "
-                "'changes', changes)), array()))")).alias("s")).select("s.*"))
-    rank = F.lit(reset) + F.lit(1.0 - reset) * F.sum("c")
-    return (sent.groupBy("id")
-            .agg(rank.alias("rank"), F.max("old").alias("old"), F.max("changes").alias("changes"))
-            .select("id", "rank", F.concat("changes", F.array(F.abs(F.col("rank") - F.col("old"))))
-                    .alias("changes")))
+    deg = saved(deg.withColumn("chunks", F.ceil(F.col("deg") / CHUNK).cast("int")), "degrees")
+    rows = (edges.join(deg, "src")
+            .withColumn("chunk", F.pmod(F.xxhash64("dst"), F.col("chunks")).cast("int"))
+            .groupBy(F.col("src").alias("id"), "chunk", "deg").agg(F.collect_list("dst").alias("out"))
+            .select("id", "chunk", "out", (F.lit(1.0) / F.col("deg")).alias("w")))
+    sized = (vertices.select("id").join(deg.withColumnRenamed("src", "id"), "id", "left")
+             .fillna(0, ["chunks", "deg"]))
+    return bucketed(rows, "adjacency", ["id", "chunk"]), saved(sized, "vertices")
+
+
+def _round(state: DataFrame, adjacency: DataFrame, reset: float, tol: float, first: bool) -> DataFrame:
+    """One synchronous round: the frontier tells its targets, what came adds to the rank and is told on in a
+    later round; a column ``sent<n>`` is added with the number of messages of each vertex.
+
+    A vertex meets the rows of its adjacency, which stay where they are, once for each chunk, and once more
+    (chunk -1) to send its own state to itself: so the state is read once, and one aggregation does."""
+    told = state.withColumn("active", F.abs("pending") >= tol).withColumn("chunk", F.explode(F.expr(
+        "if(active AND chunks > 0, sequence(-1, chunks - 1), array(-1))")))
+    before = [c for c in state.columns if c.startswith("sent")]
+    now = f"sent{len(before)}"
+    own = {"id": "id", "chunks": "chunks", "deg": "deg", "rank": "rank", "kept": "if(active, 0.0D, pending)",
+           "c": "0.0D", **{c: c for c in before}, now: "if(active, deg, 0L)"}
+    types = {"chunks": "int", "rank": "double", "kept": "double"}
+    message = {c: f"cast(null AS {types.get(c, 'bigint')})" for c in own} | {"id": "d", "c": "pending * w"}
+
+    def struct(values: dict) -> str:
+        return "named_struct(" + ", ".join(f"'{c}', {v}" for c, v in values.items()) + ")"
+    rows = told.join(adjacency, ["id", "chunk"], "left").select(F.explode(F.expr(
+        f"if(chunk < 0, array({struct(own)}), transform(out, d -> {struct(message)}))")).alias("s")).select("s.*")
+    summed = rows.groupBy("id").agg(*[F.max(c).alias(c) for c in own if c not in ("id", "c")],
+                                    (F.lit(1.0 - reset) * F.sum("c")).alias("c"))
+    rank = F.col("rank") + F.col("c")
+    # all vertices told their starting rank of 1 in the first round; what they have to tell is the change
+    pending = rank - 1.0 if first else F.col("kept") + F.col("c")
+    return summed.select("id", "chunks", "deg", rank.alias("rank"), pending.alias("pending"), *before, now)
 
 
 def pagerank(edges: DataFrame, vertices: DataFrame | None = None,
              reset: float = PAGERANK_RESET, max_iter: int | None = None,
              tol: float = PAGERANK_TOL, rounds_per_job: int = 6,
-             normalize: bool = False) -> DataFrame:
+             normalize: bool = False, sent: list[int] | None = None) -> DataFrame:
     """G03 (Q21): unweighted PageRank ``r(v) = reset + (1 - reset) * sum(r(u) / deg(u))``
-    over in-edges u -> v, starting from 1.0, up to the first round in which no rank changes
-    by ``tol`` or more.
-
-    There is no round limit unless ``max_iter`` is given; reaching it first raises
-    :class:`NotConverged` (with ``tol=0``, ``max_iter`` rounds are what is asked for).
+    over in-edges u -> v, starting from 1.0.
 
-    ``rounds_per_job`` rounds run as one Spark job.  Each vertex keeps its changes of these rounds,
-    and where an inner round turns out to have converged, the job is repeated up to that
-    round, so the setting moves no result.  Ranks are written to ``spark.checkpoint.dir`` after
-    each job (lineage cut, safe against lost executors).
+    Changes, not ranks, are sent: a vertex adds up what its rank changed since it last told
+    its targets and tells them when that is ``tol`` or more (with either sign).  Only this frontier is joined
+    with the adjacency; the ranks are final in the first round without one.  While
+    all vertices are in the frontier (always, with ``tol=0``) a round equals one of the power iteration.
 
-    A round joins the ranks with the adjacency chunks, explodes the contributions and sums them
-    with map-side combine.  Spark broadcasts ranks that are small; else both sides shuffle
-    by vertex and AQE splits the partition of a hub.  ``normalize`` rescales the result so
-    ranks sum to the vertex count.
+    There is no round limit unless ``max_iter`` is given; reaching it first raises
+    :class:`NotConverged` (with ``tol=0``, ``max_iter`` rounds are what is asked for).  ``sent`` gets the
+    number of messages of each round appended.
+
+    ``rounds_per_job`` rounds run as one Spark job; rounds after the last change nothing, so the
+    setting moves no result.  The state (rank, what is still to be told) is written to
+    ``spark.checkpoint.dir`` after each job (lineage cut, safe against lost executors).  A round
+    shuffles the state and the frontier to the buckets of :func:`store_adjacency`, and messages, combined
+    map-side, to their targets; edges are never shuffled again.  ``normalize`` rescales the result so ranks
+    sum to the vertex count.
     """
     if max_iter is None and tol <= 0:
         raise ValueError("tol=0 needs max_iter")
     e = saved(edges.select("src", "dst"), "edges")
     v = vertices_of(e) if vertices is None else vertices.select("id").union(vertices_of(e)).distinct()
-    v = saved(v, "vertices")
-    adjacency = saved(_adjacency(e, v), "adjacency")
-    none = F.array().cast("array<double>")
-
-    def run(ranks: DataFrame, n: int) -> DataFrame:
-        new = ranks.select("id", "rank", none.alias("changes"))
-        for _ in range(n):
-            new = _round(new, adjacency, reset)
-        return saved(new, "ranks")
-
-    ranks = v.select("id", F.lit(1.0).alias("rank"))
+    adjacency, sized = store_adjacency(e, v)
+    state = sized.withColumns({"rank": F.lit(reset), "pending": F.lit(1.0)})
     done = 0
     while max_iter is None or done < max_iter:
         n = rounds_per_job if max_iter is None else min(rounds_per_job, max_iter - done)
-        new = run(ranks, n)
-        changes = new.agg(*[F.max(F.col("changes")[k]).alias(f"c{k}") for k in range(n)]).first()
-        stop = next((k for k, c in enumerate(changes, 1) if c is None or c < tol), None)
-        if stop is not None:
-            ranks = new if stop == n else run(ranks, stop)
+        state = state.select("id", "chunks", "deg", "rank", "pending")
+        for k in range(n):
+            state = _round(state, adjacency, reset, tol, done + k == 0)
+        state = saved(state, "ranks")
+        left, *told = state.agg(F.max((F.abs("pending") >= tol).cast("int")),
+                                *[F.sum(f"sent{k}") for k in range(n)]).first()
+        done += n
+        if sent is not None:
+            sent += [t or 0 for t in told]
+        if not left:
             break
-        ranks, done = new, done + n
     else:
         if tol > 0:
             raise NotConverged(f"a rank still changes by {tol:g} or more after {max_iter} rounds")
-    ranks = ranks.select("id", "rank")
+    ranks = state.select("id", "rank")
     if normalize:
         total, count = ranks.agg(F.sum("rank"), F.count(F.lit(1))).first()
         ranks = ranks.select("id", (F.col("rank") * F.lit(count / total)).alias("rank"))

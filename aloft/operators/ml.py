@@ -8,6 +8,9 @@ LogisticRegression use tree aggregation of fixed-size summaries.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -97,6 +100,98 @@ def fit_logistic(training: DataFrame, features_col: str, label_col: str,
                               family="binomial").fit(training)
 
 
+@dataclass(frozen=True)
+class NewtonFit:
+    """A fitted binomial model: ``converged`` if the last step moved no coefficient by the tolerance."""
+    features: tuple[str, ...]
+    intercept: float
+    coefficients: tuple[float, ...]
+    iterations: int
+    converged: bool
+
+
+#: a pivot below this share of its diagonal entry marks a feature that others determine; it is left as it is
+ALIASED = 1e-10
+
+
+def _solve(gram: np.ndarray, gradient: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan elimination of a positive semidefinite system; determined unknowns get 0."""
+    m, diagonal = np.column_stack([gram, gradient]), np.diag(gram).copy()
+    for k in range(len(m)):
+        if m[k, k] <= ALIASED * diagonal[k]:
+            m[k] = 0.0
+            continue
+        m[k] /= m[k, k]
+        others = np.arange(len(m)) != k
+        m[others] -= np.outer(m[others, k], m[k])
+    return m[:, -1]
+
+
+def _probability(intercept: float, coefficients, features):
+    eta = F.lit(float(intercept))
+    for b, c in zip(coefficients, features, strict=True):
+        eta = eta + F.lit(float(b)) * F.col(c)
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-eta))
+
+
+def fit_newton(training: DataFrame, features: list[str], label_col: str,
+               max_iter: int = LOGISTIC_MAX_ITER, tol: float = 1e-9) -> NewtonFit:
+    """M04 (Q26): binomial logistic regression by Newton's method (iteratively reweighted least squares),
+    without a penalty, starting from 0.
+
+    An iteration is one aggregate over the rows: the weighted Gram matrix and the gradient, (d + 1)(d + 4) / 2
+    sums for d features, combined map-side.  The driver solves a system of d + 1 unknowns.  ``training``
+    should be a written table; it is read once an iteration.  Rows with a null feature or label add
+    nothing.  Steps do not depend on the scale of the features."""
+    x = [F.lit(1.0), *[F.col(c).cast("double") for c in features]]
+    k = len(x)
+    rows = training.na.drop(subset=[*features, label_col])
+    beta, iterations, converged = np.zeros(k), 0, False
+    while iterations < max_iter and not converged:
+        p = _probability(beta[0], beta[1:], features)
+        sums = [F.sum(F.col("__w") * x[a] * x[b]) for a in range(k) for b in range(a, k)]
+        sums += [F.sum(F.col("__r") * x[a]) for a in range(k)]
+        got = (rows.withColumn("__p", p)
+               .withColumns({"__w": F.col("__p") * (F.lit(1.0) - F.col("__p")), "__r": F.col(label_col) - F.col("__p")})
+               .agg(*[s.alias(f"s{i}") for i, s in enumerate(sums)]).first())
+        if got[0] is None:
+            raise ValueError("no rows to fit")
+        gram = np.zeros((k, k))
+        gram[np.triu_indices(k)] = got[:len(got) - k]
+        step = _solve(gram + np.triu(gram, 1).T, np.array(got[len(got) - k:]))
+        beta = beta + step
+        iterations += 1
+        converged = bool(np.abs(step).max() < tol)
+    return NewtonFit(tuple(features), float(beta[0]), tuple(map(float, beta[1:])), iterations, converged)
+
+
+def predict_newton(fit: NewtonFit, data: DataFrame, prediction_col: str = "prediction",
+                   probability_col: str = "p_positive") -> DataFrame:
+    """M05 (Q27): ``data`` with the probability of 1 and the prediction (1.0 if that is over a half)."""
+    return (data.withColumn(probability_col, _probability(fit.intercept, fit.coefficients, fit.features))
+            .withColumn(prediction_col, (F.col(probability_col) > 0.5).cast("double")))
+
+
+def fit_and_score_newton(df: DataFrame, id_col: str, category_col: str, numeric_cols: list[str],
+                         label_col: str, train_fraction: float = SPLIT_WEIGHTS[0], seed: int = SPLIT_SEED,
+                         max_iter: int = LOGISTIC_MAX_ITER) -> tuple[NewtonFit, DataFrame]:
+    """Q30 by Newton's method: split by key hash, index the category and scale all features by what the
+    training part says, fit on that, score the rest."""
+    df = saved(df, "model-input")
+    train, test = hash_split(df, id_col, train_fraction, seed)
+    index = f"{category_col}_index"
+    indexer = StringIndexer(inputCol=category_col, outputCol=index, handleInvalid="keep",
+                            stringOrderType="frequencyDesc").fit(train)
+    names = [index, *numeric_cols]
+    std = indexer.transform(train).agg(*[F.stddev_samp(c) for c in names]).first()
+
+    def scaled(part: DataFrame) -> DataFrame:
+        return indexer.transform(part).withColumns(
+            {f"scaled_{c}": F.col(c) / F.lit(s) if s else F.lit(0.0) for c, s in zip(names, std, strict=True)})
+    fit = fit_newton(saved(scaled(train), "training"), [f"scaled_{c}" for c in names], label_col, max_iter)
+    return fit, predict_newton(fit, scaled(test))
+
+
 def predict(model, data: DataFrame) -> DataFrame:
     """M05 (Q27): score rows (prediction 1.0 = yes, 0.0 = no)."""
     return model.transform(data)

@@ -383,18 +383,19 @@ _NUMERIC = [c for c in PLAYER_FEATURES if c != "country_index"]
 
 
 def _scored(spark, sf):
-    _, scored = ml.fit_and_score(players(spark, sf), "doc_id", "country", _NUMERIC,
-                                 "paid_customer", train_fraction=0.9, seed=10, max_iter=5)
-    return scored
+    return ml.fit_and_score_newton(players(spark, sf), "doc_id", "country", _NUMERIC,
+                                   "paid_customer", train_fraction=0.9, seed=10, max_iter=5)[1]
 
 
 def q_fit_predict(spark, sf):                                      # Q26 Q27 Q30
-    return ml.score_columns(_scored(spark, sf), "doc_id", "paid_customer")
+    return _scored(spark, sf).select("doc_id", "paid_customer", "prediction",
+                                     _r("p_positive", 6).alias("p_positive"))
 
 
 def q_evaluate(spark, sf):                                         # Q29
-    m = ml.evaluate(_scored(spark, sf), "paid_customer")
-    return spark.createDataFrame([m], "auc double, auc_hard double, accuracy double, n bigint")
+    m = ml.evaluate(_scored(spark, sf), "paid_customer", raw_col="p_positive")
+    return spark.createDataFrame([m], "auc double, auc_hard double, accuracy double, n bigint") \
+        .select(*[_r(c, 9).alias(c) for c in ("auc", "auc_hard", "accuracy")], "n")
 
 
 def q_evaluate_scores(spark, sf):                                  # Q29 on given scores
@@ -493,22 +494,26 @@ FROM (SELECT CASE WHEN event_type = 'purchase'
 WHERE regexp_full_match(value, '{_SOCIAL}')
 GROUP BY 1, 2"""
 
-# rounds go on while the last one changed some rank by the tolerance or more
+# a vertex sends what its rank changed since it last sent, if that is the tolerance or more; rounds go on
+# while some vertex has to
 _RANKS = f"""
 WITH RECURSIVE e AS MATERIALIZED ({_EDGES}),
 deg AS MATERIALIZED (SELECT src, count(*) AS c FROM e GROUP BY src),
 v AS MATERIALIZED (SELECT src AS id FROM e UNION SELECT dst FROM e),
-r(i, id, v, delta) AS (
-  SELECT 0, id, CAST(1.0 AS DOUBLE), CAST(1.0 AS DOUBLE) FROM v
+r(i, id, v, pending, most) AS (
+  SELECT 0, id, CAST({PAGERANK_RESET} AS DOUBLE), CAST(1.0 AS DOUBLE), CAST(1.0 AS DOUBLE) FROM v
   UNION ALL
-  SELECT x.i, x.id, x.v, max(abs(x.v - x.old)) OVER () FROM (
-    SELECT (SELECT max(i) FROM r) + 1 AS i, v.id, any_value(o.v) AS old,
-           CAST({PAGERANK_RESET} AS DOUBLE) + CAST({1 - PAGERANK_RESET} AS DOUBLE)
-             * coalesce(sum(r.v / deg.c), 0) AS v
-    FROM v JOIN r o ON o.id = v.id LEFT JOIN e ON e.dst = v.id LEFT JOIN deg ON deg.src = e.src
-           LEFT JOIN r ON r.id = e.src
-    WHERE o.delta >= {PAGERANK_TOL}
-    GROUP BY v.id) x)"""
+  SELECT x.i, x.id, x.v, x.pending, max(abs(x.pending)) OVER () FROM (
+    SELECT m.i, m.id, m.old + m.c AS v, CASE WHEN m.i = 1 THEN m.old + m.c - 1.0 ELSE m.kept + m.c END AS pending
+    FROM (
+      SELECT (SELECT max(i) FROM r) + 1 AS i, v.id, any_value(o.v) AS old,
+             any_value(CASE WHEN abs(o.pending) >= {PAGERANK_TOL} THEN 0 ELSE o.pending END) AS kept,
+             CAST({1 - PAGERANK_RESET} AS DOUBLE)
+               * coalesce(sum(r.pending / deg.c) FILTER (abs(r.pending) >= {PAGERANK_TOL}), 0) AS c
+      FROM v JOIN r o ON o.id = v.id LEFT JOIN e ON e.dst = v.id LEFT JOIN deg ON deg.src = e.src
+             LEFT JOIN r ON r.id = e.src
+      WHERE o.most >= {PAGERANK_TOL}
+      GROUP BY v.id) m) x)"""
 
 _PLAYERS = """
 SELECT d.doc_id,
@@ -557,6 +562,51 @@ WITH c AS (SELECT CAST(sum(CASE WHEN o_totalprice <= 100000 AND o_orderstatus =
                   CAST(sum(CASE WHEN o_totalprice > 100000 AND o_orderstatus <> 'F' THEN 1 END) AS DOUBLE) AS b0
            FROM orders)"""
 
+
+def _newton_sql(rounds: int, k: int) -> str:
+    """``nw``: Newton's method for ``tr`` (x: list of ``k`` values, the first 1; y), as one recursion over
+    phases: 0 sums the weighted Gram matrix, the gradient and, to judge pivots by, the diagonal; 1 to ``k``
+    eliminate a column; the last one adds the step."""
+    def entry(a: int, b: int) -> str:
+        return f"sum(p * (1 - p) * x[{a}] * x[{b}])"
+    rows = ", ".join("[" + ", ".join([*(entry(a, b) for b in range(1, k + 1)), f"sum((y - p) * x[{a}])", entry(a, a)])
+                     + "]" for a in range(1, k + 1))
+    return f"""
+nw(t, phase, beta, m) AS (
+  SELECT 0, 0, [0.0::DOUBLE{", 0.0" * (k - 1)}], [[0.0::DOUBLE]]
+  UNION ALL
+  SELECT CASE WHEN phase = {k + 1} THEN t + 1 ELSE t END, CASE WHEN phase = {k + 1} THEN 0 ELSE phase + 1 END,
+         CASE WHEN phase = {k + 1} THEN list_transform(range(1, {k + 1}), lambda i: beta[i] + m[i][{k + 1}]) ELSE beta END,
+         CASE WHEN phase = 0 THEN sums WHEN phase = {k + 1} THEN m ELSE
+           list_transform(range(1, {k + 1}), lambda i: list_transform(range(1, {k + 3}), lambda j:
+             CASE WHEN j = {k + 2} THEN m[i][j]
+                  WHEN m[phase][phase] <= {ml.ALIASED} * m[phase][{k + 2}] THEN CASE WHEN i = phase THEN 0.0 ELSE m[i][j] END
+                  WHEN i = phase THEN m[i][j] / m[phase][phase]
+                  ELSE m[i][j] - m[i][phase] * (m[phase][j] / m[phase][phase]) END)) END
+  FROM (SELECT t, phase, beta, m, [{rows}] AS sums
+        FROM (SELECT nw.*, x, y, 1 / (1 + exp(-list_inner_product(beta, x))) AS p
+              FROM nw LEFT JOIN tr ON nw.phase = 0 WHERE nw.t < {rounds})
+        GROUP BY t, phase, beta, m))"""
+
+
+_TRAIN = f"substr(md5(CAST(doc_id AS VARCHAR) || ':10'), 1, 8) < '{int(round(0.9 * 2 ** 32)):08x}'"
+_FIT = f"""
+WITH RECURSIVE p AS MATERIALIZED (SELECT *, {_TRAIN} AS in_train FROM ({_PLAYERS})),
+f AS (SELECT country, count(*) AS n FROM p WHERE in_train AND country IS NOT NULL GROUP BY country),
+r AS (SELECT country, CAST(row_number() OVER (ORDER BY n DESC, country) - 1 AS DOUBLE) AS ci FROM f),
+a AS (SELECT p.*, coalesce(r.ci, (SELECT CAST(count(*) AS DOUBLE) FROM f)) AS country_index
+      FROM p LEFT JOIN r ON p.country = r.country),
+s AS (SELECT {", ".join(f"stddev_samp({c}) AS s_{c}" for c in ["country_index", *_NUMERIC])} FROM a WHERE in_train),
+z AS MATERIALIZED (
+  SELECT doc_id, in_train, paid_customer AS y, [1.0, {", ".join(
+      f"CASE WHEN coalesce(s_{c}, 0) = 0 THEN 0.0 ELSE {c} / s_{c} END" for c in ["country_index", *_NUMERIC])}] AS x
+  FROM a CROSS JOIN s),
+tr AS MATERIALIZED (SELECT x, y FROM z WHERE in_train),
+{_newton_sql(5, len(_NUMERIC) + 2)},
+scored AS (
+  SELECT doc_id, y, 1 / (1 + exp(-list_inner_product(beta, x))) AS p
+  FROM z CROSS JOIN (SELECT beta FROM nw WHERE t = 5) WHERE NOT in_train)"""
+
 _FEATS = ", ".join(f"round({c}, 6) AS {c}" for c in PLAYER_FEATURES)
 _STDS = ", ".join(f"stddev_samp({c}) AS s_{c}" for c in PLAYER_FEATURES)
 _SCALED = ", ".join(
@@ -726,6 +776,16 @@ c AS (SELECT sum(y) AS p, count(*) - sum(y) AS q, sum(y * r) AS sr, sum(y * h) A
 SELECT round((sr - p * (p + 1) / 2) / (p * q), 9) AS auc,
        round((sh - p * (p + 1) / 2) / (p * q), 9) AS auc_hard, round(accuracy, 9) AS accuracy, n
 FROM c""",
+    "fit_predict": _FIT + """
+SELECT doc_id, y AS paid_customer, CAST(CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS DOUBLE) AS prediction,
+       round(p, 6) AS p_positive FROM scored""",
+    "evaluate": _FIT + """,
+k AS (SELECT y, p, rank() OVER (ORDER BY p) + (count(*) OVER (PARTITION BY p) - 1) / 2.0 AS r,
+             rank() OVER (ORDER BY p > 0.5) + (count(*) OVER (PARTITION BY p > 0.5) - 1) / 2.0 AS h FROM scored),
+c AS (SELECT sum(y) AS a, count(*) - sum(y) AS b, sum(y * r) AS sr, sum(y * h) AS sh,
+             avg(CASE WHEN (p > 0.5) = (y = 1) THEN 1.0 ELSE 0.0 END) AS accuracy, count(*) AS n FROM k)
+SELECT round((sr - a * (a + 1) / 2) / (a * b), 9) AS auc, round((sh - a * (a + 1) / 2) / (a * b), 9) AS auc_hard,
+       round(accuracy, 9) AS accuracy, n FROM c""",
     "logistic_fit": _LOGIT + """
 SELECT round(ln(a1 / a0), 4) AS intercept,
        round(ln(b1 / b0) - ln(a1 / a0), 4) AS coefficient FROM c""",

@@ -84,3 +84,14 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     path = f"{require_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, name: str, keys: list[str], buckets: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder as a catalog table bucketed and sorted by ``keys``, and
+    read it back: joins and groupings on these keys need no shuffle of it."""
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    unique = f"{name}_{uuid.uuid4().hex}"
+    (df.repartition(buckets, *keys).write.format("parquet").bucketBy(buckets, *keys).sortBy(*keys)
+     .option("path", f"{require_checkpoint_dir(spark)}/{unique}").saveAsTable(unique))
+    return spark.table(unique)

@@ -132,3 +132,59 @@ def test_triplets_complete_the_vertex_set(spark):
     vertices = spark.createDataFrame([(1, "a"), (2, None)], "id long, attr string")
     got = sorted(tuple(r) for r in triplets(vertices, edges, default_attr="z").collect())
     assert got == [(1, "a", 2, None, 1), (2, None, 3, "z", 4)]
+
+
+def _fixpoint(pairs, reset=0.15):
+    ids = sorted({x for p in pairs for x in p})
+    at = {v: k for k, v in enumerate(ids)}
+    deg = np.bincount([at[a] for a, _ in pairs], minlength=len(ids))
+    m = np.zeros((len(ids), len(ids)))
+    for a, b in pairs:
+        m[at[b], at[a]] += 1 / deg[at[a]]
+    return dict(zip(ids, np.linalg.solve(np.eye(len(ids)) - (1 - reset) * m, np.full(len(ids), reset)), strict=True))
+
+
+def _skewed_pairs():
+    """Vertex 0 is the source of a third of all edges."""
+    rng = np.random.default_rng(7)
+    pairs = {(0, k) for k in range(1, 120)} | {(int(a), int(b)) for a, b in rng.integers(1, 120, size=(240, 2))}
+    return sorted(p for p in pairs if p[0] != p[1])
+
+
+def test_frontier_sends_less_and_less(spark, monkeypatch):
+    pairs = _skewed_pairs()
+    edges = spark.createDataFrame([(a, b, 1) for a, b in pairs], "src long, dst long, weight long")
+    monkeypatch.setattr(graph_ops, "CHUNK", 8)
+    sent = []
+    got = {r["id"]: r["rank"] for r in pagerank(edges, rounds_per_job=5, sent=sent).collect()}
+    exp = _fixpoint(pairs)
+    assert max(abs(got[i] - exp[i]) for i in exp) < 1e-5
+    assert sent[0] == len(pairs)                          # all vertices tell their starting rank
+    assert sent == sorted(sent, reverse=True) or sent[-1] == 0
+    assert 0 < [s for s in sent if s][-1] < len(pairs) / 4  # the last senders are few
+
+
+def test_round_leaves_the_edges_where_they_are(spark, monkeypatch):
+    """Without broadcasts the adjacency side of the join is a bucketed scan with neither exchange nor Python."""
+    pairs = _skewed_pairs()
+    edges = spark.createDataFrame([(a, b, 1) for a, b in pairs], "src long, dst long, weight long")
+    monkeypatch.setattr(graph_ops, "CHUNK", 8)
+    adjacency, sized = graph_ops.store_adjacency(edges, vertices_of(edges))
+    hub = adjacency.where("id = 0")
+    assert hub.count() > 10 and hub.agg({"chunk": "max"}).first()[0] > 10  # a hub is many rows
+    from pyspark.sql import functions as F
+    state = sized.withColumns({"rank": F.lit(0.15), "pending": F.lit(1.0)})
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = graph_ops._round(state, adjacency, 0.15, 1e-6, True)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    above, below = plan.split("SortMergeJoin")
+    left = [line for line in below.splitlines() if line.lstrip().startswith(":")]
+    right = [line for line in below.splitlines() if not line.lstrip().startswith(":")]
+    assert above.count("Exchange") == 1 and "".join(left).count("Exchange") == 1
+    assert "Exchange" not in "".join(right) and "Bucketed: true" in "".join(right)
+    assert "SortAggregate" not in plan
+    assert "Python" not in plan and "Arrow" not in plan
