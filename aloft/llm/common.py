@@ -56,6 +56,18 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` is called that."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
+def columns_of(df: DataFrame) -> list:
+    """The columns of ``df``, whatever they are called."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def fold(id_col: str, parts: int):
     """crc32 of the id as text (null: the empty text) modulo ``parts``."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % parts

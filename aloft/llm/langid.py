@@ -28,10 +28,12 @@ from pyspark.sql import functions as F
 
 from aloft.llm.common import per_text
 
-#: per language: rows sampled, characters taken of a row, and characters in all
-ROWS, OF_ROW, SAMPLE = 200, 2_000, 28_000
+#: characters of a language's sample, which takes whole rows of up to that many characters until it is full
+SAMPLE = 100_000
 #: characters of all languages' samples together; with many languages each gets less
-TOTAL = 560_000
+TOTAL = 1_200_000
+#: candidates drawn by hash for a sample: characters as a multiple of the sample, and rows at least, about
+DRAWN, DRAWN_ROWS = 3, 60
 PIECE = 2_048
 #: commonest letters whose transitions lie in a dense table; those of all others are searched
 CLASSES = 64
@@ -199,14 +201,22 @@ class CrossParser:
 
 def samples(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             lang_col: str = "lang") -> dict[str, str]:
-    """Per language, text of the rows with the smallest hash of their id, within the bounds
-    above.  Each map task passes on no more than ``ROWS`` rows of a language."""
-    hashed = (docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-              .select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(id_col).alias("h"),
-                      F.substring(text_col, 1, OF_ROW).alias("text")))
+    """Per language, whole texts of the rows with the smallest hash of their id, within the bounds
+    above.  A threshold on the hash, from the language's size, cuts the candidates before
+    they are ordered."""
+    spark = docs.sparkSession
+    base = (docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+            .select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(id_col).alias("h"),
+                    F.col(text_col).alias("text"), F.length(text_col).alias("n")))
+    sizes = base.groupBy("lang").agg(F.sum("n").alias("chars"), F.count("*").alias("rows")).collect()
+    most = min(SAMPLE, TOTAL // max(1, len(sizes)))
+    below = [(r["lang"], min(1.0, max(DRAWN * most / max(1, r["chars"]), DRAWN_ROWS / r["rows"]))) for r in sizes]
+    drawn = (base.join(spark.createDataFrame(below, "lang string, below double"), "lang")
+             .where((F.pmod("h", F.lit(1 << 31)) < F.col("below") * float(1 << 31)) & (F.col("n") <= most)))
     order = Window.partitionBy("lang").orderBy("h", "text")
-    rows = (hashed.withColumn("k", F.row_number().over(order)).where(F.col("k") <= ROWS)
-            .select("lang", "k", "text").collect())
+    before = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
+    rows = (drawn.withColumn("k", F.row_number().over(order)).withColumn("before", before)
+            .where(F.col("before") < DRAWN * most).select("lang", "k", "text").collect())
     by: dict[str, list] = {r["lang"]: [] for r in rows}
     seen: set[str] = set()
     for r in sorted(rows, key=lambda r: (r["k"], r["lang"])):
@@ -216,8 +226,18 @@ def samples(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         if len(grams & seen) <= 0.3 * len(grams):
             by[r["lang"]].append(r["text"])
         seen |= grams
-    most = min(SAMPLE, TOTAL // max(1, len(by)))
-    return {k: " ".join(v)[:most] for k, v in agreed(by, most).items()}
+    return {k: filled(v, most) for k, v in agreed(by, most).items()}
+
+
+def filled(texts: list[str], most: int) -> str:
+    """Whole texts until they have ``most`` characters."""
+    out, held = [], 0
+    for t in texts:
+        if held >= most:
+            break
+        out.append(t)
+        held += len(t)
+    return " ".join(out)
 
 
 def agreed(rows: dict[str, list[str]], most: int) -> dict[str, list[str]]:
@@ -227,7 +247,7 @@ def agreed(rows: dict[str, list[str]], most: int) -> dict[str, list[str]]:
     halves = [{k: v[h::2] for k, v in rows.items()} for h in (0, 1)]
     kept: dict[str, list[str]] = {k: [] for k in rows}
     for own, other in (halves, halves[::-1]):
-        parser = CrossParser({k: " ".join(v)[:most] for k, v in other.items() if v})
+        parser = CrossParser({k: filled(v, most // 2) for k, v in other.items() if v})
         for k, v in own.items():
             verdict, _ = parser.predict(v)
             kept[k] += [t for t, got in zip(v, verdict) if got == k]

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aloft.llm.common import ship, shuffle_partitions, text_batches
+from aloft.llm.common import columns_of, fresh, ship, shuffle_partitions, text_batches
 from aloft.session import require_checkpoint_dir
 
 RULES_VERSION = "1.1"
@@ -129,12 +129,14 @@ class BlobLedger:
          .mapInArrow(scan_once, LEDGER_SCHEMA)
          .write.mode("append").parquet(self.path))
 
-    def findings(self, docs: DataFrame, text_col: str = "text") -> DataFrame:
-        """``docs`` with column ``__spans`` (null where nothing was found)."""
-        held = (self.rows().where(F.size("spans") > 0)
-                .select(F.col("blob").alias("__blob"), F.col("spans").alias("__spans")))
-        return (docs.withColumn("__blob", blob_address(F.col(text_col)))
-                .join(held, "__blob", "left").drop("__blob"))
+    def findings(self, docs: DataFrame, text_col: str = "text", spans_col: str = "__spans") -> DataFrame:
+        """``docs`` with column ``spans_col`` (null where nothing was found).  A blob that two updates at
+        once have written counts once."""
+        blob, address = fresh(docs, "__blob"), fresh(docs, "__address")
+        held = (self.rows().where(F.size("spans") > 0).dropDuplicates(["blob"])
+                .select(F.col("blob").alias(blob), F.col("spans").alias(spans_col)))
+        return (docs.withColumn(address, blob_address(F.col(text_col)))
+                .join(held, F.col(address) == F.col(blob), "left").drop(address, blob))
 
 
 def new_ledger(spark: SparkSession) -> BlobLedger:
@@ -186,12 +188,15 @@ def redact(docs: DataFrame, ledger: BlobLedger | None = None, *, text_col: str =
                     end = max(end, s["stop"])
                 at = end
             return "".join(out) + t[at:]
-        return pd.Series([one(t, f) for t, f in zip(text, spans)])
-
-    found = ledger.findings(docs, text_col)
-    hit, clean = found.where("__spans IS NOT NULL"), found.where("__spans IS NULL")
-    done = hit.withColumn(text_col, masked(F.col(text_col), F.col("__spans"))).drop("__spans")
+        return pd.Series([None if t is None else one(t, f) for t, f in zip(text, spans)])
+
+    spans = fresh(docs, "__spans")
+    found = ledger.findings(docs, text_col, spans)
+    hit = F.col(spans).isNotNull()
+    # texts without findings stay in the JVM
+    new = {text_col: F.coalesce(masked(F.when(hit, F.col(text_col)), F.col(spans)), F.col(text_col))}
+    found = found.withColumns(new)
     if length_col:
         kind = docs.schema[length_col].dataType
-        done = done.withColumn(length_col, F.length(text_col).cast(kind))
-    return done.select(docs.columns).union(clean.drop("__spans").select(docs.columns))
+        found = found.withColumn(length_col, F.when(hit, F.length(text_col).cast(kind)).otherwise(F.col(length_col)))
+    return found.select(columns_of(docs))

@@ -90,3 +90,24 @@ def test_unclosed_key_ends_with_its_material():
     assert pem(f'"{escaped}", {prose}') == [escaped]
     closed = f"{key}\n-----END RSA PRIVATE KEY-----"
     assert pem(f"{closed} {prose} {begin} {prose}") == [closed, begin]
+
+
+def test_a_blob_written_twice_counts_once(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "token=abcdef77"), (2, "token=abcdef77")], "doc_id long, text string")
+    ledger = secrets.BlobLedger(spark, str(tmp_path / "ledger"))
+    ledger.update(docs)
+    held = spark.createDataFrame(spark.read.parquet(ledger.path).collect(), secrets.LEDGER_SCHEMA)
+    held.write.mode("append").parquet(ledger.path)
+    assert secrets.find_secrets(docs, ledger).count() == 2
+    assert [r.text for r in secrets.redact(docs, ledger).collect()] == ["[SECRET]"] * 2
+
+
+def test_redact_joins_once_and_keeps_any_column(spark):
+    docs = spark.createDataFrame([(1, "token=abcdef77", "a", "b", "c", 1.5), (2, "clean", "d", "e", "f", 2.5)],
+                                 "doc_id long, text string, __blob string, __spans string, `a.b` string, __key double")
+    made = secrets.redact(docs)
+    assert made.columns == docs.columns
+    got = {r["doc_id"]: r for r in made.collect()}
+    assert tuple(got[1]) == (1, "[SECRET]", "a", "b", "c", 1.5) and tuple(got[2]) == (2, "clean", "d", "e", "f", 2.5)
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1
