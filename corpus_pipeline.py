@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aloft.llm import bpe, decontaminate, secrets, simhash, toxicity
-from aloft.llm.common import fold, saved
+from aloft.llm.common import columns_of, fold, fresh, saved
 from aloft.session import require_checkpoint_dir
 
 
@@ -36,28 +36,29 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, tagger)
 
 
-def keyed(docs: DataFrame, name: str) -> DataFrame:
-    """``docs`` with a written key ``__key`` for each row."""
-    return saved(docs.withColumn("__key", F.monotonically_increasing_id()), name)
+def keyed(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``docs`` with a written key for each row, and the name of its column, which ``docs`` does not use."""
+    key = fresh(docs, "__key")
+    return saved(docs.withColumn(key, F.monotonically_increasing_id()), name), key
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = keyed(docs, "near-dedup-rows")
+    rows, key = keyed(docs, "near-dedup-rows")
     # ordered like doc_id with nulls last, and different for every row
     name = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"),
-                    F.col("__key").alias("key"))
+                    F.col(key).alias("key"))
     groups = simhash.near_duplicates(rows.select(name.alias("row"), "text"), id_col="row",
                                      shingle=3, max_bits=3)
     kept = (groups.where(F.col("row.key") == F.col("component_id.key"))
-            .select(F.col("row.key").alias("__key")))
-    return rows.join(kept, "__key", "left_semi").select(docs.columns)
+            .select(F.col("row.key").alias(key)))
+    return rows.join(kept, key, "left_semi").select(columns_of(docs))
 
 
 def decontaminate_docs(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    rows = keyed(docs, "decontamination-rows")
-    leaked = decontaminate.contamination(rows, items, id_col="__key").select("__key").distinct()
-    return rows.join(leaked, "__key", "left_anti").select(docs.columns)
+    rows, key = keyed(docs, "decontamination-rows")
+    leaked = decontaminate.contamination(rows, items, id_col=key).select(key).distinct()
+    return rows.join(leaked, key, "left_anti").select(columns_of(docs))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
