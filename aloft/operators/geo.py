@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aloft.functions.columns import EARTH_RADIUS_KM, haversine_km
 
+#: points of one cell that are met by one copy of its centres
+CELL_ROWS = 100_000
+
 
 def within_radius(df: DataFrame, lat: str, lon: str, lat0: float, lon0: float,
                   radius_km: float = 10.0, name_col: str | None = None,
@@ -34,3 +37,62 @@ def count_within(df: DataFrame, lat: str, lon: str, lat0: float, lon0: float,
     """A14 (Q18): how many rows ``within_radius`` keeps, one row."""
     return (within_radius(df, lat, lon, lat0, lon0, radius_km, name_col, term)
             .agg(F.count(F.lit(1)).alias(out_col)))
+
+
+class Grid:
+    """Cells for a radius: bands of latitude as high as the radius, each cut around into equal cells that are
+    at least as wide as the radius reaches from any centre in the band or one next to it; near a pole a
+    band is one cell.  So all points within the radius of a centre lie in its band or one next to it, in the cell at
+    the centre's longitude or one next to that, counted around the date line."""
+
+    def __init__(self, radius_km: float):
+        # a little larger, so that rounding keeps no point out of its cells
+        self.reach = min(math.pi, radius_km / EARTH_RADIUS_KM) * (1 + 1e-9) + 1e-12
+
+    def band(self, lat: Column) -> Column:
+        return F.floor(F.radians(lat) / F.lit(self.reach)).cast("long")
+
+    def cells_around(self, band: Column) -> Column:
+        far = F.greatest(F.abs(band), F.abs(band + 1)) * F.lit(self.reach) + F.lit(self.reach)
+        wide = F.asin(F.least(F.lit(1.0), F.sin(F.lit(min(self.reach, math.pi / 2))) / F.cos(far)))
+        return F.when(far + self.reach >= math.pi / 2, F.lit(1)).otherwise(
+            F.greatest(F.lit(1), F.floor(F.lit(2 * math.pi) / wide))).cast("long")
+
+    def cell(self, band: Column, lon: Column) -> Column:
+        n = self.cells_around(band)
+        turn = F.pmod(lon.cast("double") / F.lit(360.0), F.lit(1.0))
+        return F.least(F.floor(turn * n), n - 1).cast("long")
+
+    def cover(self, lat: Column, lon: Column) -> Column:
+        """Array of the (band, cell) pairs that hold all points within the radius."""
+        def around(band: Column) -> Column:
+            n, own = self.cells_around(band), self.cell(band, lon)
+            return F.transform(F.array_distinct(F.array(F.pmod(own - 1, n), own, F.pmod(own + 1, n))),
+                               lambda c: F.struct(band.alias("band"), c.alias("cell")))
+        middle = self.band(lat)
+        return F.concat(*[around(middle + k) for k in (-1, 0, 1)])
+
+
+def radius_join(centres: DataFrame, points: DataFrame, radius_km: float, *, centre_id: str, point_id: str,
+                lat: str = "lat", lon: str = "lon", distance_col: str = "km") -> DataFrame:
+    """Q18 for many centres: (centre_id, point_id, distance) of all pairs within ``radius_km`` great-circle km.
+
+    An equi-join on grid cells, then the exact distance; no pair further apart than some radii is formed.
+    Cells of more than :data:`CELL_ROWS` points are cut by a hash of the point, and their centres
+    copied to each cut, so a crowded place is many tasks.  Rows without a coordinate meet nothing."""
+    grid = Grid(radius_km)
+    some = F.col(lat).isNotNull() & F.col(lon).isNotNull()
+    p = (points.where(some).select(F.col(point_id), F.col(lat).alias("__plat"), F.col(lon).alias("__plon"))
+         .withColumn("band", grid.band(F.col("__plat"))).withColumn("cell", grid.cell(F.col("band"), F.col("__plon"))))
+    crowded = (p.groupBy("band", "cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CELL_ROWS)
+               .select("band", "cell", F.ceil(F.col("n") / CELL_ROWS).cast("int").alias("cuts")))
+    p = (p.join(crowded, ["band", "cell"], "left")
+         .withColumn("cut", F.coalesce(F.pmod(F.xxhash64(point_id, "__plat", "__plon"), F.col("cuts")).cast("int"), F.lit(0))))
+    c = (centres.where(some).select(F.col(centre_id), F.col(lat).alias("__clat"), F.col(lon).alias("__clon"))
+         .withColumn("at", F.explode(grid.cover(F.col("__clat"), F.col("__clon"))))
+         .select("*", "at.band", "at.cell").drop("at")
+         .join(crowded.withColumnRenamed("cuts", "copies"), ["band", "cell"], "left")
+         .withColumn("cut", F.explode(F.expr("sequence(0, coalesce(copies, 1) - 1)"))))
+    distance = haversine_km(F.col("__clat"), F.col("__clon"), F.col("__plat"), F.col("__plon"))
+    return (c.join(p, ["band", "cell", "cut"]).withColumn(distance_col, distance)
+            .where(F.col(distance_col) <= radius_km).select(centre_id, point_id, distance_col))

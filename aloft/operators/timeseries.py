@@ -31,3 +31,26 @@ def moving_average(df: DataFrame, date: Column, value: str, days: int = MOVING_A
     return (daily.select(*parts, F.date_format("__d", "yyyy-MM-dd").alias(date_col),
                          F.try_divide(F.sum("__s").over(w), F.sum("__c").over(w)).alias(out_col))
             .orderBy(*parts, date_col))
+
+
+def range_mean(df: DataFrame, at: Column, value: str, reach: int, partition_cols: list[str] | None = None,
+               width: int | None = None, at_col: str = "at", out_col: str = "mean") -> DataFrame:
+    """W01 at any time step: for each series and each instant that has rows, the mean of ``value`` over the
+    instants in ``[at - reach, at + reach]`` (``at``: a whole number, such as microseconds).
+
+    No task orders the whole time line.  Rows are first reduced to one (sum, count) per instant, so an
+    instant that holds much of the table is a row per task.  Time is cut into buckets of
+    ``width`` (twice the reach unless given); each instant goes to its bucket and, as a halo, to those
+    whose instants it can reach, the RANGE window runs within buckets, and halo rows are dropped."""
+    parts, width = list(partition_cols or []), width or max(1, 2 * reach)
+    instants = (df.where(at.isNotNull()).groupBy(*parts, at.cast("long").alias("__at"))
+                .agg(F.sum(F.col(value).cast("double")).alias("__s"), F.count(F.col(value)).alias("__c")))
+
+    def bucket(c: Column) -> Column:
+        return F.floor((c - F.pmod(c, F.lit(width))) / F.lit(width))  # exact below 2^53 buckets
+    dealt = (instants.withColumn("__own", bucket(F.col("__at")))
+             .withColumn("__bucket", F.explode(F.sequence(bucket(F.col("__at") - reach), bucket(F.col("__at") + reach)))))
+    w = Window.partitionBy(*parts, "__bucket").orderBy("__at").rangeBetween(-reach, reach)
+    return (dealt.withColumn(out_col, F.try_divide(F.sum("__s").over(w), F.sum("__c").over(w)))
+            .where(F.col("__own") == F.col("__bucket"))
+            .select(*parts, F.col("__at").alias(at_col), out_col))

@@ -17,8 +17,8 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, St
 
 from aloft.operators import (anti_lookup, conditional_share, count_by_key, count_within,
                              domestic_only, edges_from_pairs, exact_percentile, field_mean, filter_project,
-                             filtered_max, least_squares, most_active, moving_average,
-                             out_degree, pagerank, route_counts, top1_with_lookup, top_ranked,
+                             filtered_max, grouped_percentile, least_squares, most_active, moving_average,
+                             out_degree, pagerank, radius_join, range_mean, route_counts, top1_with_lookup, top_ranked,
                              triplets, two_sided_mean, vertices_of, word_count)
 from aloft.operators import ml
 from aloft.operators.joins import semi_filter
@@ -43,6 +43,7 @@ GEO_TERM = "7"                            # some customer names hold it, some do
 SHARE_KEY_MODULUS = 97                    # flags few customers' orders, so some groups have none
 DOMESTIC_REGION = 1                       # nations of this region count as one country
 PAGERANK_DIGITS = 6
+EVENT_REACH = 3_600_000_000               # an hour either side, in microseconds
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -215,9 +216,9 @@ def q_top1_with_lookup(spark, sf):                                 # Q17
                             "n_nationkey", "n_name", "country")
 
 
-def _customer_points(spark, sf):
+def _customer_points(spark, sf, name: str = "c_name"):
     return _t(spark, sf, "customer").select(
-        "c_name",
+        name,
         ((F.col("c_custkey") * 7) % 180 - 90).cast("double").alias("lat"),
         ((F.col("c_custkey") * 13) % 360 - 180).cast("double").alias("lon"))
 
@@ -228,6 +229,26 @@ def q_count_within(spark, sf):                                     # Q18
                         name_col="c_name", term=GEO_TERM, out_col="n")
 
 
+def q_radius_join(spark, sf):                                      # Q18 for many centres
+    suppliers = _t(spark, sf, "supplier").select(
+        "s_suppkey", ((F.col("s_suppkey") * 11) % 180 - 89.5).alias("lat"),
+        ((F.col("s_suppkey") * 17) % 360 - 179.5).alias("lon"))
+    customers = _customer_points(spark, sf, "c_custkey")
+    found = radius_join(suppliers, customers, GEO_RADIUS_KM, centre_id="s_suppkey", point_id="c_custkey")
+    return found.withColumn("km", _r("km", 3))
+
+
+def q_moving_mean_events(spark, sf):                               # Q12 at the events' own instants
+    at = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01', cast(ts AS timestamp_ntz))")
+    return range_mean(_t(spark, sf, "events"), at, "value", EVENT_REACH, at_col="at",
+                      out_col="moving_mean").withColumn("moving_mean", _r("moving_mean", 9))
+
+
+def q_median_by_group(spark, sf):                                  # Q08 for every supplier
+    return grouped_percentile(_t(spark, sf, "lineitem"), ["l_suppkey"], "l_extendedprice", 0.5, "median_price") \
+        .withColumn("median_price", _r("median_price", 6))
+
+
 # ---------------------------------------------------------------- graph
 
 def social_lines(spark, sf) -> DataFrame:
@@ -457,6 +478,9 @@ QUERIES: dict[str, Query] = {
     "word_count_documents": q_word_count_documents,
     "top1_with_lookup": q_top1_with_lookup,
     "count_within": q_count_within,
+    "radius_join": q_radius_join,
+    "moving_mean_events": q_moving_mean_events,
+    "median_by_group": q_median_by_group,
     "edges_from_pairs": q_edges_from_pairs,
     "triplets": q_triplets,
     "out_degree": q_out_degree,
@@ -548,7 +572,7 @@ SELECT t.{key}, t.{col}, coalesce(r.ix, k.nk) AS {out}
 FROM {table} t LEFT JOIN r ON t.{col} = r.{col} CROSS JOIN k"""
 
 
-def _hav_sql(lat0: float, lon0: float) -> str:
+def _hav_sql(lat0, lon0) -> str:
     return (f"2 * {EARTH_RADIUS_KM} * asin(sqrt(least(pow(sin((radians(lat) - radians({lat0})) / 2), 2)"
             f" + pow(sin((radians(lon) - radians({lon0})) / 2), 2)"
             f" * cos(radians({lat0})) * cos(radians(lat)), 1.0)))")
@@ -721,6 +745,18 @@ FROM (SELECT c_name, CAST((c_custkey * 7) % 180 - 90 AS DOUBLE) AS lat,
              CAST((c_custkey * 13) % 360 - 180 AS DOUBLE) AS lon FROM customer) p
 WHERE contains(lower(c_name), '{GEO_TERM}')
   AND {_hav_sql(*GEO_CENTER)} <= {GEO_RADIUS_KM}""",
+    "radius_join": f"""
+WITH s AS (SELECT s_suppkey, CAST((s_suppkey * 11) % 180 - 89.5 AS DOUBLE) AS lat0,
+                  CAST((s_suppkey * 17) % 360 - 179.5 AS DOUBLE) AS lon0 FROM supplier),
+c AS (SELECT c_custkey, CAST((c_custkey * 7) % 180 - 90 AS DOUBLE) AS lat,
+             CAST((c_custkey * 13) % 360 - 180 AS DOUBLE) AS lon FROM customer),
+d AS (SELECT s_suppkey, c_custkey, {_hav_sql("lat0", "lon0")} AS km FROM s CROSS JOIN c)
+SELECT s_suppkey, c_custkey, round(km, 3) AS km FROM d WHERE km <= {GEO_RADIUS_KM}""",
+    "moving_mean_events": f"""
+SELECT DISTINCT epoch_us(ts) AS "at", round(sum(value) OVER w / count(value) OVER w, 9) AS moving_mean FROM events
+WINDOW w AS (ORDER BY epoch_us(ts) RANGE BETWEEN {EVENT_REACH} PRECEDING AND {EVENT_REACH} FOLLOWING)""",
+    "median_by_group": """
+SELECT l_suppkey, round(quantile_cont(l_extendedprice, 0.5), 6) AS median_price FROM lineitem GROUP BY l_suppkey""",
     "edges_from_pairs": _EDGES,
     "triplets": f"""
 SELECT src, CASE WHEN src % 2 = 0 THEN src * 3 + 1 ELSE 0 END AS src_attr,
