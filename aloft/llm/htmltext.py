@@ -113,15 +113,16 @@ def _evidence(name: str, attrs: str, in_content: bool) -> int:
 
 
 class Block:
-    __slots__ = ("text", "linked", "tag", "path", "evidence")
+    __slots__ = ("text", "linked", "tag", "path", "evidence", "container")
 
-    def __init__(self, text, linked, tag, path, evidence):
+    def __init__(self, text, linked, tag, path, evidence, container=None):
         self.text, self.linked, self.tag, self.path, self.evidence = text, linked, tag, path, evidence
+        self.container = container
 
 
 def blocks(html: str) -> list[Block]:
     """Text blocks in page order.  ``path``: ids of the open block-level elements; ``evidence``:
-    of their containers, innermost last."""
+    of their containers, innermost last; ``container``: id of that one."""
     out: list[Block] = []
     stack: list[tuple[str, int, int, bool]] = []  # name, evidence, id, gives text
     parts: list[str] = []
@@ -136,7 +137,8 @@ def blocks(html: str) -> list[Block]:
             if text:
                 out.append(Block(text, min(1.0, linked / max(1, len(text))), tag,
                                  [s[2] for s in stack if s[0] not in INLINE],
-                                 [s[1] for s in stack if s[1]]))
+                                 [s[1] for s in stack if s[1]],
+                                 next((s[2] for s in reversed(stack) if s[1]), None)))
             parts, linked = [], 0
 
     def text(raw: str):
@@ -223,8 +225,9 @@ def blocks(html: str) -> list[Block]:
     return out
 
 
-def net_cost(b: Block) -> float:
-    """Positive: evidence for content, negative: for boilerplate."""
+def own_cost(b: Block) -> float:
+    """What a block says for itself, by length, links, sentences and tag.  Positive: evidence for content,
+    negative: for boilerplate."""
     n = len(b.text)
     shape = min(n / 80, 3.0) - 4.0 * b.linked
     shape += 0.8 if _SENTENCE.search(b.text) else -0.6
@@ -234,7 +237,7 @@ def net_cost(b: Block) -> float:
         shape += 0.6
     elif b.tag in ("li", "td", "th", "dt", "dd"):
         shape -= 0.4
-    return shape - (0.2 if b.tag == "p" else 0.8) + CONTAINER * containers(b.evidence)
+    return shape - (0.2 if b.tag == "p" else 0.8)
 
 
 def containers(evidence: list[int]) -> float:
@@ -270,6 +273,23 @@ def edges(found: list[Block]) -> list[tuple[int, int, float]]:
     return out
 
 
+def graph(found: list[Block]) -> tuple[list[float], list[tuple[int, int, float]]]:
+    """Terminal capacities and edges.  The nodes are the blocks, then the containers that names or tags speak
+    for or against.  A container is tied to its blocks by DOM proximity, up to :data:`CONTAINER`, and its own
+    evidence is firm: it is never cut off for its blocks, but each block may leave it."""
+    cost, links = [own_cost(b) for b in found], edges(found)
+    node: dict[int, int] = {}
+    for i, b in enumerate(found):
+        if b.container is not None:
+            value = containers(b.evidence)
+            j = node.setdefault(b.container, len(found) + len(node))
+            if j == len(cost):
+                cost.append(1.0 if value > 0 else -1.0)
+            cost[j] += CONTAINER * value
+            links.append((i, j, CONTAINER * abs(value)))
+    return cost, links
+
+
 def min_cut(cost: list[float], links: list[tuple[int, int, float]]) -> list[bool]:
     """Which nodes are on the source (content) side of a minimum cut."""
     n = len(cost)
@@ -330,7 +350,7 @@ def main_text(html: str) -> str:
     found = blocks(html)
     if not found:
         return ""
-    content = min_cut([net_cost(b) for b in found], edges(found))
+    content = min_cut(*graph(found))  # the blocks come first
     return " ".join(b.text for b, keep in zip(found, content) if keep)
 
 

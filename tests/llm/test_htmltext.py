@@ -108,3 +108,40 @@ def test_undecided_blocks_in_reasonable_time():
     page = "<div class='sidebar'>" + f"<p>{PROSE}</p><p>{LONG}</p><p><a href=1>x</a></p>" * 4000 + "</div>"
     htmltext.main_text(page)
     assert time.time() - start < 30
+
+
+def test_the_cut_decides_on_the_table(spark, sf):
+    """Some blocks of the given pages end on the other side than their own shape says, each way: short ones
+    of articles stay, prose of sidebars and the like goes; the cut costs no more than the shapes' own labels."""
+    kept = lost = total = 0
+    for row in spark.read.parquet(f"{sf}/pages.parquet").select("html").collect():
+        found = htmltext.blocks(row.html or "")
+        cost, links = htmltext.graph(found)
+        side = htmltext.min_cut(cost, links)
+        own = [c > 0 for c in cost]
+
+        def price(labels, cost=cost, links=links):
+            return (sum(abs(c) for c, s in zip(cost, labels) if s != (c > 0))
+                    + sum(w for i, j, w in links if labels[i] != labels[j]))
+        assert price(side) <= price(own) + 1e-9
+        total += len(found)
+        kept += sum(s and not o for s, o in zip(side[:len(found)], own))
+        lost += sum(o and not s for s, o in zip(side[:len(found)], own))
+    assert total > 500 and kept > 0 and lost > 0
+
+
+def test_small_pages_equal_the_exhaustive_cut():
+    r = random.Random(6)
+    parts = [f"<p>{PROSE}</p>", "<p>Short.</p>", "<ul><li><a href=1>More</a></li></ul>", "<h2>Head</h2>",
+             f"<div class='ad'>{PROSE}</div>", "<nav><a href=2>Home</a></nav>", f"<aside><p>{LONG}</p></aside>"]
+    for _ in range(40):
+        page = "<article>" * (r.random() < 0.5) + "".join(r.choices(parts, k=r.randint(1, 6)))
+        found = htmltext.blocks(page)
+        cost, links = htmltext.graph(found)
+
+        def price(labels, cost=cost, links=links):
+            return (sum(abs(c) for c, s in zip(cost, labels) if s != (c > 0))
+                    + sum(w for i, j, w in links if labels[i] != labels[j]))
+        best = min(itertools.product([False, True], repeat=len(cost)), key=price)
+        assert price(htmltext.min_cut(cost, links)) == pytest.approx(price(best))
+        assert htmltext.main_text(page) == " ".join(b.text for b, k in zip(found, best) if k)
