@@ -211,7 +211,8 @@ def samples(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     sizes = base.groupBy("lang").agg(F.sum("n").alias("chars"), F.count("*").alias("rows")).collect()
     most = min(SAMPLE, TOTAL // max(1, len(sizes)))
     below = [(r["lang"], min(1.0, max(DRAWN * most / max(1, r["chars"]), DRAWN_ROWS / r["rows"]))) for r in sizes]
-    drawn = (base.join(spark.createDataFrame(below, "lang string, below double"), "lang")
+    # a row for each language, all of which the driver holds: texts need not move to meet it
+    drawn = (base.join(F.broadcast(spark.createDataFrame(below, "lang string, below double")), "lang")
              .where((F.pmod("h", F.lit(1 << 31)) < F.col("below") * float(1 << 31)) & (F.col("n") <= most)))
     order = Window.partitionBy("lang").orderBy("h", "text")
     before = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
