@@ -16,10 +16,11 @@ from pyspark.ml.classification import LogisticRegression, LogisticRegressionMode
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aloft.constants import LOGISTIC_MAX_ITER, SPLIT_SEED, SPLIT_WEIGHTS
+from aloft.operators.percentile import select_ranks
 from aloft.session import saved
 
 
@@ -86,6 +87,30 @@ def hash_split(df: DataFrame, id_col: str, train_fraction: float = SPLIT_WEIGHTS
     return df.where(flag), df.where(~flag)
 
 
+def exact_split(df: DataFrame, id_col: str, strata: list[str], train_fraction: float = SPLIT_WEIGHTS[0],
+                seed: int = SPLIT_SEED, out_col: str = "in_train") -> DataFrame:
+    """M06 with exact sizes: ``df`` with a flag that holds for round(fraction * n) rows (halves up) of each
+    stratum, those of least md5 hash of the key and, where hashes are equal, of least key.
+
+    No stratum is sorted: the hash at the cut is found by repeated histograms for all strata at once
+    (:func:`select_ranks`), and only rows with that very hash are ordered."""
+    # 52 bits, which a double holds
+    digest = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f":{seed}")))
+    number = F.conv(F.substring(digest, 1, 13), 16, 10).cast("double")
+    names = [f"k{i}" for i in range(len(strata))]
+    rows = saved(df.select(F.struct("*").alias("__row"), number.alias("v"), F.struct(
+        *[F.col(k).alias(n) for k, n in zip(strata, names, strict=True)]).alias("__key")), "split-rows")
+    wanted = F.floor(F.col("n") * F.lit(train_fraction) + 0.5)
+    cut = select_ranks(rows.select("__key", "v"), F.greatest(F.lit(0), wanted - 1).cast("double"))
+    cut = cut.select("__key", "lo", (wanted - F.col("below")).alias("room"))
+    joined = rows.join(cut, "__key")
+    clear = (joined.where(F.col("v") != F.col("lo"))
+             .withColumn("__in", (F.col("v") < F.col("lo")) & (F.col("room") > 0)))
+    tied = joined.where(F.col("v") == F.col("lo")).withColumn("__in", F.row_number().over(
+        Window.partitionBy("__key").orderBy(F.asc_nulls_first(F.col("__row")[id_col]))) <= F.col("room"))
+    return clear.unionByName(tied).select("__row.*", F.col("__in").alias(out_col))
+
+
 def random_split(df: DataFrame, weights=SPLIT_WEIGHTS, seed: int = SPLIT_SEED) -> list[DataFrame]:
     """M06 as written originally (depends on the input partitioning)."""
     return df.randomSplit(list(weights), seed)

@@ -68,30 +68,23 @@ def builtin_percentile(df: DataFrame, value_col: str, p: float, out_col: str) ->
     return df.agg(F.percentile(F.col(value_col), F.lit(p)).alias(out_col))
 
 
-def grouped_percentile(df: DataFrame, keys: list[str], value_col: str, p: float, out_col: str) -> DataFrame:
-    """The exact interpolated percentile of every group, by repeated histograms.
+def select_ranks(rows: DataFrame, place) -> DataFrame:
+    """The value at a rank of every group, by repeated histograms: ``rows`` has columns ``__key`` (a struct)
+    and ``v`` (double, nulls ignored); ``place`` is the 0-based rank, rounded down, as a column over ``n``, the
+    values of the group.  Gives (__key, lo, n, place, below, inside): the value, and how many values of the
+    group are less and equal.
 
     All groups go on at once: a round counts each group's values in :data:`BINS` equal ranges of its interval
     (combined map-side, so a group that holds much of the table is a few rows a task) and keeps
-    the range in which the lower rank falls, shrunk to the values it holds, until that is a single
-    value.  Rows outside their group's interval take no part in later rounds.  A last pass
-    finds the next larger value for groups whose upper rank lies beyond.  Groups without values give null."""
-    if not 0.0 <= p <= 1.0:
-        raise ValueError("p must be in [0, 1]")
-    names = [f"__k{i}" for i in range(len(keys))]
-    rows = df.select(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)],
-                     F.col(value_col).cast("double").alias("v"))
-    state = (rows.groupBy(*names).agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("v").alias("n"))
-             .withColumn("place", F.lit(p) * (F.col("n") - 1))
-             # rows of the group below the interval, and in it
+    the range in which the rank falls, shrunk to the values it holds, until that is a single
+    value.  Rows outside their group's interval take no part in later rounds."""
+    state = (rows.groupBy("__key").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.count("v").alias("n"))
+             .withColumn("place", place)
              .withColumns({"below": F.lit(0).cast("long"), "inside": F.col("n")}))
-    # groups as one column that is never null, to join on
-    key = F.struct(*names).alias("__key")
-    state = saved(state.select(key, "lo", "hi", "n", "place", "below", "inside"), "selection")
-    rows = saved(rows.where(F.col("v").isNotNull()).select(key, "v"), "selection-rows")
-    settled = state.where("lo IS NULL OR lo = hi OR isnan(lo)")
-    open_ = state.where("NOT (lo IS NULL OR lo = hi OR isnan(lo))")
-    done = [settled]
+    state = saved(state.select("__key", "lo", "hi", "n", "place", "below", "inside"), "selection")
+    rows = rows.where(F.col("v").isNotNull())
+    found = state.where("lo IS NULL OR lo = hi")
+    open_ = state.where("lo <> hi")
     while open_.limit(1).count():
         # NaN is the largest value; infinite ends are cut where finite values end
         low, high = (F.greatest(F.lit(-1.7e308), F.least(F.lit(1.7e308), F.col(c))) for c in ("lo", "hi"))
@@ -107,13 +100,22 @@ def grouped_percentile(df: DataFrame, keys: list[str], value_col: str, p: float,
         state = saved(counts.withColumn("below", F.col("below") + F.coalesce(before, F.lit(0)))
                       .where((F.col("below") <= F.floor("place")) & (F.floor("place") < F.col("below") + F.col("inside")))
                       .select("__key", "lo", "hi", "n", "place", "below", "inside"), "selection")
-        done.append(state.where("lo = hi"))
+        found = found.unionByName(state.where("lo = hi"))
         open_ = state.where("lo <> hi")
-    found = done[0]
-    for more in done[1:]:
-        found = found.unionByName(more)
-    found = saved(found, "selection")
-    # the upper rank is one more; it has the same value unless the lower one is its last row
+    return saved(found.drop("hi"), "selection")
+
+
+def grouped_percentile(df: DataFrame, keys: list[str], value_col: str, p: float, out_col: str) -> DataFrame:
+    """The exact interpolated percentile of every group (:func:`select_ranks`).  A last pass finds the next
+    larger value for groups whose upper rank lies beyond the lower one's value.  Groups without values
+    give null."""
+    if not 0.0 <= p <= 1.0:
+        raise ValueError("p must be in [0, 1]")
+    names = [f"k{i}" for i in range(len(keys))]
+    # groups as one column that is never null, to join on
+    rows = saved(df.select(F.struct(*[F.col(k).alias(n) for k, n in zip(keys, names, strict=True)]).alias("__key"),
+                           F.col(value_col).cast("double").alias("v")), "selection-rows")
+    found = select_ranks(rows, F.lit(p) * (F.col("n") - 1))
     beyond = found.where("ceil(place) >= below + inside").select("__key", F.col("lo").alias("v_lo"))
     larger = (rows.join(beyond, "__key").where(F.col("v") > F.col("v_lo")).groupBy("__key").agg(F.min("v").alias("next")))
     return (found.join(larger, "__key", "left")

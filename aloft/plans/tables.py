@@ -28,7 +28,7 @@ from aloft.plans.places import PlaceAnalytics
 from aloft.schemas import FLIGHT, PLACE, PLAYER_FEATURES
 from aloft.session import saved
 from aloft.sources import (parse_flight_lines, parse_place_lines, parse_player_lines,
-                           parse_social_lines, read_csv_lines, read_table)
+                           parse_social_lines, quarantine_csv_lines, read_csv_lines, read_table)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -316,6 +316,19 @@ def q_csv_na_roundtrip(spark, sf):                                 # Q01 parse r
                           options={"nullValue": "NA"})
 
 
+def q_quarantine_rows(spark, sf):                                  # Q01 S03, bad lines kept apart
+    li = _t(spark, sf, "lineitem")
+    kind = F.col("l_orderkey") % 11
+    disc = F.when(F.col("l_discount") == 0, None).otherwise(F.col("l_discount"))
+    quantity = F.when(kind == 3, F.lit("many")).otherwise(F.col("l_quantity").cast("string"))
+    fields = [F.col("l_orderkey"), F.col("l_linenumber"), quantity, disc, F.col("l_returnflag")]
+    line = F.concat_ws(",", *[F.coalesce(c.cast("string"), F.lit("NA")) for c in fields])
+    line = (F.when(kind == 1, F.regexp_replace(line, ",[^,]*$", "")).when(kind == 2, F.concat(line, F.lit(",more")))
+            .otherwise(line))
+    lines = li.select(F.col("l_orderkey").alias("key"), F.col("l_linenumber").alias("number"), line.alias("value"))
+    return quarantine_csv_lines(lines, NA_LINE_SCHEMA, options={"nullValue": "NA"}, keep=["key", "number"])
+
+
 def flight_lines(spark, sf, header: list[str]) -> DataFrame:
     """lineitem rendered as flight CSV lines with the columns in the order of ``header``."""
     own = {"FlightNum": F.col("l_orderkey"), "TailNum": F.concat(F.lit("N"), F.col("l_suppkey")),
@@ -400,6 +413,12 @@ def q_hash_split(spark, sf):                                       # Q28
         "doc_id", F.when(flag, F.lit("train")).otherwise(F.lit("test")).alias("split"))
 
 
+def q_exact_split(spark, sf):                                      # Q28, exact sizes for each language
+    docs = _t(spark, sf, "documents").select("doc_id", "lang")
+    flagged = ml.exact_split(docs, "doc_id", ["lang"], SPLIT_WEIGHTS[0], SPLIT_SEED)
+    return flagged.select("doc_id", "lang", F.when(F.col("in_train"), "train").otherwise("test").alias("split"))
+
+
 _NUMERIC = [c for c in PLAYER_FEATURES if c != "country_index"]
 
 
@@ -488,6 +507,7 @@ QUERIES: dict[str, Query] = {
     "pagerank": q_pagerank,
     "pagerank_top": q_pagerank_top,
     "csv_na_roundtrip": q_csv_na_roundtrip,
+    "quarantine_rows": q_quarantine_rows,
     "flight_rows": q_flight_rows,
     "player_convert": q_player_convert,
     "category_index": q_category_index,
@@ -496,6 +516,7 @@ QUERIES: dict[str, Query] = {
     "assemble": q_assemble,
     "scale": q_scale,
     "hash_split": q_hash_split,
+    "exact_split": q_exact_split,
     "fit_predict": q_fit_predict,
     "evaluate": q_evaluate,
     "evaluate_scores": q_evaluate_scores,
@@ -777,6 +798,22 @@ SELECT CAST(l_orderkey AS INTEGER) AS FlightNum, 'N' || l_suppkey AS TailNum,
        CASE WHEN l_discount > 0 THEN l_linenumber END AS DepDelay,
        CAST(NULL AS INTEGER) AS ArrDelay
 FROM lineitem""",
+    "quarantine_rows": """
+WITH t AS (
+  SELECT *, l_orderkey % 11 AS k, l_orderkey || ',' || l_linenumber || ','
+           || CASE WHEN l_orderkey % 11 = 3 THEN 'many' ELSE CAST(l_quantity AS VARCHAR) END || ','
+           || CASE WHEN l_discount = 0 THEN 'NA' ELSE CAST(l_discount AS VARCHAR) END AS head
+  FROM lineitem)
+SELECT l_orderkey AS "key", l_linenumber AS number,
+       CASE WHEN k NOT IN (1, 2, 3) THEN l_orderkey END AS l_orderkey,
+       CASE WHEN k NOT IN (1, 2, 3) THEN l_linenumber END AS l_linenumber,
+       CASE WHEN k NOT IN (1, 2, 3) THEN l_quantity END AS l_quantity,
+       CASE WHEN k NOT IN (1, 2, 3) AND l_discount <> 0 THEN l_discount END AS l_discount,
+       CASE WHEN k NOT IN (1, 2, 3) THEN l_returnflag END AS l_returnflag,
+       CASE WHEN k IN (1, 2) THEN 'field count' WHEN k = 3 THEN 'l_quantity' END AS reason,
+       CASE k WHEN 1 THEN head WHEN 2 THEN head || ',' || l_returnflag || ',more' WHEN 3 THEN head || ',' || l_returnflag
+         END AS raw
+FROM t""",
     "csv_na_roundtrip": """
 SELECT l_orderkey, l_linenumber, l_quantity,
        CASE WHEN l_discount = 0 THEN NULL ELSE l_discount END AS l_discount, l_returnflag
@@ -790,6 +827,13 @@ SELECT d.doc_id,
                  < '{int(round(SPLIT_WEIGHTS[0] * 2 ** 32)):08x}'
             THEN 'train' ELSE 'test' END AS split
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+    "exact_split": f"""
+WITH h AS (SELECT doc_id, lang, CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':{SPLIT_SEED}'), 1, 13)
+                                AS BIGINT) AS v FROM documents),
+k AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY v, doc_id NULLS FIRST) AS r,
+             count(*) OVER (PARTITION BY lang) AS n FROM h)
+SELECT doc_id, lang, CASE WHEN r <= floor(n * {SPLIT_WEIGHTS[0]} + 0.5) THEN 'train' ELSE 'test' END AS split
+FROM k""",
     "category_index": _index_sql("documents", "doc_id", "lang", "lang_index"),
     "category_index_brand": _index_sql("part", "p_partkey", "p_brand", "brand_index"),
     "category_index_distributed": """

@@ -125,6 +125,31 @@ def read_csv_lines(lines: DataFrame, schema: StructType, col: str = "value",
     return lines.select(*keep, parsed.alias("__r")).select(*keep, "__r.*")
 
 
+def quarantine_csv_lines(lines: DataFrame, schema: StructType, col: str = "value", options: dict | None = None,
+                         keep: list[str] | None = None, reason_col: str = "reason", raw_col: str = "raw") -> DataFrame:
+    """Every line once, parsed or rejected, in one pass.
+
+    A good line gives its fields and nulls in ``reason_col`` and ``raw_col``.  A rejected one gives null fields,
+    the reason (``field count``, or the name of the first field whose text is no value of its type) and the line
+    itself.  A missing line (null) is rejected as ``no line``."""
+    keep, bad = list(keep or []), "__bad"
+    texts = ", ".join(f"`{f.name}` string" for f in schema.fields) + f", {bad} string"
+    parsed = F.from_csv(F.col(col), texts, {**(options or {}), "mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad})
+
+    def wrong(f: StructField) -> Column:
+        text = F.col(f"__r.`{f.name}`")
+        return text.isNotNull() & text.try_cast(f.dataType).isNull()
+    empty = (F.col(col) == "") & F.lit(len(schema) > 1)  # the parser takes an empty line for nulls
+    reason = (F.when(F.col(col).isNull(), "no line")
+              .when(empty | F.col(f"__r.{bad}").isNotNull(), "field count"))
+    for f in schema.fields:
+        reason = reason.when(wrong(f), f.name)
+    rows = lines.withColumn("__r", parsed).withColumn("__reason", reason)
+    good = F.col("__reason").isNull()
+    return rows.select(*keep, *[F.when(good, F.col(f"__r.`{f.name}`").try_cast(f.dataType)).alias(f.name) for f in schema.fields],
+                       F.col("__reason").alias(reason_col), F.when(~good, F.col(col)).alias(raw_col))
+
+
 def _player_row(lines: DataFrame, col: str, keep: list[str] | None,
                 permissive: bool) -> DataFrame:
     fields = schemas.PLAYER_RAW.names

@@ -6,8 +6,13 @@ import random
 import numpy as np
 import pytest
 
+from collections import Counter
+
+from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+
 from aloft.operators import geo as geo_ops
-from aloft.operators import grouped_percentile, percentile, radius_join, range_mean
+from aloft.operators import grouped_percentile, ml, percentile, radius_join, range_mean
+from aloft.sources import quarantine_csv_lines
 
 
 def _km(a, b):
@@ -78,3 +83,36 @@ def test_grouped_percentile_bounds(spark):
     assert grouped_percentile(none, ["a"], "v", 0.5, "q").count() == 0
     with pytest.raises(ValueError):
         grouped_percentile(none, ["a"], "v", 1.5, "q")
+
+
+@pytest.mark.parametrize("fraction", [0.0, 0.1, 0.5, 0.9, 1.0])
+def test_exact_split_has_exact_sizes(spark, monkeypatch, fraction):
+    """Strata of one row and of a third of all rows, null strata, null and repeated keys."""
+    monkeypatch.setattr(percentile, "BINS", 16)
+    rows = [(i, "hot", "x") for i in range(300)] + [(i, f"s{i % 9}", None) for i in range(200)]
+    rows += [(None, None, "y")] * 41 + [(7, "same", "z")] * 60 + [(1, "one", "q")]
+    df = spark.createDataFrame(rows, "id long, s string, v string").repartition(4)
+    got = ml.exact_split(df, "id", ["s", "v"], fraction, seed=3).collect()
+    assert Counter((r.id, r.s, r.v) for r in got) == Counter(rows)
+    size, train = Counter((r.s, r.v) for r in got), Counter((r.s, r.v) for r in got if r.in_train)
+    assert all(train[k] == math.floor(n * fraction + 0.5) for k, n in size.items())
+
+
+def test_exact_split_grows_with_the_fraction(spark):
+    df = spark.createDataFrame([(i, i % 3) for i in range(200)], "id long, s int")
+    few, many = ({r.id for r in ml.exact_split(df, "id", ["s"], f).collect() if r.in_train} for f in (0.3, 0.7))
+    assert few < many
+    assert few == {r.id for r in ml.exact_split(df.repartition(7), "id", ["s"], 0.3).collect() if r.in_train}
+
+
+def test_quarantine_parts_every_line(spark):
+    schema = StructType([StructField("a", IntegerType()), StructField("b", DoubleType()), StructField("c", StringType())])
+    lines = ["1,2.5,x", "NA,NA,NA", "1,2.5", "1,2.5,x,y", "one,2.5,x", "1,two,x", "one,two,x", '3,4,"q,r"', "", "5,,", None]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(lines)], "k int, value string")
+    rows = {r.k: r for r in quarantine_csv_lines(df, schema, options={"nullValue": "NA"}, keep=["k"]).collect()}
+    assert len(rows) == len(lines)
+    good = {k: tuple(r)[1:4] for k, r in rows.items() if r.reason is None}
+    assert good == {0: (1, 2.5, "x"), 1: (None, None, None), 7: (3, 4.0, "q,r"), 9: (5, None, None)}
+    assert {k: r.reason for k, r in rows.items() if r.reason} == {
+        2: "field count", 3: "field count", 4: "a", 5: "b", 6: "a", 8: "field count", 10: "no line"}
+    assert all((r.raw == lines[k] and tuple(r)[1:4] == (None,) * 3) if r.reason else r.raw is None for k, r in rows.items())
