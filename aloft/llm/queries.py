@@ -43,8 +43,10 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     labels = _table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
-    made = toxicity.score(docs, toxicity.train(docs, labels), spans=False)
-    return made.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+    made = toxicity.score(docs, toxicity.train(docs, labels))
+    spans = F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["stop"].cast("string")))
+    return made.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted",
+                       F.array_join(spans, ",").alias("spans"))
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,3 +75,21 @@ def test_null_and_repeated_ids_are_judged_row_by_row(spark):
     docs = spark.createDataFrame([(None, item), (None, a), (4, f"{b} {item}"), (4, b)], "doc_id long, text string")
     got = corpus_pipeline.decontaminate_docs(spark, docs, SF).collect()
     assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(0, a), (4, b)])
+
+
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    """Columns that the stages would use themselves, and one with a dot."""
+    item = prose(3, 30)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(1, prose(1, 50), "k1", 1.5), (2, prose(1, 50), "k2", 2.5), (3, f"{prose(4, 40)} {item}", "k3", 3.5),
+            (4, f"{prose(5, 40)} token=abcdef77", "k4", 4.5)]
+    docs = spark.createDataFrame([(i, t, k, k, k, x) for i, t, k, x in rows],
+                                 "doc_id long, text string, __key string, __blob string, __spans string, `a.b` double")
+    one = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path))
+    assert one.columns == docs.columns and {(r["doc_id"], r["__key"]) for r in one.collect()} == {(1, "k1"), (3, "k3"), (4, "k4")}
+    two = corpus_pipeline.decontaminate_docs(spark, one, str(tmp_path))
+    assert two.columns == docs.columns and {(r["doc_id"], r["a.b"]) for r in two.collect()} == {(1, 1.5), (4, 4.5)}
+    three = corpus_pipeline.mask_secrets(spark, two, str(tmp_path))
+    assert three.columns == docs.columns
+    assert {(r["doc_id"], r["__blob"], r["__spans"], "[SECRET]" in r["text"]) for r in three.collect()} == {
+        (1, "k1", "k1", False), (4, "k4", "k4", True)}
