@@ -21,7 +21,7 @@ from aloft.operators import (anti_lookup, conditional_share, count_by_key, count
                              out_degree, pagerank, radius_join, range_mean, route_counts, top1_with_lookup, top_ranked,
                              triplets, two_sided_mean, vertices_of, word_count)
 from aloft.operators import ml
-from aloft.operators.joins import semi_filter
+from aloft.operators.joins import bloom_semi_filter, semi_filter
 from aloft.constants import (EARTH_RADIUS_KM, PAGERANK_RESET, PAGERANK_TOL, SOCIAL_LINE,
                              SPLIT_SEED, SPLIT_WEIGHTS)
 from aloft.plans.places import PlaceAnalytics
@@ -131,6 +131,12 @@ def q_semi_filter(spark, sf):                                      # J07
     return count_by_key(li, "l_returnflag", "count")
 
 
+def q_bloom_semi_filter(spark, sf):                                # J07, allowed set met by a Bloom filter first
+    urgent = filter_project(_t(spark, sf, "orders"), F.col("o_orderpriority") == URGENT_FILTER[1], ["o_orderkey"])
+    return bloom_semi_filter(_t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity"),
+                             "l_orderkey", urgent, "o_orderkey")
+
+
 def q_conditional_share(spark, sf):                                # Q10
     dim = (_t(spark, sf, "customer").select("c_custkey", "c_nationkey")
            .join(_t(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -485,6 +491,7 @@ QUERIES: dict[str, Query] = {
     "median": q_median,
     "p95": q_p95,
     "semi_filter": q_semi_filter,
+    "bloom_semi_filter": q_bloom_semi_filter,
     "conditional_share": q_conditional_share,
     "least_squares": q_least_squares,
     "moving_average": q_moving_average,
@@ -703,6 +710,9 @@ WHERE EXISTS (SELECT 1 FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nati
               WHERE r.r_name = '{REGION}' AND s.s_suppkey = l.l_suppkey)
   AND EXISTS (SELECT 1 FROM part p WHERE p.p_size > {PART_SIZE_OVER} AND p.p_partkey = l.l_partkey)
 GROUP BY l_returnflag""",
+    "bloom_semi_filter": f"""
+SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE EXISTS (
+  SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderpriority = '{URGENT_FILTER[1]}')""",
     "conditional_share": f"""
 SELECT n.n_name, r.r_name,
        round(sum(CASE WHEN o.o_orderstatus = 'F' AND o.o_custkey % {SHARE_KEY_MODULUS} = 0

@@ -11,7 +11,7 @@ from collections import Counter
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from aloft.operators import geo as geo_ops
-from aloft.operators import grouped_percentile, ml, percentile, radius_join, range_mean
+from aloft.operators import bloom_filter, bloom_semi_filter, grouped_percentile, ml, percentile, radius_join, range_mean
 from aloft.sources import quarantine_csv_lines
 
 
@@ -116,3 +116,30 @@ def test_quarantine_parts_every_line(spark):
     assert {k: r.reason for k, r in rows.items() if r.reason} == {
         2: "field count", 3: "field count", 4: "a", 5: "b", 6: "a", 8: "field count", 10: "no line"}
     assert all((r.raw == lines[k] and tuple(r)[1:4] == (None,) * 3) if r.reason else r.raw is None for k, r in rows.items())
+
+
+def test_bloom_filter_lets_few_others_through(spark):
+    fact = spark.range(20_000).selectExpr("id % 5000 AS k", "id")
+    allowed = spark.range(500).selectExpr("id * 10 AS a").union(spark.createDataFrame([(None,), (10,)], "a long"))
+    kept = bloom_filter(fact, "k", allowed, "a").cache()
+    exact = {r.id for r in fact.where("k % 10 = 0").collect()}
+    got = {r.id for r in kept.collect()}
+    assert exact <= got and len(got) - len(exact) < 0.02 * (20_000 - len(exact))
+    made = bloom_semi_filter(fact, "k", allowed, "a")
+    assert {r.id for r in made.collect()} == exact and made.columns == fact.columns
+    nulls = spark.createDataFrame([(None, 1), (10, 2)], "k long, id long")
+    assert [r.id for r in bloom_semi_filter(nulls, "k", allowed, "a").collect()] == [2]
+    assert bloom_semi_filter(fact, "k", allowed.where("a < 0"), "a").count() == 0
+
+
+def test_bloom_filter_comes_before_the_shuffle(spark):
+    """Without small sides to broadcast, what is shuffled of the fact has passed the filter."""
+    fact = spark.range(20_000).selectExpr("id % 5000 AS k", "id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = bloom_semi_filter(fact, "k", spark.range(500).selectExpr("id * 10 AS a"), "a")
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    join = text[text.index("SortMergeJoin"):]
+    assert join.index("Exchange hashpartitioning(k") < join.index("BroadcastHashJoin") < join.index("BroadcastExchange")
