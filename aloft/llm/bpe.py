@@ -13,7 +13,8 @@ leftmost of equals first.  A merge may create a pair of lower or equal rank; suc
 piece's remaining positions are put back into the index, so that the new pair's turn
 comes first.
 
-Nulls are encoded as the empty text (no ids); an empty table gives an empty result.
+Nulls are encoded as the empty text (no ids); an empty table gives an empty result; repeated rows each get a
+result.  A very long text is held whole by its task, as are its ids.
 """
 
 from __future__ import annotations

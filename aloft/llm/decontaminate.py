@@ -19,7 +19,8 @@ else joined by shuffle with the same result.
 
 Rows that share an id, null included, count as one document.  Null, empty and blank items
 never match; a null text counts as empty; repeated item rows with one id count as one item
-if their texts agree, else as the union of their shingles.
+if their texts agree, else as the union of their shingles.  The word hashes of a very long text are one array
+in its task, as are the shingles of a candidate.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ Character references are decoded, white space inside a block becomes one space,
 trimmed and joined in page order by one space.  Script, style, template, head and the like never
 give blocks; comments, doctype and CDATA marks are skipped.  Broken markup does no harm:
 unclosed elements end with their parent, stray end tags are ignored, an unclosed tag at the end
-is dropped.  Null, empty and text-free pages give an empty text.
+is dropped.  Null, empty and text-free pages give an empty text, repeated rows each their own; a node whose
+capacities balance is boilerplate.  Very long pages are cut whole, in one row.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ piece is parsed, for every language alike).
 Letters are lower-cased; everything that is no letter counts as one space.  A null text and one
 without letters are ``und`` with score 0, as is every text if no language was learned.
 Rows whose language or text is null teach nothing, nor do sample rows that the rest of the
-sample assigns to another language (:func:`agreed`).
+sample assigns to another language (:func:`agreed`).  Repeated rows each get a result, equal ones equal; of
+languages with equal phrases the first by name wins.
 """
 
 from __future__ import annotations

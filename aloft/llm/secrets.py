@@ -8,7 +8,8 @@ a third of all rows, are dropped in each input task before the shuffle and again
 so each new blob is scanned once.
 
 Offsets are code points, the end exclusive.  A null text is the empty blob (no findings);
-repeated rows and null ids each get their own result row; an empty table gives none.
+repeated rows and null ids each get their own result row; an empty table gives none.  A very long text is
+held and scanned whole by its task.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ these to the score.  Tokens with p >= 0.5 are the offending spans.
 
 Only ids and texts are inputs of a score.  Null and empty texts are scored as a text without
 tokens.  Labels that are null, and labelled ids without a document, are not learned from;
-if a class has no labelled row, all scores are the share of label 1 (0 without labels).
+if a class has no labelled row, all scores are the share of label 1 (0 without labels).  Repeated rows each get
+a result, equal ones equal.
 """
 
 from __future__ import annotations
