@@ -21,14 +21,16 @@ from aloft.operators import (anti_lookup, conditional_share, count_by_key, count
                              out_degree, pagerank, radius_join, range_mean, route_counts, top1_with_lookup, top_ranked,
                              triplets, two_sided_mean, vertices_of, word_count)
 from aloft.operators import ml
+from aloft.operators.catalog import joined_totals, keyed_table
 from aloft.operators.joins import bloom_semi_filter, semi_filter
 from aloft.constants import (EARTH_RADIUS_KM, PAGERANK_RESET, PAGERANK_TOL, SOCIAL_LINE,
                              SPLIT_SEED, SPLIT_WEIGHTS)
 from aloft.plans.places import PlaceAnalytics
 from aloft.schemas import FLIGHT, PLACE, PLAYER_FEATURES
 from aloft.session import saved
-from aloft.sources import (parse_flight_lines, parse_place_lines, parse_player_lines,
-                           parse_social_lines, quarantine_csv_lines, read_csv_lines, read_table)
+from aloft.sources import (parse_airport_lines, parse_carrier_lines, parse_country_code_lines, parse_flight_lines,
+                           parse_place_lines, parse_player_lines, parse_social_lines, quarantine_csv_lines,
+                           read_csv_lines, read_table, table_exists)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -148,6 +150,47 @@ def q_conditional_share(spark, sf):                                # Q10
     return out.select("n_name", "r_name", _r("percentage", 9).alias("percentage"))
 
 
+def _kept(spark, sf):
+    """Orders and customers in the catalog, kept by customer; shared by the queries that join the two."""
+    orders = keyed_table(_t(spark, sf, "orders"), "orders_by_customer", "o_custkey",
+                         ["o_custkey", "o_orderstatus", "o_orderpriority"])
+    return orders, keyed_table(_t(spark, sf, "customer"), "customers", "c_custkey", ["c_custkey", "c_nationkey"])
+
+
+def q_route_counts_kept(spark, sf):                                # Q06 S11 over catalog tables
+    orders, customers = _kept(spark, sf)
+    status, prio = URGENT_FILTER
+    wanted = (F.col("o_orderstatus") == status) & (F.col("o_orderpriority") == prio)
+    per_customer = joined_totals(orders, customers, {"w": F.count_if(wanted)})
+    return route_counts(per_customer.where("w > 0"), _t(spark, sf, "nation"), "c_nationkey", "n_nationkey", "n_name",
+                        out_col="Num", weight_col="w")
+
+
+def q_conditional_share_kept(spark, sf):                           # Q10 S11 over catalog tables
+    orders, customers = _kept(spark, sf)
+    flag = (F.col("o_orderstatus") == "F") & (F.col("o_custkey") % SHARE_KEY_MODULUS == 0)
+    per_customer = joined_totals(orders, customers, {"flagged": F.count_if(flag), "n": F.count(F.lit(1))})
+    nations = (_t(spark, sf, "nation").join(_t(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+               .select("n_nationkey", "n_name", "r_name"))
+    per_nation = per_customer.groupBy("c_nationkey").agg(F.sum("flagged").alias("flagged"), F.sum("n").alias("n"))
+    return (per_nation.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+            .groupBy("n_name", "r_name").agg(F.sum("flagged").alias("flagged"), F.sum("n").alias("n"))
+            .where("flagged > 0")
+            .select("n_name", "r_name", _r(F.col("flagged") / F.col("n"), 9).alias("percentage"))
+            .orderBy(F.desc("percentage"), F.desc("n_name"), F.desc("r_name")))
+
+
+def q_catalog_tables(spark, sf):                                   # S11 S12
+    """Every order under whether the catalog has its table, by a view's name as the loader registers one."""
+    _t(spark, sf, "orders").createOrReplaceTempView("aloft_orders")
+    found = [(name, table_exists(spark, name)) for name in ("aloft_orders", "aloft_nothing")]
+    rows = spark.table("aloft_orders").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("o_custkey").alias("n_keys"))
+    exists = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(e).alias("present")) for n, e in found]))
+    return rows.select(exists.alias("t"), "n", "n_keys").select(
+        "t.name", "t.present", F.when(F.col("t.present"), F.col("n")).alias("n"),
+        F.when(F.col("t.present"), F.col("n_keys")).alias("n_keys"))
+
+
 def q_least_squares(spark, sf):                                    # Q11
     fit = least_squares(_t(spark, sf, "lineitem"), "l_quantity", "l_extendedprice", x_min=0)
     return fit.select(_r("intercept", 4).alias("intercept"), _r("slope", 4).alias("slope"))
@@ -335,6 +378,42 @@ def q_quarantine_rows(spark, sf):                                  # Q01 S03, ba
     return quarantine_csv_lines(lines, NA_LINE_SCHEMA, options={"nullValue": "NA"}, keep=["key", "number"])
 
 
+def _csv_line(fields: dict[str, Column], header: list[str]) -> Column:
+    """One CSV line in the order of ``header``; columns without a value get the text ``more``."""
+    return F.concat_ws(",", *[F.coalesce(fields[n].cast("string"), F.lit("")) if n in fields else F.lit("more")
+                              for n in header])
+
+
+def _quoted(c: Column) -> Column:
+    return F.concat(F.lit('"'), c, F.lit('"'))
+
+
+def q_carrier_rows(spark, sf):                                     # S01, header in another order
+    header = ["Description", "Since", "Code"]
+    fields = {"Code": F.concat(F.lit("S"), F.col("s_suppkey")),
+              "Description": _quoted(F.concat(F.col("s_name"), F.lit(", Inc. (est. 1990)")))}
+    lines = _t(spark, sf, "supplier").select(_csv_line(fields, header).alias("value"))
+    return parse_carrier_lines(lines, header)
+
+
+def q_airport_rows(spark, sf):                                     # S02, quoted names, coordinates
+    header = ["long", "iata", "airport", "city", "state", "country", "lat", "note"]
+    fields = {"iata": F.col("c_custkey"), "airport": _quoted(F.concat(F.col("c_name"), F.lit(", Field"))),
+              "city": F.col("n_name"), "state": F.when(F.col("c_custkey") % 3 > 0, F.concat(F.lit("S"), F.col("c_nationkey"))),
+              "country": F.when(F.col("n_regionkey") == DOMESTIC_REGION, "USA").otherwise("NA"),
+              "lat": F.when(F.col("c_custkey") % 5 > 0, F.col("c_custkey") % 180 - 90.25), "long": F.col("c_custkey") % 360 - 180}
+    rows = _t(spark, sf, "customer").join(_t(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return parse_airport_lines(rows.select(_csv_line(fields, header).alias("value")), header)
+
+
+def q_country_code_rows(spark, sf):                                # S05, NA is a code
+    header = ["Name", "Code"]
+    fields = {"Name": _quoted(F.concat(F.initcap("n_name"), F.lit(", Republic of"))),
+              "Code": F.when(F.col("n_nationkey") == 7, "NA").otherwise(F.substring("n_name", 1, 2))}
+    lines = _t(spark, sf, "nation").select(_csv_line(fields, header).alias("value"))
+    return parse_country_code_lines(lines, header)
+
+
 def flight_lines(spark, sf, header: list[str]) -> DataFrame:
     """lineitem rendered as flight CSV lines with the columns in the order of ``header``."""
     own = {"FlightNum": F.col("l_orderkey"), "TailNum": F.concat(F.lit("N"), F.col("l_suppkey")),
@@ -493,6 +572,9 @@ QUERIES: dict[str, Query] = {
     "semi_filter": q_semi_filter,
     "bloom_semi_filter": q_bloom_semi_filter,
     "conditional_share": q_conditional_share,
+    "route_counts_kept": q_route_counts_kept,
+    "conditional_share_kept": q_conditional_share_kept,
+    "catalog_tables": q_catalog_tables,
     "least_squares": q_least_squares,
     "moving_average": q_moving_average,
     "moving_average_by_flag": q_moving_average_by_flag,
@@ -516,6 +598,9 @@ QUERIES: dict[str, Query] = {
     "csv_na_roundtrip": q_csv_na_roundtrip,
     "quarantine_rows": q_quarantine_rows,
     "flight_rows": q_flight_rows,
+    "carrier_rows": q_carrier_rows,
+    "airport_rows": q_airport_rows,
+    "country_code_rows": q_country_code_rows,
     "player_convert": q_player_convert,
     "category_index": q_category_index,
     "category_index_brand": q_category_index_brand,
@@ -886,3 +971,25 @@ SELECT o_orderkey, CAST(CASE WHEN o_totalprice > 100000 THEN b1 > b0 ELSE a1 > a
          AS p_positive
 FROM orders CROSS JOIN c""",
 }
+
+ORACLE_SQL |= {
+    # the same questions as over the source tables
+    "route_counts_kept": ORACLE_SQL["route_counts"],
+    "conditional_share_kept": ORACLE_SQL["conditional_share"],
+    "catalog_tables": """
+SELECT 'aloft_orders' AS name, true AS present, count(*) AS n, count(DISTINCT o_custkey) AS n_keys FROM orders
+UNION ALL SELECT 'aloft_nothing', false, NULL, NULL""",
+    "carrier_rows": """
+SELECT 'S' || s_suppkey AS Code, s_name || ', Inc. (est. 1990)' AS Description FROM supplier""",
+    "airport_rows": f"""
+SELECT CAST(c_custkey AS VARCHAR) AS iata, c_name || ', Field' AS airport, n_name AS city,
+       CASE WHEN c_custkey % 3 > 0 THEN 'S' || c_nationkey END AS state,
+       CASE WHEN n_regionkey = {DOMESTIC_REGION} THEN 'USA' ELSE 'NA' END AS country,
+       CASE WHEN c_custkey % 5 > 0 THEN CAST(c_custkey % 180 AS DOUBLE) - 90.25 END AS lat,
+       CAST(c_custkey % 360 - 180 AS DOUBLE) AS long
+FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+    "country_code_rows": """
+SELECT upper(left(lower(n_name), 1)) || substr(lower(n_name), 2) || ', Republic of' AS Name,
+       CASE WHEN n_nationkey = 7 THEN 'NA' ELSE left(n_name, 2) END AS Code
+FROM nation""",
+}

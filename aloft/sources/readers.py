@@ -63,9 +63,30 @@ def load_flights(spark: SparkSession, path: str, view: str | None = FLIGHT_VIEW,
 def parse_flight_lines(lines: DataFrame, header: list[str], col: str = "value",
                        permissive: bool = False) -> DataFrame:
     """Q01 on a column of flight CSV lines whose columns are in the order of ``header``."""
-    schema = schema_in_order(schemas.FLIGHT, header, "the flight header")
-    return read_csv_lines(lines, schema, col, {"nullValue": FLIGHT_NULL_TOKEN},
-                          permissive=permissive).select(*schemas.FLIGHT.names)
+    return _parse_headered(lines, schemas.FLIGHT, header, "the flight header", col, permissive,
+                           {"nullValue": FLIGHT_NULL_TOKEN})
+
+
+def _parse_headered(lines: DataFrame, schema: StructType, header: list[str], what: str, col: str, permissive: bool,
+                    options: dict | None = None) -> DataFrame:
+    return read_csv_lines(lines, schema_in_order(schema, header, what), col, options,
+                          permissive=permissive).select(*schema.names)
+
+
+def parse_carrier_lines(lines: DataFrame, header: list[str], col: str = "value", permissive: bool = False) -> DataFrame:
+    """S01 on a column of carrier lines whose columns are in the order of ``header``."""
+    return _parse_headered(lines, schemas.CARRIER, header, "the carrier header", col, permissive)
+
+
+def parse_airport_lines(lines: DataFrame, header: list[str], col: str = "value", permissive: bool = False) -> DataFrame:
+    """S02 on a column of airport lines whose columns are in the order of ``header``."""
+    return _parse_headered(lines, schemas.AIRPORT, header, "the airport header", col, permissive)
+
+
+def parse_country_code_lines(lines: DataFrame, header: list[str], col: str = "value",
+                             permissive: bool = False) -> DataFrame:
+    """S05 on a column of country-code lines: quoted names may hold commas, the code NA stays a text."""
+    return _parse_headered(lines, schemas.COUNTRY_CODE, header, "the country-code header", col, permissive)
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:

@@ -11,7 +11,7 @@ from aloft.plans.tables import QUERIES
 SF = "/root/testdata/sf0.001"
 # these return plans over tables they wrote
 ITERATIVE = {"pagerank", "pagerank_top", "fit_predict", "evaluate", "triplets", "median", "p95",
-             "category_index_distributed", "median_by_group", "exact_split"}
+             "category_index_distributed", "median_by_group", "exact_split", "route_counts_kept", "conditional_share_kept"}
 SF_LARGE = "/root/testdata/sf0.1"
 
 
