@@ -7,9 +7,9 @@ sample's length and by the text's length, wins (ties: the smaller name).
 
 All pieces of a batch of texts step through all automata side by side, one array operation per
 character position, so a character costs a few table look-ups and no Python code of its
-own.  Phrases end at white space runs' single space as at any other character; they do
-not cross pieces of ``PIECE`` characters, which bounds the steps for very long texts (every
-piece is parsed, for every language alike).
+own.  Texts are cut into pieces of ``PIECE`` characters for that; afterwards each piece is entered again in the state in
+which the one before it was left, until this parse and the one from the piece's start are in one state.  So the
+phrases are those of the whole text, whatever its length.
 
 Letters are lower-cased; everything that is no letter counts as one space.  A null text and one
 without letters are ``und`` with score 0, as is every text if no language was learned.
@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 
 from aloft.llm.common import per_text
 
-#: characters of a language's sample, which takes whole rows of up to that many characters until it is full
+#: characters of a language's sample, which takes whole rows until it is full; a row of more characters than that
+#: is drawn by stretches of that many, each like a row of its own
 SAMPLE = 100_000
 #: characters of all languages' samples together; with many languages each gets less
 TOTAL = 1_200_000
@@ -146,8 +147,60 @@ class CrossParser:
         c = self.classes[cps]
         return c[(c != 1) | (np.roll(c, 1) != 1)] if len(c) else c
 
-    def phrases(self, pieces: list[np.ndarray]) -> np.ndarray:
-        """(languages, pieces): number of phrases of each piece."""
+    def phrases(self, texts: list[np.ndarray]) -> np.ndarray:
+        """(languages, texts): number of phrases of each text."""
+        pieces, owner = [], []
+        for i, c in enumerate(texts):
+            for s in range(0, len(c), PIECE):
+                pieces.append(c[s:s + PIECE])
+                owner.append(i)
+        if not pieces:
+            return np.zeros((len(self.langs), len(texts)), np.int64)
+        n, left = self.closed(pieces)
+        last = np.append(np.diff(owner) > 0, True)
+        root = self.root[:, 0].tolist()
+        for i in range(1, len(pieces)):
+            if last[i - 1]:
+                continue
+            for k, start in enumerate(root):
+                entered = int(left[k, i - 1])
+                if entered != start:
+                    more, left[k, i] = self.entered(k, pieces[i], entered, int(left[k, i]))
+                    n[k, i] += more
+        n[:, last] += left[:, last] != self.root  # the phrase that the text's end cuts off
+        return np.stack([np.bincount(owner, row, len(texts)) for row in n]).astype(np.int64)
+
+    def entered(self, k: int, piece: np.ndarray, state: int, left: int) -> tuple[int, int]:
+        """What entering the piece in ``state`` of language ``k`` changes: phrases closed in addition to those of a
+        parse from the piece's start, and the state at its end (``left`` if both parses meet)."""
+        root = int(self.root[k, 0])
+        there, more = root, 0
+        for c in piece.tolist():
+            state, closed = self.one(k, c, state, root)
+            there, before = self.one(k, c, there, root)
+            more += closed - before
+            if state == there:
+                return more, left
+        return more, state
+
+    def one(self, k: int, c: int, state: int, root: int) -> tuple[int, int]:
+        """State after a character of class ``c`` and the phrases it closed."""
+        to = self.to(state, c)
+        if to >= 0:
+            return to, 0
+        closed = int(state != root)
+        to = int(self.first[k, c])
+        return (to, closed) if to >= 0 else (root, closed + 1)
+
+    def to(self, state: int, c: int) -> int:
+        if c < self.width:
+            return self.table.item(state * self.width + c)
+        key = state * self.alphabet + c
+        at = int(np.searchsorted(self.keys, key))
+        return self.targets.item(at) if at < len(self.keys) and self.keys.item(at) == key else -1
+
+    def closed(self, pieces: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(languages, pieces) each: phrases that a parse from each piece's start closes in it, its state at the end."""
         lengths = np.array([len(p) for p in pieces])
         order = np.argsort(-lengths, kind="stable")
         flat = np.concatenate([pieces[i] for i in order]) if len(order) else np.empty(0, np.int32)
@@ -169,14 +222,13 @@ class CrossParser:
             lost = to < 0
             n_phrases[:, :n] += lost
             state[:, :n] = np.where(lost, self.root, to)
-        n_phrases += state != self.root
-        out = np.empty_like(n_phrases)
-        out[:, order] = n_phrases
-        return out
+        out, left = np.empty_like(n_phrases), np.empty_like(state)
+        out[:, order], left[:, order] = n_phrases, state
+        return out, left
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         langs, scores = ["und"] * len(texts), np.zeros(len(texts))
-        pieces, owner, size = [], [], np.zeros(len(texts))
+        codes, owner, size = [], [], np.zeros(len(texts))
         for i, t in enumerate(texts):
             if not self.langs or not t:
                 continue
@@ -185,12 +237,11 @@ class CrossParser:
                 continue
             c = self.codes(t)
             size[i] = len(c)
-            for s in range(0, len(c), PIECE):
-                pieces.append(c[s:s + PIECE])
-                owner.append(i)
-        if pieces:
-            n = self.phrases(pieces)
-            total = np.stack([np.bincount(owner, row, len(texts)) for row in n])
+            codes.append(c)
+            owner.append(i)
+        if codes:
+            total = np.zeros((len(self.langs), len(texts)))
+            total[:, owner] = self.phrases(codes)
             bits = total * self.cost[:, None] / np.maximum(size, 1)
             best = bits.argmin(axis=0)
             weight = np.exp2(-8 * (bits - bits.min(axis=0)))
@@ -203,18 +254,26 @@ class CrossParser:
 def samples(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             lang_col: str = "lang") -> dict[str, str]:
     """Per language, whole texts of the rows with the smallest hash of their id, within the bounds
-    above.  A threshold on the hash, from the language's size, cuts the candidates before
+    above; very long rows by stretches.  A threshold on the hash, from the language's size, cuts the candidates before
     they are ordered."""
     spark = docs.sparkSession
     base = (docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
             .select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(id_col).alias("h"),
-                    F.col(text_col).alias("text"), F.length(text_col).alias("n")))
+                    F.col(text_col).alias("text"), F.length(text_col).cast("long").alias("n")))
     sizes = base.groupBy("lang").agg(F.sum("n").alias("chars"), F.count("*").alias("rows")).collect()
     most = min(SAMPLE, TOTAL // max(1, len(sizes)))
     below = [(r["lang"], min(1.0, max(DRAWN * most / max(1, r["chars"]), DRAWN_ROWS / r["rows"]))) for r in sizes]
     # a row for each language, all of which the driver holds: texts need not move to meet it
-    drawn = (base.join(F.broadcast(spark.createDataFrame(below, "lang string, below double")), "lang")
-             .where((F.pmod("h", F.lit(1 << 31)) < F.col("below") * float(1 << 31)) & (F.col("n") <= most)))
+    with_bound = base.join(F.broadcast(spark.createDataFrame(below, "lang string, below double")), "lang")
+    hit = F.pmod("h", F.lit(1 << 31)) < F.col("below") * float(1 << 31)
+    short = with_bound.where((F.col("n") <= most) & hit).select("lang", "h", "text", "n")
+    # few enough to be drawn by themselves; the texts are cut only where the hash of the stretch is drawn
+    stretch = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / most)))
+    long = (with_bound.where(F.col("n") > most).withColumn("at", stretch)
+            .withColumn("h", F.xxhash64("h", "at")).where(hit)
+            .withColumn("text", F.substring("text", F.col("at").cast("int") * most + 1, F.lit(most)))
+            .select("lang", "h", "text", F.length("text").cast("long").alias("n")))
+    drawn = short.unionByName(long)
     order = Window.partitionBy("lang").orderBy("h", "text")
     before = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
     rows = (drawn.withColumn("k", F.row_number().over(order)).withColumn("before", before)

@@ -26,6 +26,50 @@ def test_phrases_equal_greedy_longest_matches():
             assert got[k] == n
 
 
+def _greedy(codes, sample):
+    """Phrases by longest matches found with ``in``."""
+    at, n = 0, 0
+    while at < len(codes):
+        end = at + 1
+        while end < len(codes) and codes[at] in sample and codes[at:end + 1] in sample:
+            end += 1
+        at, n = end, n + 1
+    return n
+
+
+def test_pieces_do_not_cut_phrases(monkeypatch):
+    """Texts that never fall into step with a parse from a piece's start are among them."""
+    samples = {"aa": SAMPLES["aa"] + " " + "q" * 7 + " qz", "bb": SAMPLES["bb"] + " zzzzz"}
+    texts = [prose(7, 400), prose(8, 300, ("xor", "ypsi")), "q" * 500, "z" * 501 + "q" * 99, "", "a", prose(9, 9) + "#" * 90]
+    for size in (1, 3, 10, 64, 2048):
+        monkeypatch.setattr(langid, "PIECE", size)
+        parser = langid.CrossParser(samples)
+        codes = [parser.codes(t) for t in texts]
+        got = parser.phrases(codes)
+        for k, lang in enumerate(parser.langs):
+            sample = bytes(parser.codes(samples[lang]).tolist())
+            assert got[k].tolist() == [_greedy(bytes(c.tolist()), sample) for c in codes]
+
+
+def test_pieces_with_searched_letters(monkeypatch):
+    monkeypatch.setattr(langid, "CLASSES", 3)
+    text, want = prose(7, 400), None
+    for size in (5000, 7, 31):
+        monkeypatch.setattr(langid, "PIECE", size)
+        parser = langid.CrossParser(SAMPLES)
+        got = parser.phrases([parser.codes(text)]).tolist()
+        want = want or got
+        assert got == want
+
+
+def test_a_language_of_very_long_rows_is_learned(spark):
+    rows = [(1, prose(3, 60_000), "aa"), (2, prose(4, 60_000, ("xor", "ypsi", "zut")), "bb")]
+    assert min(len(t) for _, t, _ in rows) > langid.SAMPLE
+    made = langid.samples(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert set(made) == {"aa", "bb"} and all(10_000 < len(t) <= 2 * langid.SAMPLE for t in made.values())
+    assert langid.CrossParser(made).predict([prose(5, 50), prose(6, 50, ("ypsi", "zut"))])[0] == ["aa", "bb"]
+
+
 def test_long_text_is_parsed_in_pieces():
     parser = langid.CrossParser(SAMPLES)
     text = prose(7, 5000, ("xor", "ypsi"))
