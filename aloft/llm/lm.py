@@ -10,8 +10,9 @@ starts after an end token).  The weights are learned by expectation-maximisation
 counts: of one training fold (``EM_FOLD`` of crc32(id) mod ``FOLDS``), each block of documents
 is scored with its own counts deleted.
 
-How it is spread: documents are dealt to blocks of some megabytes by hash and travel as one
-compressed row per block and task.  A block counts its distinct words and word pairs (64-bit
+How it is spread: documents are dealt to blocks of some megabytes by a hash of id and text, the copies of a row
+that outweighs a block's even share (fewer such rows than blocks) one by one over all blocks.  They are written once as
+one compressed row per block and task.  A block counts its distinct words and word pairs (64-bit
 hashes, strongly mixed; two of n distinct ones collide with probability n^2 / 2^65) and sends
 them, sorted and delta-coded, to buckets that are ranges of the hash.  So no key is hot: a word
 comes once per block, however frequent it is.  A bucket adds up the counts and returns to each
@@ -20,7 +21,8 @@ texts.  Nothing is pruned, capped or sampled; the driver receives N, V and a his
 held-out events whose size is bounded by its bins (context bucket and the two likelihood
 ratios in quarter powers of two).
 
-A null text is the empty text (one end token).  Rows that share an id get a row each.  Without
+A null text is the empty text (one end token).  Rows that share an id get a row each; counts and base scores do not
+depend on where repeated rows go, the learned weights may in their last digits.  Without
 training rows all counts are zero, and the score equals the base score.
 """
 
@@ -37,6 +39,8 @@ from aloft.llm.common import fold, saved, share, ship, text_batches
 #: bytes of text aimed at in a block, and bytes of text whose keys meet in one bucket: for small
 #: inputs and at most
 BLOCK_BYTES, BUCKET_BYTES = (8_000_000, 16_000_000), (16_000_000, 64_000_000)
+#: what a row weighs beside its text
+ROW_BYTES = 16
 FOLDS, HELD_OUT, EM_FOLD = 7, 2, 3
 CONTEXTS, STEPS, RANGE = 32, 4, 40  # histogram: bins per power of two, powers of two
 END = np.uint64(0x9E3779B97F4A7C15)
@@ -144,13 +148,29 @@ def _context_bucket(c: np.ndarray) -> np.ndarray:
     return np.minimum(np.frexp(c.astype(np.float64))[1], CONTEXTS - 1)
 
 
-def _packed(docs: DataFrame, id_col: str, text_col: str, train, em, blocks: int) -> DataFrame:
-    """One row per block, task and Arrow batch: ids, flags and the compressed texts."""
-    part = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)), F.lit(blocks))
-    src = docs.select(
-        # blocks of the fold that teaches the weights are apart, with odd numbers
-        (part * 2 + em.cast("long")).alias("block"), F.col(id_col).alias("id"), train.alias("train"),
+def _row_hash(id_col: str, text_col: str):
+    return F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
+
+
+def _weights(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(h, weight): bytes of all rows of a row hash; a row counts even if its text is empty."""
+    return docs.groupBy(_row_hash(id_col, text_col).alias("h")).agg(
+        F.sum(F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long") + ROW_BYTES).alias("weight"))
+
+
+def _packed(docs: DataFrame, id_col: str, text_col: str, train, em, blocks: int, hot: DataFrame) -> DataFrame:
+    """One row per block, task and Arrow batch: ids, flags and the compressed texts.  Rows whose hash is among
+    ``hot`` go anywhere, so the result must be written before it is read twice."""
+    rows = docs.select(
+        _row_hash(id_col, text_col).alias("h"), F.col(id_col).alias("id"), train.alias("train"), em.alias("em"),
         F.encode(F.coalesce(F.col(text_col), F.lit("")), "UTF-8").alias("text"))
+    # fewer hashes than blocks, see score()
+    rows = rows.join(F.broadcast(hot.select(F.col("h").alias("hot"))), F.col("h") == F.col("hot"), "left")
+    part = F.pmod(F.when(F.col("hot").isNull(), F.col("h"))
+                  .otherwise(F.xxhash64("h", F.monotonically_increasing_id())), F.lit(blocks))
+    src = rows.select(
+        # blocks of the fold that teaches the weights are apart, with odd numbers
+        (part * 2 + F.col("em").cast("long")).alias("block"), "id", "train", "text")
     kind = src.schema["id"].dataType.simpleString()
 
     def run(batches):
@@ -261,10 +281,12 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     """One row per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     ship(spark)
-    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    weights = saved(_weights(docs, id_col, text_col), "weights")
+    size = weights.agg(F.sum("weight")).first()[0] or 0
     blocks, buckets = share(size, *BLOCK_BYTES), max(4, share(size, *BUCKET_BYTES))
     train, em = fold(id_col, FOLDS) != HELD_OUT, fold(id_col, FOLDS) == EM_FOLD
-    packed = _packed(docs, id_col, text_col, train, em, blocks)
+    hot = weights.where(F.col("weight") > max(size // blocks, 1))
+    packed = saved(_packed(docs, id_col, text_col, train, em, blocks, hot), "packed")
     totals = saved(_totals(packed, buckets), "totals")
     row = totals.where("block = -1").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
     n, v = int(row["n"] or 0), int(row["v"] or 0)
@@ -286,7 +308,7 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     histogram = (rest.where(odd).groupBy("block").cogroup(packed.where(odd).groupBy("block"))
                  .applyInArrow(tally, "code long, events long")
                  .groupBy("code").agg(F.sum("events").alias("events")).collect())
-    weights = learn_weights([(c // 1_000_000, c // 1000 % 1000 - 1, c % 1000 - 1, float(e))
+    mixture = learn_weights([(c // 1_000_000, c // 1000 % 1000 - 1, c % 1000 - 1, float(e))
                              for c, e in histogram])
     kind = dict(docs.dtypes)[id_col]
 
@@ -294,7 +316,7 @@ def score(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
         block = Block(right)
         word, context, pair = block.events(_with_totals(left, block), delete=False)
         f2, f1, f0 = _estimates(word, context, pair, n, v)
-        w = weights[_context_bucket(context)]
+        w = mixture[_context_bucket(context)]
         logs = np.log10(w[:, 0] * f2 + w[:, 1] * f1 + w[:, 2] * f0) if n else np.log10(f0)
         first = np.cumsum(block.n_tokens) - block.n_tokens
         ids = pa.concat_arrays([c.values if isinstance(c, pa.ListArray) else c.flatten()

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from aloft.llm import lm
 from aloft.llm.queries import QUERIES
@@ -52,6 +53,24 @@ def test_blocks_and_buckets_do_not_change_the_counts(spark, sf, documents, monke
     check(lm.score(documents).collect(), documents.collect())
 
 
+def test_a_row_that_is_a_third_of_all_rows_spreads(spark, documents, monkeypatch):
+    monkeypatch.setattr(lm, "BLOCK_BYTES", (40_000, 40_000))
+    kept = {}
+    plain = lm.saved
+
+    def keep(df, name):
+        kept[name] = plain(df, name)
+        return kept[name]
+    monkeypatch.setattr(lm, "saved", keep)
+    few = documents.select("doc_id", "text").limit(150)
+    for text, copies in (("a hot row, " * 60, 400), ("", 8000), (None, 8000)):
+        docs = few.union(spark.range(copies).select(F.lit(None).cast("long"), F.lit(text).cast("string")))
+        docs = plain(docs, "rows")
+        check(lm.score(docs).collect(), docs.collect())
+        per = [r.n for r in kept["packed"].groupBy("block").agg(F.sum(F.size("ids")).alias("n")).collect()]
+        assert sum(per) == 150 + copies and max(per) < 0.3 * copies
+
+
 def test_without_training_rows(spark):
     ids = [i for i in range(100) if fold(i) == 2][:4]
     rows = lm.score(spark.createDataFrame([(i, "a b") for i in ids], "doc_id long, text string")).collect()
