@@ -63,19 +63,20 @@ def store_adjacency(edges: DataFrame, vertices: DataFrame) -> tuple[DataFrame, D
     return bucketed(rows, "adjacency", ["id", "chunk"]), saved(sized, "vertices")
 
 
-def _round(state: DataFrame, adjacency: DataFrame, reset: float, tol: float, first: bool) -> DataFrame:
+def _round(state: DataFrame, adjacency: DataFrame, reset: float, least: float, first: bool) -> DataFrame:
     """One synchronous round: the frontier tells its targets, what came adds to the rank and is told on in a
-    later round; a column ``sent<n>`` is added with the number of messages of each vertex.
+    later round; columns ``sent<n>`` and ``change<n>`` are added, the number of messages of each vertex
+    and what it has to tell after the round.
 
     A vertex meets the rows of its adjacency, which stay where they are, once for each chunk, and once more
     (chunk -1) to send its own state to itself: so the state is read once, and one aggregation does."""
-    told = state.withColumn("active", F.abs("pending") >= tol).withColumn("chunk", F.explode(F.expr(
+    told = state.withColumn("active", (F.abs("pending") >= least) & (F.col("pending") != 0)).withColumn("chunk", F.explode(F.expr(
         "if(active AND chunks > 0, sequence(-1, chunks - 1), array(-1))")))
-    before = [c for c in state.columns if c.startswith("sent")]
-    now = f"sent{len(before)}"
+    before = [c for c in state.columns if c.startswith(("sent", "change"))]
+    now, change = f"sent{len(before) // 2}", f"change{len(before) // 2}"
     own = {"id": "id", "chunks": "chunks", "deg": "deg", "rank": "rank", "kept": "if(active, 0.0D, pending)",
            "c": "0.0D", **{c: c for c in before}, now: "if(active, deg, 0L)"}
-    types = {"chunks": "int", "rank": "double", "kept": "double"}
+    types = {"chunks": "int", "rank": "double", "kept": "double"} | {c: "double" for c in own if c.startswith("change")}
     message = {c: f"cast(null AS {types.get(c, 'bigint')})" for c in own} | {"id": "d", "c": "pending * w"}
 
     def struct(values: dict) -> str:
@@ -87,26 +88,31 @@ def _round(state: DataFrame, adjacency: DataFrame, reset: float, tol: float, fir
     rank = F.col("rank") + F.col("c")
     # all vertices told their starting rank of 1 in the first round; what they have to tell is the change
     pending = rank - 1.0 if first else F.col("kept") + F.col("c")
-    return summed.select("id", "chunks", "deg", rank.alias("rank"), pending.alias("pending"), *before, now)
+    return summed.select("id", "chunks", "deg", rank.alias("rank"), pending.alias("pending"), *before, now,
+                         pending.alias(change))
 
 
 def pagerank(edges: DataFrame, vertices: DataFrame | None = None,
              reset: float = PAGERANK_RESET, max_iter: int | None = None,
              tol: float = PAGERANK_TOL, rounds_per_job: int = 6,
-             normalize: bool = False, sent: list[int] | None = None) -> DataFrame:
+             normalize: bool = False, sent: list[int] | None = None, least: float | None = None) -> DataFrame:
     """G03 (Q21): unweighted PageRank ``r(v) = reset + (1 - reset) * sum(r(u) / deg(u))``
     over in-edges u -> v, starting from 1.0.
 
     Changes, not ranks, are sent: a vertex adds up what its rank changed since it last told
-    its targets and tells them when that is ``tol`` or more (with either sign).  Only this frontier is joined
-    with the adjacency; the ranks are final in the first round without one.  While
+    its targets and tells them when that is ``least`` (``tol`` unless given) or more (with either sign).  Only
+    this frontier is joined with the adjacency; the ranks are final in the first round without one.  While
     all vertices are in the frontier (always, with ``tol=0``) a round equals one of the power iteration.
 
+    With ``least=0`` every change is told in the next round, so all rounds equal those of the power
+    iteration, and the ranks are those of the first round in which no rank changes by ``tol`` or more.
+
     There is no round limit unless ``max_iter`` is given; reaching it first raises
     :class:`NotConverged` (with ``tol=0``, ``max_iter`` rounds are what is asked for).  ``sent`` gets the
     number of messages of each round appended.
 
-    ``rounds_per_job`` rounds run as one Spark job; rounds after the last change nothing, so the
+    ``rounds_per_job`` rounds run as one Spark job.  Rounds after the last have no frontier and change nothing;
+    with ``least=0`` what rounds after the last one changed is taken off again: so the
     setting moves no result.  The state (rank, what is still to be told) is written to
     ``spark.checkpoint.dir`` after each job (lineage cut, safe against lost executors).  A round
     shuffles the state and the frontier to the buckets of :func:`store_adjacency`, and messages, combined
@@ -119,19 +125,27 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None,
     v = vertices_of(e) if vertices is None else vertices.select("id").union(vertices_of(e)).distinct()
     adjacency, sized = store_adjacency(e, v)
     state = sized.withColumns({"rank": F.lit(reset), "pending": F.lit(1.0)})
+    least = tol if least is None else least
+    if not 0 <= least <= tol:
+        raise ValueError("least must be in [0, tol]")
     done = 0
     while max_iter is None or done < max_iter:
         n = rounds_per_job if max_iter is None else min(rounds_per_job, max_iter - done)
         state = state.select("id", "chunks", "deg", "rank", "pending")
         for k in range(n):
-            state = _round(state, adjacency, reset, tol, done + k == 0)
+            state = _round(state, adjacency, reset, least, done + k == 0)
         state = saved(state, "ranks")
-        left, *told = state.agg(F.max((F.abs("pending") >= tol).cast("int")),
-                                *[F.sum(f"sent{k}") for k in range(n)]).first()
+        seen = state.agg(*[F.max((F.abs(f"change{k}") >= tol).cast("int")).alias(f"left{k}") for k in range(n)],
+                         *[F.sum(f"sent{k}").alias(f"sent{k}") for k in range(n)]).first()
+        # where small changes are held back, a round without large ones ends it, and all later rounds are alike
+        last = next((k for k in range(n) if not seen[f"left{k}"]), None)
         done += n
         if sent is not None:
-            sent += [t or 0 for t in told]
-        if not left:
+            sent += [seen[f"sent{k}"] or 0 for k in range(n)]
+        if last is not None and least < tol:
+            late = sum((F.col(f"change{k}") for k in range(last + 1, n)), F.lit(0.0))
+            state = state.withColumn("rank", F.col("rank") - late)
+        if last is not None:
             break
     else:
         if tol > 0:

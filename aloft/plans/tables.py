@@ -336,7 +336,7 @@ def q_most_active(spark, sf):                                      # Q20
 
 
 def _ranks(spark, sf):
-    return pagerank(social_edges(spark, sf))  # to its tolerance
+    return pagerank(social_edges(spark, sf), least=0.0)  # to its tolerance, every change told
 
 
 def q_pagerank(spark, sf):                                         # Q21 (all ranks)
@@ -631,7 +631,24 @@ FROM (SELECT CASE WHEN event_type = 'purchase'
 WHERE regexp_full_match(value, '{_SOCIAL}')
 GROUP BY 1, 2"""
 
-# a vertex sends what its rank changed since it last sent, if that is the tolerance or more; rounds go on
+# rounds go on while the last one changed some rank by the tolerance or more
+_ALL_RANKS = f"""
+WITH RECURSIVE e AS MATERIALIZED ({_EDGES}),
+deg AS MATERIALIZED (SELECT src, count(*) AS c FROM e GROUP BY src),
+v AS MATERIALIZED (SELECT src AS id FROM e UNION SELECT dst FROM e),
+r(i, id, v, delta) AS (
+  SELECT 0, id, CAST(1.0 AS DOUBLE), CAST(1.0 AS DOUBLE) FROM v
+  UNION ALL
+  SELECT x.i, x.id, x.v, max(abs(x.v - x.old)) OVER () FROM (
+    SELECT (SELECT max(i) FROM r) + 1 AS i, v.id, any_value(o.v) AS old,
+           CAST({PAGERANK_RESET} AS DOUBLE) + CAST({1 - PAGERANK_RESET} AS DOUBLE)
+             * coalesce(sum(r.v / deg.c), 0) AS v
+    FROM v JOIN r o ON o.id = v.id LEFT JOIN e ON e.dst = v.id LEFT JOIN deg ON deg.src = e.src
+           LEFT JOIN r ON r.id = e.src
+    WHERE o.delta >= {PAGERANK_TOL}
+    GROUP BY v.id) x)"""
+
+# pagerank_top: a vertex sends what its rank changed since it last sent, if that is the tolerance or more; rounds go on
 # while some vertex has to
 _RANKS = f"""
 WITH RECURSIVE e AS MATERIALIZED ({_EDGES}),
@@ -882,7 +899,7 @@ FROM ({_EDGES}) e""",
     "most_active": f"""
 SELECT src AS id, count(*) AS out_degree FROM ({_EDGES}) e GROUP BY src
 ORDER BY out_degree DESC, id LIMIT 1""",
-    "pagerank": _RANKS + f"""
+    "pagerank": _ALL_RANKS + f"""
 SELECT id, round(v, {PAGERANK_DIGITS}) AS rank FROM r WHERE i = (SELECT max(i) FROM r)""",
     "pagerank_top": _RANKS + """
 SELECT id FROM r WHERE i = (SELECT max(i) FROM r) ORDER BY v DESC, id LIMIT 1""",

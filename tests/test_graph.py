@@ -188,3 +188,41 @@ def test_round_leaves_the_edges_where_they_are(spark, monkeypatch):
     assert "Exchange" not in "".join(right) and "Bucketed: true" in "".join(right)
     assert "SortAggregate" not in plan
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def _power_iteration(pairs, tol, reset=0.15):
+    """Ranks after the first round in which none changes by ``tol`` or more, and the number of rounds."""
+    n, rank, rounds = 1 + max(map(max, pairs)), None, 0
+    deg = np.bincount([a for a, _ in pairs], minlength=n)
+    rank = np.ones(n)
+    while True:
+        came = np.zeros(n)
+        for a, b in pairs:
+            came[b] += rank[a] / deg[a]
+        rounds, old, rank = rounds + 1, rank, reset + (1 - reset) * came
+        if max(abs(rank - old)) < tol:
+            return rank, rounds
+
+
+@pytest.mark.parametrize("rounds_per_job", [1, 4, 6])
+def test_pagerank_tells_every_change(spark, rounds_per_job):
+    """With least=0 no small change is held back, and the ranks are those of the very round that converged."""
+    pairs = _skewed_pairs()
+    edges = spark.createDataFrame([(a, b, 1) for a, b in pairs], "src long, dst long, weight long")
+    for tol in (1e-2, 1e-3):
+        exp, _ = _power_iteration(pairs, tol)
+        got = {r["id"]: r["rank"] for r in pagerank(edges, tol=tol, least=0.0, rounds_per_job=rounds_per_job).collect()}
+        assert max(abs(got[i] - exp[i]) for i in got) < 1e-12
+
+
+def test_pagerank_query_runs_all_rounds(spark, tmp_path):
+    """The query's ranks are those of the whole power iteration, also for vertices whose last changes are small."""
+    from aloft.plans.tables import QUERIES
+    pairs = _skewed_pairs()
+    rows = [(k, a, "purchase", '{"k": %d}' % b) for k, (a, b) in enumerate(pairs)]
+    (spark.createDataFrame(rows, "event_id long, user_id long, event_type string, props string")
+     .write.parquet(str(tmp_path / "events.parquet")))
+    exp, _ = _power_iteration(pairs, 1e-6)
+    got = {r["id"]: r["rank"] for r in QUERIES["pagerank"](spark, str(tmp_path)).collect()}
+    # the ranks are given to 6 digits
+    assert set(got) == {x for p in pairs for x in p} and max(abs(got[i] - exp[i]) for i in got) < 5.1e-7
