@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -61,6 +62,28 @@ def test_range_mean_orders_no_whole_time_line(spark):
     assert "SinglePartition" not in plan and "Window" in plan
 
 
+def test_range_mean_frames_are_not_summed_anew(spark):
+    """Frames of many instants come from running sums; a frame with both ends would be summed for each row."""
+    df = spark.range(20_000).selectExpr("id * 3 AS t", "cast(id % 7 AS double) AS v")
+    made = range_mean(df, df.t, "v", 30_000)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    frames = re.findall(r"specifiedwindowframe\((\w+), (.*?), (.*?)\)", plan)
+    assert frames and all(low == "unboundedpreceding$()" for _, low, _ in frames)
+    got = {x["at"]: x["mean"] for x in made.collect()}
+    v = np.arange(20_000) % 7
+    assert len(got) == 20_000
+    for i in (0, 1, 4_999, 10_000, 19_999):
+        assert got[3 * i] == pytest.approx(v[max(0, i - 10_000):i + 10_001].mean(), rel=1e-12)
+
+
+def test_range_mean_keeps_small_values_beside_huge_ones(spark):
+    rows = [(0, 1e300), (5, float("inf")), (100, 1.0), (101, 3.0), (205, float("nan")), (300, 0.1), (306, 0.2)]
+    df = spark.createDataFrame(rows, "t long, v double")
+    got = {x["at"]: x["mean"] for x in range_mean(df, df.t, "v", 6).collect()}
+    assert got[100] == 2.0 and got[300] == pytest.approx(0.15, rel=1e-15)
+    assert got[0] == math.inf and math.isnan(got[205])
+
+
 @pytest.mark.parametrize("p", [0.0, 0.37, 0.5, 0.95, 1.0])
 def test_grouped_percentile_equals_numpy(spark, monkeypatch, p):
     """A group of a third of all rows, one value, ties, no values, null keys, values far apart."""
