@@ -8,9 +8,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aloft.functions.columns import EARTH_RADIUS_KM, haversine_km
+from aloft.session import saved
 
-#: points of one cell that are met by one copy of its centres
-CELL_ROWS = 100_000
+#: most points, and most centres, of one cell that meet as one block, about
+CELL_ROWS = 4_096
+#: pairs of a cell's points and centres that a task of the join forms, about
+TASK_PAIRS = 2 * CELL_ROWS ** 2
+#: most tasks of the join
+MOST_TASKS = 50_000
 
 
 def within_radius(df: DataFrame, lat: str, lon: str, lat0: float, lon0: float,
@@ -78,21 +83,48 @@ def radius_join(centres: DataFrame, points: DataFrame, radius_km: float, *, cent
     """Q18 for many centres: (centre_id, point_id, distance) of all pairs within ``radius_km`` great-circle km.
 
     An equi-join on grid cells, then the exact distance; no pair further apart than some radii is formed.
-    Cells of more than :data:`CELL_ROWS` points are cut by a hash of the point, and their centres
-    copied to each cut, so a crowded place is many tasks.  Rows without a coordinate meet nothing."""
+    The points of a cell are cut by a hash into parts of about :data:`CELL_ROWS`, and so are its centres; each part
+    of the one meets each of the other as a block of its own, so a crowded place is many keys.  Pairs grow with the
+    product of both tables, so the number of tasks follows the number of pairs in the cells, not
+    the size of the rows.  Rows without a coordinate meet nothing."""
     grid = Grid(radius_km)
     some = F.col(lat).isNotNull() & F.col(lon).isNotNull()
-    p = (points.where(some).select(F.col(point_id), F.col(lat).alias("__plat"), F.col(lon).alias("__plon"))
+
+    def place(df: DataFrame, key: str, side: str) -> DataFrame:
+        """Rows as (id, degrees, unit vector)."""
+        la, lo = F.radians(F.col(lat)), F.radians(F.col(lon))
+        return df.where(some).select(F.col(key), F.col(lat).alias(f"__{side}lat"), F.col(lon).alias(f"__{side}lon"),
+                                     (F.cos(la) * F.cos(lo)).alias(f"__{side}x"), (F.cos(la) * F.sin(lo)).alias(f"__{side}y"),
+                                     F.sin(la).alias(f"__{side}z"))
+    p = (place(points, point_id, "p")
          .withColumn("band", grid.band(F.col("__plat"))).withColumn("cell", grid.cell(F.col("band"), F.col("__plon"))))
-    crowded = (p.groupBy("band", "cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CELL_ROWS)
-               .select("band", "cell", F.ceil(F.col("n") / CELL_ROWS).cast("int").alias("cuts")))
-    p = (p.join(crowded, ["band", "cell"], "left")
-         .withColumn("cut", F.coalesce(F.pmod(F.xxhash64(point_id, "__plat", "__plon"), F.col("cuts")).cast("int"), F.lit(0))))
-    c = (centres.where(some).select(F.col(centre_id), F.col(lat).alias("__clat"), F.col(lon).alias("__clon"))
+    c = (place(centres, centre_id, "c")
          .withColumn("at", F.explode(grid.cover(F.col("__clat"), F.col("__clon"))))
-         .select("*", "at.band", "at.cell").drop("at")
-         .join(crowded.withColumnRenamed("cuts", "copies"), ["band", "cell"], "left")
-         .withColumn("cut", F.explode(F.expr("sequence(0, coalesce(copies, 1) - 1)"))))
+         .select("*", "at.band", "at.cell").drop("at"))
+
+    def counted(df: DataFrame, out: str) -> DataFrame:
+        return df.groupBy("band", "cell").agg(F.count(F.lit(1)).alias(out))
+
+    def parts(n: str) -> Column:
+        return F.ceil(F.col(n) / CELL_ROWS).cast("int")
+    sizes = saved(counted(p, "n").join(counted(c, "m"), ["band", "cell"])
+                  .select("band", "cell", "n", "m", parts("n").alias("cuts"), parts("m").alias("copies")), "cells")
+    pairs = sizes.agg(F.sum(F.col("n").cast("double") * F.col("m"))).first()[0] or 0.0
+    least = int(centres.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, min(MOST_TASKS, math.ceil(pairs / TASK_PAIRS)))
+    cells = sizes.select("band", "cell", "cuts", "copies")
+    keys = ["band", "cell", "cut", "copy"]
+    p = (p.join(cells, ["band", "cell"])
+         .withColumn("cut", F.pmod(F.xxhash64(point_id, "__plat", "__plon"), F.col("cuts")).cast("int"))
+         .withColumn("copy", F.explode(F.expr("sequence(0, copies - 1)"))).drop("cuts", "copies"))
+    c = (c.join(cells, ["band", "cell"])
+         .withColumn("copy", F.pmod(F.xxhash64(centre_id, "__clat", "__clon"), F.col("copies")).cast("int"))
+         .withColumn("cut", F.explode(F.expr("sequence(0, cuts - 1)"))).drop("cuts", "copies"))
+    # a number of partitions that is asked for is not merged again for the few bytes in them
+    met = c.repartition(tasks, *keys).join(p.repartition(tasks, *keys), keys)
+    # the cosine of the angle drops most pairs before any trigonometry, with a margin far above its rounding
+    near = F.lit(math.cos(min(grid.reach, math.pi)) - 1e-12)
+    cosine = F.col("__cx") * F.col("__px") + F.col("__cy") * F.col("__py") + F.col("__cz") * F.col("__pz")
     distance = haversine_km(F.col("__clat"), F.col("__clon"), F.col("__plat"), F.col("__plon"))
-    return (c.join(p, ["band", "cell", "cut"]).withColumn(distance_col, distance)
+    return (met.where(cosine >= near).withColumn(distance_col, distance)
             .where(F.col(distance_col) <= radius_km).select(centre_id, point_id, distance_col))

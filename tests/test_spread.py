@@ -9,6 +9,7 @@ import pytest
 
 from collections import Counter
 
+from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from aloft.operators import geo as geo_ops
@@ -42,6 +43,18 @@ def test_radius_join_equals_all_pairs(spark, monkeypatch, radius, cell_rows):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_radius_join_spreads_pairs_of_one_place(spark, monkeypatch):
+    """All rows in one place: pairs are dealt to tasks by their number, though the rows are few bytes."""
+    monkeypatch.setattr(geo_ops, "CELL_ROWS", 50)
+    monkeypatch.setattr(geo_ops, "TASK_PAIRS", 5_000, raising=False)
+    c = spark.range(300).selectExpr("id AS c", "10.0D AS lat", "20.0D AS lon")
+    p = spark.range(400).selectExpr("id AS p", "10.1D AS lat", "20.0D AS lon")
+    made = radius_join(c, p, 50.0, centre_id="c", point_id="p")
+    assert made.select("c", "p").distinct().count() == made.count() == 120_000
+    of_task = [r["count"] for r in made.groupBy(F.spark_partition_id().alias("t")).count().collect()]
+    assert len(of_task) >= 8 and max(of_task) <= 30_000
+
+
 @pytest.mark.parametrize("width", [None, 1, 7, 1000])
 def test_range_mean_equals_plain_windows(spark, width):
     """Negative instants, gaps, nulls, one instant with a third of all rows, two series."""
