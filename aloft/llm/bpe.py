@@ -1,9 +1,11 @@
 """Operator 9: byte-level BPE by corpus-level merge replay.
 
 The distinct pieces of a whole batch of texts are laid out as one chain of byte
-tokens.  An inverted index maps each merge (named by its rank) to the positions where
-it applies; the merges are replayed in rank order over the corpus of pieces, and each
-one touches only the two neighbours of the pairs that it joins.  Every text is then the
+tokens, with the rank of the merge that each position and the next allow.  In a round every
+piece replays its merge of lowest rank, all pieces at once in numpy arrays; only the two neighbours
+of a joined pair get new ranks, and pieces without a merge leave the chain.  The few pieces of more than
+:data:`LONG_PIECE` bytes, which would take as many rounds, are replayed in rank order over an inverted index
+that maps each merge (named by its rank) to the positions where it applies.  Every text is then the
 concatenation of its pieces' ids.  Pieces already replayed by a Python worker are kept
 (bounded), so that a common word is replayed once, not once per batch.
 
@@ -34,6 +36,12 @@ from aloft.llm.common import per_text
 
 #: most pieces a worker keeps between batches
 KEEP_PIECES = 600_000
+#: bytes of the longest piece that is replayed in rounds over all pieces
+LONG_PIECE = 64
+#: pieces in one chain of rounds
+CHAIN_PIECES = 32_768
+#: stands for the rank where no merge applies
+NONE = np.iinfo(np.int64).max
 _LOADED: dict = {}
 
 
@@ -53,6 +61,60 @@ class MergeReplay:
         self.byte_ids = [ranks[bytes([b])] for b in range(256)]
         self.pair_rank: dict[tuple[int, int], int] = {}
         self.known: dict[str, bytes] = {}
+        joined = sorted((ranks[b[:i]], ranks[b[i:]], r) for b, r in ranks.items() for i in range(1, len(b))
+                        if b[:i] in ranks and b[i:] in ranks)
+        left, right, made = np.array(joined, np.int64).reshape(-1, 3).T
+        self.base = max(ranks.values()) + 1
+        # sorted by pair, with one more at the end, so that a search always ends on an entry
+        self.pairs = np.append(left * self.base + right, NONE)
+        self.made = np.append(made, NONE)
+        self.byte_tok = np.array(self.byte_ids, np.int64)
+        self.byte_pair = self._ranks(np.repeat(self.byte_tok, 256), np.tile(self.byte_tok, 256))
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Ranks of the tokens that each a+b make, or :data:`NONE`."""
+        key = a * self.base + b
+        at = np.searchsorted(self.pairs, key)
+        return np.where(self.pairs[at] == key, self.made[at], NONE)
+
+    def replay_rounds(self, pieces: list[bytes]) -> list[bytes]:
+        """Each (not empty) piece's ids as little-endian unsigned 32-bit integers."""
+        out = [b""] * len(pieces)
+        lens = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        raw = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64)
+        tok, which, ends = self.byte_tok[raw], np.arange(len(pieces)), np.cumsum(lens)
+        rank = np.full(len(raw), NONE)
+        rank[:-1] = self.byte_pair[raw[:-1] * 256 + raw[1:]]
+        rank[ends - 1] = NONE
+        while len(which):
+            least = np.minimum.reduceat(rank, ends - lens)
+            done = least == NONE
+            if done.any():
+                leave = np.repeat(done, lens)
+                ids = tok[leave].astype("<u4").tobytes()
+                start = 0
+                for w, end in zip(which[done].tolist(), (4 * np.cumsum(lens[done])).tolist()):
+                    out[w] = ids[start:end]
+                    start = end
+                tok, rank = tok[~leave], rank[~leave]
+                which, lens, least = which[~done], lens[~done], least[~done]
+                ends = np.cumsum(lens)
+            if not len(which):
+                break
+            first = ends - lens
+            hits = np.flatnonzero(rank == np.repeat(least, lens))
+            at = hits[np.searchsorted(hits, first)]  # the leftmost of a piece
+            tok[at] = least
+            rank[at] = NONE
+            i = at[at + 2 < ends]
+            rank[i] = self._ranks(tok[i], tok[i + 2])
+            i = at[at > first]
+            rank[i - 1] = self._ranks(tok[i - 1], tok[i])
+            stay = np.ones(len(tok), bool)
+            stay[at + 1] = False
+            tok, rank, lens = tok[stay], rank[stay], lens - 1
+            ends = np.cumsum(lens)
+        return out
 
     def _rank(self, a: int, b: int) -> int:
         """Rank of the token that a+b make, or -1."""
@@ -63,7 +125,7 @@ class MergeReplay:
         return r
 
     def replay(self, pieces: list[bytes]) -> list[list[int]]:
-        """Token ids of each piece."""
+        """Token ids of each piece, of any length."""
         ids, out, pair_rank, rank = self.byte_ids, [], self.pair_rank, self._rank
         tok: list[int] = []
         ends: list[int] = []
@@ -162,16 +224,23 @@ class MergeReplay:
             self.known = {}
         known = self.known
         new = [p for p in set(chain.from_iterable(split)) if p not in known]
-        todo = []
+        short, other = [], []
         for p in new:
             b = p.encode()
             r = self.ranks.get(b)
-            if r is None:
-                todo.append((p, b))
-            else:
+            if r is not None:
                 known[p] = r.to_bytes(4, "little")
-        for (p, _), got in zip(todo, self.replay([b for _, b in todo])):
-            known[p] = np.asarray(got, "<u4").tobytes()
+            elif 0 < len(b) <= LONG_PIECE:
+                short.append((p, b))
+            else:
+                other.append((p, b))
+        for k in range(0, len(short), CHAIN_PIECES):
+            chain_of = short[k:k + CHAIN_PIECES]
+            for (p, _), got in zip(chain_of, self.replay_rounds([b for _, b in chain_of])):
+                known[p] = got
+        if other:
+            for (p, _), got in zip(other, self.replay([b for _, b in other])):
+                known[p] = np.asarray(got, "<u4").tobytes()
         return [b"".join([known[p] for p in pieces]) for pieces in split]
 
     def decode(self, ids: bytes) -> bytes:

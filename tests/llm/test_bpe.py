@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import numpy as np
 import public_tokenizers
@@ -58,3 +59,17 @@ def test_query(spark, sf, documents):
         e = TIKTOKEN.encode_ordinary(r.text)
         assert got[r.doc_id].n_tokens == len(e)
         assert got[r.doc_id].ids_sha256 == hashlib.sha256(np.array(e, "<u4").tobytes()).hexdigest()
+
+
+def test_pieces_are_replayed_all_at_once(monkeypatch):
+    """No piece of usual length goes through the index in Python; lengths about the bound, many alphabets."""
+    r = random.Random(5)
+    own = bpe.MergeReplay(RANKS, public_tokenizers.PATTERN)
+    words = ["".join(r.choice(a) for _ in range(r.randint(1, 70))) for a in ("ab", "abcdefghij", "étüß", "日本語の", "=-<>", "0123")
+             for _ in range(300)]
+    monkeypatch.setattr(bpe, "CHAIN_PIECES", 50, raising=False)
+    index, long = own.replay, []
+    monkeypatch.setattr(own, "replay", lambda pieces: long.extend(pieces) or index(pieces))
+    coded = own.encode(words)
+    assert [np.frombuffer(c, "<u4").tolist() for c in coded] == [TIKTOKEN.encode_ordinary(w) for w in words]
+    assert long and all(len(p) > 64 for p in long)
